@@ -1,0 +1,44 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.functions import params
+
+
+@pytest.mark.parametrize("raw, expected", [
+    ("a,b,c", ["a", "b", "c"]), ("", None), (None, None), ("null", None), ("NULL", None), ("None", None),
+    ("''", None), ('""', None), ("  a  ,  b  ", ["a", "b"]), (" , ", None),
+])
+def test_parse_list_golden(spark, raw, expected):
+    df = spark.createDataFrame([(raw,)], "v string")
+    assert df.select(params.parse_list("v")).first()[0] == expected
+
+
+@pytest.mark.parametrize("raw, expected", [(["x", "y"], ["x", "y"]), ([" x ", " y "], ["x", "y"]), (["", " "], None)])
+def test_clean_list_golden(spark, raw, expected):
+    df = spark.createDataFrame([(raw,)], "v array<string>")
+    assert df.select(params.clean_list("v")).first()[0] == expected
+
+
+@pytest.mark.parametrize("path, expected", [
+    ("s3://bucket/417/entidad_2025-01.xlsx", "entidad"),
+    ("s3://bucket/417/comisionista/file.xlsx", "comisionista"),
+    ("s3://bucket/raw/mes=2025-01/file.xlsx", "2025-01"),
+    ("", None),
+    ("file.xlsx", None),
+])
+def test_entity_golden(spark, path, expected):
+    df = spark.createDataFrame([(path,)], "v string")
+    assert df.select(params.entity_from_path("v")).first()[0] == expected
+
+
+def test_format_and_resolve(spark):
+    df = spark.createDataFrame([("a/B.CSV",), ("x.json",), ("y.xlsx",), ("z.txt",)], "p string")
+    assert [r[0] for r in df.select(params.format_of_path("p")).collect()] == ["csv", "json", "excel", None]
+    k = spark.createDataFrame([("banco.xlsx",), ("raw/path/b.xlsx",), ("s3://o/k.xlsx",)], "f string")
+    got = [r[0] for r in k.select(params.resolve_key("f", F.lit("raw/path/"), F.lit("raw-bucket"))).collect()]
+    assert got == ["s3://raw-bucket/raw/path/banco.xlsx", "s3://raw-bucket/raw/path/b.xlsx", "s3://o/k.xlsx"]
+
+
+def test_optional_arg(spark):
+    df = spark.createDataFrame([(" ",), ("-",), ("--next",), (" Hoja 1 ",), (None,)], "v string")
+    assert [r[0] for r in df.select(params.optional_arg("v")).collect()] == ["", "", "", "Hoja 1", ""]

@@ -50,7 +50,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     """
     src_keys = source.select(*[F.col(_q(k)) for k in keys]).where(
         F.lit(True) if not keys else F.expr(" AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)))
-    kept = target.join(src_keys, on=keys, how="left_anti")
+    kept = target.join(src_keys, on=keys, how="left_anti").select(*[F.col(_q(c)) for c in target.columns])
     return kept.unionByName(source, allowMissingColumns=True)
 
 
@@ -67,7 +67,7 @@ def overwrite_partitions(target: DataFrame, source: DataFrame, partition_cols: l
     """Dynamic partition overwrite: every partition present in the source is
     replaced wholesale; the others are kept."""
     touched = source.select(*[F.col(_q(c)) for c in partition_cols]).distinct()
-    kept = target.join(touched, on=partition_cols, how="left_anti")
+    kept = target.join(touched, on=partition_cols, how="left_anti").select(*[F.col(_q(c)) for c in target.columns])
     return kept.unionByName(source, allowMissingColumns=True)
 
 

@@ -60,7 +60,7 @@ ORACLES: dict[str, str] = {
     "empty_partitions": "SELECT strftime(d, '%Y-%m-%d') AS partition_date FROM (SELECT unnest(generate_series("
                         "min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS d FROM orders) "
                         "WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)",
-    "detect_format": "SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS partition_value, 'csv' AS format FROM orders "
+    "detect_format": "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS partition_value, 'csv' AS format FROM orders "
                      "UNION ALL SELECT DISTINCT CAST(c_nationkey AS VARCHAR), 'json' FROM customer",
     "entity_from_path": "SELECT page_id, CASE WHEN contains(string_split(trim(url, '/'), '/')[-1], '_') "
                         "THEN string_split(string_split(trim(url, '/'), '/')[-1], '_')[1] "

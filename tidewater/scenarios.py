@@ -66,32 +66,47 @@ def _once(spark: SparkSession, key: tuple, build: Callable[[], str]) -> str:
         return _written[k]
 
 
+def _raw_orders(o: DataFrame) -> DataFrame:
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("OrderKey"),
+        F.col("o_custkey").cast("string").alias("CustKey"),
+        F.col("o_orderstatus").alias("Estado"),
+        F.col("o_totalprice").cast("string").alias("TotalPrice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("FechaOrden"),
+        F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 10000), F.lit(None))
+         .otherwise(F.col("o_orderpriority")).alias("Prioridad"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("mes"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"))
+
+
+def _write_raw_csv(df: DataFrame, path: str, key: str) -> None:
+    (df.repartition(key).write.mode("overwrite")
+       .options(header="true", sep=";", nullValue="\\N")
+       .partitionBy(key).csv(path))
+
+
 def raw_orders_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Orders as ';' CSV with header under ``mes=yyyy-MM/fecha=yyyy-MM-dd``.
+    """Orders as ';' CSV with header under ``mes=yyyy-MM`` (a MONTH_PRECISION raw dataset).
 
     Priority is missing (``\\N``) for pending orders under 10,000 -- the dirt the
     validation checks find.
     """
     def build() -> str:
         path = scratch_path(spark, "raw-orders")
-        o = T(spark, sf_dir, "orders")
-        raw = o.select(
-            F.col("o_orderkey").cast("string").alias("OrderKey"),
-            F.col("o_custkey").cast("string").alias("CustKey"),
-            F.col("o_orderstatus").alias("Estado"),
-            F.col("o_totalprice").cast("string").alias("TotalPrice"),
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("FechaOrden"),
-            F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 10000), F.lit(None))
-             .otherwise(F.col("o_orderpriority")).alias("Prioridad"),
-            F.date_format("o_orderdate", "yyyy-MM").alias("mes"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"))
-        (raw.repartition("mes", "fecha").write.mode("overwrite")
-            .options(header="true", sep=";", nullValue="\\N")
-            .partitionBy("mes", "fecha").csv(path))
+        _write_raw_csv(_raw_orders(T(spark, sf_dir, "orders")).drop("fecha"), path, "mes")
         return path
     return _once(spark, (sf_dir, "orders"), build)
 
 
+def raw_orders_daily_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The same orders under ``fecha=yyyy-MM-dd`` (a DAY_PRECISION raw dataset)."""
+    def build() -> str:
+        path = scratch_path(spark, "raw-orders-daily")
+        _write_raw_csv(_raw_orders(T(spark, sf_dir, "orders")).drop("mes"), path, "fecha")
+        return path
+    return _once(spark, (sf_dir, "orders-daily"), build)
+
+
 def raw_customer_json_dir(spark: SparkSession, sf_dir: str) -> str:
     """Customers as multi-line JSON: each file holds one JSON array of records."""
     def build() -> str:
@@ -394,7 +409,9 @@ def q_empty_partitions(spark, sf):
     b = o.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("s"),
               F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("e"))
     planned = b.select(F.explode(dates.period_range(F.col("s"), F.col("e"), dates.DAY)).alias("partition_date"))
-    counts = report.partition_counts(read_raw_orders(spark, sf), "fecha", "partition_date")
+    days = [r["partition_date"] for r in planned.collect()]  # the plan: bounded by the calendar
+    raw = files.read_partitions(spark, raw_orders_daily_dir(spark, sf), "fecha", days, "csv")
+    counts = report.partition_counts(raw, "fecha", "partition_date")
     return report.empty_partitions(planned, counts, "partition_date")
 
 
@@ -509,10 +526,10 @@ def _order_params(o: DataFrame) -> Column:
 
 
 def q_params_json(spark, sf):
-    o = T(spark, sf, "orders")
-    p = _order_params(o)
-    s, e, _ = load_plan.select_window(p, "FULL", dates.MONTH)
-    return o.select("o_orderkey", load_plan.params_json(p, s, e).alias("params"))
+    o = T(spark, sf, "orders").select("o_orderkey", _order_params(T(spark, sf, "orders")).alias("params"))
+    s, e, _ = load_plan.select_window(F.col("params"), "FULL", dates.MONTH)
+    w = o.withColumns({"__start": s, "__end": e})
+    return w.select("o_orderkey", load_plan.params_json(F.col("params"), F.col("__start"), F.col("__end")).alias("params"))
 
 
 def q_window_selection(spark, sf):
