@@ -127,4 +127,10 @@ ORACLES: dict[str, str] = {
                     "m AS (SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s) "
                     "SELECT strftime(o_orderdate, '%Y-%m') AS anio_mes, CAST(sum(price) AS DECIMAL(38,2)) AS revenue, "
                     "count(*) AS orders FROM m GROUP BY 1",
+    "xlsx_scan": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, "
+                 "CAST(DATE '2020-01-01' + s_nationkey AS TIMESTAMP) AS fecha_alta, s_acctbal > 0 AS activo FROM supplier",
+    "cell_type_inference": "SELECT column_name, spark_type FROM (VALUES ('Proveedor ID', 'bigint'), ('Nombre', 'string'), "
+                           "('Nación', 'bigint'), ('Saldo', 'double'), ('Fecha Alta', 'timestamp'), ('Activo', 'boolean'), "
+                           "('Comentario', 'string'), ('Bono', 'double'), ('Código', 'double')) AS t(column_name, spark_type) "
+                           "WHERE (SELECT count(*) FROM supplier WHERE s_nationkey < 5) > 0",
 }

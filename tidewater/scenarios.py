@@ -148,6 +148,29 @@ def raw_orders_csv_flat(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, (sf_dir, "orders-flat"), build)
 
 
+SUPPLIER_SHEET_HEADERS = ["Proveedor ID", "Nombre", "Nación", "Saldo", "Fecha Alta", "Activo", "Comentario",
+                          "Bono", "Código"]
+
+
+def raw_supplier_workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """Suppliers as .xlsx workbooks (one per input partition) under ``{dir}/comisionista/``."""
+    def build() -> str:
+        from tidewater.sources.xlsx import write_workbooks
+        path = scratch_path(spark, "raw-supplier-xlsx") + "/comisionista"
+        s = T(spark, sf_dir, "supplier")
+        nk = F.col("s_nationkey")
+        rows = s.select(
+            "s_suppkey", "s_name", "s_nationkey", "s_acctbal",
+            F.date_add(F.lit("2020-01-01").cast("date"), nk).cast("timestamp_ntz").alias("fecha_alta"),
+            (F.col("s_acctbal") > 0).alias("activo"),
+            F.lit(None).cast("string").alias("comentario"),
+            F.when(nk >= 5, F.col("s_acctbal")).alias("bono"),
+            F.when(nk >= 5, nk).alias("codigo"))
+        write_workbooks(rows.repartition(3), path, SUPPLIER_SHEET_HEADERS, sheet="Hoja 1", prefix="proveedores")
+        return path
+    return _once(spark, (sf_dir, "supplier-xlsx"), build)
+
+
 ORDERS_RAW_FIELDS = [
     {"name": "OrderKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_orderkey", "nullable": False},
     {"name": "CustKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_custkey"},
@@ -427,6 +450,24 @@ def q_entity_from_path(spark, sf):
     return p.select("page_id", params.entity_from_path("url").alias("entity"))
 
 
+def q_xlsx_scan(spark, sf):
+    from tidewater.sources.xlsx import read_xlsx
+    raw = read_xlsx(spark, raw_supplier_workbooks(spark, sf), sheet="Hoja 1")
+    fields = [{"name": "Proveedor ID", "type": "long", "converted_name": "s_suppkey"},
+              {"name": "Nombre", "type": "string", "converted_name": "s_name"},
+              {"name": "Nación", "type": "long", "converted_type": "int", "converted_name": "s_nationkey"},
+              {"name": "Saldo", "type": "double", "converted_name": "s_acctbal"},
+              {"name": "Fecha Alta", "type": "timestamp"},
+              {"name": "Activo", "type": "boolean"}]
+    return project.normalize_column_names(project.select_rename(project.cast_by_schema(raw, fields), fields))
+
+
+def q_cell_type_inference(spark, sf):
+    from tidewater.sources.xlsx import infer_types, read_cells
+    cells = read_cells(spark, raw_supplier_workbooks(spark, sf), sheet="Hoja 1")
+    return infer_types(cells).select("column_name", "spark_type")
+
+
 # --- validation --------------------------------------------------------------
 
 def q_all_null_columns(spark, sf):
@@ -651,6 +692,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_partitions": q_empty_partitions,
     "detect_format": q_detect_format,
     "entity_from_path": q_entity_from_path,
+    "xlsx_scan": q_xlsx_scan,
+    "cell_type_inference": q_cell_type_inference,
     "all_null_columns": q_all_null_columns,
     "required_nulls": q_required_nulls,
     "validation_report": q_validation_report,
