@@ -133,4 +133,15 @@ ORACLES: dict[str, str] = {
                            "('Nación', 'bigint'), ('Saldo', 'double'), ('Fecha Alta', 'timestamp'), ('Activo', 'boolean'), "
                            "('Comentario', 'string'), ('Bono', 'double'), ('Código', 'double')) AS t(column_name, spark_type) "
                            "WHERE (SELECT count(*) FROM supplier WHERE s_nationkey < 5) > 0",
+    "empty_partitions_message": "SELECT 'WARNING' AS status, 'Warning: The following partitions had no data and were "
+                                "skipped: ' || string_agg(strftime(d, '%Y-%m-%d'), ', ' ORDER BY d) AS message FROM ("
+                                "SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), "
+                                "INTERVAL 1 DAY)) AS d FROM orders) WHERE CAST(d AS DATE) NOT IN "
+                                "(SELECT CAST(o_orderdate AS DATE) FROM orders) HAVING count(*) > 0",
+    "schema_fields": "SELECT table_name AS dataset, CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name "
+                     "FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', "
+                     "'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', "
+                     "'conversations')",
+    "staging_job": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
+    "stream_incremental": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
 }

@@ -557,6 +557,83 @@ def q_run_audit(spark, sf):
     return out.select(F.col("mes").alias("partition_month"), "n", "status", "error")
 
 
+def q_empty_partitions_message(spark, sf):
+    return report.empty_partitions_message(q_empty_partitions(spark, sf), "partition_date")
+
+
+# --- schema documents and whole-job runs ------------------------------------------
+
+def _write_text(path: str, text: str) -> None:
+    """Write one small metadata document through pyarrow's filesystem layer."""
+    from pyarrow import fs as pafs
+    uri = path.replace("file:///", "/").replace("file:/", "/") if path.startswith("file:") else path
+    filesystem, p = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+    filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(p) as f:
+        f.write(text.encode("utf-8"))
+
+
+def schema_docs_dir(spark: SparkSession, sf_dir: str) -> str:
+    """One ``{table}/schema.json`` per driver table, declared from the table's Spark schema."""
+    import json
+
+    def build() -> str:
+        root = scratch_path(spark, "schemas")
+        for t in TABLES:
+            fields = [{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable}
+                      for f in T(spark, sf_dir, t).schema.fields]
+            _write_text(f"{root}/{t}/schema.json", json.dumps({"fields": fields}))
+        return root
+    return _once(spark, (sf_dir, "schema-docs"), build)
+
+
+def q_schema_fields(spark, sf):
+    from tidewater.sources.schema_docs import read_field_table
+    ft = read_field_table(spark, f"{schema_docs_dir(spark, sf)}/*/schema.json")
+    return ft.select(F.regexp_extract("schema_path", r"/([^/]+)/schema\.json$", 1).alias("dataset"),
+                     "position", "name")
+
+
+JOB_FIELDS = [
+    {"name": "OrderKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_orderkey", "nullable": False},
+    {"name": "CustKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_custkey"},
+    {"name": "Estado", "type": "string", "converted_name": "o_orderstatus"},
+    {"name": "TotalPrice", "type": "double", "converted_type": "double", "converted_name": "o_totalprice"},
+    {"name": "FechaOrden", "type": "timestamp", "converted_type": "timestamp", "converted_name": "o_orderdate"},
+    {"name": "Prioridad", "type": "string", "converted_name": "o_orderpriority"},
+]
+
+
+def q_staging_job(spark, sf):
+    """FULL monthly load of the whole raw orders zone into a merged staging table."""
+    import json
+
+    from tidewater.job import StagingArgs, StagingJob
+    raw = raw_orders_dir(spark, sf)
+    raw_root, key = raw.rsplit("/", 1)
+    zone = scratch_path(spark, "job")
+    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": JOB_FIELDS}))
+    start, end = _month_bounds(spark, sf)
+    args = StagingArgs(job_name="staging_orders", project_name="tidewater", path_name_raw=key,
+                       path_name_staging="ordenes", catalog_database="staging", catalog_table="ordenes",
+                       merge_keys="o_orderkey", partition_key_staging="add_mes_carga", partition_key_raw="mes",
+                       process_type="FULL", date_type=dates.MONTH, start_date=start, end_date=end,
+                       raw_root=raw_root, schema_root=f"{zone}/schema", staging_root=f"{zone}/staging")
+    StagingJob(spark, args).run()
+    return spark.read.parquet(f"{zone}/staging/ordenes")
+
+
+def q_stream_incremental(spark, sf):
+    """The raw orders zone staged by an availableNow file stream, merged on the key."""
+    from tidewater.sinks.table import StagingTable
+    from tidewater.streaming.incremental import run_incremental
+    zone = scratch_path(spark, "stream")
+    table = StagingTable(spark, f"{zone}/table", ["mes_carga"])
+    run_incremental(spark, raw_orders_dir(spark, sf), JOB_FIELDS, table, "o_orderkey", "mes", "add_mes_carga",
+                    checkpoint=f"{zone}/checkpoint")
+    return table.read()
+
+
 # --- plans -----------------------------------------------------------------------
 
 def _order_params(o: DataFrame) -> Column:
@@ -710,6 +787,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_plan": q_load_plan,
     "parse_list": q_parse_list,
     "staging_load": q_staging_load,
+    "empty_partitions_message": q_empty_partitions_message,
+    "schema_fields": q_schema_fields,
+    "staging_job": q_staging_job,
+    "stream_incremental": q_stream_incremental,
 }
 
 

@@ -128,7 +128,9 @@ class StagingTable:
         if not self.exists():
             self.create(df)
             if not self.iceberg:
-                self._write_dynamic(df)
+                # a new table has nothing to lose: write the first batch in place
+                df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                  .partitionBy(*self.partition_cols).parquet(self.path)
                 return
         df = self.synchronize_schema(df)
         if self.iceberg:
