@@ -51,3 +51,25 @@ def test_upsert_plan_has_no_cartesian(spark):
     s = spark.range(500, 1500).withColumn("v", F.lit(2))
     plan = merge.merge_upsert(t, s, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_sink_merge_moves_keys_and_touches_only_needed_partitions(spark):
+    import os
+
+    from tidewater.session import local_path, scratch_path
+    from tidewater.sinks.table import StagingTable
+    path = scratch_path(spark, "sink")
+    t = StagingTable(spark, path, ["p"])
+    assert not t.exists()
+    t.merge(spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "w")],
+                                  "id int, v string, p string"), ["id"])
+    w_files = sorted(os.listdir(os.path.join(local_path(path), "p=w")))
+    t.merge(spark.createDataFrame([(2, "B", "y"), (5, "e", "z")], "id int, v string, p string"), ["id"])
+    got = sorted(tuple(r) for r in t.read().select("id", "v", "p").collect())
+    assert got == [(1, "a", "x"), (2, "B", "y"), (3, "c", "y"), (4, "d", "w"), (5, "e", "z")]
+    # partition w was not touched: same files as before
+    assert sorted(os.listdir(os.path.join(local_path(path), "p=w"))) == w_files
+    t.merge(spark.createDataFrame([(3, "C", "y")], "id int, v string, p string"), ["id"], keys_may_move=False)
+    assert sorted(tuple(r) for r in t.read().where("p = 'y'").select("id", "v").collect()) == [(2, "B"), (3, "C")]
+    with pytest.raises(ValueError, match="more than one row"):
+        t.merge(spark.createDataFrame([(7, "a", "x"), (7, "b", "x")], "id int, v string, p string"), ["id"])

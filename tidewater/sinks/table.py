@@ -51,14 +51,37 @@ class StagingTable:
 
     # -- reading -----------------------------------------------------------
     def exists(self) -> bool:
+        """One metadata call: is there a committed table directory with data files?"""
         if self.iceberg:
             return self.spark.catalog.tableExists(self.name)
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
         try:
             self.spark.read.parquet(self.path).schema  # noqa: B018
             return True
         except AnalysisException:
             return False
 
+    def read_partitions(self, values: list[tuple]) -> DataFrame:
+        """Only the given partition directories (a glob over one partition level)."""
+        if len(self.partition_cols) != 1 or not values:
+            return self.read()
+        key = self.partition_cols[0]
+        vals = sorted({str(v[0]) for v in values if v[0] is not None})
+        glob = f"{self.path}/{key}={{{','.join(vals)}}}" if len(vals) > 1 else f"{self.path}/{key}={vals[0]}"
+        conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        old = self.spark.conf.get(conf, "true")
+        self.spark.conf.set(conf, "false")
+        try:
+            return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(glob)
+        except AnalysisException:
+            return self.read().where(F.lit(False))
+        finally:
+            self.spark.conf.set(conf, old)
+
     def read(self) -> DataFrame:
         """The stored rows; partition columns come back as text (as written in the paths)."""
         if self.iceberg:
@@ -119,8 +142,13 @@ class StagingTable:
         self._write_dynamic(df)
 
     # -- K4/K5: merge ----------------------------------------------------------
-    def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True) -> None:
-        """Upsert ``df`` on ``keys`` (WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *)."""
+    def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
+              keys_may_move: bool = True) -> None:
+        """Upsert ``df`` on ``keys`` (WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
+
+        ``keys_may_move=False`` declares that a key never changes partition, so only
+        the source's partitions are listed and read (no scan of the table's keys).
+        """
         if check_duplicates:
             dup = M.duplicate_keys(df, keys).limit(1).collect()
             if dup:
@@ -140,15 +168,20 @@ class StagingTable:
             self.spark.sql(f"MERGE INTO {self.name} t USING {view} s ON {cond} "
                            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
             return
-        target = self.read()
         p = self.partition_cols
-        src_parts = df.select(*[F.col(_q(c)) for c in p])
-        moved = target.select(*[F.col(_q(c)) for c in keys + p]).join(
-            df.select(*[F.col(_q(k)) for k in keys]), on=keys, how="left_semi").select(*[F.col(_q(c)) for c in p])
-        touched_df = src_parts.unionByName(moved).distinct()
+        src_parts = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
+        if keys_may_move:
+            target = self.read()
+            moved = target.select(*[F.col(_q(c)) for c in keys + p]).join(
+                df.select(*[F.col(_q(k)) for k in keys]), on=keys, how="left_semi").select(*[F.col(_q(c)) for c in p])
+            touched_df = src_parts.unionByName(moved).distinct()
+        else:
+            touched_df = src_parts.distinct()
         # The touched list is bounded by the number of partitions; below the limit it
         # becomes a literal filter that prunes the scan to those directories.
         touched = [tuple(r) for r in touched_df.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+        if not keys_may_move:
+            target = self.read_partitions(touched) if len(touched) <= MAX_LITERAL_PARTITIONS else self.read()
         if len(touched) <= MAX_LITERAL_PARTITIONS:
             if len(p) == 1:
                 vals = [t[0] for t in touched if t[0] is not None]
