@@ -80,3 +80,38 @@ def test_audit_records_failure(spark, zone):
         run_with_audit(spark, _args(zone, merge_keys=""), audit)
     rows = spark.read.parquet(audit).collect()
     assert rows[0]["status"] == "FAILED" and "merge keys" in rows[0]["error_message"]
+
+
+def test_single_workbook_with_entity_and_relaxed_types(spark):
+    import datetime as dt
+
+    from tidewater.session import local_path
+    from tidewater.sources.xlsx import workbook_bytes
+    root = scratch_path(spark, "zone-xlsx")
+    raw_dir = local_path(f"{root}/raw/417")
+    os.makedirs(raw_dir, exist_ok=True)
+    rows = [("Ana", 1.5, "5/1/2025 3:04:05 p. m."), ("Luis", 2.0, "6/1/2025 9:00:00 a. m.")]
+    with open(os.path.join(raw_dir, "bancos_2025-01.xlsx"), "wb") as f:
+        f.write(workbook_bytes({"Reporte Mensual": (["Nombre", "Valor", "Fecha"], rows)}))
+    schema_dir = local_path(f"{root}/schema/417/reporte_mensual")
+    os.makedirs(schema_dir, exist_ok=True)
+    fields = [{"name": "Nombre", "type": "string", "nullable": False},
+              {"name": "Valor", "type": "int", "converted_type": "double"},
+              {"name": "Fecha", "type": "date", "converted_type": "date"},
+              {"name": "Entidad", "type": "string"}]
+    with open(os.path.join(schema_dir, "schema.json"), "w") as f:
+        json.dump({"fields": fields}, f)
+    args = StagingArgs(job_name="x", project_name="p", path_name_raw="417", path_name_staging="rep",
+                       catalog_database="db", catalog_table="rep", merge_keys="none",
+                       partition_key_staging="add_fecha_carga", partition_key_raw="fecha", process_type="FULL",
+                       date_type="DAY_PRECISION", start_date="2025-01-31", end_date="2025-01-31",
+                       excel_sheet=" Reporte  Mensual ", file_name_excel="bancos_2025-01.xlsx",
+                       raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
+    args.excel_sheet = "Reporte Mensual"
+    r = StagingJob(spark, args).run()
+    assert r.status == "SUCCEEDED" and r.rows_written == 2
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, f"{root}/staging/rep", ["fecha_carga"]).read()
+    got = sorted(tuple(x) for x in t.select("nombre", "valor", "fecha", "entidad", "fecha_carga").collect())
+    assert got == [("Ana", 1.5, dt.date(2025, 1, 5), "bancos", "2025-01-31"),
+                   ("Luis", 2.0, dt.date(2025, 1, 6), "bancos", "2025-01-31")]

@@ -32,7 +32,8 @@ from tidewater.sinks.table import StagingTable
 from tidewater.sources import files
 from tidewater.sources.schema_docs import load_schema, schema_doc_path
 
-PARTITION_VALUE = "__partition_value"
+PARTITION_VALUE = "__partition_value"  # the planned value a row was read for
+ADD_VALUE = "__add_value"              # the value an ``add_`` partition column takes
 
 
 @dataclass
@@ -115,10 +116,16 @@ class StagingJob:
             fmt = "excel" if path.lower().endswith(".xlsx") else ("json" if path.lower().endswith(".json") else "csv")
             if fmt == "excel":
                 from tidewater.sources.xlsx import read_xlsx
-                df = read_xlsx(self.spark, path, sheet=self.excel_sheet)
+                df = read_xlsx(self.spark, path, sheet=self.excel_sheet, keep_path=True)
+                if schema.expects_entity() and "entidad" not in {c.lower() for c in df.columns}:
+                    df = df.withColumn("Entidad", entity_from_path(F.col("_source_path")))
+                df = df.drop("_source_path")
             else:
                 df = files.read_raw(self.spark, path, fmt)
-            df = df.withColumn(PARTITION_VALUE, F.lit(parts[0]))
+            # a single file carries no partition value: added columns take the window start
+            df = df.withColumns({PARTITION_VALUE: F.lit(parts[0]),
+                                 ADD_VALUE: F.lit(self.args.start_date or self.args.today or D.today_local())})
+            return df
         else:
             fmt = self._detect(parts, raw_key)
             if fmt is None:
@@ -126,9 +133,9 @@ class StagingJob:
             df = files.read_partitions(self.spark, self.table_raw_path, raw_key, parts, fmt)
             if df is None:
                 return None
-            df = df.withColumnRenamed(raw_key, PARTITION_VALUE)
-        if fmt == "excel" and schema.expects_entity() and "entidad" not in {c.lower() for c in df.columns}:
-            df = df.withColumn("Entidad", entity_from_path(F.col("_metadata.file_path")))
+            if fmt == "excel":
+                df = df.drop("_source_path")
+            df = df.withColumnRenamed(raw_key, PARTITION_VALUE).withColumn(ADD_VALUE, F.col(PARTITION_VALUE))
         return df
 
     def _resolve_file(self, name: str) -> str:
@@ -182,7 +189,7 @@ class StagingJob:
 
         df = raw
         for c in to_add:
-            df = project.add_partition_column(df, c, F.col(PARTITION_VALUE))
+            df = project.add_partition_column(df, c, F.col(ADD_VALUE))
         df = project.cast_by_schema(df, list(schema.fields))
         df = project.select_rename(df, list(schema.fields), keep=to_add)
         df = project.normalize_column_names(df)
