@@ -48,21 +48,25 @@ def empty_partitions_message(empty: DataFrame, col: str) -> DataFrame:
         F.concat(F.lit(EMPTY_MESSAGE_PREFIX), F.array_join("parts", ", ")).alias("message"))
 
 
-def partition_outcomes(report: DataFrame, counts: DataFrame, partition_col: str) -> DataFrame:
-    """Per-partition status from a grouped validation report and row counts.
+def partition_outcomes(profile: DataFrame, partition_col: str) -> DataFrame:
+    """Per-partition status from a grouped validation profile (``validate.profile``).
 
-    SKIPPED when empty, FAILED when any check failed, else SUCCEEDED. The first
-    failure (by check order) is the error text.
+    One small aggregate over the profile rows, so the data is scanned once:
+    SKIPPED when empty, FAILED when any check failed, else SUCCEEDED; the first
+    failure in check order (missing columns, types, required fields) is the
+    error text.
     """
-    order = F.when(F.col("check_name") == "missing_column", 1).when(F.col("check_name") == "unparseable", 2).otherwise(3)
-    failures = (report.groupBy(partition_col)
-                      .agg(F.min_by(F.concat_ws(": ", "check_name", "column_name"),
-                                    F.struct(order, F.col("column_name"))).alias("error")))
-    j = counts.join(failures, on=partition_col, how="left")
+    failing = F.col("check_name").isin("missing_column", "unparseable", "required_null") & (F.col("value") > 0)
+    order = (F.when(F.col("check_name") == "missing_column", 1)
+              .when(F.col("check_name") == "unparseable", 2).otherwise(3))
+    agg = profile.groupBy(partition_col).agg(
+        F.max("total_rows").alias("n"),
+        F.min_by(F.when(failing, F.concat_ws(": ", "check_name", "column_name")),
+                 F.when(failing, F.struct(order, F.col("column_name")))).alias("error"))
     status = (F.when(F.col("n") == 0, F.lit("SKIPPED"))
                .when(F.col("error").isNotNull(), F.lit(STATUS_FAILED))
                .otherwise(F.lit(STATUS_SUCCEEDED)))
-    return j.select(partition_col, "n", status.alias("status"), "error")
+    return agg.select(partition_col, "n", status.alias("status"), "error")
 
 
 def audit_record(spark: SparkSession, job_name: str, status: str, error: str | None,

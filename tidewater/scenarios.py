@@ -551,9 +551,8 @@ def q_schema_sync(spark, sf):
 
 def q_run_audit(spark, sf):
     raw = read_raw_orders(spark, sf)
-    rep = validate.validation_report(raw, ORDERS_RAW_FIELDS, by=["mes"])
-    counts = report.partition_counts(raw, "mes")
-    out = report.partition_outcomes(rep, counts, "mes")
+    prof = validate.profile(raw, ORDERS_RAW_FIELDS, by=["mes"])
+    out = report.partition_outcomes(prof, "mes")
     return out.select(F.col("mes").alias("partition_month"), "n", "status", "error")
 
 
@@ -706,22 +705,36 @@ def q_parse_list(spark, sf):
 
 # --- the end-to-end load ---------------------------------------------------------
 
+def raw_orders_es_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as a raw ';' CSV export with messy headers and Spanish 12-hour dates."""
+    def build() -> str:
+        path = scratch_path(spark, "raw-orders-es")
+        o = T(spark, sf_dir, "orders")
+        raw = o.select(
+            F.col("o_orderkey").cast("string").alias("OrderKey"),
+            F.col("o_custkey").cast("string").alias("CustKey"),
+            F.col("o_totalprice").cast("string").alias("Precio Total"),
+            spanish_ts(F.col("o_orderdate"), F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("FechaOrden"),
+            F.date_format("o_orderdate", "yyyy-MM").alias("Año Mes"))
+        raw.write.mode("overwrite").options(header="true", sep=";", nullValue="\\N").csv(path)
+        return path
+    return _once(spark, (sf_dir, "orders-es"), build)
+
+
+STAGED_ORDER_FIELDS = [
+    {"name": "OrderKey", "type": "string", "converted_type": "bigint"},
+    {"name": "CustKey", "type": "string", "converted_type": "bigint"},
+    {"name": "Precio Total", "type": "string", "converted_type": "decimal(18,2)"},
+    {"name": "FechaOrden", "type": "string", "converted_type": "timestamp"},
+    {"name": "Año Mes", "type": "string", "converted_type": "string"},
+]
+
+
 def staged_orders(spark, sf) -> DataFrame:
-    """Raw orders (messy names, text values) -> cast -> select/rename -> normalise."""
-    o = T(spark, sf, "orders")
-    raw = o.select(
-        F.col("o_orderkey").cast("string").alias("OrderKey"),
-        F.col("o_custkey").cast("string").alias("CustKey"),
-        F.col("o_totalprice").cast("string").alias("Precio Total"),
-        spanish_ts(F.col("o_orderdate"), F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("FechaOrden"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("Año Mes"))
-    fields = [{"name": "OrderKey", "type": "string", "converted_type": "bigint"},
-              {"name": "CustKey", "type": "string", "converted_type": "bigint"},
-              {"name": "Precio Total", "type": "string", "converted_type": "decimal(18,2)"},
-              {"name": "FechaOrden", "type": "string", "converted_type": "timestamp"},
-              {"name": "Año Mes", "type": "string", "converted_type": "string"}]
-    staged = project.normalize_column_names(project.select_rename(project.cast_by_schema(raw, fields), fields))
-    return staged
+    """Raw orders CSV (messy names, text values) -> cast -> select/rename -> normalise."""
+    raw = files.read_csv(spark, raw_orders_es_dir(spark, sf))
+    fields = STAGED_ORDER_FIELDS
+    return project.normalize_column_names(project.select_rename(project.cast_by_schema(raw, fields), fields))
 
 
 def q_staging_load(spark, sf):
