@@ -48,6 +48,7 @@ class StagingTable:
         self.partition_cols = list(partition_cols)
         self.name = name
         self.iceberg = bool(name) and iceberg_catalog(spark, name)
+        self._stages: list[str] = []
 
     # -- reading -----------------------------------------------------------
     def exists(self) -> bool:
@@ -140,34 +141,41 @@ class StagingTable:
             df.writeTo(self.name).overwritePartitions()
             return
         self._write_dynamic(df)
+        self._cleanup()
 
     # -- K4/K5: merge ----------------------------------------------------------
     def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
               keys_may_move: bool = True) -> None:
         """Upsert ``df`` on ``keys`` (WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
 
+        The batch is materialised once under the table's staging folder, so the
+        raw source is parsed a single time; the duplicate-key check, the
+        touched-partition search and the rewrite all read that columnar copy.
         ``keys_may_move=False`` declares that a key never changes partition, so only
         the source's partitions are listed and read (no scan of the table's keys).
         """
-        if check_duplicates:
-            dup = M.duplicate_keys(df, keys).limit(1).collect()
-            if dup:
-                raise ValueError(f"MERGE source has more than one row for key {dup[0].asDict()}")
-        if not self.exists():
-            self.create(df)
-            if not self.iceberg:
-                # a new table has nothing to lose: write the first batch in place
-                df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                  .partitionBy(*self.partition_cols).parquet(self.path)
-                return
-        df = self.synchronize_schema(df)
         if self.iceberg:
+            if check_duplicates:
+                self._check_duplicates(df, keys)
+            if not self.exists():
+                self.create(df)
+            df = self.synchronize_schema(df)
             view = f"tidewater_src_{uuid.uuid4().hex[:8]}"
             df.createOrReplaceTempView(view)
             cond = " AND ".join(f"t.{_q(k)} = s.{_q(k)}" for k in keys)
             self.spark.sql(f"MERGE INTO {self.name} t USING {view} s ON {cond} "
                            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
             return
+        df = self._materialise(df)
+        if check_duplicates:
+            self._check_duplicates(df, keys)
+        if not self.exists():
+            # a new table has nothing to lose: write the first batch in place
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+              .partitionBy(*self.partition_cols).parquet(self.path)
+            self._cleanup()
+            return
+        df = self.synchronize_schema(df)
         p = self.partition_cols
         src_parts = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
         if keys_may_move:
@@ -200,10 +208,34 @@ class StagingTable:
             in_touched = target.join(touched_df, on=p, how="left_semi")
         new_content = M.merge_upsert(in_touched, df, keys)
         self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]))
+        self._cleanup()
 
     # -- internals ----------------------------------------------------------------
     def _staging_dir(self) -> str:
-        return f"{self.path}/_staging/{uuid.uuid4().hex}"
+        d = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        self._stages.append(d)
+        return d
+
+    def _cleanup(self) -> None:
+        """Drop the staging copies once the table write has committed."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for d in self._stages:
+            p = jvm.org.apache.hadoop.fs.Path(d)
+            p.getFileSystem(conf).delete(p, True)
+        self._stages = []
+
+    def _materialise(self, df: DataFrame) -> DataFrame:
+        """Write the batch once (Parquet, shared storage) and continue from that copy."""
+        stage = f"{self._staging_dir()}/source"
+        df.write.mode("overwrite").parquet(stage)
+        return self.spark.read.parquet(stage)
+
+    @staticmethod
+    def _check_duplicates(df: DataFrame, keys: list[str]) -> None:
+        dup = M.duplicate_keys(df, keys).limit(1).collect()
+        if dup:
+            raise ValueError(f"MERGE source has more than one row for key {dup[0].asDict()}")
 
     def _write_dynamic(self, df: DataFrame) -> None:
         """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""
