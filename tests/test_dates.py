@@ -99,3 +99,24 @@ def test_partition_plan_rules(spark):
     assert rows["inverted"]["partitions"] is None and "greater" in rows["inverted"]["plan_error"]
     assert rows["badtype"]["plan_error"] == "Invalid process_type: DELTA"
     assert rows["full"]["plan_error"] is None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+def _py_months(a: dt.date, b: dt.date):
+    out, y, m = [], a.year, a.month
+    while (y, m) <= (b.year, b.month):
+        out.append(f"{y:04d}-{m:02d}")
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
+@given(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31)), st.integers(0, 400))
+@settings(max_examples=20, deadline=None)
+def test_period_range_property(spark, start, span):
+    end = start + dt.timedelta(days=span)
+    days = _range(spark, start.isoformat(), end.isoformat(), dates.DAY)
+    assert days == [(start + dt.timedelta(days=i)).isoformat() for i in range(span + 1)]
+    months = _range(spark, start.isoformat()[:7], end.isoformat()[:7], dates.MONTH)
+    assert months == _py_months(start, end)

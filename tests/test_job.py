@@ -115,3 +115,9 @@ def test_single_workbook_with_entity_and_relaxed_types(spark):
     got = sorted(tuple(x) for x in t.select("nombre", "valor", "fecha", "entidad", "fecha_carga").collect())
     assert got == [("Ana", 1.5, dt.date(2025, 1, 5), "bancos", "2025-01-31"),
                    ("Luis", 2.0, dt.date(2025, 1, 6), "bancos", "2025-01-31")]
+
+
+def test_strict_types_reject_inferred_mismatch(spark, zone):
+    # CSV inference reads OrderKey as int while the schema declares string: the strict check fails
+    with pytest.raises(TypeError, match="OrderKey"):
+        StagingJob(spark, _args(zone, strict_types=True, start_date="1996-01-02", end_date="1996-01-05")).run()

@@ -64,6 +64,10 @@ class StagingArgs:
     schema_root: str | None = None
     staging_root: str | None = None
     today: str | None = None  # Bogota date; computed when not given
+    # True: CSV/JSON types are inferred and must equal the declared raw types
+    # (the original strict check; costs an inference pass). False: text is read
+    # as text and each value is checked against its declared type.
+    strict_types: bool = False
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -130,7 +134,8 @@ class StagingJob:
             fmt = self._detect(parts, raw_key)
             if fmt is None:
                 return None
-            df = files.read_partitions(self.spark, self.table_raw_path, raw_key, parts, fmt)
+            kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
+            df = files.read_partitions(self.spark, self.table_raw_path, raw_key, parts, fmt, **kw)
             if df is None:
                 return None
             if fmt == "excel":
@@ -174,7 +179,7 @@ class StagingJob:
 
         # one pass: per-partition row counts and every validation counter
         prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
-                                relaxed=bool(self.file_name_excel)).collect()
+                                strict=a.strict_types, relaxed=bool(self.file_name_excel)).collect()
         rows_by_part = {r[PARTITION_VALUE]: r["total_rows"] for r in prof}
         empty = [p for p in parts if not rows_by_part.get(p)]
         for p in parts:
