@@ -97,6 +97,7 @@ class StagingJob:
         self.catalog_table = f"{args.catalog_database}.{args.catalog_table}"
         self.excel_sheet = args.excel_sheet.strip() or None
         self.file_name_excel = args.file_name_excel.strip() or None
+        self.materialise_raw = True
 
     # -- step 1 --------------------------------------------------------------
     def plan(self) -> tuple[list[str], str]:
@@ -177,7 +178,23 @@ class StagingJob:
         if raw is None:
             return self._finish(parts, parts, 0)
 
-        # one pass: per-partition row counts and every validation counter
+        table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
+        try:
+            return self._load(parts, schema, raw, table, to_add, merge_keys)
+        finally:
+            table._cleanup()
+
+    def _load(self, parts, schema, raw, table, to_add, merge_keys) -> StagingResult:
+        a = self.args
+        if self.materialise_raw:
+            # The only pass over the raw files (CSV/JSON/workbook parsing): a columnar
+            # copy in the table's staging folder, which also cuts the lineage. The
+            # profile, the casts and the write all read this copy.
+            copy = f"{table._staging_dir()}/raw"
+            raw.write.mode("overwrite").parquet(copy)
+            raw = self.spark.read.parquet(copy)
+
+        # one aggregate: per-partition row counts and every validation counter
         prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
                                 strict=a.strict_types, relaxed=bool(self.file_name_excel)).collect()
         rows_by_part = {r[PARTITION_VALUE]: r["total_rows"] for r in prof}
@@ -199,12 +216,11 @@ class StagingJob:
         df = project.select_rename(df, list(schema.fields), keep=to_add)
         df = project.normalize_column_names(df)
 
-        table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
         table.create(df)
         if merge_keys is None:
             table.overwrite_partitions(df)
         else:
-            table.merge(df, merge_keys)
+            table.merge(df, merge_keys, materialise=not self.materialise_raw)
         written = sum(v for p, v in rows_by_part.items() if v)
         return self._finish(parts, empty, written)
 

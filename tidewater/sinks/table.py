@@ -145,7 +145,7 @@ class StagingTable:
 
     # -- K4/K5: merge ----------------------------------------------------------
     def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
-              keys_may_move: bool = True) -> None:
+              keys_may_move: bool = True, materialise: bool = True) -> None:
         """Upsert ``df`` on ``keys`` (WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
 
         The batch is materialised once under the table's staging folder, so the
@@ -153,6 +153,7 @@ class StagingTable:
         touched-partition search and the rewrite all read that columnar copy.
         ``keys_may_move=False`` declares that a key never changes partition, so only
         the source's partitions are listed and read (no scan of the table's keys).
+        ``materialise=False`` when ``df`` already reads a materialised copy.
         """
         if self.iceberg:
             if check_duplicates:
@@ -166,7 +167,8 @@ class StagingTable:
             self.spark.sql(f"MERGE INTO {self.name} t USING {view} s ON {cond} "
                            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
             return
-        df = self._materialise(df)
+        if materialise:
+            df = self._materialise(df)
         if check_duplicates:
             self._check_duplicates(df, keys)
         if not self.exists():
