@@ -80,7 +80,9 @@ def _raw_orders(o: DataFrame) -> DataFrame:
 
 
 def _write_raw_csv(df: DataFrame, path: str, key: str) -> None:
-    (df.repartition(key).write.mode("overwrite")
+    # no shuffle by the partition column (a hot day or month would land in one
+    # task): each task writes its own rows, sorted so it keeps one file open
+    (df.sortWithinPartitions(key).write.mode("overwrite")
        .options(header="true", sep=";", nullValue="\\N")
        .partitionBy(key).csv(path))
 
@@ -129,7 +131,7 @@ def raw_customer_jsonl_by_nation(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         path = scratch_path(spark, "raw-customer-nation")
         c = T(spark, sf_dir, "customer")
-        c.repartition("c_nationkey").write.mode("overwrite").partitionBy("c_nationkey").json(path)
+        c.sortWithinPartitions("c_nationkey").write.mode("overwrite").partitionBy("c_nationkey").json(path)
         return path
     return _once(spark, (sf_dir, "customer-jsonl"), build)
 
@@ -166,6 +168,7 @@ def raw_supplier_workbooks(spark: SparkSession, sf_dir: str) -> str:
             F.lit(None).cast("string").alias("comentario"),
             F.when(nk >= 5, F.col("s_acctbal")).alias("bono"),
             F.when(nk >= 5, nk).alias("codigo"))
+        # several workbooks: round-robin the rows over three tasks, one workbook each
         write_workbooks(rows.repartition(3), path, SUPPLIER_SHEET_HEADERS, sheet="Hoja 1", prefix="proveedores")
         return path
     return _once(spark, (sf_dir, "supplier-xlsx"), build)
