@@ -247,3 +247,51 @@ def run_with_audit(spark: SparkSession, args: StagingArgs, audit_path: str | Non
         report.audit_record(spark, args.job_name, status, err, params, project_name=args.project_name) \
               .write.mode("append").parquet(audit_path)
     return result
+
+
+# --- command line -------------------------------------------------------------------
+
+OPTIONAL_ARGS = ("excel_sheet", "partition_key_raw_path", "file_name_excel")
+
+
+def _optional(value: str | None) -> str:
+    """Optional argument: blank, '-' or a value that is really the next flag -> ''."""
+    v = (value or "").strip()
+    return "" if (not v or v == "-" or v.startswith("--")) else v
+
+
+def parse_args(argv: list[str]) -> tuple[StagingArgs, str | None]:
+    import argparse
+    p = argparse.ArgumentParser(prog="tidewater.job", description="Stage raw partitions into a staging table.")
+    required = ["job_name", "project_name", "path_name_raw", "path_name_staging", "catalog_database",
+                "catalog_table", "merge_keys", "partition_key_staging", "partition_key_raw", "process_type",
+                "date_type"]
+    for r in required:
+        p.add_argument(f"--{r}", required=True)
+    for o in ("start_date", "end_date", "bucket_name_raw", "bucket_name_schema", "bucket_name_staging",
+              "notification_emails", "raw_root", "schema_root", "staging_root", "today", "audit_path",
+              *OPTIONAL_ARGS):
+        p.add_argument(f"--{o}", default="", nargs="?", const="")
+    p.add_argument("--strict_types", action="store_true")
+    ns, _unknown = p.parse_known_args(argv)
+    kw = {k: v for k, v in vars(ns).items() if k != "audit_path"}
+    for o in OPTIONAL_ARGS:
+        kw[o] = _optional(kw[o])
+    for o in ("raw_root", "schema_root", "staging_root", "today"):
+        kw[o] = kw[o] or None
+    return StagingArgs(**kw), (ns.audit_path or None)
+
+
+def main(argv: list[str] | None = None) -> int:
+    import sys
+
+    from tidewater.session import build_session
+    args, audit = parse_args(sys.argv[1:] if argv is None else argv)
+    spark = build_session(app_name=args.job_name)
+    result = run_with_audit(spark, args, audit)
+    print(result)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
