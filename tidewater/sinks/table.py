@@ -52,7 +52,8 @@ class StagingTable:
 
     # -- reading -----------------------------------------------------------
     def exists(self) -> bool:
-        """One metadata call: is there a committed table directory with data files?"""
+        """Metadata only: the table directory holds at least one visible entry
+        (a partition directory or data file). Lists one directory level."""
         if self.iceberg:
             return self.spark.catalog.tableExists(self.name)
         jvm = self.spark.sparkContext._jvm
@@ -60,11 +61,7 @@ class StagingTable:
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(p):
             return False
-        try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018
-            return True
-        except AnalysisException:
-            return False
+        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
     def read_partitions(self, values: list[tuple]) -> DataFrame:
         """Only the given partition directories (a glob over one partition level)."""
@@ -98,7 +95,7 @@ class StagingTable:
     # -- K1: create --------------------------------------------------------
     def create(self, df: DataFrame) -> None:
         """Create the table from the first non-empty batch's schema (no rows written)."""
-        if self.exists():
+        if not self.iceberg or self.exists():
             return
         if self.iceberg:
             df.limit(0).writeTo(self.name).partitionedBy(*[F.col(c) for c in self.partition_cols]) \
@@ -107,11 +104,11 @@ class StagingTable:
         # Parquet: the directory appears with the first write; nothing to do.
 
     # -- K2: schema sync ------------------------------------------------------
-    def synchronize_schema(self, df: DataFrame) -> DataFrame:
+    def synchronize_schema(self, df: DataFrame, exists: bool | None = None) -> DataFrame:
         """Evolve the table to accept ``df``: add new columns (nullable), widen
         int->bigint / float->double, never drop. Returns ``df`` projected onto
         the evolved schema."""
-        if not self.exists():
+        if not (self.exists() if exists is None else exists):
             return df
         from pyspark.sql.types import StructType
         part = {c.lower() for c in self.partition_cols}
@@ -177,7 +174,7 @@ class StagingTable:
               .partitionBy(*self.partition_cols).parquet(self.path)
             self._cleanup()
             return
-        df = self.synchronize_schema(df)
+        df = self.synchronize_schema(df, exists=True)
         p = self.partition_cols
         src_parts = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
         if keys_may_move:
