@@ -46,3 +46,26 @@ def test_no_header_and_duplicate_headers(spark):
     d = _write(spark, {"S": (["x", "x", None], [(1, 2, 3)])})
     assert xlsx.read_xlsx(spark, d).columns == ["x", "x.1", "Unnamed: 2"]
     assert xlsx.read_xlsx(spark, d, header=False).count() == 2
+
+
+def test_csv_null_marker_and_empty_guard(spark):
+    from tidewater.sources import files
+    d = scratch_path(spark, "csv-test")
+    p = local_path(d)
+    os.makedirs(p, exist_ok=True)
+    with open(os.path.join(p, "a.csv"), "w") as f:
+        f.write("id;name\n1;\\N\n2;x\n")
+    with open(os.path.join(p, "notes.txt"), "w") as f:
+        f.write("ignored")
+    rows = sorted(tuple(r) for r in files.read_csv(spark, d).collect())
+    assert rows == [("1", None), ("2", "x")]
+    rows_v1 = sorted(tuple(r) for r in files.read_csv(spark, d, null_value=None).collect())
+    assert rows_v1 == [("1", "\\N"), ("2", "x")]
+    inferred = files.read_csv(spark, d, infer=True)
+    assert dict(inferred.dtypes)["id"] == "int"
+    e = scratch_path(spark, "csv-empty")
+    os.makedirs(local_path(e), exist_ok=True)
+    with open(os.path.join(local_path(e), "h.csv"), "w") as f:
+        f.write("id;name\n")
+    with pytest.raises(ValueError, match="CSV read returned empty DataFrame"):
+        files.require_rows(files.read_csv(spark, e), "csv")

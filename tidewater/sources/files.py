@@ -22,10 +22,15 @@ FORMAT_EXTENSIONS = {"csv": "csv", "json": "json", "excel": "xlsx"}
 # -----------------------------------------------------------------------------
 
 
-def csv_reader(spark: SparkSession, infer: bool = False, header: bool = True, delimiter: str = ";"):
+def csv_reader(spark: SparkSession, infer: bool = False, header: bool = True, delimiter: str = ";",
+               null_value: str | None = "\\N"):
     opts = dict(CSV_OPTIONS)
     opts["header"] = str(header).lower()
     opts["delimiter"] = delimiter
+    if null_value is None:  # the first loader version had no null marker
+        opts.pop("nullValue")
+    else:
+        opts["nullValue"] = null_value
     # Without inference every column is text: no extra pass over the data,
     # and validation checks the text against the declared types instead.
     opts["inferSchema"] = str(infer).lower()
@@ -33,8 +38,8 @@ def csv_reader(spark: SparkSession, infer: bool = False, header: bool = True, de
 
 
 def read_csv(spark: SparkSession, path, infer: bool = False, header: bool = True,
-             delimiter: str = ";", base_path: str | None = None) -> DataFrame:
-    r = csv_reader(spark, infer, header, delimiter).option("pathGlobFilter", "*.csv")
+             delimiter: str = ";", base_path: str | None = None, null_value: str | None = "\\N") -> DataFrame:
+    r = csv_reader(spark, infer, header, delimiter, null_value).option("pathGlobFilter", "*.csv")
     if base_path:
         r = r.option("basePath", base_path)
     return r.csv(path)
@@ -57,6 +62,13 @@ def read_json(spark: SparkSession, path, schema: StructType | None = None,
     return r.json(path)
 
 
+def require_rows(df: DataFrame, fmt: str) -> DataFrame:
+    """Fail on an empty read (the first loader version's guard); stops at the first row."""
+    if df.isEmpty():
+        raise ValueError(f"{fmt.upper()} read returned empty DataFrame")
+    return df
+
+
 def text_schema(names: list[str], partition_col: str | None = None) -> StructType:
     fields = [StructField(n, StringType(), True) for n in names]
     if partition_col and partition_col not in names:
