@@ -247,8 +247,15 @@ def typed_rows(cells: DataFrame, types: list[tuple[str, str]], ntz: bool = True)
 
 def read_xlsx(spark: SparkSession, path, sheet: str | None = None, header: bool = True,
               first_only: bool = False, keep_path: bool = False, **_) -> DataFrame:
-    """Typed DataFrame of a sheet across all workbooks under ``path``."""
-    cells = read_cells(spark, path, sheet, header, first_only)
+    """Typed DataFrame of a sheet across all workbooks under ``path``.
+
+    Workbooks are decoded once: the decoded cells are checkpointed to the
+    session's (shared) checkpoint directory, and both the type inference and
+    the typed projection read that copy.
+    """
+    from tidewater.session import shared_dir
+    shared_dir(spark)  # make sure a reliable checkpoint directory is set
+    cells = read_cells(spark, path, sheet, header, first_only).checkpoint(eager=True)
     types = [(r["column_name"], r["spark_type"]) for r in infer_types(cells).orderBy("position").collect()]
     out = typed_rows(cells, types)
     return out if keep_path else out.drop("_source_path")
