@@ -333,20 +333,21 @@ def workbook_bytes(sheets: dict[str, tuple[list[str], list[tuple]]]) -> bytes:
 def write_workbooks(df: DataFrame, out_dir: str, headers: list[str], sheet: str = "Hoja 1",
                     prefix: str = "libro") -> list[str]:
     """Write each input partition of ``df`` as one workbook under ``out_dir``
-    (from the tasks, through pyarrow's filesystem layer). Returns the file paths."""
+    (from the tasks, through pyarrow's filesystem layer). Returns the file paths.
+    File names follow the partition index, so task retries are idempotent."""
     out_dir = out_dir.rstrip("/")
 
     def write(batches):
-        import uuid
-
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
         rows = []
         for pdf in batches:
             boxed = pdf.astype(object).where(pdf.notna(), None)
             rows.extend(boxed.itertuples(index=False, name=None))
         if not rows:
             return
-        target = f"{out_dir}/{prefix}_{uuid.uuid4().hex[:10]}.xlsx"
+        # one file name per input partition: a retried task overwrites its own file
+        target = f"{out_dir}/{prefix}_{TaskContext.get().partitionId():05d}.xlsx"
         uri = target.replace("file:///", "/").replace("file:/", "/") if target.startswith("file:") else target
         filesystem, p = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
         filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
