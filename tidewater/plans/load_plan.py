@@ -118,3 +118,51 @@ def load_plan(configs: DataFrame, job_type: str, process_type: str, date_type: s
                               F.col("__start").alias("start_date"), F.col("__end").alias("end_date"))
                      for layer, name in layers])
     return w.select(F.inline(rows))
+
+
+def configs_frame(spark, job_parameters: list[dict]):
+    """Configuration table from a list of job-parameter records (metadata, one row each).
+
+    ``merge_keys`` given as a list is stored as comma text (the job accepts both)."""
+    rows = []
+    for c in job_parameters or []:
+        r = dict(c)
+        mk = r.get("merge_keys")
+        if isinstance(mk, (list, tuple)):
+            r["merge_keys"] = ",".join(str(k) for k in mk)
+        rows.append({k: r.get(k) for k in (
+            "name", "path_name_input", "file_name", "partition_key_raw", "params", "path_name_output",
+            "catalog_database", "catalog_table", "merge_keys", "partition_key_staging", "excel_sheet",
+            "partition_key_raw_path", "file_name_excel")})
+    return spark.createDataFrame(rows, CONFIG_SCHEMA)
+
+
+def build_payloads(spark, event: dict, today=None) -> dict:
+    """Planner entry point: ``{"payloadParameters": {...}}`` -> raw and staging plan tables.
+
+    ``project_name`` and ``notification_emails`` are mandatory, ``db_type``
+    defaults to sqlserver. Unknown job types plan nothing.
+    """
+    p = event.get("payloadParameters", {})
+    if p.get("project_name") is None or p.get("notification_emails") is None:
+        raise ValueError("'project_name' and 'notification_emails' are required in the event parameters.")
+    job_type, date_type, process_type = p["job_type"], p["date_type"], p["process_type"]
+    db_type, secret_db = p.get("db_type", "sqlserver"), p.get("secret_db")
+    pt = _validate(process_type, date_type)
+    if today is None:
+        from tidewater.functions.dates import today_local
+        today = today_local()
+    configs = configs_frame(spark, p["job_parameters"])
+    empty_raw = spark.createDataFrame([], "name string, path_name_input string, file_name string, "
+                                          "partition_key_raw string, params string, plan_error string")
+    raw = empty_raw
+    staging = None
+    if job_type in ("raw", "raw-to-staging"):
+        if db_type is None or secret_db is None:
+            raise ValueError("Missing required parameters for raw job payload creation")
+        raw = raw_plan(configs, pt, date_type, today)
+    if job_type in ("staging", "raw-to-staging"):
+        staging = staging_plan(configs, pt, date_type, today)
+    if staging is None:
+        staging = staging_plan(configs.limit(0), pt, date_type, today)
+    return {"status": "payload generation complete", "payloads_raw": raw, "payloads_staging": staging}
