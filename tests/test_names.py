@@ -89,3 +89,9 @@ def test_accent_fold_values(spark):
 def test_add_partition_keys():
     assert project.split_partition_keys("add_fecha_carga, region ,") == (["fecha_carga", "region"], ["fecha_carga"])
     assert project.split_partition_keys(["mes"]) == (["mes"], [])
+
+
+def test_snake_case_line_terminators(spark):
+    raws = ["a\rBc", "x Yz", "a\nBc"]
+    df = spark.createDataFrame([(r,) for r in raws], "r string")
+    assert [r[0] for r in df.select(names.snake_case_col("r")).collect()] == [names.snake_case(r) for r in raws]

@@ -53,7 +53,8 @@ def snake_case(name: str) -> str:
 def snake_case_col(c: Column | str) -> Column:
     """snake_case over string values (Java regex; same patterns)."""
     c = F.col(c) if isinstance(c, str) else c
-    step1 = F.regexp_replace(c, SNAKE_STEP_1[0], "$1_$2")
+    # (?d): only '\n' ends a line for '.', as in Python's re
+    step1 = F.regexp_replace(c, "(?d)" + SNAKE_STEP_1[0], "$1_$2")
     step2 = F.regexp_replace(step1, SNAKE_STEP_2[0], "$1_$2")
     return F.lower(step2)
 
