@@ -56,14 +56,19 @@ def select_window(params: Column, process_type: str, date_type: str, today=None)
 
 def params_json(params: Column, start: Column, end: Column) -> Column:
     """Parameters as compact JSON ``[{"name","type","value"},...]`` in map order,
-    with the window start/end written into the date parameters."""
+    with the window start/end written into the date parameters; NULL when the
+    window is invalid (the plan row then carries ``plan_error``).
+
+    Pass the window as columns of a previous projection: they are referenced
+    twice here, which keeps Catalyst from inlining the window expressions into
+    the per-entry lambda (evaluated once per row instead of once per entry)."""
     def entry(e):
         k = e["key"]
         v = (F.when(k == START_PARAM, start)
               .when(k.isin(END_PARAM, CUT_PARAM), end)
               .otherwise(e["value"]["value"]))
         return F.struct(k.alias("name"), e["value"]["type"].alias("type"), v.alias("value"))
-    return F.to_json(F.transform(F.map_entries(params), entry))
+    return F.when(start.isNotNull() & end.isNotNull(), F.to_json(F.transform(F.map_entries(params), entry)))
 
 
 def _windowed(configs: DataFrame, process_type: str, date_type: str, today) -> DataFrame:
