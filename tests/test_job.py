@@ -121,3 +121,15 @@ def test_strict_types_reject_inferred_mismatch(spark, zone):
     # CSV inference reads OrderKey as int while the schema declares string: the strict check fails
     with pytest.raises(TypeError, match="OrderKey"):
         StagingJob(spark, _args(zone, strict_types=True, start_date="1996-01-02", end_date="1996-01-05")).run()
+
+
+def test_incremental_day_reads_yesterday(spark, zone):
+    day = zone["orders"].select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d")).orderBy("d").first()["d"]
+    import datetime as dt
+    today = (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
+    args = _args(zone, process_type="INC", start_date="", end_date="", today=today,
+                 path_name_staging="ordenes_inc", catalog_table="ordenes_inc")
+    r = StagingJob(spark, args).run()
+    assert r.partitions == [day] and r.status == "SUCCEEDED"
+    t = spark.read.parquet(f"{zone['staging_root']}/ordenes_inc")
+    assert t.count() == zone["orders"].where(F.date_format("o_orderdate", "yyyy-MM-dd") == day).count()
