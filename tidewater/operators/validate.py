@@ -19,9 +19,6 @@ from pyspark.sql.types import (
 
 from tidewater.schema import build_struct, is_compatible, required_fields, types_equal
 
-REPORT_SCHEMA = "check_name string, column_name string, bad_rows bigint"
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -18,7 +18,6 @@ from tidewater.functions.params import format_of_path
 # --- fixed values (must equal the reference's rules) -------------------------
 CSV_OPTIONS = {"header": "true", "delimiter": ";", "nullValue": "\\N"}
 JSON_OPTIONS = {"multiLine": "true"}
-FORMAT_EXTENSIONS = {"csv": "csv", "json": "json", "excel": "xlsx"}
 # -----------------------------------------------------------------------------
 
 
@@ -138,7 +137,3 @@ def detect_formats(inventory: DataFrame) -> DataFrame:
         F.min_by(F.col("format"), F.when(F.col("format").isNotNull(), F.col("path"))).alias("format"),
         F.min(F.when(F.col("format").isNotNull(), F.col("path"))).alias("sample_path"),
         F.count(F.lit(1)).alias("files"))
-
-
-def partition_value_of(directory_col, key: str):
-    return F.regexp_extract(directory_col, f"{key}=([^/]+)$", 1)
