@@ -170,7 +170,7 @@ class StagingTable:
             self._check_duplicates(df, keys)
         if not self.exists():
             # a new table has nothing to lose: write the first batch in place
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            self._clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
               .partitionBy(*self.partition_cols).parquet(self.path)
             self._cleanup()
             return
@@ -224,6 +224,12 @@ class StagingTable:
             p.getFileSystem(conf).delete(p, True)
         self._stages = []
 
+    def _clustered(self, df: DataFrame) -> DataFrame:
+        """Group rows of one table partition into few write tasks (few files per
+        partition) without a hot partition landing in a single task: the
+        REBALANCE hint lets AQE split skewed partitions and merge small ones."""
+        return df.hint("rebalance", *self.partition_cols) if self.partition_cols else df
+
     def _materialise(self, df: DataFrame) -> DataFrame:
         """Write the batch once (Parquet, shared storage) and continue from that copy."""
         stage = f"{self._staging_dir()}/source"
@@ -239,7 +245,7 @@ class StagingTable:
     def _write_dynamic(self, df: DataFrame) -> None:
         """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""
         stage = self._staging_dir()
-        df.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
+        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
         staged = self.spark.read.parquet(stage)
         staged = staged.select(*[F.col(_q(c)) for c in df.columns])
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -247,7 +253,7 @@ class StagingTable:
 
     def _rewrite_all(self, fn) -> None:
         stage = self._staging_dir()
-        fn(self.read()).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
+        self._clustered(fn(self.read())).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
         staged = self.spark.read.parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_cols).parquet(self.path))
