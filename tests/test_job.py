@@ -133,3 +133,36 @@ def test_incremental_day_reads_yesterday(spark, zone):
     assert r.partitions == [day] and r.status == "SUCCEEDED"
     t = spark.read.parquet(f"{zone['staging_root']}/ordenes_inc")
     assert t.count() == zone["orders"].where(F.date_format("o_orderdate", "yyyy-MM-dd") == day).count()
+
+
+def test_partitions_in_mixed_formats_and_workbooks(spark):
+    from tidewater.session import local_path
+    from tidewater.sources.xlsx import workbook_bytes
+    root = scratch_path(spark, "zone-mixed")
+    raw = local_path(f"{root}/raw/mix")
+    for d in ("mes=2025-01", "mes=2025-02", "mes=2025-03"):
+        os.makedirs(os.path.join(raw, d), exist_ok=True)
+    with open(os.path.join(raw, "mes=2025-01", "a.csv"), "w") as f:
+        f.write("id;valor\n1;10\n2;20\n")
+    with open(os.path.join(raw, "mes=2025-02", "b.json"), "w") as f:
+        f.write('[{"id": 3, "valor": 30}]')
+    with open(os.path.join(raw, "mes=2025-03", "banco_2025-03.xlsx"), "wb") as f:
+        f.write(workbook_bytes({"Hoja 1": (["id", "valor"], [(4, 40), (5, 50)])}))
+    sdir = local_path(f"{root}/schema/mix")
+    os.makedirs(sdir, exist_ok=True)
+    with open(os.path.join(sdir, "schema.json"), "w") as f:
+        json.dump({"fields": [{"name": "id", "type": "string", "converted_type": "bigint", "nullable": False},
+                              {"name": "valor", "type": "string", "converted_type": "double"},
+                              {"name": "Entidad", "type": "string"}]}, f)
+    args = StagingArgs(job_name="x", project_name="p", path_name_raw="mix", path_name_staging="mix",
+                       catalog_database="db", catalog_table="mix", merge_keys="id", partition_key_staging="add_mes_carga",
+                       partition_key_raw="mes", process_type="FULL", date_type="MONTH_PRECISION",
+                       start_date="2025-01", end_date="2025-04",
+                       raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
+    r = StagingJob(spark, args).run()
+    assert r.empty_partitions == ["2025-04"] and r.rows_written == 5
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, f"{root}/staging/mix", ["mes_carga"]).read()
+    got = sorted(tuple(x) for x in t.select("id", "valor", "mes_carga", "entidad").collect())
+    assert got == [(1, 10.0, "2025-01", None), (2, 20.0, "2025-01", None), (3, 30.0, "2025-02", None),
+                   (4, 40.0, "2025-03", "banco"), (5, 50.0, "2025-03", "banco")]

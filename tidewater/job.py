@@ -132,15 +132,30 @@ class StagingJob:
                                  ADD_VALUE: F.lit(self.args.start_date or self.args.today or D.today_local())})
             return df
         else:
-            fmt = self._detect(parts, raw_key)
-            if fmt is None:
+            groups = self._detect(parts, raw_key)
+            frames = []
+            for fmt, values in groups.items():
+                kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
+                if fmt == "excel":
+                    kw["sheet"] = self.excel_sheet
+                part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, **kw)
+                if part is None:
+                    continue
+                if fmt == "excel":
+                    if schema.expects_entity() and "entidad" not in {c.lower() for c in part.columns}:
+                        part = part.withColumn("Entidad", entity_from_path(F.col("_source_path")))
+                    part = part.drop("_source_path")
+                frames.append(part)
+            if not frames:
                 return None
-            kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
-            df = files.read_partitions(self.spark, self.table_raw_path, raw_key, parts, fmt, **kw)
-            if df is None:
-                return None
-            if fmt == "excel":
-                df = df.drop("_source_path")
+            if len(frames) == 1:
+                df = frames[0]
+            else:
+                # partitions in different formats: align them as text, by column name
+                df = frames[0].select(*[F.col(f"`{c}`").cast("string") for c in frames[0].columns])
+                for f in frames[1:]:
+                    df = df.unionByName(f.select(*[F.col(f"`{c}`").cast("string") for c in f.columns]),
+                                        allowMissingColumns=True)
             df = df.withColumnRenamed(raw_key, PARTITION_VALUE).withColumn(ADD_VALUE, F.col(PARTITION_VALUE))
         return df
 
@@ -152,19 +167,21 @@ class StagingJob:
             key = f"{self.key_raw}/{key}"
         return f"{self.args.root('raw')}/{key}"
 
-    def _detect(self, parts: list[str], raw_key: str) -> str | None:
+    def _detect(self, parts: list[str], raw_key: str) -> dict[str, list[str]]:
+        """Planned partition values grouped by the format detected in their directory
+        (first supported file by key order); directories without one are left out."""
         glob = files.partition_glob(self.table_raw_path, raw_key, parts)
         try:
             inv = files.file_inventory(self.spark, glob)
+            det = (files.detect_formats(inv).where(F.col("format").isNotNull())
+                        .select(F.regexp_extract("directory", f"/{raw_key}=([^/]+)$", 1).alias("value"), "format")
+                        .collect())
         except Exception:
-            return None
-        found = [r["format"] for r in files.detect_formats(inv).where(F.col("format").isNotNull())
-                                        .select("format").distinct().collect()]
-        if not found:
-            return None
-        if len(found) > 1:
-            raise RuntimeError(f"Mixed raw formats in {self.table_raw_path}: {sorted(found)}")
-        return found[0]
+            return {}
+        groups: dict[str, list[str]] = {}
+        for r in det:
+            groups.setdefault(r["format"], []).append(r["value"])
+        return {f: sorted(v) for f, v in groups.items()}
 
     # -- the whole run -----------------------------------------------------------
     def run(self) -> StagingResult:

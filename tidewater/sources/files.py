@@ -97,12 +97,18 @@ def read_partitions(spark: SparkSession, base: str, key: str, values: list[str],
                     partition_alias: str | None = None, **kw) -> DataFrame | None:
     """One scan over the planned partitions ``{base}/{key}={v}`` for v in values.
 
-    The partition column is kept (as text, named ``partition_alias`` or ``key``).
-    Returns None when none of the planned directories exists.
+    The partition column is kept (as text, named ``partition_alias`` or ``key``);
+    workbooks also keep ``_source_path``. Returns None when none of the planned
+    directories exists.
     """
     if not values:
         return None
     try:
+        if fmt == "excel":
+            from tidewater.sources.xlsx import read_xlsx
+            df = read_xlsx(spark, partition_glob(base, key, values), keep_path=True, **kw)
+            return df.withColumn(partition_alias or key,
+                                 F.regexp_extract(F.col("_source_path"), f"/{key}=([^/]+)/", 1))
         df = read_raw(spark, partition_glob(base, key, values), fmt, base_path=base.rstrip("/"), **kw)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
