@@ -166,3 +166,16 @@ def test_partitions_in_mixed_formats_and_workbooks(spark):
     got = sorted(tuple(x) for x in t.select("id", "valor", "mes_carga", "entidad").collect())
     assert got == [(1, 10.0, "2025-01", None), (2, 20.0, "2025-01", None), (3, 30.0, "2025-02", None),
                    (4, 40.0, "2025-03", "banco"), (5, 50.0, "2025-03", "banco")]
+
+
+def test_add_raw_key_reads_today_and_raw_path_key(spark, zone):
+    day = zone["orders"].select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d")).orderBy(F.desc("d")).first()["d"]
+    n = zone["orders"].where(F.date_format("o_orderdate", "yyyy-MM-dd") == day).count()
+    r = StagingJob(spark, _args(zone, partition_key_raw="add_fecha", today=day, path_name_staging="hoy",
+                                catalog_table="hoy")).run()
+    assert r.partitions == [day] and r.rows_written == n
+    r2 = StagingJob(spark, _args(zone, partition_key_raw="dia", partition_key_raw_path="fecha", start_date=day,
+                                 end_date=day, path_name_staging="hoy2", catalog_table="hoy2")).run()
+    assert r2.rows_written == n
+    with pytest.raises(ValueError, match="Invalid date_type"):
+        StagingJob(spark, _args(zone, partition_key_raw="add_fecha", date_type="YEAR", today=day)).run()
