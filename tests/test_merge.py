@@ -73,3 +73,13 @@ def test_sink_merge_moves_keys_and_touches_only_needed_partitions(spark):
     assert sorted(tuple(r) for r in t.read().where("p = 'y'").select("id", "v").collect()) == [(2, "B"), (3, "C")]
     with pytest.raises(ValueError, match="more than one row"):
         t.merge(spark.createDataFrame([(7, "a", "x"), (7, "b", "x")], "id int, v string, p string"), ["id"])
+
+
+def test_sink_keeps_partition_text(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, scratch_path(spark, "sink-text"), ["p"])
+    t.merge(spark.createDataFrame([(1, "007"), (2, "010")], "id int, p string"), ["id"])
+    t.merge(spark.createDataFrame([(1, "007"), (3, "010")], "id int, p string"), ["id"])
+    t.overwrite_partitions(spark.createDataFrame([(4, "010")], "id int, p string"))
+    assert sorted(tuple(r) for r in t.read().select("id", "p").collect()) == [(1, "007"), (4, "010")]

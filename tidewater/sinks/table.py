@@ -242,18 +242,28 @@ class StagingTable:
         if dup:
             raise ValueError(f"MERGE source has more than one row for key {dup[0].asDict()}")
 
+    def _read_text_partitions(self, path: str) -> DataFrame:
+        """Read a partitioned Parquet folder with partition values kept as text
+        (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
+        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        old = self.spark.conf.get(key, "true")
+        self.spark.conf.set(key, "false")
+        try:
+            return self.spark.read.parquet(path)
+        finally:
+            self.spark.conf.set(key, old)
+
     def _write_dynamic(self, df: DataFrame) -> None:
         """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""
         stage = self._staging_dir()
         self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        staged = staged.select(*[F.col(_q(c)) for c in df.columns])
+        staged = self._read_text_partitions(stage).select(*[F.col(_q(c)) for c in df.columns])
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_cols).parquet(self.path))
 
     def _rewrite_all(self, fn) -> None:
         stage = self._staging_dir()
         self._clustered(fn(self.read())).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
-        staged = self.spark.read.parquet(stage)
+        staged = self._read_text_partitions(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_cols).parquet(self.path))
