@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -97,3 +98,16 @@ def local_path(path: str) -> str | None:
     if path.startswith("/"):
         return path
     return None if "://" in path else os.path.abspath(path)
+
+
+@contextmanager
+def text_partitions(spark: SparkSession):
+    """Within the block, partition directory values are read as text
+    (``p=007`` stays '007'; no date or number inference)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import merge as M
+from tidewater.session import text_partitions
 
 # Above this many touched partitions, prune with a join instead of a literal IN list.
 MAX_LITERAL_PARTITIONS = 10_000
@@ -70,27 +71,18 @@ class StagingTable:
         key = self.partition_cols[0]
         vals = sorted({str(v[0]) for v in values if v[0] is not None})
         glob = f"{self.path}/{key}={{{','.join(vals)}}}" if len(vals) > 1 else f"{self.path}/{key}={vals[0]}"
-        conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        old = self.spark.conf.get(conf, "true")
-        self.spark.conf.set(conf, "false")
         try:
-            return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(glob)
+            with text_partitions(self.spark):
+                return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(glob)
         except AnalysisException:
             return self.read().where(F.lit(False))
-        finally:
-            self.spark.conf.set(conf, old)
 
     def read(self) -> DataFrame:
         """The stored rows; partition columns come back as text (as written in the paths)."""
         if self.iceberg:
             return self.spark.table(self.name)
-        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        old = self.spark.conf.get(key, "true")
-        self.spark.conf.set(key, "false")
-        try:
+        with text_partitions(self.spark):
             return self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        finally:
-            self.spark.conf.set(key, old)
 
     # -- K1: create --------------------------------------------------------
     def create(self, df: DataFrame) -> None:
@@ -245,13 +237,8 @@ class StagingTable:
     def _read_text_partitions(self, path: str) -> DataFrame:
         """Read a partitioned Parquet folder with partition values kept as text
         (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
-        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        old = self.spark.conf.get(key, "true")
-        self.spark.conf.set(key, "false")
-        try:
+        with text_partitions(self.spark):
             return self.spark.read.parquet(path)
-        finally:
-            self.spark.conf.set(key, old)
 
     def _write_dynamic(self, df: DataFrame) -> None:
         """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""

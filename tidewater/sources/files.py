@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.params import format_of_path
+from tidewater.session import text_partitions
 
 # --- fixed values (must equal the reference's rules) -------------------------
 CSV_OPTIONS = {"header": "true", "delimiter": ";", "nullValue": "\\N"}
@@ -109,7 +110,8 @@ def read_partitions(spark: SparkSession, base: str, key: str, values: list[str],
             df = read_xlsx(spark, partition_glob(base, key, values), keep_path=True, **kw)
             return df.withColumn(partition_alias or key,
                                  F.regexp_extract(F.col("_source_path"), f"/{key}=([^/]+)/", 1))
-        df = read_raw(spark, partition_glob(base, key, values), fmt, base_path=base.rstrip("/"), **kw)
+        with text_partitions(spark):
+            df = read_raw(spark, partition_glob(base, key, values), fmt, base_path=base.rstrip("/"), **kw)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
