@@ -120,3 +120,16 @@ def test_period_range_property(spark, start, span):
     assert days == [(start + dt.timedelta(days=i)).isoformat() for i in range(span + 1)]
     months = _range(spark, start.isoformat()[:7], end.isoformat()[:7], dates.MONTH)
     assert months == _py_months(start, end)
+
+
+def test_plan_format_errors(spark):
+    cfg = spark.createDataFrame([
+        ("d", "FULL", dates.DAY, "2024-01", "2024-02", "fecha", None),
+        ("m", "FULL", dates.MONTH, "2024", "2024-02", "mes", None),
+        ("y", "FULL", "YEAR_PRECISION", "2024", "2025", "x", None),
+    ], "id string, process_type string, date_type string, start_date string, end_date string, "
+       "partition_key_raw string, file_name_excel string")
+    rows = {r["id"]: r["plan_error"] for r in partitions.plan_partitions(cfg, "2025-01-15").collect()}
+    assert rows == {"d": "[ERROR] DAY_PRECISION requires format YYYY-MM-DD",
+                    "m": "[ERROR] MONTH_PRECISION requires format YYYY-MM",
+                    "y": "[ERROR] Invalid date_type 'YEAR_PRECISION'"}

@@ -50,6 +50,11 @@ def plan_partitions(configs: DataFrame, today, process_type="process_type", date
               .when(is_add, F.lit(None))
               .when((pt == "FULL") & ~has_dates, F.lit("start_date and end_date must be provided for FULL process_type"))
               .when((pt == "FULL") & ~dt.isin(DAY, MONTH), F.concat(F.lit("[ERROR] Invalid date_type '"), dt, F.lit("'")))
+              .when((pt == "FULL") & (dt == DAY) & ((F.length(_c(start_date)) != 10) | (F.length(_c(end_date)) != 10)),
+                    F.lit("[ERROR] DAY_PRECISION requires format YYYY-MM-DD"))
+              .when((pt == "FULL") & (dt == MONTH) & (~F.length(_c(start_date)).isin(7, 10)
+                                                      | ~F.length(_c(end_date)).isin(7, 10)),
+                    F.lit("[ERROR] MONTH_PRECISION requires format YYYY-MM"))
               .when((pt == "FULL") & (F.size(full) <= 0), F.lit("[ERROR] Start date cannot be greater than end date."))
               .when((pt == "INC") & prev.isNull(), F.concat(F.lit("[ERROR] Invalid date_type '"), dt, F.lit("'")))
               .when(~pt.isin("FULL", "INC"), F.concat(F.lit("Invalid process_type: "), pt)))
