@@ -33,3 +33,16 @@ def test_available_now_stages_only_new_files(spark):
     t = table.read()
     assert t.count() == n0 + n1
     assert sorted(r[0] for r in t.select("fecha_carga").distinct().collect()) == days
+
+
+def test_micro_batches_merge_in_order(spark):
+    root = scratch_path(spark, "stream-mb")
+    raw, ckpt = f"{root}/raw", f"{root}/ckpt"
+    days = [r[0] for r in spark.read.parquet(f"{SF}/orders.parquet")
+            .select(F.date_format("o_orderdate", "yyyy-MM-dd")).distinct().orderBy(1).limit(2).collect()]
+    n = _write_day(spark, raw, days[0]) + _write_day(spark, raw, days[1])
+    table = StagingTable(spark, f"{root}/table", ["fecha_carga"])
+    q = run_incremental(spark, raw, FIELDS, table, "order_key", "fecha", "add_fecha_carga", checkpoint=ckpt,
+                        max_files_per_trigger=1)
+    assert len(q.recentProgress) >= 2
+    assert table.read().count() == n

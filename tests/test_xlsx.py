@@ -69,3 +69,14 @@ def test_csv_null_marker_and_empty_guard(spark):
         f.write("id;name\n")
     with pytest.raises(ValueError, match="CSV read returned empty DataFrame"):
         files.require_rows(files.read_csv(spark, e), "csv")
+
+
+def test_first_only_reads_one_workbook(spark):
+    d = scratch_path(spark, "xlsx-two")
+    p = local_path(d)
+    os.makedirs(p, exist_ok=True)
+    for name, rows in (("a.xlsx", [(1,)]), ("b.xlsx", [(2,), (3,)])):
+        with open(os.path.join(p, name), "wb") as f:
+            f.write(xlsx.workbook_bytes({"S": (["n"], rows)}))
+    assert xlsx.read_xlsx(spark, d).count() == 3
+    assert [r.n for r in xlsx.read_xlsx(spark, d, first_only=True).collect()] == [1]
