@@ -152,10 +152,12 @@ class StagingJob:
                 df = frames[0]
             else:
                 # partitions in different formats: align them as text, by column name
-                df = frames[0].select(*[F.col(f"`{c}`").cast("string") for c in frames[0].columns])
+                def as_text(frame: DataFrame) -> DataFrame:
+                    return frame.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c)
+                                          for c in frame.columns])
+                df = as_text(frames[0])
                 for f in frames[1:]:
-                    df = df.unionByName(f.select(*[F.col(f"`{c}`").cast("string") for c in f.columns]),
-                                        allowMissingColumns=True)
+                    df = df.unionByName(as_text(f), allowMissingColumns=True)
             df = df.withColumnRenamed(raw_key, PARTITION_VALUE).withColumn(ADD_VALUE, F.col(PARTITION_VALUE))
         return df
 
@@ -215,14 +217,15 @@ class StagingJob:
         prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
                                 strict=a.strict_types, relaxed=bool(self.file_name_excel)).collect()
         rows_by_part = {r[PARTITION_VALUE]: r["total_rows"] for r in prof}
+        failures_by_part: dict[str, list[dict]] = {}
+        for r in prof:
+            if r["check_name"] in ("missing_column", "unparseable", "required_null"):
+                failures_by_part.setdefault(r[PARTITION_VALUE], []).append(
+                    {"check_name": r["check_name"], "column_name": r["column_name"], "bad_rows": r["value"]})
         empty = [p for p in parts if not rows_by_part.get(p)]
-        for p in parts:
-            if p in empty:
-                continue
-            failures = [{"check_name": r["check_name"], "column_name": r["column_name"], "bad_rows": r["value"]}
-                        for r in prof if r[PARTITION_VALUE] == p
-                        and r["check_name"] in ("missing_column", "unparseable", "required_null")]
-            validate.raise_for_report(failures)
+        for p in parts:  # plan order: the first failing partition decides the error
+            if p not in empty:
+                validate.raise_for_report(failures_by_part.get(p, []))
         if len(empty) == len(parts):
             return self._finish(parts, empty, 0)
 
