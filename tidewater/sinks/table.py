@@ -108,16 +108,17 @@ class StagingTable:
         data = StructType([f for f in df.schema.fields if f.name.lower() not in part])
         cols = M.synced_schema(current, data) + [(f.name, f.dataType) for f in df.schema.fields
                                                  if f.name.lower() in part]
-        changed = [(n, t) for n, t in cols if n.lower() not in {f.name.lower() for f in current.fields}
-                   or t != current[[f.name for f in current.fields if f.name.lower() == n.lower()][0]].dataType]
+        have = {f.name.lower(): f.dataType for f in current.fields}
+        changed = [(n, t) for n, t in cols
+                   if n.lower() not in part and (n.lower() not in have or t != have[n.lower()])]
         if self.iceberg and changed:
             for n, t in changed:
-                if n.lower() in {f.name.lower() for f in current.fields}:
+                if n.lower() in have:
                     self.spark.sql(f"ALTER TABLE {self.name} ALTER COLUMN {_q(n)} TYPE {t.simpleString()}")
                 else:
                     self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMN {_q(n)} {t.simpleString()}")
         elif changed:
-            widened = [n for n, t in changed if n.lower() in {f.name.lower() for f in current.fields}]
+            widened = [n for n, t in changed if n.lower() in have]
             if widened:
                 # Parquet cannot change a column type in place: rewrite through a staging copy.
                 self._rewrite_all(lambda t: M.conform(t, cols))
