@@ -83,3 +83,15 @@ def test_sink_keeps_partition_text(spark):
     t.merge(spark.createDataFrame([(1, "007"), (3, "010")], "id int, p string"), ["id"])
     t.overwrite_partitions(spark.createDataFrame([(4, "010")], "id int, p string"))
     assert sorted(tuple(r) for r in t.read().select("id", "p").collect()) == [(1, "007"), (4, "010")]
+
+
+def test_sink_schema_evolution_widens_and_adds(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, scratch_path(spark, "sink-evolve"), ["p"])
+    t.merge(spark.createDataFrame([(1, 1, "a")], "id int, n int, p string"), ["id"])
+    t.merge(spark.createDataFrame([(2, 3000000000, "b", "x")], "id int, n bigint, p string, extra string"), ["id"])
+    out = t.read()
+    assert dict(out.dtypes)["n"] == "bigint" and "extra" in out.columns
+    assert sorted(tuple(r) for r in out.select("id", "n", "p", "extra").collect()) == \
+        [(1, 1, "a", None), (2, 3000000000, "b", "x")]
