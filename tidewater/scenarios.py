@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import casts, dates, names, params
 from tidewater.operators import merge, project, report, validate
 from tidewater.plans import load_plan, partitions
-from tidewater.session import apply_staging_conf, scratch_path
+from tidewater.session import apply_staging_conf, scratch_path, session_key
 from tidewater.sources import files
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -59,7 +59,7 @@ _lock = threading.Lock()
 
 
 def _once(spark: SparkSession, key: tuple, build: Callable[[], str]) -> str:
-    k = (id(spark.sparkContext._jsc), *key)
+    k = (session_key(spark), *key)
     with _lock:
         if k not in _written:
             _written[k] = build()

@@ -60,6 +60,14 @@ def apply_staging_conf(spark: SparkSession) -> None:
             pass
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-visible scratch folder.
 
@@ -67,24 +75,36 @@ def shared_dir(spark: SparkSession) -> str:
     set on the SparkContext). Only when none is configured -- local tests --
     a directory is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     path = None
-    try:
-        path = sc.getCheckpointDir()
-    except Exception:
-        path = None
+    if sc is not None:
+        try:
+            path = sc.getCheckpointDir()
+        except Exception:
+            path = None
     if not path:
-        path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and sc is not None:
+            path = sc.getConf().get("spark.checkpoint.dir", None)
         if not path:
             path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        sc.setCheckpointDir(path)
-        try:
-            path = sc.getCheckpointDir() or path
-        except Exception:
-            pass
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            try:
+                path = sc.getCheckpointDir() or path
+            except Exception:
+                pass
     return path
 
 
+def session_key(spark: SparkSession):
+    """Identity of the running application (for per-session caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or id(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared scratch folder."""
     base = shared_dir(spark).rstrip("/")

@@ -57,13 +57,26 @@ class StagingTable:
         (a partition directory or data file). Lists one directory level."""
         if self.iceberg:
             return self.spark.catalog.tableExists(self.name)
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, p = self._fs(self.path)
+        if fs is None:  # no JVM access (Spark Connect): ask the Parquet source instead
+            try:
+                self.spark.read.parquet(self.path).schema  # noqa: B018
+                return True
+            except AnalysisException:
+                return False
         if not fs.exists(p):
             return False
         return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
+    def _fs(self, path: str):
+        """Hadoop FileSystem and Path for ``path`` (None on Spark Connect)."""
+        try:
+            sc = self.spark.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+        except Exception:
+            return None, None
+
     def read_partitions(self, values: list[tuple]) -> DataFrame:
         """Only the given partition directories (a glob over one partition level)."""
         if len(self.partition_cols) != 1 or not values:
@@ -210,11 +223,10 @@ class StagingTable:
 
     def _cleanup(self) -> None:
         """Drop the staging copies once the table write has committed."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for d in self._stages:
-            p = jvm.org.apache.hadoop.fs.Path(d)
-            p.getFileSystem(conf).delete(p, True)
+            fs, p = self._fs(d)
+            if fs is not None:
+                fs.delete(p, True)
         self._stages = []
 
     def _clustered(self, df: DataFrame) -> DataFrame:
