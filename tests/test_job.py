@@ -179,3 +179,15 @@ def test_add_raw_key_reads_today_and_raw_path_key(spark, zone):
     assert r2.rows_written == n
     with pytest.raises(ValueError, match="Invalid date_type"):
         StagingJob(spark, _args(zone, partition_key_raw="add_fecha", date_type="YEAR", today=day)).run()
+
+
+def test_missing_and_unsupported_directories(spark, zone):
+    from tidewater.session import local_path
+    with pytest.raises(FileNotFoundError, match="No files found"):
+        StagingJob(spark, _args(zone, start_date="2031-01-01", end_date="2031-01-01", fail_on_missing=True)).run()
+    bad = os.path.join(local_path(zone["raw_root"]), "ventas", "ordenes", "fecha=2031-02-01")
+    os.makedirs(bad, exist_ok=True)
+    with open(os.path.join(bad, "notes.txt"), "w") as f:
+        f.write("x")
+    with pytest.raises(RuntimeError, match="No supported file type"):
+        StagingJob(spark, _args(zone, start_date="2031-02-01", end_date="2031-02-01")).run()

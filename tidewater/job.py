@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,9 @@ class StagingArgs:
     # (the original strict check; costs an inference pass). False: text is read
     # as text and each value is checked against its declared type.
     strict_types: bool = False
+    # True: a planned raw directory that does not exist fails the run (the
+    # original behaviour); False: it is reported with the empty partitions.
+    fail_on_missing: bool = False
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -171,15 +175,30 @@ class StagingJob:
 
     def _detect(self, parts: list[str], raw_key: str) -> dict[str, list[str]]:
         """Planned partition values grouped by the format detected in their directory
-        (first supported file by key order); directories without one are left out."""
+        (first supported file by key order).
+
+        A directory holding files but none of a supported type is an error, as is
+        a missing directory when ``fail_on_missing`` is set; otherwise a missing
+        directory is reported as an empty partition.
+        """
         glob = files.partition_glob(self.table_raw_path, raw_key, parts)
         try:
             inv = files.file_inventory(self.spark, glob)
-            det = (files.detect_formats(inv).where(F.col("format").isNotNull())
+            det = (files.detect_formats(inv)
                         .select(F.regexp_extract("directory", f"/{raw_key}=([^/]+)$", 1).alias("value"), "format")
                         .collect())
-        except Exception:
-            return {}
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            det = []
+        unsupported = sorted(r["value"] for r in det if r["format"] is None)
+        if unsupported:
+            raise RuntimeError(f"No supported file type (.csv, .json, .xlsx) found in "
+                               f"{self.table_raw_path}/{raw_key}={unsupported[0]}")
+        found = {r["value"] for r in det}
+        missing = [p for p in parts if p not in found]
+        if missing and self.args.fail_on_missing:
+            raise FileNotFoundError(f"No files found in {self.table_raw_path}/{raw_key}={missing[0]}")
         groups: dict[str, list[str]] = {}
         for r in det:
             groups.setdefault(r["format"], []).append(r["value"])
