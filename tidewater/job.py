@@ -72,6 +72,8 @@ class StagingArgs:
     # True: a planned raw directory that does not exist fails the run (the
     # original behaviour); False: it is reported with the empty partitions.
     fail_on_missing: bool = False
+    # True: read only the first workbook of a directory (the original behaviour)
+    excel_first_only: bool = False
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -141,7 +143,7 @@ class StagingJob:
             for fmt, values in groups.items():
                 kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
                 if fmt == "excel":
-                    kw["sheet"] = self.excel_sheet
+                    kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
                 part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, **kw)
                 if part is None:
                     continue
