@@ -196,8 +196,11 @@ def read_cells(spark: SparkSession, path, sheet: str | None = None, header: bool
     """One row per sheet row of every workbook under ``path``: (path, sheet, row_index, cells)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
     if first_only:
-        first = files.agg(F.min("path").alias("p"))
-        files = files.join(first, files["path"] == first["p"], "left_semi")
+        # the first workbook (by key order) of each directory; decided on paths only,
+        # so no workbook content is read for the choice
+        listing = files.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("dir"))
+        first = listing.groupBy("dir").agg(F.min("path").alias("path")).select("path")
+        files = files.join(first, on="path", how="left_semi")
     return files.select("path", "content").mapInPandas(_decode(sheet, header), CELLS_SCHEMA)
 
 
