@@ -191,3 +191,12 @@ def test_missing_and_unsupported_directories(spark, zone):
         f.write("x")
     with pytest.raises(RuntimeError, match="No supported file type"):
         StagingJob(spark, _args(zone, start_date="2031-02-01", end_date="2031-02-01")).run()
+
+
+def test_validate_only_reports_without_writing(spark, zone):
+    r = StagingJob(spark, _args(zone, start_date="1996-01-01", end_date="1996-01-10",
+                                path_name_staging="never", catalog_table="never")).validate()
+    rows = {x.partition_value: (x.n, x.status) for x in r.collect()}
+    assert rows and all(st == "SUCCEEDED" and n > 0 for n, st in rows.values())
+    from tidewater.sinks.table import StagingTable
+    assert not StagingTable(spark, f"{zone['staging_root']}/never", ["fecha_carga"]).exists()

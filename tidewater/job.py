@@ -206,6 +206,22 @@ class StagingJob:
             groups.setdefault(r["format"], []).append(r["value"])
         return {f: sorted(v) for f, v in groups.items()}
 
+    # -- report only -------------------------------------------------------------
+    def validate(self) -> DataFrame | None:
+        """Per planned partition: rows, status and first failure, without writing.
+
+        One pass over the raw files (the profile); None when nothing was found.
+        """
+        a = self.args
+        parts, raw_key = self.plan()
+        schema = Schema.of(load_schema(self.spark, schema_doc_path(a.root("schema"), self.key_raw, self.excel_sheet)))
+        raw = self.read(parts, raw_key, schema)
+        if raw is None:
+            return None
+        prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
+                                strict=a.strict_types, relaxed=bool(self.file_name_excel))
+        return report.partition_outcomes(prof, PARTITION_VALUE).withColumnRenamed(PARTITION_VALUE, "partition_value")
+
     # -- the whole run -----------------------------------------------------------
     def run(self) -> StagingResult:
         a = self.args
@@ -314,13 +330,18 @@ def parse_args(argv: list[str]) -> tuple[StagingArgs, str | None]:
               *OPTIONAL_ARGS):
         p.add_argument(f"--{o}", default="", nargs="?", const="")
     p.add_argument("--strict_types", action="store_true")
+    p.add_argument("--fail_on_missing", action="store_true")
+    p.add_argument("--excel_first_only", action="store_true")
+    p.add_argument("--validate_only", action="store_true")
     ns, _unknown = p.parse_known_args(argv)
-    kw = {k: v for k, v in vars(ns).items() if k != "audit_path"}
+    kw = {k: v for k, v in vars(ns).items() if k not in ("audit_path", "validate_only")}
     for o in OPTIONAL_ARGS:
         kw[o] = _optional(kw[o])
     for o in ("raw_root", "schema_root", "staging_root", "today"):
         kw[o] = kw[o] or None
-    return StagingArgs(**kw), (ns.audit_path or None)
+    args = StagingArgs(**kw)
+    args.validate_only = ns.validate_only  # type: ignore[attr-defined]
+    return args, (ns.audit_path or None)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -329,6 +350,11 @@ def main(argv: list[str] | None = None) -> int:
     from tidewater.session import build_session
     args, audit = parse_args(sys.argv[1:] if argv is None else argv)
     spark = build_session(app_name=args.job_name)
+    if getattr(args, "validate_only", False):
+        out = StagingJob(spark, args).validate()
+        if out is not None:
+            out.orderBy("partition_value").show(1000, truncate=False)
+        return 0
     result = run_with_audit(spark, args, audit)
     print(result)
     return 0
