@@ -80,3 +80,11 @@ def test_parse_list_property(spark, raws):
 def test_entity_property(spark, raws):
     df = spark.createDataFrame([(r,) for r in raws], "v string")
     assert [r[0] for r in df.select(params.entity_from_path("v")).collect()] == [_model_entity(r) for r in raws]
+
+
+def test_json_ascii_matches_python(spark):
+    import json
+    vals = ["Año ñ", "x\U0001F600y", "plain", "tab\tq\"uote", "é/\\"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    out = df.select(params.json_ascii(F.to_json(F.struct(F.col("v").alias("value"))))).collect()
+    assert [r[0] for r in out] == [json.dumps({"value": v}, separators=(",", ":")) for v in vals]

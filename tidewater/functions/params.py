@@ -90,3 +90,17 @@ def optional_arg(c: Column | str) -> Column:
     """Optional job argument: blank, '-' or a value starting '--' -> ''."""
     s = py_strip_col(_c(c))
     return F.when(s.isNull() | (s == "") | (s == "-") | s.startswith("--"), F.lit("")).otherwise(s)
+
+
+def json_ascii(doc: Column | str) -> Column:
+    """Escape every non-ASCII character of a JSON text as ``\\uXXXX`` (UTF-16 code
+    units, surrogate pairs for characters beyond the BMP), the form Python's
+    ``json.dumps`` produces by default. ASCII-only text is returned as is."""
+    doc = _c(doc)
+
+    def escape(ch: Column) -> Column:
+        return F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", "\\\\u$1")
+
+    escaped = F.array_join(F.transform(F.split(doc, ""),
+                                       lambda ch: F.when(ch.rlike("^[\\x00-\\x7f]*$"), ch).otherwise(escape(ch))), "")
+    return F.when(doc.rlike("[^\\x00-\\x7f]"), escaped).otherwise(doc)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import DAY, DAY_FMT, MONTH, full_window, incremental_window
-from tidewater.functions.params import CUT_PARAM, END_PARAM, START_PARAM, rstrip_slashes
+from tidewater.functions.params import CUT_PARAM, END_PARAM, START_PARAM, json_ascii, rstrip_slashes
 
 PARAMS_TYPE = "map<string,struct<type:string,value:string>>"
 CONFIG_SCHEMA = (
@@ -68,7 +68,8 @@ def params_json(params: Column, start: Column, end: Column) -> Column:
               .when(k.isin(END_PARAM, CUT_PARAM), end)
               .otherwise(e["value"]["value"]))
         return F.struct(k.alias("name"), e["value"]["type"].alias("type"), v.alias("value"))
-    return F.when(start.isNotNull() & end.isNotNull(), F.to_json(F.transform(F.map_entries(params), entry)))
+    doc = json_ascii(F.to_json(F.transform(F.map_entries(params), entry)))
+    return F.when(start.isNotNull() & end.isNotNull(), doc)
 
 
 def _windowed(configs: DataFrame, process_type: str, date_type: str, today) -> DataFrame:
@@ -128,18 +129,25 @@ def load_plan(configs: DataFrame, job_type: str, process_type: str, date_type: s
 def configs_frame(spark, job_parameters: list[dict]):
     """Configuration table from a list of job-parameter records (metadata, one row each).
 
-    ``merge_keys`` given as a list is stored as comma text (the job accepts both)."""
+    ``params`` travels as JSON text and is parsed with ``from_json`` so the map
+    keeps the declaration order; ``merge_keys`` given as a list is stored as
+    comma text (the job accepts both)."""
+    import json
     rows = []
     for c in job_parameters or []:
         r = dict(c)
         mk = r.get("merge_keys")
         if isinstance(mk, (list, tuple)):
             r["merge_keys"] = ",".join(str(k) for k in mk)
+        r["params"] = json.dumps(r.get("params") or {})
         rows.append({k: r.get(k) for k in (
             "name", "path_name_input", "file_name", "partition_key_raw", "params", "path_name_output",
             "catalog_database", "catalog_table", "merge_keys", "partition_key_staging", "excel_sheet",
             "partition_key_raw_path", "file_name_excel")})
-    return spark.createDataFrame(rows, CONFIG_SCHEMA)
+    text_schema = CONFIG_SCHEMA.replace(f"params {PARAMS_TYPE}", "params string")
+    df = spark.createDataFrame(rows, text_schema)
+    return df.withColumn("params", F.from_json("params", PARAMS_TYPE)).select(*[c.split()[0] for c in
+                                                                             CONFIG_SCHEMA.split(", ")])
 
 
 def build_payloads(spark, event: dict, today=None) -> dict:
