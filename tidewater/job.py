@@ -74,6 +74,8 @@ class StagingArgs:
     fail_on_missing: bool = False
     # True: read only the first workbook of a directory (the original behaviour)
     excel_first_only: bool = False
+    # share of JSON files parsed for schema inference (None: all of them)
+    json_sampling_ratio: float | None = None
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -144,6 +146,8 @@ class StagingJob:
                 kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
                 if fmt == "excel":
                     kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
+                if fmt == "json" and self.args.json_sampling_ratio:
+                    kw["sampling_ratio"] = self.args.json_sampling_ratio
                 part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, **kw)
                 if part is None:
                     continue

@@ -46,13 +46,17 @@ def read_csv(spark: SparkSession, path, infer: bool = False, header: bool = True
 
 
 def read_json(spark: SparkSession, path, schema: StructType | None = None,
-              base_path: str | None = None, glob: str | None = "*.json") -> DataFrame:
+              base_path: str | None = None, glob: str | None = "*.json",
+              sampling_ratio: float | None = None) -> DataFrame:
     """Multi-line JSON (each file one document or an array of documents).
 
-    Without a schema Spark infers one (a pass over the files); supplying the
-    declared field names as text skips that pass.
+    Without a schema Spark infers one (a pass over the files, or over a
+    ``sampling_ratio`` share of them); supplying the declared field names as
+    text skips that pass.
     """
     r = spark.read.options(**JSON_OPTIONS)
+    if sampling_ratio:
+        r = r.option("samplingRatio", str(sampling_ratio))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if base_path:
