@@ -80,3 +80,9 @@ def test_first_only_reads_one_workbook(spark):
             f.write(xlsx.workbook_bytes({"S": (["n"], rows)}))
     assert xlsx.read_xlsx(spark, d).count() == 3
     assert [r.n for r in xlsx.read_xlsx(spark, d, first_only=True).collect()] == [1]
+
+
+def test_inner_blank_rows_kept_trailing_dropped(spark):
+    d = _write(spark, {"S": (["a", "b"], [(1, "x"), (None, None), (3, "z"), (None, None), (None, None)])})
+    rows = [tuple(r) for r in xlsx.read_xlsx(spark, d).collect()]
+    assert rows == [(1.0, "x"), (None, None), (3.0, "z")]

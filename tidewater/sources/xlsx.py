@@ -159,10 +159,12 @@ def _decode(sheet: str | None, header: bool):
                 out = []
                 row_no = 0
                 width = 0
+                last = 0  # sheet row number of the last emitted (or header) row
                 for rnum, cells in wb.rows(sheet):
                     if names is None:
                         if not cells:
                             continue
+                        last = rnum
                         width = max(cells) + 1
                         if header:
                             names = {}
@@ -177,6 +179,14 @@ def _decode(sheet: str | None, header: bool):
                                 names[i] = n
                             continue
                         names = {i: str(i) for i in range(width)}
+                        last = rnum - 1
+                    if not cells:
+                        continue  # blank rows count only when data follows them
+                    blank = {names[i]: {"kind": None, "text": None, "position": i} for i in names}
+                    for _ in range(rnum - last - 1):  # inner blank rows stay, trailing ones do not
+                        out.append((path, sheet or wb.sheets[0][0], row_no, dict(blank)))
+                        row_no += 1
+                    last = rnum
                     row = {names.get(i, f"Unnamed: {i}"): {"kind": k, "text": t, "position": i}
                            for i, (k, t) in cells.items()}
                     for i in names:
