@@ -68,7 +68,7 @@ def params_json(params: Column, start: Column, end: Column) -> Column:
               .when(k.isin(END_PARAM, CUT_PARAM), end)
               .otherwise(e["value"]["value"]))
         return F.struct(k.alias("name"), e["value"]["type"].alias("type"), v.alias("value"))
-    doc = json_ascii(F.to_json(F.transform(F.map_entries(params), entry)))
+    doc = json_ascii(F.to_json(F.transform(F.map_entries(params), entry), {"ignoreNullFields": "false"}))
     return F.when(start.isNotNull() & end.isNotNull(), doc)
 
 
