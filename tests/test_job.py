@@ -200,3 +200,21 @@ def test_validate_only_reports_without_writing(spark, zone):
     assert rows and all(st == "SUCCEEDED" and n > 0 for n, st in rows.values())
     from tidewater.sinks.table import StagingTable
     assert not StagingTable(spark, f"{zone['staging_root']}/never", ["fecha_carga"]).exists()
+
+
+def test_command_line_run(spark, zone):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "tidewater.job", "--job_name", "cli", "--project_name", "p",
+           "--path_name_raw", "ventas/ordenes", "--path_name_staging", "cli_out", "--catalog_database", "db",
+           "--catalog_table", "cli_out", "--merge_keys", "none", "--partition_key_staging", "add_fecha_carga",
+           "--partition_key_raw", "fecha", "--process_type", "FULL", "--date_type", "DAY_PRECISION",
+           "--start_date", "1996-01-01", "--end_date", "1996-01-03", "--excel_sheet", "-",
+           "--raw_root", zone["raw_root"], "--schema_root", zone["schema_root"], "--staging_root", zone["staging_root"]]
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    out = subprocess.run(cmd, cwd=repo, env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "StagingResult(status=" in out.stdout
+    n = zone["orders"].where("o_orderdate < '1996-01-04'").count()
+    assert spark.read.parquet(f"{zone['staging_root']}/cli_out").count() == n
