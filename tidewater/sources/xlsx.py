@@ -4,8 +4,8 @@ Workbooks are listed with the ``binaryFile`` source and decoded inside tasks
 (``mapInPandas``), one workbook at a time, rows streamed out in batches -- no
 workbook passes through the driver, and many workbooks load in parallel.
 
-Decoding yields one row per sheet row: ``cells`` maps each header to
-``(kind, text)``. Column types are then inferred with one aggregate over the
+Decoding yields one row per sheet row: positional ``names`` (the header),
+``kinds`` and ``texts`` arrays. Column types are then inferred with one aggregate over the
 cells (the rules pandas applies to a sheet):
 
 * no value at all -> STRING
@@ -39,16 +39,23 @@ EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 # -----------------------------------------------------------------------------
 
 CELLS_SCHEMA = ("path string, sheet string, row_index bigint, "
-                "cells map<string,struct<kind:string,text:string,position:int>>")
+                "names array<string>, kinds array<string>, texts array<string>")
 BATCH_ROWS = 5000
 
 
+_COL_CACHE: dict[str, int] = {}
+
+
 def _col_index(ref: str) -> int:
-    letters = re.match(r"[A-Z]+", ref).group(0)
-    n = 0
-    for ch in letters:
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
+    """Zero-based column of a cell reference such as ``AB12``."""
+    letters = ref.rstrip("0123456789")
+    idx = _COL_CACHE.get(letters)
+    if idx is None:
+        n = 0
+        for ch in letters:
+            n = n * 26 + (ord(ch) - 64)
+        idx = _COL_CACHE[letters] = n - 1
+    return idx
 
 
 def _is_date_format(code: str) -> bool:
@@ -65,7 +72,8 @@ def _serial_to_text(v: float) -> str:
 def _number_text(raw: str) -> tuple[str, str]:
     """Integral text stays an integer; anything with a point or exponent is a float."""
     raw = raw.strip()
-    if re.fullmatch(r"[+-]?\d+", raw):
+    digits = raw[1:] if raw[:1] in "+-" else raw
+    if digits.isdigit() and digits.isascii():
         return "int", str(int(raw))
     return "float", repr(float(raw))
 
@@ -150,12 +158,21 @@ class Workbook:
             el.clear()
 
 
+COLUMNS = ["path", "sheet", "row_index", "names", "kinds", "texts"]
+
+
+def blank_kinds(n: int) -> list:
+    return [None] * n
+
+
 def _decode(sheet: str | None, header: bool):
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 wb = Workbook(bytes(content))
                 names: dict[int, str] | None = None
+                header_names: list[str] | None = None
+                sheet_name = sheet or wb.sheets[0][0]
                 out = []
                 row_no = 0
                 width = 0
@@ -182,22 +199,28 @@ def _decode(sheet: str | None, header: bool):
                         last = rnum - 1
                     if not cells:
                         continue  # blank rows count only when data follows them
-                    blank = {names[i]: {"kind": None, "text": None, "position": i} for i in names}
+                    if header_names is None:
+                        width = max(max(names) + 1, width)
+                        header_names = [names.get(i, f"Unnamed: {i}") for i in range(width)]
                     for _ in range(rnum - last - 1):  # inner blank rows stay, trailing ones do not
-                        out.append((path, sheet or wb.sheets[0][0], row_no, dict(blank)))
+                        out.append((path, sheet_name, row_no, header_names, blank_kinds(len(header_names)),
+                                    blank_kinds(len(header_names))))
                         row_no += 1
                     last = rnum
-                    row = {names.get(i, f"Unnamed: {i}"): {"kind": k, "text": t, "position": i}
-                           for i, (k, t) in cells.items()}
-                    for i in names:
-                        row.setdefault(names[i], {"kind": None, "text": None, "position": i})
-                    out.append((path, sheet or wb.sheets[0][0], row_no, row))
+                    extra = max(cells) + 1 - len(header_names)
+                    if extra > 0:  # data wider than the header row
+                        header_names = header_names + [f"Unnamed: {len(header_names) + i}" for i in range(extra)]
+                    kinds = [None] * len(header_names)
+                    texts = [None] * len(header_names)
+                    for i, (k, t) in cells.items():
+                        kinds[i], texts[i] = k, t
+                    out.append((path, sheet_name, row_no, header_names, kinds, texts))
                     row_no += 1
                     if len(out) >= BATCH_ROWS:
-                        yield pd.DataFrame(out, columns=["path", "sheet", "row_index", "cells"])
+                        yield pd.DataFrame(out, columns=COLUMNS)
                         out = []
                 if out:
-                    yield pd.DataFrame(out, columns=["path", "sheet", "row_index", "cells"])
+                    yield pd.DataFrame(out, columns=COLUMNS)
     return run
 
 
@@ -216,10 +239,10 @@ def read_cells(spark: SparkSession, path, sheet: str | None = None, header: bool
 
 def infer_types(cells: DataFrame) -> DataFrame:
     """(column_name, position, spark_type) from one aggregate over the cells."""
-    e = cells.select(F.explode("cells").alias("column_name", "c"))
-    k = F.col("c.kind")
-    agg = e.groupBy("column_name").agg(
-        F.min("c.position").alias("position"),
+    e = cells.select(F.posexplode(F.arrays_zip("names", "kinds")).alias("position", "c"))
+    k = F.col("c.kinds")
+    agg = e.groupBy(F.col("c.names").alias("column_name")).agg(
+        F.min("position").alias("position"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(k.isNull()).alias("blank"),
         F.count_if(k == "int").alias("ints"),
@@ -238,11 +261,12 @@ def infer_types(cells: DataFrame) -> DataFrame:
 
 
 def typed_rows(cells: DataFrame, types: list[tuple[str, str]], ntz: bool = True) -> DataFrame:
-    """Project cells onto typed columns (one projection)."""
+    """Project cells onto typed columns (one projection); a workbook without a
+    column gives NULLs for it."""
     cols = []
     for name, t in types:
-        c = F.col("cells")[name]
-        text, kind = c["text"], c["kind"]
+        pos = F.array_position("names", F.lit(name))
+        text = F.when(pos > 0, F.element_at("texts", pos.cast("int")))
         if t == "bigint":
             v = text.try_cast("bigint")
         elif t == "double":
@@ -252,8 +276,7 @@ def typed_rows(cells: DataFrame, types: list[tuple[str, str]], ntz: bool = True)
         elif t == "timestamp":
             v = text.try_cast("timestamp_ntz" if ntz else "timestamp")
         else:
-            # numbers keep pandas' text form (1.0 for floats in mixed columns)
-            v = F.when(kind == "int", text).otherwise(text)
+            v = text
         cols.append(v.alias(name))
     return cells.select(*cols, F.col("path").alias("_source_path"))
 
