@@ -26,10 +26,15 @@ def _c(x) -> Column:
     return F.lit(x)
 
 
-def today_local(now_utc: datetime | None = None) -> str:
-    """Today's date in the local (Bogota, UTC-5, no DST since 1993) zone, driver side."""
+def today_local(now_utc: datetime | None = None, tz: str = LOCAL_TZ) -> str:
+    """Today's date in the local zone (driver side; the plan's "today")."""
     now_utc = now_utc or datetime.now(timezone.utc)
-    return (now_utc.astimezone(timezone.utc) - timedelta(hours=5)).strftime("%Y-%m-%d")
+    try:
+        from zoneinfo import ZoneInfo
+        zone = ZoneInfo(tz)
+    except Exception:  # no time zone database: Bogota has been UTC-5 without DST since 1993
+        zone = timezone(timedelta(hours=-5))
+    return now_utc.astimezone(zone).strftime("%Y-%m-%d")
 
 
 def local_date(ts_utc: Column | str, tz: str = LOCAL_TZ) -> Column:
