@@ -95,3 +95,15 @@ def test_sink_schema_evolution_widens_and_adds(spark):
     assert dict(out.dtypes)["n"] == "bigint" and "extra" in out.columns
     assert sorted(tuple(r) for r in out.select("id", "n", "p", "extra").collect()) == \
         [(1, 1, "a", None), (2, 3000000000, "b", "x")]
+
+
+def test_sink_merge_with_date_partition_column(spark):
+    import datetime as dt
+
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, scratch_path(spark, "sink-date"), ["d"])
+    t.merge(spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "id int, d date"), ["id"])
+    t.merge(spark.createDataFrame([(2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 3))], "id int, d date"), ["id"])
+    got = sorted(tuple(r) for r in t.read().select("id", "d").collect())
+    assert got == [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-03")]

@@ -211,6 +211,8 @@ class StagingTable:
             in_touched = target.where(cond)
         else:
             in_touched = target.join(touched_df, on=p, how="left_semi")
+        # partition values come back from the paths as text: give them the batch's types
+        in_touched = in_touched.withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
         new_content = M.merge_upsert(in_touched, df, keys)
         self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]))
         self._cleanup()
