@@ -42,6 +42,22 @@ def iceberg_catalog(spark: SparkSession, table: str) -> bool:
     return bool(impl) and "iceberg" in impl.lower()
 
 
+# --- fixed values: characters Spark escapes in partition directory names -------
+PATH_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# -----------------------------------------------------------------------------
+
+
+def partition_path_value(v) -> str:
+    """A partition value as Spark writes it in a directory name."""
+    if v is None or v == "":
+        return DEFAULT_PARTITION
+    out = []
+    for ch in str(v):
+        out.append(f"%{ord(ch):02X}" if (ch in PATH_ESCAPED or ord(ch) < 0x20) else ch)
+    return "".join(out)
+
+
 class StagingTable:
     def __init__(self, spark: SparkSession, path: str, partition_cols: list[str], name: str | None = None):
         self.spark = spark
@@ -214,7 +230,11 @@ class StagingTable:
         # partition values come back from the paths as text: give them the batch's types
         in_touched = in_touched.withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
         new_content = M.merge_upsert(in_touched, df, keys)
-        self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]))
+        stage = self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]))
+        # a touched partition whose rows all moved away is absent from the new
+        # content, so the dynamic overwrite leaves it alone: drop it explicitly
+        if len(touched) <= MAX_LITERAL_PARTITIONS:
+            self._drop_emptied(touched, stage)
         self._cleanup()
 
     # -- internals ----------------------------------------------------------------
@@ -255,13 +275,27 @@ class StagingTable:
         with text_partitions(self.spark):
             return self.spark.read.parquet(path)
 
-    def _write_dynamic(self, df: DataFrame) -> None:
+    def _write_dynamic(self, df: DataFrame) -> str:
         """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""
         stage = self._staging_dir()
         self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
         staged = self._read_text_partitions(stage).select(*[F.col(_q(c)) for c in df.columns])
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_cols).parquet(self.path))
+        return stage
+
+    def _drop_emptied(self, touched: list[tuple], stage: str) -> None:
+        """Delete table partitions that were touched but have no rows any more."""
+        fs, _ = self._fs(self.path)
+        if fs is None:
+            return
+        jvm = self.spark.sparkContext._jvm
+        for t in touched:
+            rel = "/".join(f"{c}={partition_path_value(v)}" for c, v in zip(self.partition_cols, t))
+            staged = jvm.org.apache.hadoop.fs.Path(f"{stage}/{rel}")
+            target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{rel}")
+            if not fs.exists(staged) and fs.exists(target):
+                fs.delete(target, True)
 
     def _rewrite_all(self, fn) -> None:
         stage = self._staging_dir()
