@@ -46,3 +46,18 @@ def test_micro_batches_merge_in_order(spark):
                         max_files_per_trigger=1)
     assert len(q.recentProgress) >= 2
     assert table.read().count() == n
+
+
+def test_stream_follows_file_header_order(spark):
+    import os
+
+    from tidewater.session import local_path
+    root = scratch_path(spark, "stream-order")
+    d = os.path.join(local_path(root), "raw", "fecha=2024-01-01")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("TotalPrice;Extra;OrderKey\n10.5;x;1\n20.0;y;2\n")
+    table = StagingTable(spark, f"{root}/table", ["fecha_carga"])
+    run_incremental(spark, f"{root}/raw", FIELDS, table, "order_key", "fecha", "add_fecha_carga",
+                    checkpoint=f"{root}/ckpt")
+    assert sorted(tuple(r) for r in table.read().select("order_key", "total_price").collect()) == [(1, 10.5), (2, 20.0)]

@@ -86,3 +86,13 @@ def test_inner_blank_rows_kept_trailing_dropped(spark):
     d = _write(spark, {"S": (["a", "b"], [(1, "x"), (None, None), (3, "z"), (None, None), (None, None)])})
     rows = [tuple(r) for r in xlsx.read_xlsx(spark, d).collect()]
     assert rows == [(1.0, "x"), (None, None), (3.0, "z")]
+
+
+def test_extension_match_is_case_insensitive(spark):
+    from tidewater.sources import files
+    d = scratch_path(spark, "csv-upper")
+    p = local_path(d)
+    os.makedirs(p, exist_ok=True)
+    with open(os.path.join(p, "DATA.CSV"), "w") as f:
+        f.write("id;name\n1;a\n")
+    assert files.read_csv(spark, d).count() == 1

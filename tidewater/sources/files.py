@@ -37,16 +37,21 @@ def csv_reader(spark: SparkSession, infer: bool = False, header: bool = True, de
     return spark.read.options(**opts)
 
 
+def ext_glob(ext: str) -> str:
+    """Case-insensitive file-name glob for an extension (``*.[cC][sS][vV]``)."""
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in ext)
+
+
 def read_csv(spark: SparkSession, path, infer: bool = False, header: bool = True,
              delimiter: str = ";", base_path: str | None = None, null_value: str | None = "\\N") -> DataFrame:
-    r = csv_reader(spark, infer, header, delimiter, null_value).option("pathGlobFilter", "*.csv")
+    r = csv_reader(spark, infer, header, delimiter, null_value).option("pathGlobFilter", ext_glob("csv"))
     if base_path:
         r = r.option("basePath", base_path)
     return r.csv(path)
 
 
 def read_json(spark: SparkSession, path, schema: StructType | None = None,
-              base_path: str | None = None, glob: str | None = "*.json",
+              base_path: str | None = None, glob: str | None = "*.[jJ][sS][oO][nN]",
               sampling_ratio: float | None = None) -> DataFrame:
     """Multi-line JSON (each file one document or an array of documents).
 

@@ -227,7 +227,7 @@ def _decode(sheet: str | None, header: bool):
 def read_cells(spark: SparkSession, path, sheet: str | None = None, header: bool = True,
                first_only: bool = False) -> DataFrame:
     """One row per sheet row of every workbook under ``path``: (path, sheet, row_index, cells)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]").load(path)
     if first_only:
         # the first workbook (by key order) of each directory; decided on paths only,
         # so no workbook content is read for the choice

@@ -19,21 +19,34 @@ from tidewater.operators import merge as M
 from tidewater.operators import project, validate
 from tidewater.session import shared_dir
 from tidewater.sinks.table import StagingTable
-from tidewater.sources.files import CSV_OPTIONS, text_schema
+from tidewater.sources.files import CSV_OPTIONS, ext_glob, text_schema
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, fields: list[dict], partition_key: str,
                fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of a Hive-partitioned raw directory, every column as text."""
-    schema = text_schema([f["name"] for f in fields], partition_key)
+    """Streaming read of a Hive-partitioned raw directory, every column as text.
+
+    A streaming CSV source maps columns by position, so the stream schema
+    follows the header of the files already present (read once, header only);
+    the declared names are the fallback for an empty directory.
+    """
+    names = [f["name"] for f in fields]
+    if fmt == "csv":
+        try:
+            header = (spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", ext_glob("csv"))
+                      .csv(raw_dir).columns)
+            names = [c for c in header if c != partition_key] or names
+        except Exception:  # nothing there yet
+            pass
+    schema = text_schema(names, partition_key)
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if fmt == "csv":
-        r = r.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
+        r = r.options(**CSV_OPTIONS).option("pathGlobFilter", ext_glob("csv"))
         return r.csv(raw_dir)
     if fmt == "json":
-        return r.option("multiLine", "true").option("pathGlobFilter", "*.json").json(raw_dir)
+        return r.option("multiLine", "true").option("pathGlobFilter", ext_glob("json")).json(raw_dir)
     raise ValueError(f"Unsupported streaming raw format: {fmt}")
 
 
