@@ -218,3 +218,26 @@ def test_command_line_run(spark, zone):
     assert "StagingResult(status=" in out.stdout
     n = zone["orders"].where("o_orderdate < '1996-01-04'").count()
     assert spark.read.parquet(f"{zone['staging_root']}/cli_out").count() == n
+
+
+def test_csv_partitions_with_different_column_order(spark):
+    from tidewater.session import local_path
+    root = scratch_path(spark, "zone-order")
+    raw = local_path(f"{root}/raw/orden")
+    for d, txt in (("mes=2025-01", "id;valor\n1;10\n2;20\n"), ("mes=2025-02", "valor;id\n30;3\n")):
+        os.makedirs(os.path.join(raw, d), exist_ok=True)
+        with open(os.path.join(raw, d, "x.csv"), "w") as f:
+            f.write(txt)
+    sdir = local_path(f"{root}/schema/orden")
+    os.makedirs(sdir, exist_ok=True)
+    with open(os.path.join(sdir, "schema.json"), "w") as f:
+        json.dump({"fields": [{"name": "id", "type": "int", "converted_type": "int"},
+                              {"name": "valor", "type": "int", "converted_type": "int"}]}, f)
+    args = StagingArgs(job_name="x", project_name="p", path_name_raw="orden", path_name_staging="orden",
+                       catalog_database="db", catalog_table="orden", merge_keys="id", partition_key_staging="add_mes_carga",
+                       partition_key_raw="mes", process_type="FULL", date_type="MONTH_PRECISION",
+                       start_date="2025-01", end_date="2025-02",
+                       raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
+    StagingJob(spark, args).run()
+    t = spark.read.parquet(f"{root}/staging/orden")
+    assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 10), (2, 20), (3, 30)]

@@ -123,7 +123,7 @@ class StagingJob:
         return list(row["partitions"]), raw_key
 
     # -- step 2 --------------------------------------------------------------
-    def read(self, parts: list[str], raw_key: str, schema: Schema) -> DataFrame | None:
+    def read(self, parts: list[str], raw_key: str, schema: Schema, split_csv: bool = False) -> DataFrame | None:
         if self.file_name_excel:
             path = self._resolve_file(self.file_name_excel)
             fmt = "excel" if path.lower().endswith(".xlsx") else ("json" if path.lower().endswith(".json") else "csv")
@@ -148,6 +148,13 @@ class StagingJob:
                     kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
                 if fmt == "json" and self.args.json_sampling_ratio:
                     kw["sampling_ratio"] = self.args.json_sampling_ratio
+                if fmt == "csv" and split_csv:
+                    # one read per partition: each partition keeps its own header
+                    for v in values:
+                        one = files.read_partitions(self.spark, self.table_raw_path, raw_key, [v], fmt, **kw)
+                        if one is not None:
+                            frames.append(one)
+                    continue
                 part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, **kw)
                 if part is None:
                     continue
@@ -240,18 +247,25 @@ class StagingJob:
 
         table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
         try:
-            return self._load(parts, schema, raw, table, to_add, merge_keys)
+            return self._load(parts, schema, raw, table, to_add, merge_keys, raw_key)
         finally:
             table._cleanup()
 
-    def _load(self, parts, schema, raw, table, to_add, merge_keys) -> StagingResult:
+    def _load(self, parts, schema, raw, table, to_add, merge_keys, raw_key=None) -> StagingResult:
         a = self.args
         if self.materialise_raw:
             # The only pass over the raw files (CSV/JSON/workbook parsing): a columnar
             # copy in the table's staging folder, which also cuts the lineage. The
             # profile, the casts and the write all read this copy.
             copy = f"{table._staging_dir()}/raw"
-            raw.write.mode("overwrite").parquet(copy)
+            try:
+                raw.write.mode("overwrite").parquet(copy)
+            except Exception as e:
+                if "CSV header does not conform" not in str(e) or self.file_name_excel:
+                    raise
+                # headers differ between partitions: read each partition on its own
+                raw = self.read(parts, raw_key, schema, split_csv=True)
+                raw.write.mode("overwrite").parquet(copy)
             raw = self.spark.read.parquet(copy)
 
         # one aggregate: per-partition row counts and every validation counter

@@ -34,6 +34,10 @@ def csv_reader(spark: SparkSession, infer: bool = False, header: bool = True, de
     # Without inference every column is text: no extra pass over the data,
     # and validation checks the text against the declared types instead.
     opts["inferSchema"] = str(infer).lower()
+    # Every file's header is checked against the columns taken from the first
+    # file: a column-order change between files fails loudly instead of
+    # silently shifting values (the CSV reader maps columns by position).
+    opts["enforceSchema"] = "false"
     return spark.read.options(**opts)
 
 
