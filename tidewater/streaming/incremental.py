@@ -43,7 +43,8 @@ def raw_stream(spark: SparkSession, raw_dir: str, fields: list[dict], partition_
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if fmt == "csv":
-        r = r.options(**CSV_OPTIONS).option("pathGlobFilter", ext_glob("csv"))
+        # headers of later files are checked against the stream schema (fail, never shift)
+        r = r.options(**CSV_OPTIONS).option("enforceSchema", "false").option("pathGlobFilter", ext_glob("csv"))
         return r.csv(raw_dir)
     if fmt == "json":
         return r.option("multiLine", "true").option("pathGlobFilter", ext_glob("json")).json(raw_dir)
