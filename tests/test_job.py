@@ -241,3 +241,25 @@ def test_csv_partitions_with_different_column_order(spark):
     StagingJob(spark, args).run()
     t = spark.read.parquet(f"{root}/staging/orden")
     assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 10), (2, 20), (3, 30)]
+
+
+def test_json_with_declared_schema_skips_inference(spark):
+    from tidewater.session import local_path
+    root = scratch_path(spark, "zone-json")
+    raw = local_path(f"{root}/raw/js")
+    os.makedirs(os.path.join(raw, "mes=2025-01"), exist_ok=True)
+    with open(os.path.join(raw, "mes=2025-01", "a.json"), "w") as f:
+        f.write('[{"id": 1, "valor": 1.5, "extra": "x"}, {"id": 2, "valor": null}]')
+    sdir = local_path(f"{root}/schema/js")
+    os.makedirs(sdir, exist_ok=True)
+    with open(os.path.join(sdir, "schema.json"), "w") as f:
+        json.dump({"fields": [{"name": "id", "type": "long", "converted_type": "bigint", "nullable": False},
+                              {"name": "valor", "type": "double", "converted_type": "double"}]}, f)
+    args = StagingArgs(job_name="x", project_name="p", path_name_raw="js", path_name_staging="js",
+                       catalog_database="db", catalog_table="js", merge_keys="id", partition_key_staging="add_mes_carga",
+                       partition_key_raw="mes", process_type="FULL", date_type="MONTH_PRECISION",
+                       start_date="2025-01", end_date="2025-01", json_declared_schema=True,
+                       raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
+    StagingJob(spark, args).run()
+    t = spark.read.parquet(f"{root}/staging/js")
+    assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 1.5), (2, None)]

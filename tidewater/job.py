@@ -76,6 +76,9 @@ class StagingArgs:
     excel_first_only: bool = False
     # share of JSON files parsed for schema inference (None: all of them)
     json_sampling_ratio: float | None = None
+    # True: read JSON with the declared names as text (no inference pass); a
+    # declared column absent from every record then reports as all-NULL
+    json_declared_schema: bool = False
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -146,7 +149,9 @@ class StagingJob:
                 kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
                 if fmt == "excel":
                     kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
-                if fmt == "json" and self.args.json_sampling_ratio:
+                if fmt == "json" and self.args.json_declared_schema:
+                    kw["schema"] = files.text_schema(schema.names, raw_key)
+                elif fmt == "json" and self.args.json_sampling_ratio:
                     kw["sampling_ratio"] = self.args.json_sampling_ratio
                 if fmt == "csv" and split_csv:
                     # one read per partition: each partition keeps its own header
