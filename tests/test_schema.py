@@ -60,3 +60,15 @@ def test_load_schema_from_storage(spark):
         load_schema(spark, _doc(spark, "{not json"))
     with pytest.raises(FileNotFoundError):
         load_schema(spark, scratch_path(spark, "nothing") + "/schema.json")
+
+
+def test_fields_from_json_column(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.sources.schema_docs import fields_from_json
+    docs = spark.createDataFrame([('{"fields":[{"name":"id","type":"int","nullable":false},{"name":"x","type":"string"}]}',),
+                                  ("{bad",)], "doc string")
+    out = docs.select(F.size(fields_from_json("doc")).alias("n"), fields_from_json("doc")[0]["name"].alias("first"))
+    rows = [tuple(r) for r in out.collect()]
+    assert rows[0] == (2, "id")
+    assert rows[1][1] is None
