@@ -263,3 +263,8 @@ def test_json_with_declared_schema_skips_inference(spark):
     StagingJob(spark, args).run()
     t = spark.read.parquet(f"{root}/staging/js")
     assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 1.5), (2, None)]
+
+
+def test_unknown_partition_or_merge_column(spark, zone):
+    with pytest.raises(ValueError, match="not in the staged data"):
+        StagingJob(spark, _args(zone, merge_keys="no_such_key", start_date="1996-01-02", end_date="1996-01-02")).run()

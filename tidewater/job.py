@@ -296,6 +296,10 @@ class StagingJob:
         df = project.select_rename(df, list(schema.fields), keep=to_add)
         df = project.normalize_column_names(df)
 
+        missing = [k for k in table.partition_cols + (merge_keys or []) if k not in df.columns]
+        if missing:
+            raise ValueError(f"Staging partition or merge columns not in the staged data: {missing}; "
+                             f"columns are {df.columns}")
         table.create(df)
         if merge_keys is None:
             table.overwrite_partitions(df)
