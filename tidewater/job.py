@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates as D
-from tidewater.functions.params import entity_from_path
+from tidewater.functions.params import entity_from_path, format_of_path
 from tidewater.operators import merge as M
 from tidewater.operators import project, report, validate
 from tidewater.plans.partitions import plan_partitions
@@ -202,9 +202,12 @@ class StagingJob:
         glob = files.partition_glob(self.table_raw_path, raw_key, parts)
         try:
             inv = files.file_inventory(self.spark, glob)
-            det = (files.detect_formats(inv)
-                        .select(F.regexp_extract("directory", f"/{raw_key}=([^/]+)$", 1).alias("value"), "format")
-                        .collect())
+            # group by partition value (files may sit in sub-folders of a partition)
+            value = F.regexp_extract("path", f"/{raw_key}=([^/]+)/", 1)
+            fmt = format_of_path(F.col("path"))
+            det = (inv.groupBy(value.alias("value"))
+                      .agg(F.min_by(fmt, F.when(fmt.isNotNull(), F.col("path"))).alias("format"))
+                      .collect())
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
