@@ -87,7 +87,11 @@ def shared_dir(spark: SparkSession) -> str:
         if not path and sc is not None:
             path = sc.getConf().get("spark.checkpoint.dir", None)
         if not path:
-            path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+            master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+            if master and not master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder every executor can reach "
+                                 "(a machine-local temporary folder would lose scratch data)")
+            path = tempfile.mkdtemp(prefix="tidewater-ckpt-")  # local mode (tests) only
         if sc is not None:
             sc.setCheckpointDir(path)
             try:
