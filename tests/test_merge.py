@@ -107,3 +107,35 @@ def test_sink_merge_with_date_partition_column(spark):
     t.merge(spark.createDataFrame([(2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 3))], "id int, d date"), ["id"])
     got = sorted(tuple(r) for r in t.read().select("id", "d").collect())
     assert got == [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-03")]
+
+
+class _RecordingSpark:
+    """A session stand-in that records catalog SQL (no Iceberg runtime here)."""
+
+    def __init__(self, spark, exists=True):
+        self._spark, self.statements = spark, []
+        self.catalog = type("C", (), {"tableExists": staticmethod(lambda name: exists)})()
+        self.conf = type("Conf", (), {"get": staticmethod(
+            lambda k, d=None: "org.apache.iceberg.spark.SparkCatalog" if k == "spark.sql.catalog.ice" else d)})()
+
+    def sql(self, text):
+        self.statements.append(" ".join(text.split()))
+
+    def table(self, name):
+        return self._spark.createDataFrame([(1, 1, "a")], "id int, n int, p string")
+
+    def __getattr__(self, item):
+        return getattr(self._spark, item)
+
+
+def test_iceberg_statements(spark):
+    from tidewater.sinks.table import StagingTable
+    rec = _RecordingSpark(spark)
+    t = StagingTable(rec, "/unused", ["p"], name="ice.db.t")
+    assert t.iceberg
+    batch = spark.createDataFrame([(2, 5, "b", "x")], "id int, n bigint, p string, extra string")
+    t.merge(batch, ["id"], check_duplicates=False)
+    assert rec.statements[0] == "ALTER TABLE ice.db.t ALTER COLUMN `n` TYPE bigint"
+    assert rec.statements[1] == "ALTER TABLE ice.db.t ADD COLUMN `extra` string"
+    assert rec.statements[2].startswith("MERGE INTO ice.db.t t USING tidewater_src_")
+    assert rec.statements[2].endswith("ON t.`id` = s.`id` WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
