@@ -114,11 +114,11 @@ class StagingJob:
     def plan(self) -> tuple[list[str], str]:
         a = self.args
         today = a.today or D.today_local()
-        cfg = self.spark.createDataFrame(
-            [(a.process_type, a.date_type, a.start_date or None, a.end_date or None, a.partition_key_raw,
-              self.file_name_excel)],
-            "process_type string, date_type string, start_date string, end_date string, "
-            "partition_key_raw string, file_name_excel string")
+        lit = lambda v: F.lit(v).cast("string")
+        cfg = self.spark.range(1).select(
+            lit(a.process_type).alias("process_type"), lit(a.date_type).alias("date_type"),
+            lit(a.start_date or None).alias("start_date"), lit(a.end_date or None).alias("end_date"),
+            lit(a.partition_key_raw).alias("partition_key_raw"), lit(self.file_name_excel).alias("file_name_excel"))
         row = plan_partitions(cfg, today).first()
         if row["plan_error"]:
             raise ValueError(row["plan_error"])
