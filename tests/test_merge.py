@@ -139,3 +139,12 @@ def test_iceberg_statements(spark):
     assert rec.statements[1] == "ALTER TABLE ice.db.t ADD COLUMN `extra` string"
     assert rec.statements[2].startswith("MERGE INTO ice.db.t t USING tidewater_src_")
     assert rec.statements[2].endswith("ON t.`id` = s.`id` WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+def test_sink_moves_keys_out_of_escaped_partitions(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, scratch_path(spark, "sink-escape"), ["p"])
+    t.merge(spark.createDataFrame([(1, "a:b/c"), (2, "x=y")], "id int, p string"), ["id"])
+    t.merge(spark.createDataFrame([(1, "plain"), (2, "x=y")], "id int, p string"), ["id"])
+    assert sorted(tuple(r) for r in t.read().select("id", "p").collect()) == [(1, "plain"), (2, "x=y")]

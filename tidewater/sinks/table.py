@@ -18,6 +18,7 @@ the table. Executor loss inside either step is retried by Spark's task retry.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -42,20 +43,14 @@ def iceberg_catalog(spark: SparkSession, table: str) -> bool:
     return bool(impl) and "iceberg" in impl.lower()
 
 
-# --- fixed values: characters Spark escapes in partition directory names -------
-PATH_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+# --- fixed values: Spark's directory name for a NULL partition value ----------
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # -----------------------------------------------------------------------------
 
 
-def partition_path_value(v) -> str:
-    """A partition value as Spark writes it in a directory name."""
-    if v is None or v == "":
-        return DEFAULT_PARTITION
-    out = []
-    for ch in str(v):
-        out.append(f"%{ord(ch):02X}" if (ch in PATH_ESCAPED or ord(ch) < 0x20) else ch)
-    return "".join(out)
+def unquote_partition_value(text: str) -> str:
+    """Inverse of Spark's partition-path escaping (``%XX`` -> character)."""
+    return re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), text)
 
 
 class StagingTable:
@@ -284,18 +279,40 @@ class StagingTable:
                .partitionBy(*self.partition_cols).parquet(self.path))
         return stage
 
+    def _partition_dirs(self, fs, root: str) -> dict:
+        """Partition directories under ``root``: {(value, ...): Path}, values unescaped
+        the way Spark reads them back (``%XX`` decoded, the default name -> None)."""
+        jvm = self.spark.sparkContext._jvm
+        level = [((), jvm.org.apache.hadoop.fs.Path(root))]
+        for col in self.partition_cols:
+            nxt = []
+            for vals, path in level:
+                if not fs.exists(path):
+                    continue
+                for st in fs.listStatus(path):
+                    name = st.getPath().getName()
+                    if st.isDirectory() and name.startswith(f"{col}="):
+                        raw = name[len(col) + 1:]
+                        v = None if raw == DEFAULT_PARTITION else unquote_partition_value(raw)
+                        nxt.append((vals + (v,), st.getPath()))
+            level = nxt
+        return dict(level)
+
     def _drop_emptied(self, touched: list[tuple], stage: str) -> None:
-        """Delete table partitions that were touched but have no rows any more."""
+        """Delete table partitions that were touched but have no rows any more.
+
+        Both sides are listed (no path is rebuilt from values), so a partition is
+        only removed when the staged new content really has no directory for it.
+        """
         fs, _ = self._fs(self.path)
         if fs is None:
             return
-        jvm = self.spark.sparkContext._jvm
+        staged = self._partition_dirs(fs, stage)
+        current = self._partition_dirs(fs, self.path)
         for t in touched:
-            rel = "/".join(f"{c}={partition_path_value(v)}" for c, v in zip(self.partition_cols, t))
-            staged = jvm.org.apache.hadoop.fs.Path(f"{stage}/{rel}")
-            target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{rel}")
-            if not fs.exists(staged) and fs.exists(target):
-                fs.delete(target, True)
+            key = tuple(None if v is None else str(v) for v in t)
+            if key not in staged and key in current:
+                fs.delete(current[key], True)
 
     def _rewrite_all(self, fn) -> None:
         stage = self._staging_dir()
