@@ -279,12 +279,15 @@ class StagingTable:
                .partitionBy(*self.partition_cols).parquet(self.path))
         return stage
 
-    def _partition_dirs(self, fs, root: str) -> dict:
-        """Partition directories under ``root``: {(value, ...): Path}, values unescaped
-        the way Spark reads them back (``%XX`` decoded, the default name -> None)."""
+    def _partition_dirs(self, fs, root: str, wanted: set[tuple]) -> dict:
+        """Partition directories under ``root`` for the ``wanted`` value tuples:
+        {(value, ...): Path}, values unescaped the way Spark reads them back
+        (``%XX`` decoded, the default name -> None). Only prefixes of wanted
+        tuples are descended into, so one listing per level and wanted prefix."""
         jvm = self.spark.sparkContext._jvm
         level = [((), jvm.org.apache.hadoop.fs.Path(root))]
-        for col in self.partition_cols:
+        for depth, col in enumerate(self.partition_cols, start=1):
+            prefixes = {w[:depth] for w in wanted}
             nxt = []
             for vals, path in level:
                 if not fs.exists(path):
@@ -294,7 +297,8 @@ class StagingTable:
                     if st.isDirectory() and name.startswith(f"{col}="):
                         raw = name[len(col) + 1:]
                         v = None if raw == DEFAULT_PARTITION else unquote_partition_value(raw)
-                        nxt.append((vals + (v,), st.getPath()))
+                        if vals + (v,) in prefixes:
+                            nxt.append((vals + (v,), st.getPath()))
             level = nxt
         return dict(level)
 
@@ -307,10 +311,10 @@ class StagingTable:
         fs, _ = self._fs(self.path)
         if fs is None:
             return
-        staged = self._partition_dirs(fs, stage)
-        current = self._partition_dirs(fs, self.path)
-        for t in touched:
-            key = tuple(None if v is None else str(v) for v in t)
+        wanted = {tuple(None if v is None else str(v) for v in t) for t in touched}
+        staged = self._partition_dirs(fs, stage, wanted)
+        current = self._partition_dirs(fs, self.path, wanted)
+        for key in wanted:
             if key not in staged and key in current:
                 fs.delete(current[key], True)
 
