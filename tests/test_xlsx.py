@@ -96,3 +96,10 @@ def test_extension_match_is_case_insensitive(spark):
     with open(os.path.join(p, "DATA.CSV"), "w") as f:
         f.write("id;name\n1;a\n")
     assert files.read_csv(spark, d).count() == 1
+
+
+def test_data_wider_than_header(spark):
+    d = _write(spark, {"S": (["a"], [(1,), (2, 7)])})
+    types = {r[0]: r[2] for r in xlsx.infer_types(xlsx.read_cells(spark, d)).collect()}
+    assert types == {"a": "bigint", "Unnamed: 1": "double"}
+    assert [tuple(r) for r in xlsx.read_xlsx(spark, d).collect()] == [(1, None), (2, 7.0)]

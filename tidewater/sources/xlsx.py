@@ -238,19 +238,29 @@ def read_cells(spark: SparkSession, path, sheet: str | None = None, header: bool
 
 
 def infer_types(cells: DataFrame) -> DataFrame:
-    """(column_name, position, spark_type) from one aggregate over the cells."""
-    e = cells.select(F.posexplode(F.arrays_zip("names", "kinds")).alias("position", "c"))
+    """(column_name, position, spark_type) from aggregates over the cells.
+
+    Counts are taken per workbook and column first: a column exists for every
+    row of a workbook once any row has it (rows before a wider data row count
+    as blanks, as in a sheet read whole), then summed over workbooks.
+    """
+    e = cells.select("path", F.posexplode(F.arrays_zip("names", "kinds")).alias("position", "c"))
     k = F.col("c.kinds")
-    agg = e.groupBy(F.col("c.names").alias("column_name")).agg(
+    per_col = e.groupBy("path", F.col("c.names").alias("column_name")).agg(
         F.min("position").alias("position"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(k.isNull()).alias("blank"),
+        F.count_if(k.isNotNull()).alias("present"),
         F.count_if(k == "int").alias("ints"),
         F.count_if(k == "float").alias("floats"),
         F.count_if(k == "bool").alias("bools"),
-        F.count_if(k == "date").alias("dates"),
-        F.count_if(k == "str").alias("strs"))
-    present = F.col("n") - F.col("blank")
+        F.count_if(k == "date").alias("dates"))
+    rows = cells.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    agg = per_col.join(rows, "path").groupBy("column_name").agg(
+        F.min("position").alias("position"),
+        F.sum(F.col("rows") - F.col("present")).alias("blank"),
+        F.sum("present").alias("present"),
+        F.sum("ints").alias("ints"), F.sum("floats").alias("floats"),
+        F.sum("bools").alias("bools"), F.sum("dates").alias("dates"))
+    present = F.col("present")
     t = (F.when(present == 0, "string")
           .when((F.col("ints") == present) & (F.col("blank") == 0), "bigint")
           .when(F.col("ints") + F.col("floats") == present, "double")
