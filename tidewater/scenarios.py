@@ -207,6 +207,7 @@ def read_raw_orders(spark: SparkSession, sf_dir: str, months: list[str] | None =
 # --- projections -------------------------------------------------------------
 
 def q_select_rename(spark, sf):
+    """Raw orders with CamelCase names + an unused column; keep schema columns, rename (converted_name or snake_case)."""
     o = T(spark, sf, "orders")
     raw = o.select(F.col("o_orderkey").alias("OrderKey"), F.col("o_custkey").alias("CustKey"),
                    F.col("o_totalprice").alias("TotalPrice"), F.col("o_orderstatus").alias("EstadoSinUso"))
@@ -218,6 +219,7 @@ def q_select_rename(spark, sf):
 
 
 def q_normalize_names(spark, sf):
+    """P1+P3: accented, spaced customer column names -> snake_case -> accent folding, año->anio, slug."""
     c = T(spark, sf, "customer")
     raw = c.select(F.col("c_custkey").alias("CustomerID"), F.col("c_name").alias("Nómbre Completo"),
                    F.col("c_acctbal").alias("Año Saldo"), F.col("c_mktsegment").alias("Segmento"),
@@ -228,28 +230,33 @@ def q_normalize_names(spark, sf):
 
 
 def q_snake_case_values(spark, sf):
+    """P2 over values: CamelCase text built from part names and types -> snake_case."""
     p = T(spark, sf, "part")
     camel = F.concat(F.regexp_replace(F.initcap("p_name"), " ", ""), F.col("p_type"))
     return p.select("p_partkey", names.snake_case_col(camel).alias("snake"))
 
 
 def q_accent_fold(spark, sf):
+    """E5/E6 over whole document texts: accent folding and the año->anio word rule."""
     d = T(spark, sf, "documents")
     return d.select("doc_id", names.fold_accents_col("text").alias("folded"))
 
 
 def q_slugify(spark, sf):
+    """E7 over page URLs: non-word characters -> '_', collapsed and stripped."""
     p = T(spark, sf, "pages")
     return p.select("page_id", names.slugify_col("url").alias("slug"))
 
 
 def q_sheet_key(spark, sf):
+    """Sheet names with odd whitespace -> schema folder key."""
     c = T(spark, sf, "customer")
     sheet = F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(NBSP + " "), F.col("c_name"), F.lit("\t"))
     return c.select("c_custkey", names.sheet_key_col(sheet).alias("sheet_key"))
 
 
 def q_add_partition_col(spark, sf):
+    """P4/P5: 'add_' staging keys become literal partition columns."""
     e = T(spark, sf, "events").select("event_id", "event_type")
     keys, to_add = project.split_partition_keys("add_fecha_carga, event_type")
     for k in to_add:
@@ -258,6 +265,7 @@ def q_add_partition_col(spark, sf):
 
 
 def q_cast_by_schema(spark, sf):
+    """Lineitem as text, cast by declared converted types in one projection, then renamed."""
     raw = text_cols(T(spark, sf, "lineitem"))
     fields = [{"name": "l_orderkey", "type": "string", "converted_type": "bigint"},
               {"name": "l_linenumber", "type": "string", "converted_type": "integer"},
@@ -268,6 +276,7 @@ def q_cast_by_schema(spark, sf):
 
 
 def q_cast_int(spark, sf):
+    """Decimal text (truncated) and 'n/a' -> int."""
     li = T(spark, sf, "lineitem")
     txt = F.when(F.col("l_linenumber") == 3, F.lit("n/a")).otherwise(
         F.concat(F.lit(" "), (F.col("l_quantity") + F.col("l_discount")).cast("string")))
@@ -275,6 +284,7 @@ def q_cast_int(spark, sf):
 
 
 def q_cast_bigint(spark, sf):
+    """Padded digits and words -> bigint."""
     o = T(spark, sf, "orders")
     txt = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("desconocido")).otherwise(
         F.concat(F.col("o_custkey").cast("string"), F.lit(" ")))
@@ -282,17 +292,20 @@ def q_cast_bigint(spark, sf):
 
 
 def q_cast_double(spark, sf):
+    """Price text and 'N/A' -> double."""
     li = T(spark, sf, "lineitem")
     txt = F.when(F.col("l_returnflag") == "R", F.lit("N/A")).otherwise(F.col("l_extendedprice").cast("string"))
     return li.select("l_orderkey", "l_linenumber", casts.lenient_cast(txt, "double").alias("price"))
 
 
 def q_cast_decimal(spark, sf):
+    """Price text -> decimal(18,2)."""
     o = T(spark, sf, "orders")
     return o.select("o_orderkey", casts.lenient_cast(F.col("o_totalprice").cast("string"), "DECIMAL(18,2)").alias("total"))
 
 
 def q_cast_boolean(spark, sf):
+    """C4: Y / false / other words -> boolean."""
     o = T(spark, sf, "orders")
     txt = (F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "O", " false")
             .otherwise("pendiente"))
@@ -300,6 +313,7 @@ def q_cast_boolean(spark, sf):
 
 
 def q_cast_string(spark, sf):
+    """Int -> string."""
     p = T(spark, sf, "part")
     return p.select("p_partkey", casts.lenient_cast(F.col("p_size"), "varchar", p.schema["p_size"].dataType)
                     .alias("size_text"))
@@ -308,6 +322,7 @@ def q_cast_string(spark, sf):
 # --- Spanish timestamps and calendars ----------------------------------------
 
 def q_es_ampm_parse(spark, sf):
+    """Event times rendered in five Spanish 12-hour spellings (NBSP, NNBSP, 'p. m.', 'p m', ...) -> timestamp."""
     e = T(spark, sf, "events")
     txt = spanish_ts(F.col("ts"), _style_of_event(F.col("event_type")))
     return e.select("event_id", casts.parse_es_ampm(txt).alias("ts"))
@@ -320,27 +335,32 @@ def _mixed_ts_text(e: DataFrame) -> Column:
 
 
 def q_safe_timestamp(spark, sf):
+    """ISO text, Spanish text and junk -> timestamp (cast first, Spanish parse as fallback)."""
     e = T(spark, sf, "events")
     return e.select("event_id", casts.safe_timestamp(_mixed_ts_text(e)).alias("ts"))
 
 
 def q_safe_date(spark, sf):
+    """The same mixed text -> date."""
     e = T(spark, sf, "events")
     return e.select("event_id", casts.safe_date(_mixed_ts_text(e)).alias("d"))
 
 
 def q_bogota_date(spark, sf):
+    """UTC event times -> Bogota calendar date."""
     e = T(spark, sf, "events")
     return e.select("event_id", dates.local_date("ts").alias("local_date"))
 
 
 def q_calendar_day(spark, sf):
+    """D3: inclusive daily partition values between the first and last event day."""
     e = T(spark, sf, "events")
     b = e.agg(F.date_format(F.min("ts"), "yyyy-MM-dd").alias("s"), F.date_format(F.max("ts"), "yyyy-MM-dd").alias("e"))
     return b.select(F.explode(dates.period_range(F.col("s"), F.col("e"), dates.DAY)).alias("partition_date"))
 
 
 def q_calendar_month(spark, sf):
+    """D3: inclusive monthly partition values between the first and last order month."""
     o = T(spark, sf, "orders")
     b = o.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM").alias("s"),
               F.date_format(F.max("o_orderdate"), "yyyy-MM").alias("e"))
@@ -348,6 +368,7 @@ def q_calendar_month(spark, sf):
 
 
 def q_parse_period(spark, sf):
+    """Yyyy-MM / yyyy-MM-dd text -> first day of month."""
     o = T(spark, sf, "orders")
     txt = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")) \
            .otherwise(F.date_format("o_orderdate", "yyyy-MM"))
@@ -355,6 +376,7 @@ def q_parse_period(spark, sf):
 
 
 def q_previous_period(spark, sf):
+    """Previous day / month relative to each order date as 'today'."""
     o = T(spark, sf, "orders")
     today = F.to_date("o_orderdate")
     return o.select("o_orderkey", dates.previous_period(today, dates.DAY).alias("prev_day"),
@@ -362,12 +384,14 @@ def q_previous_period(spark, sf):
 
 
 def q_incremental_window(spark, sf):
+    """Incremental MONTH window relative to each order date as 'today'."""
     o = T(spark, sf, "orders")
     s, e = dates.incremental_window(F.col("o_orderdate"), dates.MONTH)
     return o.select("o_orderkey", s.alias("win_start"), e.alias("win_end"))
 
 
 def q_full_window(spark, sf):
+    """FULL MONTH window of each order's month."""
     o = T(spark, sf, "orders")
     m = F.date_format("o_orderdate", "yyyy-MM")
     s, e = dates.full_window(m, m, dates.MONTH)
@@ -390,6 +414,7 @@ def _supplier_configs(spark, sf) -> DataFrame:
 
 
 def q_partition_plan(spark, sf):
+    """Supplier rows as job configs (FULL/INC/add_/file modes) -> planned partitions."""
     planned = partitions.plan_partitions(_supplier_configs(spark, sf), today="2025-01-15")
     return partitions.explode_plan(planned, "s_suppkey")
 
@@ -397,6 +422,7 @@ def q_partition_plan(spark, sf):
 # --- sources -----------------------------------------------------------------
 
 def q_partition_scan(spark, sf):
+    """Twelve planned months of the raw orders zone in one pruned CSV scan, cast and renamed."""
     months = _planned_months(spark, "1997-01", "1997-12")
     raw = read_raw_orders(spark, sf, months)
     staged = project.select_rename(project.cast_by_schema(raw, ORDERS_RAW_FIELDS), ORDERS_RAW_FIELDS, keep=["mes"])
@@ -404,6 +430,7 @@ def q_partition_scan(spark, sf):
 
 
 def q_csv_scan(spark, sf):
+    """S1: ';' CSV with '\\N' nulls read as text, cast by schema."""
     path = raw_orders_csv_flat(spark, sf)
     raw = files.read_csv(spark, path)
     fields = [{"name": "o_orderkey", "type": "bigint", "converted_type": "bigint"},
@@ -415,6 +442,7 @@ def q_csv_scan(spark, sf):
 
 
 def q_json_scan(spark, sf):
+    """Multi-line JSON arrays read and cast by schema."""
     path = raw_customer_json_dir(spark, sf)
     raw = files.read_json(spark, path, glob=None)
     fields = [{"name": "c_custkey", "type": "long", "converted_type": "bigint"},
@@ -426,11 +454,13 @@ def q_json_scan(spark, sf):
 
 
 def q_partition_counts(spark, sf):
+    """Rows per raw partition of the whole orders zone."""
     raw = read_raw_orders(spark, sf)
     return report.partition_counts(raw, "mes", "partition_month")
 
 
 def q_empty_partitions(spark, sf):
+    """Planned days of the daily raw zone that hold no rows."""
     o = T(spark, sf, "orders")
     b = o.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("s"),
               F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("e"))
@@ -442,6 +472,7 @@ def q_empty_partitions(spark, sf):
 
 
 def q_detect_format(spark, sf):
+    """Format of every raw partition directory from a file inventory (contents not read)."""
     inv = files.file_inventory(spark, raw_orders_dir(spark, sf)).unionByName(
         files.file_inventory(spark, raw_customer_jsonl_by_nation(spark, sf)))
     det = files.detect_formats(inv)
@@ -449,11 +480,13 @@ def q_detect_format(spark, sf):
 
 
 def q_entity_from_path(spark, sf):
+    """Entity name carried by each page URL."""
     p = T(spark, sf, "pages")
     return p.select("page_id", params.entity_from_path("url").alias("entity"))
 
 
 def q_xlsx_scan(spark, sf):
+    """S3: supplier workbooks decoded, typed, cast and renamed."""
     from tidewater.sources.xlsx import read_xlsx
     raw = read_xlsx(spark, raw_supplier_workbooks(spark, sf), sheet="Hoja 1")
     fields = [{"name": "Proveedor ID", "type": "long", "converted_name": "s_suppkey"},
@@ -466,6 +499,7 @@ def q_xlsx_scan(spark, sf):
 
 
 def q_cell_type_inference(spark, sf):
+    """Inferred column types of the supplier workbooks."""
     from tidewater.sources.xlsx import infer_types, read_cells
     cells = read_cells(spark, raw_supplier_workbooks(spark, sf), sheet="Hoja 1")
     return infer_types(cells).select("column_name", "spark_type")
@@ -474,6 +508,7 @@ def q_cell_type_inference(spark, sf):
 # --- validation --------------------------------------------------------------
 
 def q_all_null_columns(spark, sf):
+    """V3/A3: columns without any value."""
     o = text_cols(T(spark, sf, "orders")).withColumn("o_clerk", F.lit(None).cast("string"))
     fields = [{"name": c, "type": "string"} for c in o.columns]
     return validate.all_null_columns(o, fields)
@@ -500,14 +535,17 @@ CUSTOMER_FIELDS = [
 
 
 def q_required_nulls(spark, sf):
+    """V5/A2: NULL and empty counts of required customer columns."""
     return validate.required_nulls(_dirty_customer(spark, sf), CUSTOMER_FIELDS)
 
 
 def q_validation_report(spark, sf):
+    """V1/V2/V5/V6: missing column, unparseable values and required NULLs in one profile."""
     return validate.validation_report(_dirty_customer(spark, sf), CUSTOMER_FIELDS)
 
 
 def q_type_conformance(spark, sf):
+    """V2: per typed column, rows and values that do not parse as declared."""
     li = T(spark, sf, "lineitem")
     raw = text_cols(li.withColumn("l_extendedprice", F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice").cast("string"))
                                   .otherwise(F.lit("N/A"))))
@@ -528,23 +566,27 @@ def _merge_batches(spark, sf):
 
 
 def q_merge_upsert(spark, sf):
+    """K4: a later batch (updated prices) merged into an earlier one on the order key."""
     target, source = _merge_batches(spark, sf)
     keys = merge.parse_merge_keys(" o_orderkey ")
     return merge.merge_upsert(target, source, keys).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 def q_merge_dup_keys(spark, sf):
+    """K5: keys carried by more than one source row."""
     o = T(spark, sf, "orders")
     return merge.duplicate_keys(o, ["o_custkey"])
 
 
 def q_overwrite_partitions(spark, sf):
+    """K3: a re-loaded status partition replaces the old one."""
     o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     source = o.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")))
     return merge.overwrite_partitions(o, source, ["o_orderstatus"]).select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
 def q_schema_sync(spark, sf):
+    """K2: a later batch adds a column and widens int -> bigint."""
     c = T(spark, sf, "customer")
     first = c.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).select("c_custkey", "c_name", "c_nationkey")
     later = c.where(~F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).select(
@@ -553,6 +595,7 @@ def q_schema_sync(spark, sf):
 
 
 def q_run_audit(spark, sf):
+    """K7/V6: per-month outcome (rows, status, first failure) of the raw orders zone."""
     raw = read_raw_orders(spark, sf)
     prof = validate.profile(raw, ORDERS_RAW_FIELDS, by=["mes"])
     out = report.partition_outcomes(prof, "mes")
@@ -560,6 +603,7 @@ def q_run_audit(spark, sf):
 
 
 def q_empty_partitions_message(spark, sf):
+    """K6: the empty-partition warning text."""
     return report.empty_partitions_message(q_empty_partitions(spark, sf), "partition_date")
 
 
@@ -590,6 +634,7 @@ def schema_docs_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_schema_fields(spark, sf):
+    """Schema documents of every driver table -> field table."""
     from tidewater.sources.schema_docs import read_field_table
     ft = read_field_table(spark, f"{schema_docs_dir(spark, sf)}/*/schema.json")
     return ft.select(F.regexp_extract("schema_path", r"/([^/]+)/schema\.json$", 1).alias("dataset"),
@@ -646,6 +691,7 @@ def _order_params(o: DataFrame) -> Column:
 
 
 def q_params_json(spark, sf):
+    """Per order, a parameter map with window dates written in -> compact JSON."""
     o = T(spark, sf, "orders").select("o_orderkey", _order_params(T(spark, sf, "orders")).alias("params"))
     s, e, _ = load_plan.select_window(F.col("params"), "FULL", dates.MONTH)
     w = o.withColumns({"__start": s, "__end": e})
@@ -653,6 +699,7 @@ def q_params_json(spark, sf):
 
 
 def q_window_selection(spark, sf):
+    """fecha_inicial/fecha_final or fecha_corte -> load window."""
     o = T(spark, sf, "orders")
     st = lambda t, v: F.struct(F.lit(t).alias("type"), v.alias("value"))
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -685,21 +732,25 @@ def _plan_configs(spark, sf) -> DataFrame:
 
 
 def q_raw_plan(spark, sf):
+    """Supplier configs -> raw extraction payloads."""
     return load_plan.raw_plan(_plan_configs(spark, sf), "FULL", dates.MONTH).select(
         "name", "path_name_input", "file_name", "partition_key_raw", "params")
 
 
 def q_staging_plan(spark, sf):
+    """Supplier configs -> staging payloads."""
     return load_plan.staging_plan(_plan_configs(spark, sf), "FULL", dates.MONTH).select(
         "catalog_table", "path_name_raw", "excel_sheet", "file_name_excel", "start_date", "end_date")
 
 
 def q_load_plan(spark, sf):
+    """Raw-to-staging plan union."""
     return load_plan.load_plan(_plan_configs(spark, sf), "raw-to-staging", "FULL", dates.MONTH,
                                secret_db="secret")
 
 
 def q_parse_list(spark, sf):
+    """Comma lists with blanks and none-like text -> cleaned lists."""
     p = T(spark, sf, "part")
     raw = F.when(F.col("p_size") > 45, F.lit("null")).otherwise(
         F.concat(F.lit(" "), F.regexp_replace("p_name", " ", " , "), F.lit(" ,")))
@@ -741,6 +792,7 @@ def staged_orders(spark, sf) -> DataFrame:
 
 
 def q_staging_load(spark, sf):
+    """Flagship: raw Spanish CSV export -> cast/rename/normalise -> merge of two batches -> revenue per month."""
     staged = staged_orders(spark, sf)
     cut_hi = F.lit("1998-01-01").cast("timestamp_ntz")
     cut_lo = F.lit("1997-07-01").cast("timestamp_ntz")
