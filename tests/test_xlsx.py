@@ -103,3 +103,50 @@ def test_data_wider_than_header(spark):
     types = {r[0]: r[2] for r in xlsx.infer_types(xlsx.read_cells(spark, d)).collect()}
     assert types == {"a": "bigint", "Unnamed: 1": "double"}
     assert [tuple(r) for r in xlsx.read_xlsx(spark, d).collect()] == [(1, None), (2, 7.0)]
+
+
+def _excel_style_workbook() -> bytes:
+    """A workbook laid out the way spreadsheet applications write it: shared
+    strings, a built-in date format, formulas with cached values, error cells."""
+    import io
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    sheet = (f'<?xml version="1.0"?><worksheet {ns}><sheetData>'
+             '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c><c r="C1" t="s"><v>2</v></c>'
+             '<c r="D1" t="s"><v>3</v></c></row>'
+             '<row r="2"><c r="A2" t="s"><v>4</v></c><c r="B2" s="1"><v>45292</v></c>'
+             '<c r="C2"><f>1+1</f><v>2</v></c><c r="D2" t="e"><v>#N/A</v></c></row>'
+             '<row r="3"><c r="A3" t="s"><v>5</v></c><c r="B3" s="1"><v>45293.5</v></c>'
+             '<c r="C3" t="str"><f>"x"</f><v>x</v></c><c r="D3" t="b"><v>1</v></c></row>'
+             '</sheetData></worksheet>')
+    shared = (f'<?xml version="1.0"?><sst {ns} count="6" uniqueCount="6">'
+              '<si><t>Nombre</t></si><si><t>Fecha</t></si><si><t>Calc</t></si><si><t>Otro</t></si>'
+              '<si><r><t>Ana </t></r><r><t>María</t></r></si><si><t>Luis &amp; Co</t></si></sst>')
+    styles = (f'<?xml version="1.0"?><styleSheet {ns}><cellXfs count="2"><xf numFmtId="0"/>'
+              '<xf numFmtId="14" applyNumberFormat="1"/></cellXfs></styleSheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook {ns} {rel}><sheets>'
+                                      '<sheet name="Datos" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Type="worksheet" Target="/xl/worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", shared)
+        z.writestr("xl/styles.xml", styles)
+    return buf.getvalue()
+
+
+def test_application_written_workbook(spark):
+    d = scratch_path(spark, "xlsx-app")
+    p = local_path(d)
+    os.makedirs(p, exist_ok=True)
+    with open(os.path.join(p, "app.xlsx"), "wb") as f:
+        f.write(_excel_style_workbook())
+    df = xlsx.read_xlsx(spark, d, sheet="Datos")
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("Nombre", "string"), ("Fecha", "timestamp_ntz"), ("Calc", "string"), ("Otro", "string")]
+    rows = [tuple(r) for r in df.collect()]
+    assert rows == [("Ana María", dt.datetime(2024, 1, 1), "2", "#N/A"),
+                    ("Luis & Co", dt.datetime(2024, 1, 2, 12, 0), "x", "true")]
