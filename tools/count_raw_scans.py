@@ -12,6 +12,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import re
 import sys
 import tempfile
 
@@ -19,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main(argv: list[str]) -> None:
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    sf_dir = next((a for a in argv[1:] if not a.startswith("--")), "/root/testdata/sf0.01")
     log_dir = tempfile.mkdtemp(prefix="tidewater-eventlog-")
     from tidewater import scenarios
     from tidewater.session import build_session
@@ -31,6 +32,7 @@ def main(argv: list[str]) -> None:
     scenarios.q_staging_job(spark, sf_dir).count()   # the load itself (+ a read-back count)
     spark.stop()
     csv_scans = total = 0
+    executions = []
     for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
         if os.path.isdir(path):
             continue
@@ -39,8 +41,15 @@ def main(argv: list[str]) -> None:
                 ev = json.loads(line)
                 if ev.get("Event", "").endswith("SQLExecutionStart"):
                     total += 1
-                    if "Scan csv" in ev.get("physicalPlanDescription", ""):
+                    plan = ev.get("physicalPlanDescription", "")
+                    scans = sorted(set(re.findall(r"Scan (\w+)", plan)))
+                    if "csv" in scans:
                         csv_scans += 1
+                    root = plan.splitlines()[1].strip() if len(plan.splitlines()) > 1 else ""
+                    executions.append({"id": ev.get("executionId"), "root": root[:80], "scans": scans})
+    if "--verbose" in argv:
+        for e in sorted(executions, key=lambda e: e["id"]):
+            print(json.dumps(e))
     print(json.dumps({"sql_executions": total, "executions_scanning_raw_csv": csv_scans, "event_log": log_dir}))
 
 
