@@ -1,17 +1,19 @@
-"""The raw -> staging load as one Spark plan per run.
+"""The raw -> staging load as a few Spark jobs per run.
 
 Where a per-partition loop would scan each raw partition several times
 (count, emptiness, one pass per checked column), this job
 
 1. plans the partitions (``plans.partitions``),
-2. reads *all* planned partitions in one pruned scan,
-3. profiles them in one aggregate grouped by partition (row counts, missing
-   columns, unparseable values, required NULLs) -- the only action before
-   the write,
-4. fails fast, in the original order, on the first partition with a failure,
-5. casts, selects/renames and normalises in one projection,
-6. merges (or dynamically overwrites) the touched partitions of the table,
-7. reports empty partitions and writes an audit record.
+2. lists only the planned directories and detects their formats,
+3. parses all planned raw files once, into a columnar copy in the table's
+   staging folder (this also cuts the lineage),
+4. profiles the copy in one aggregate grouped by partition (row counts,
+   missing columns, unparseable values, required NULLs),
+5. fails fast, in the original order, on the first partition with a failure
+   -- before anything is written,
+6. casts, selects/renames and normalises in one projection,
+7. merges (or dynamically overwrites) the touched partitions of the table,
+8. reports empty partitions; ``run_with_audit`` adds the audit record.
 """
 
 from __future__ import annotations
