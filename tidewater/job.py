@@ -10,7 +10,7 @@ Where a per-partition loop would scan each raw partition several times
 4. profiles the copy in one aggregate grouped by partition (row counts,
    missing columns, unparseable values, required NULLs),
 5. fails fast, in the original order, on the first partition with a failure
-   -- before anything is written,
+   -- before the table is touched,
 6. casts, selects/renames and normalises in one projection,
 7. merges (or dynamically overwrites) the touched partitions of the table,
 8. reports empty partitions; ``run_with_audit`` adds the audit record.
