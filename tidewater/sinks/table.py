@@ -10,10 +10,14 @@ Parquet has no MERGE, so a merge rewrites only the partitions it touches:
    keys) plus the source -- is written to a staging folder under the table,
    which cuts the lineage to the table being replaced;
 3. the staging folder is written over the table with dynamic partition
-   overwrite, which replaces exactly the touched partitions.
+   overwrite, which replaces exactly the touched partitions;
+4. touched partitions left without rows (every key moved away) are removed --
+   both sides are listed, no path is rebuilt from values.
 
 A failed step 3 can be re-run from the staging folder; step 2 never modifies
 the table. Executor loss inside either step is retried by Spark's task retry.
+Partitioned writes carry a REBALANCE hint (few files per partition, hot
+partitions split by AQE). Staging copies are deleted after the commit.
 """
 
 from __future__ import annotations
