@@ -268,3 +268,12 @@ def test_json_with_declared_schema_skips_inference(spark):
 def test_unknown_partition_or_merge_column(spark, zone):
     with pytest.raises(ValueError, match="not in the staged data"):
         StagingJob(spark, _args(zone, merge_keys="no_such_key", start_date="1996-01-02", end_date="1996-01-02")).run()
+
+
+def test_keys_stay_in_partition_merge(spark, zone):
+    args = _args(zone, start_date="1996-01-01", end_date="1996-01-05", path_name_staging="stay",
+                 catalog_table="stay", keys_may_move=False)
+    StagingJob(spark, args).run()
+    StagingJob(spark, args).run()  # same window again: rows replaced, not duplicated
+    n = zone["orders"].where("o_orderdate < '1996-01-06'").count()
+    assert spark.read.parquet(f"{zone['staging_root']}/stay").count() == n

@@ -81,6 +81,9 @@ class StagingArgs:
     # True: read JSON with the declared names as text (no inference pass); a
     # declared column absent from every record then reports as all-NULL
     json_declared_schema: bool = False
+    # False: a key never changes partition, so a merge reads only the batch's
+    # partitions instead of scanning every key of the table
+    keys_may_move: bool = True
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -309,7 +312,7 @@ class StagingJob:
         if merge_keys is None:
             table.overwrite_partitions(df)
         else:
-            table.merge(df, merge_keys, materialise=not self.materialise_raw)
+            table.merge(df, merge_keys, materialise=not self.materialise_raw, keys_may_move=a.keys_may_move)
         written = sum(v for p, v in rows_by_part.items() if v)
         return self._finish(parts, empty, written)
 
@@ -365,6 +368,7 @@ def parse_args(argv: list[str]) -> tuple[StagingArgs, str | None]:
     p.add_argument("--fail_on_missing", action="store_true")
     p.add_argument("--excel_first_only", action="store_true")
     p.add_argument("--validate_only", action="store_true")
+    p.add_argument("--keys_stay_in_partition", dest="keys_may_move", action="store_false")
     ns, _unknown = p.parse_known_args(argv)
     kw = {k: v for k, v in vars(ns).items() if k not in ("audit_path", "validate_only")}
     for o in OPTIONAL_ARGS:
