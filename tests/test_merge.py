@@ -148,3 +148,8 @@ def test_sink_moves_keys_out_of_escaped_partitions(spark):
     t.merge(spark.createDataFrame([(1, "a:b/c"), (2, "x=y")], "id int, p string"), ["id"])
     t.merge(spark.createDataFrame([(1, "plain"), (2, "x=y")], "id int, p string"), ["id"])
     assert sorted(tuple(r) for r in t.read().select("id", "p").collect()) == [(1, "plain"), (2, "x=y")]
+
+
+def test_null_keys_are_not_duplicates(spark):
+    s = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "id int, v string")
+    assert merge.duplicate_keys(s, ["id"]).count() == 0

@@ -57,9 +57,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     """Keys carried by more than one source row (MERGE would be ambiguous).
 
-    Partial aggregation runs map-side, so a hot key costs one row per task.
+    Rows with a NULL key never match, so they are not duplicates. Partial
+    aggregation runs map-side, so a hot key costs one row per task.
     """
-    return (source.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(_q(k)).isNotNull()
+    return (source.where(not_null).groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
                   .where(F.col("n") > 1))
 
 
