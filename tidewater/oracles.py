@@ -86,7 +86,8 @@ ORACLES: dict[str, str] = {
                     "WHERE o_orderdate >= TIMESTAMP '1997-07-01'), "
                     "t AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01') "
                     "SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s",
-    "merge_dup_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
+    "merge_dup_keys": "SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1 "
+                      "HAVING count(*) > 1",
     "overwrite_partitions": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'F' "
                             "UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders "
                             "WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1998-01-01'",
