@@ -153,3 +153,9 @@ def test_sink_moves_keys_out_of_escaped_partitions(spark):
 def test_null_keys_are_not_duplicates(spark):
     s = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "id int, v string")
     assert merge.duplicate_keys(s, ["id"]).count() == 0
+
+
+def test_overwrite_replaces_null_partition(spark):
+    t = spark.createDataFrame([(1, None), (2, "b")], "id int, p string")
+    s = spark.createDataFrame([(9, None)], "id int, p string")
+    assert sorted(tuple(r) for r in merge.overwrite_partitions(t, s, ["p"]).collect()) == [(2, "b"), (9, None)]

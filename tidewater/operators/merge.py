@@ -70,8 +70,13 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 def overwrite_partitions(target: DataFrame, source: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Dynamic partition overwrite: every partition present in the source is
     replaced wholesale; the others are kept."""
-    touched = source.select(*[F.col(_q(c)) for c in partition_cols]).distinct()
-    kept = target.join(touched, on=partition_cols, how="left_anti").select(*[F.col(_q(c)) for c in target.columns])
+    touched = source.select(*[F.col(_q(c)).alias(f"__p{i}") for i, c in enumerate(partition_cols)]).distinct()
+    # NULL is a partition value of its own (one directory), so match it null-safely
+    cond = None
+    for i, c in enumerate(partition_cols):
+        e = target[_q(c)].eqNullSafe(touched[f"__p{i}"])
+        cond = e if cond is None else cond & e
+    kept = target.join(touched, on=cond, how="left_anti").select(*[F.col(_q(c)) for c in target.columns])
     return kept.unionByName(source, allowMissingColumns=True)
 
 
