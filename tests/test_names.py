@@ -95,3 +95,11 @@ def test_snake_case_line_terminators(spark):
     raws = ["a\rBc", "x Yz", "a\nBc"]
     df = spark.createDataFrame([(r,) for r in raws], "r string")
     assert [r[0] for r in df.select(names.snake_case_col("r")).collect()] == [names.snake_case(r) for r in raws]
+
+
+def test_anio_word_rule_matches_python_next_to_marks_and_numbers(spark):
+    import re
+    raws = ["x²ano", "anó", "çano x", "el ano pasado", "ano_x", "ANO"]
+    df = spark.createDataFrame([(r,) for r in raws], "r string")
+    got = [r[0] for r in df.select(names.fold_accents_col("r")).collect()]
+    assert got == [re.sub(names.ANIO_PATTERN, names.ANIO_REPLACEMENT, names.fold_accents(r)) for r in raws]

@@ -28,6 +28,10 @@ ACCENT_CLASSES = {
 # The whole word "ano" (any case) becomes "anio".
 ANIO_PATTERN = r"(?i)\bano\b"
 ANIO_REPLACEMENT = "anio"
+# The same word rule for Java's regex engine: Python's word characters are
+# Unicode letters, numbers and '_' (Java's own \b differs next to marks and
+# numeric symbols such as '²').
+ANIO_PATTERN_JAVA = r"(?i)(?<![\p{L}\p{N}_])ano(?![\p{L}\p{N}_])"
 # Characters kept in a normalised name; everything else becomes "_".
 NAME_DISALLOWED = r"[^0-9a-zA-Z_]"
 # Characters Python's str.split()/str.strip() treat as whitespace.
@@ -77,7 +81,7 @@ def normalize_name(name: str) -> str:
 def fold_accents_col(c: Column | str) -> Column:
     """Accent folding plus the año -> anio word rule, over values."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.translate(c, _FOLD_FROM, _FOLD_TO), ANIO_PATTERN, ANIO_REPLACEMENT)
+    return F.regexp_replace(F.translate(c, _FOLD_FROM, _FOLD_TO), ANIO_PATTERN_JAVA, ANIO_REPLACEMENT)
 
 
 def slugify_col(c: Column | str) -> Column:
