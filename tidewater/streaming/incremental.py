@@ -11,7 +11,6 @@ is re-run on the next start; the merge is keyed, so a re-run is idempotent.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +52,20 @@ def raw_stream(spark: SparkSession, raw_dir: str, fields: list[dict], partition_
 
 def stage_batch(batch: DataFrame, fields: list[dict], table: StagingTable, merge_keys: list[str] | None,
                 partition_key: str, add_columns: list[str]) -> None:
-    """Validate, transform and write one micro-batch."""
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    """Validate, transform and write one micro-batch.
+
+    The batch's raw rows are parsed once, into a columnar copy in the table's
+    staging folder; validation, casts and the merge read that copy (nothing is
+    cached on executors, so a lost executor only costs a re-read).
+    """
+    spark = batch.sparkSession
+    copy = f"{table._staging_dir()}/raw"
     try:
-        report = validate.validation_report(batch, fields).collect()
+        batch.write.mode("overwrite").parquet(copy)
+        raw = spark.read.parquet(copy)
+        report = validate.validation_report(raw, fields).collect()
         validate.raise_for_report(report)
-        df = batch
+        df = raw
         for c in add_columns:
             df = project.add_partition_column(df, c, F.col(partition_key))
         df = project.cast_by_schema(df, fields)
@@ -67,9 +74,9 @@ def stage_batch(batch: DataFrame, fields: list[dict], table: StagingTable, merge
         if merge_keys is None:
             table.overwrite_partitions(df)
         else:
-            table.merge(df, merge_keys)
+            table.merge(df, merge_keys, materialise=False)
     finally:
-        batch.unpersist()
+        table._cleanup()
 
 
 def run_incremental(spark: SparkSession, raw_dir: str, fields: list[dict], table: StagingTable,
