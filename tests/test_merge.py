@@ -159,3 +159,28 @@ def test_overwrite_replaces_null_partition(spark):
     t = spark.createDataFrame([(1, None), (2, "b")], "id int, p string")
     s = spark.createDataFrame([(9, None)], "id int, p string")
     assert sorted(tuple(r) for r in merge.overwrite_partitions(t, s, ["p"]).collect()) == [(2, "b"), (9, None)]
+
+
+def test_hot_partition_is_split_over_several_writers(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tidewater.session import local_path, scratch_path
+    from tidewater.sinks.table import StagingTable
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+        hot = li.select(F.monotonically_increasing_id().alias("id"), "l_extendedprice", "l_comment"
+                        if "l_comment" in li.columns else F.col("l_returnflag").alias("note"),
+                        F.when(F.col("l_linenumber") <= 3, F.lit("HOT")).otherwise(F.col("l_returnflag")).alias("p"))
+        t = StagingTable(spark, scratch_path(spark, "hot"), ["p"])
+        # many input splits, as on a cluster: AQE splits a skewed rebalance partition by map ranges
+        t.merge(hot.repartition(8), ["id"], check_duplicates=False)
+        files = [f for f in os.listdir(os.path.join(local_path(t.path), "p=HOT")) if f.endswith(".parquet")]
+        assert len(files) > 1  # the hot partition was written by several tasks
+        assert t.read().count() == li.count()
+    finally:
+        spark.conf.set(key, old)
