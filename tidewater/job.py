@@ -18,6 +18,7 @@ Where a per-partition loop would scan each raw partition several times
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -35,6 +36,8 @@ from tidewater.sinks.table import StagingTable
 from tidewater.sources import files
 from tidewater.sources.schema_docs import load_schema, schema_doc_path
 
+log = logging.getLogger("tidewater.job")
+
 PARTITION_VALUE = "__partition_value"  # the planned value a row was read for
 ADD_VALUE = "__add_value"              # the value an ``add_`` partition column takes
 
@@ -250,12 +253,15 @@ class StagingJob:
     def run(self) -> StagingResult:
         a = self.args
         parts, raw_key = self.plan()
+        log.info("%s: %s %s, %d planned partition(s) under %s=", a.job_name, a.process_type, a.date_type,
+                 len(parts), raw_key)
         schema = Schema.of(load_schema(self.spark, schema_doc_path(a.root("schema"), self.key_raw, self.excel_sheet)))
         keys, to_add = project.split_partition_keys(a.partition_key_staging)
         merge_keys = M.parse_merge_keys(a.merge_keys)
 
         raw = self.read(parts, raw_key, schema)
         if raw is None:
+            log.warning("%s: no raw files found for the planned partitions", a.job_name)
             return self._finish(parts, parts, 0)
 
         table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
@@ -294,6 +300,8 @@ class StagingJob:
         for p in parts:  # plan order: the first failing partition decides the error
             if p not in empty:
                 validate.raise_for_report(failures_by_part.get(p, []))
+        log.info("%s: %d row(s) in %d partition(s), %d empty", a.job_name, sum(v or 0 for v in rows_by_part.values()),
+                 len(parts) - len(empty), len(empty))
         if len(empty) == len(parts):
             return self._finish(parts, empty, 0)
 
@@ -308,6 +316,8 @@ class StagingJob:
         if missing:
             raise ValueError(f"Staging partition or merge columns not in the staged data: {missing}; "
                              f"columns are {df.columns}")
+        log.info("%s: %s into %s (partitioned by %s)", a.job_name,
+                 "overwrite" if merge_keys is None else f"merge on {merge_keys}", table.path, table.partition_cols)
         table.create(df)
         if merge_keys is None:
             table.overwrite_partitions(df)
