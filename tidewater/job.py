@@ -394,6 +394,7 @@ def main(argv: list[str] | None = None) -> int:
     import sys
 
     from tidewater.session import build_session
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     args, audit = parse_args(sys.argv[1:] if argv is None else argv)
     spark = build_session(app_name=args.job_name)
     if getattr(args, "validate_only", False):
