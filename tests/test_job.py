@@ -277,3 +277,20 @@ def test_keys_stay_in_partition_merge(spark, zone):
     StagingJob(spark, args).run()  # same window again: rows replaced, not duplicated
     n = zone["orders"].where("o_orderdate < '1996-01-06'").count()
     assert spark.read.parquet(f"{zone['staging_root']}/stay").count() == n
+
+
+def test_run_plan_from_a_staging_plan(spark, zone):
+    from tidewater.job import run_plan
+    from tidewater.plans import load_plan as LP
+    cfg = [{"name": "ordenes", "path_name_input": "ventas/ordenes", "path_name_output": "plan_out",
+            "partition_key_raw": "fecha", "partition_key_staging": "add_fecha_carga", "catalog_database": "db",
+            "catalog_table": "plan_out", "merge_keys": ["order_key"],
+            "params": {"fecha_inicial": {"type": "date", "value": "1996-01-01"},
+                       "fecha_final": {"type": "date", "value": "1996-01-04"}}}]
+    plan = LP.staging_plan(LP.configs_frame(spark, cfg), "FULL", "DAY_PRECISION")
+    audit = scratch_path(spark, "plan-audit")
+    results = run_plan(spark, plan, "FULL", "DAY_PRECISION", audit_path=audit, project_name="p",
+                       raw_root=zone["raw_root"], schema_root=zone["schema_root"], staging_root=zone["staging_root"])
+    n = zone["orders"].where("o_orderdate < '1996-01-05'").count()
+    assert [r.rows_written for r in results] == [n]
+    assert spark.read.parquet(audit).first()["status"] == "SUCCEEDED"

@@ -351,6 +351,42 @@ def run_with_audit(spark: SparkSession, args: StagingArgs, audit_path: str | Non
     return result
 
 
+def run_plan(spark: SparkSession, staging_plan: DataFrame, process_type: str, date_type: str,
+             audit_path: str | None = None, **defaults) -> list[StagingResult]:
+    """Run one staging job per row of a staging plan (``plans.load_plan.staging_plan``).
+
+    The plan is metadata (one row per dataset), so it is collected and the jobs
+    run one after the other, each one a distributed load; ``defaults`` fills
+    the arguments a plan row does not carry (job and project names, roots,
+    buckets, options).
+    """
+    fields = set(StagingArgs.__dataclass_fields__)
+    results = []
+    for row in staging_plan.collect():
+        r = row.asDict()
+        if r.get("plan_error"):
+            raise ValueError(f"{r.get('catalog_table')}: {r['plan_error']}")
+        kw = {"path_name_raw": r["path_name_raw"], "path_name_staging": r["path_name_staging"],
+              "partition_key_raw": r["partition_key_raw"], "partition_key_staging": r["partition_key_staging"],
+              "catalog_database": r["catalog_database"], "catalog_table": r["catalog_table"],
+              "merge_keys": r["merge_keys"], "excel_sheet": r.get("excel_sheet") or "",
+              "partition_key_raw_path": r.get("partition_key_raw_path") or "",
+              "file_name_excel": r.get("file_name_excel") or "",
+              "process_type": process_type, "date_type": date_type}
+        # the plan's window is in days; a MONTH load plans whole months from it
+        if date_type == D.MONTH:
+            kw["start_date"], kw["end_date"] = r["start_date"][:7], r["end_date"][:7]
+        else:
+            kw["start_date"], kw["end_date"] = r["start_date"], r["end_date"]
+        if process_type.upper() == "INC":  # the window is already resolved into dates
+            kw["process_type"] = "FULL"
+        kw.update({k: v for k, v in defaults.items() if k in fields})
+        kw.setdefault("job_name", kw["catalog_table"])
+        kw.setdefault("project_name", "")
+        results.append(run_with_audit(spark, StagingArgs(**kw), audit_path))
+    return results
+
+
 # --- command line -------------------------------------------------------------------
 
 OPTIONAL_ARGS = ("excel_sheet", "partition_key_raw_path", "file_name_excel")
