@@ -126,11 +126,3 @@ def full_window(start, end, date_type: str) -> tuple[Column, Column]:
         raise ValueError("Invalid date_type. Expected 'MONTH_PRECISION' or 'DAY_PRECISION'.")
     ok = sd <= ed
     return F.when(ok, sd), F.when(ok, ed)
-
-
-def month_of(ts) -> Column:
-    return F.date_format(_c(ts), MONTH_FMT)
-
-
-def day_of(ts) -> Column:
-    return F.date_format(_c(ts), DAY_FMT)

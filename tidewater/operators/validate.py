@@ -169,11 +169,6 @@ def all_null_columns(df: DataFrame, fields: list[dict] | None = None, by: list[s
     return p.where((F.col("check_name") == "all_null") & (F.col("value") == 0)).select(*by, "column_name")
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness without going through the RDD API (stops at the first row)."""
-    return df.isEmpty()
-
-
 def raise_for_report(rows, required_message: bool = True) -> None:
     """Raise the first failure in check order: missing columns, types, required fields."""
     rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows]
