@@ -90,7 +90,12 @@ def test_sink_schema_evolution_widens_and_adds(spark):
     from tidewater.sinks.table import StagingTable
     t = StagingTable(spark, scratch_path(spark, "sink-evolve"), ["p"])
     t.merge(spark.createDataFrame([(1, 1, "a")], "id int, n int, p string"), ["id"])
+    import os
+
+    from tidewater.session import local_path
+    a_files = sorted(os.listdir(os.path.join(local_path(t.path), "p=a")))
     t.merge(spark.createDataFrame([(2, 3000000000, "b", "x")], "id int, n bigint, p string, extra string"), ["id"])
+    assert sorted(os.listdir(os.path.join(local_path(t.path), "p=a"))) == a_files  # nothing rewritten
     out = t.read()
     assert dict(out.dtypes)["n"] == "bigint" and "extra" in out.columns
     assert sorted(tuple(r) for r in out.select("id", "n", "p", "extra").collect()) == \
@@ -184,3 +189,12 @@ def test_hot_partition_is_split_over_several_writers(spark):
         assert t.read().count() == li.count()
     finally:
         spark.conf.set(key, old)
+
+
+def test_schema_record_of_a_table_without_rows_is_replaced(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    t = StagingTable(spark, scratch_path(spark, "sink-record"), ["p"])
+    t._store_schema(spark.createDataFrame([], "id int, p string").schema)  # left by a failed run
+    t.merge(spark.createDataFrame([(1, "x", "a")], "id int, extra string, p string"), ["id"])
+    assert sorted(tuple(r) for r in t.read().select("id", "extra", "p").collect()) == [(1, "x", "a")]

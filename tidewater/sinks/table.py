@@ -18,16 +18,20 @@ A failed step 3 can be re-run from the staging folder; step 2 never modifies
 the table. Executor loss inside either step is retried by Spark's task retry.
 Partitioned writes carry a REBALANCE hint (few files per partition, hot
 partitions split by AQE). Staging copies are deleted after the commit.
+Schema evolution is recorded in ``_table_schema.json``: reads apply it and
+Spark's Parquet reader widens older files, so no data is rewritten.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.operators import merge as M
 from tidewater.session import text_partitions
@@ -49,6 +53,8 @@ def iceberg_catalog(spark: SparkSession, table: str) -> bool:
 
 # --- fixed values: Spark's directory name for a NULL partition value ----------
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# the table folder's schema record (a leading '_' keeps it out of Spark's listing)
+SCHEMA_FILE = "_table_schema.json"
 # -----------------------------------------------------------------------------
 
 
@@ -101,7 +107,7 @@ class StagingTable:
         glob = f"{self.path}/{key}={{{','.join(vals)}}}" if len(vals) > 1 else f"{self.path}/{key}={vals[0]}"
         try:
             with text_partitions(self.spark):
-                return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(glob)
+                return self._reader().option("basePath", self.path).parquet(glob)
         except AnalysisException:
             return self.read().where(F.lit(False))
 
@@ -110,7 +116,47 @@ class StagingTable:
         if self.iceberg:
             return self.spark.table(self.name)
         with text_partitions(self.spark):
-            return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+            return self._reader().parquet(self.path)
+
+    def _reader(self):
+        """Parquet reader with the table's recorded schema (older files holding a
+        narrower type are widened on read), or schema merging when none is recorded."""
+        stored = self.stored_schema()
+        if stored is None:
+            return self.spark.read.option("mergeSchema", "true")
+        parts = [StructField(c, StringType(), True) for c in self.partition_cols]
+        return self.spark.read.schema(StructType(list(stored.fields) + parts))
+
+    # -- table schema record -------------------------------------------------------
+    def stored_schema(self) -> StructType | None:
+        """The data columns' schema recorded in the table folder (``_table_schema.json``)."""
+        fs, p = self._fs(f"{self.path}/{SCHEMA_FILE}")
+        if fs is None or not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _store_schema(self, struct: StructType) -> None:
+        fs, p = self._fs(f"{self.path}/{SCHEMA_FILE}")
+        if fs is None:
+            return
+        part = {c.lower() for c in self.partition_cols}
+        data = StructType([f for f in struct.fields if f.name.lower() not in part])
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps(data.jsonValue()).encode("utf-8")))
+        finally:
+            out.close()
+
+    def _record_first_schema(self, df: DataFrame) -> None:
+        """A table without data takes the first batch's schema (replacing any
+        record left by an earlier run that failed before writing rows)."""
+        if not self.iceberg and (self.stored_schema() is None or not self.exists()):
+            self._store_schema(df.schema)
 
     # -- K1: create --------------------------------------------------------
     def create(self, df: DataFrame) -> None:
@@ -130,9 +176,10 @@ class StagingTable:
         the evolved schema."""
         if not (self.exists() if exists is None else exists):
             return df
-        from pyspark.sql.types import StructType
         part = {c.lower() for c in self.partition_cols}
-        current = StructType([f for f in self.read().schema.fields if f.name.lower() not in part])
+        recorded = None if self.iceberg else self.stored_schema()
+        current_fields = recorded.fields if recorded is not None else self.read().schema.fields
+        current = StructType([f for f in current_fields if f.name.lower() not in part])
         data = StructType([f for f in df.schema.fields if f.name.lower() not in part])
         cols = M.synced_schema(current, data) + [(f.name, f.dataType) for f in df.schema.fields
                                                  if f.name.lower() in part]
@@ -145,11 +192,11 @@ class StagingTable:
                     self.spark.sql(f"ALTER TABLE {self.name} ALTER COLUMN {_q(n)} TYPE {t.simpleString()}")
                 else:
                     self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMN {_q(n)} {t.simpleString()}")
-        elif changed:
-            widened = [n for n, t in changed if n.lower() in have]
-            if widened:
-                # Parquet cannot change a column type in place: rewrite through a staging copy.
-                self._rewrite_all(lambda t: M.conform(t, cols))
+        elif changed or recorded is None:
+            # Parquet files keep the types they were written with; the recorded table
+            # schema carries the evolution and the reader widens older files
+            # (int -> bigint, float -> double), so no data is rewritten.
+            self._store_schema(StructType([StructField(n, t, True) for n, t in cols]))
         return M.conform(df, cols)
 
     # -- K3: dynamic partition overwrite --------------------------------------
@@ -158,6 +205,7 @@ class StagingTable:
         if self.iceberg:
             df.writeTo(self.name).overwritePartitions()
             return
+        self._record_first_schema(df)
         self._write_dynamic(df)
         self._cleanup()
 
@@ -191,6 +239,7 @@ class StagingTable:
             self._check_duplicates(df, keys)
         if not self.exists():
             # a new table has nothing to lose: write the first batch in place
+            self._record_first_schema(df)
             self._clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
               .partitionBy(*self.partition_cols).parquet(self.path)
             self._cleanup()
@@ -321,10 +370,3 @@ class StagingTable:
         for key in wanted:
             if key not in staged and key in current:
                 fs.delete(current[key], True)
-
-    def _rewrite_all(self, fn) -> None:
-        stage = self._staging_dir()
-        self._clustered(fn(self.read())).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
-        staged = self._read_text_partitions(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*self.partition_cols).parquet(self.path))
