@@ -98,21 +98,33 @@ def _plan_checks(df: DataFrame, fields: list[dict], strict: bool, relaxed: bool)
 
 
 def profile(df: DataFrame, fields: list[dict], by: list[str] | None = None,
-            strict: bool = False, relaxed: bool = False) -> DataFrame:
+            strict: bool = False, relaxed: bool = False, keep=None) -> DataFrame:
     """Long profile table: one row per (group, check, column) with its count.
 
     ``check_name`` is one of missing_column, all_null (value = non-NULL count),
-    unparseable, required_null, required_empty.
+    unparseable, required_null, required_empty. ``keep`` (a function of the row
+    struct with fields check_name, column_name, value) selects rows before they
+    are generated -- a Filter node over this wide aggregate would make
+    Catalyst's constraint inference very slow for schemas with many columns.
     """
     by = by or []
     aggs, checks = _plan_checks(df, fields, strict, relaxed)
     agg = df.groupBy(*[F.col(_q(b)) for b in by]).agg(*aggs) if by else df.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.lit(col).alias("column_name"),
-                 F.col(alias).cast("bigint").alias("value"), F.col("__rows").alias("total_rows"))
-        for name, col, alias in checks
-    ])
-    return agg.select(*[F.col(_q(b)) for b in by], F.inline(rows))
+    # Unpivot with one array of counters zipped with two constant arrays of
+    # labels (constant-folded to literals): small generated code even for
+    # hundreds of columns.
+    rows = F.arrays_zip(
+        F.array(*[F.lit(name) for name, _, _ in checks]).alias("check_name"),
+        F.array(*[F.lit(col) for _, col, _ in checks]).alias("column_name"),
+        F.array(*[F.col(alias).cast("bigint") for _, _, alias in checks]).alias("value"))
+    if keep is not None:
+        rows = F.filter(rows, keep)
+    return agg.select(*[F.col(_q(b)) for b in by], F.col("__rows").cast("bigint").alias("total_rows"),
+                      F.inline(rows)).select(*[F.col(_q(b)) for b in by], "check_name", "column_name",
+                                             "value", "total_rows")
+
+
+FAILURES = ("missing_column", "unparseable", "required_null")
 
 
 def validation_report(df: DataFrame, fields: list[dict], by: list[str] | None = None,
@@ -124,10 +136,9 @@ def validation_report(df: DataFrame, fields: list[dict], by: list[str] | None =
     without a second pass.
     """
     by = by or []
-    p = profile(df, fields, by, strict, relaxed)
-    failures = p.where(F.col("check_name").isin("missing_column", "unparseable", "required_null")
-                       & (F.col("value") > 0))
-    return failures.select(*by, "check_name", "column_name", F.col("value").alias("bad_rows"))
+    keep = lambda r: r["check_name"].isin(*FAILURES) & (r["value"] > 0)
+    p = profile(df, fields, by, strict, relaxed, keep=keep)
+    return p.select(*by, "check_name", "column_name", F.col("value").alias("bad_rows"))
 
 
 def type_conformance(df: DataFrame, fields: list[dict], by: list[str] | None = None) -> DataFrame:
@@ -135,9 +146,9 @@ def type_conformance(df: DataFrame, fields: list[dict], by: list[str] | None = N
     by = by or []
     struct = build_struct(fields)
     typed = [f.name for f in struct.fields if not isinstance(f.dataType, StringType)]
-    p = profile(df, fields, by)
-    return (p.where((F.col("check_name") == "unparseable") & F.col("column_name").isin(typed))
-             .select(*by, "column_name", F.col("total_rows"), F.col("value").alias("bad_rows")))
+    keep = lambda r: (r["check_name"] == "unparseable") & r["column_name"].isin(*typed)
+    p = profile(df, fields, by, keep=keep)
+    return p.select(*by, "column_name", F.col("total_rows"), F.col("value").alias("bad_rows"))
 
 
 def required_nulls(df: DataFrame, fields: list[dict], by: list[str] | None = None) -> DataFrame:
@@ -165,8 +176,8 @@ def all_null_columns(df: DataFrame, fields: list[dict] | None = None, by: list[s
     by = by or []
     if fields is None:
         fields = [{"name": c, "type": "string"} for c in df.columns if c not in by]
-    p = profile(df, fields, by)
-    return p.where((F.col("check_name") == "all_null") & (F.col("value") == 0)).select(*by, "column_name")
+    keep = lambda r: (r["check_name"] == "all_null") & (r["value"] == 0)
+    return profile(df, fields, by, keep=keep).select(*by, "column_name")
 
 
 def raise_for_report(rows, required_message: bool = True) -> None:
