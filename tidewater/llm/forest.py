@@ -264,6 +264,8 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREE
     home = (home.join(first, "component").join(linked, "node", "left")
             .select("node", F.col("rep").alias("class_id"), "component_id",
                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    # settled, so that the join below is between two plain exchanges, of which a large class's side can be split
+    home = settle(home)
     out = sig.select("doc_id", F.when(has, F.col("key")).alias("node")).join(home, "node", "left")
     own = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

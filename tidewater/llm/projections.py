@@ -196,6 +196,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, window: int =
     home = (classes.select("node", "rep", "copies").join(members, "node", "left").join(first, "component", "left").join(links, "node", "left")
             .select("node", F.coalesce("component_id", "rep").alias("component_id"),
                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    home = settle(home)  # the join below can then split a large class's side
     own = F.coalesce("component_id", "vec_id")
     return (base.select("vec_id", "node").join(home, "node", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"),
