@@ -89,7 +89,7 @@ def _blocks(kind, window: int, anchor: int):
                                            | (dup[1:] != dup[:-1]) | (~dup[1:] & (pos[1:] % _MOST_RUN == 0))])
                 n = np.diff(np.r_[brk, len(at)])
                 d = doc[brk]
-                spread = mix(part.column("tag").to_numpy().view(np.uint64))[d]
+                spread = mix(part.column("tag").to_numpy().astype(np.uint64))[d]
                 anchors = np.where(dup[brk], spread, low[brk]).view(np.int64)
                 width = np.where(dup[brk], 0, n * _FP)
                 data = fp.view(np.uint8).reshape(-1, 8)[~dup, :_FP].tobytes()
@@ -176,7 +176,7 @@ def _factor_rows(ids, tags, start, end, ref, known: bool) -> pa.RecordBatch:
 
 def _tagged(docs: DataFrame) -> DataFrame:
     """Id, text, and a hash of the text that tells rows of equal ids apart."""
-    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
+    return docs.select("doc_id", "text", F.hash(F.coalesce("text", F.lit(""))).alias("tag"))
 
 
 def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -187,9 +187,9 @@ def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (_tagged(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-            .mapInArrow(_blocks(kind, window, anchor), f"h long, doc_id {kind}, tag long, start int, n int, fps binary"))
+            .mapInArrow(_blocks(kind, window, anchor), f"h long, doc_id {kind}, tag int, start int, n int, fps binary"))
     return (rows.repartition("h").sortWithinPartitions("h", "doc_id")
-            .mapInArrow(_factors(window), f"doc_id {kind}, tag long, start int, end int, ref {kind}"))
+            .mapInArrow(_factors(window), f"doc_id {kind}, tag int, start int, end int, ref {kind}"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -241,7 +241,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                      pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                     ["doc_id", "n_words", "spans", "n_removed", "kept_text"])
 
-    texts = _tagged(docs).mapInArrow(pack, f"doc_id {kind}, tag long, z binary")
+    texts = _tagged(docs).mapInArrow(pack, f"doc_id {kind}, tag int, z binary")
     return (texts.join(found.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "z", "factors")
             .mapInArrow(parse, f"doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, n_removed long, kept_text string"))
 
