@@ -113,13 +113,18 @@ def sources_with_targets(buckets: DataFrame, block_words: int = BLOCK_WORDS) ->
 
 
 def schedule_slots(sources: DataFrame) -> DataFrame:
-    """A row per slot of the mix: its number, source, rank, epoch and block."""
+    """A row per slot of the mix: its number, source, rank, epoch and block.
+
+    Chunks are dealt to a given number of partitions: by their bytes, which do not
+    show the slots that they become, they would be put together again.
+    """
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = (sources.where("slots > 0")
              .withColumn("outer", F.explode(F.expr(f"sequence(0L, (slots - 1) div {_CHUNK * _CHUNK})")))
              .withColumn("chunk", F.explode(F.expr(
                  f"sequence(outer * {_CHUNK}, least((slots - 1) div {_CHUNK}, outer * {_CHUNK} + {_CHUNK - 1}))")))
              .select("s", "chunk", "slots", "lo", "hi", "bits", "blocks")
-             .repartition("s", "chunk"))
+             .repartition(tasks, "s", "chunk"))
     point = chunk.withColumn("x", F.explode(F.expr(
         f"sequence(lo + chunk * {_CHUNK}, lo + least(slots - 1, chunk * {_CHUNK} + {_CHUNK - 1}))")))
     rank = (point.withColumn("slot", F.expr(_reversed_bits("x", "bits")))
@@ -156,7 +161,8 @@ def mix_schedule(docs: DataFrame, sources: DataFrame) -> DataFrame:
               .withColumn("from", F.greatest(F.col("start"), F.expr(_block_start("block"))))
               .withColumn("to", F.least(F.col("start") + F.col("size"), F.expr(_block_start("(block + 1)"))))
               .select("s", "block", "doc_id", "start", "from", "to", "stream", "take"))
-    return (schedule_slots(sources).join(pieces, ["s", "block"])
+    # both sides grow with the words: never a broadcast, whatever size the planner expects
+    return (schedule_slots(sources).hint("merge").join(pieces, ["s", "block"])
             .withColumn("words", F.least("to", F.col("take") - F.col("epoch") * F.col("stream")) - F.col("from"))
             .where("words > 0")
             .select("slot", "s", "epoch", "doc_id", "start", (F.col("from") - F.col("start")).alias("first_word"), "words"))
@@ -172,7 +178,7 @@ def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataF
     docs, sources = placed(settle(sized(documents)), block_words)
     docs = settle(docs)
     taken = mix_schedule(docs, sources).groupBy("s", "start").agg(F.sum("words").alias("got"))
-    return (docs.join(taken, ["s", "start"], "left")
+    return (docs.join(taken.hint("merge"), ["s", "start"], "left")
             .select("doc_id", "size", F.col("stream").alias("source_size"), "target",
                     F.when(F.col("size") > 0, F.coalesce("got", F.lit(0))).otherwise(0).cast("long").alias("taken"),
                     "source"))
