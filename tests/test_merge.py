@@ -198,3 +198,50 @@ def test_schema_record_of_a_table_without_rows_is_replaced(spark):
     t._store_schema(spark.createDataFrame([], "id int, p string").schema)  # left by a failed run
     t.merge(spark.createDataFrame([(1, "x", "a")], "id int, extra string, p string"), ["id"])
     assert sorted(tuple(r) for r in t.read().select("id", "extra", "p").collect()) == [(1, "x", "a")]
+
+
+def _table(spark, name, parts=("p",)):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.table import StagingTable
+    return StagingTable(spark, scratch_path(spark, name), list(parts))
+
+
+def _rows(table):
+    return sorted((r["id"], r["v"], r["p"]) for r in table.read().select("id", "v", "p").collect())
+
+
+@pytest.mark.parametrize("value", [None, "a:b", "a,b", "a/b", "007", "{x}", "50%"])
+def test_merge_keeps_the_rest_of_odd_partitions(spark, value):
+    t = _table(spark, "odd")
+    schema = "id int, v string, p string"
+    t.merge(spark.createDataFrame([(1, "old", value), (2, "old", value), (3, "old", "z")], schema), ["id"], keys_may_move=False)
+    t.merge(spark.createDataFrame([(1, "new", value)], schema), ["id"], keys_may_move=False)
+    assert sorted(_rows(t), key=lambda r: r[0]) == [(1, "new", value), (2, "old", value), (3, "old", "z")]
+
+
+def test_merge_drops_emptied_partitions(spark):
+    t = _table(spark, "emptied")
+    schema = "id int, v string, p string"
+    t.merge(spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], schema), ["id"])
+    t.merge(spark.createDataFrame([(1, "b", "z"), (2, "b", "z")], schema), ["id"])
+    assert _rows(t) == [(1, "b", "z"), (2, "b", "z")]
+
+
+def test_failed_publish_is_finished_by_the_next_load(spark, monkeypatch):
+    from tidewater.sinks.table import StagingTable
+    t = _table(spark, "recover")
+    schema = "id int, v string, p string"
+    t.merge(spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], schema), ["id"])
+    publish = StagingTable._publish
+
+    def fail(self, stage):
+        raise OSError("lost")
+
+    monkeypatch.setattr(StagingTable, "_publish", fail)
+    with pytest.raises(OSError):
+        t.merge(spark.createDataFrame([(1, "b", "y")], schema), ["id"])
+    monkeypatch.setattr(StagingTable, "_publish", publish)
+    again = StagingTable(spark, t.path, ["p"])
+    again.merge(spark.createDataFrame([(3, "c", "x")], schema), ["id"])
+    assert _rows(again) == [(1, "b", "y"), (2, "a", "y"), (3, "c", "x")]
+    assert again.recover() == 0

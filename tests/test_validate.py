@@ -51,17 +51,14 @@ def test_all_null_column_skips_type_check(spark):
 def test_strict_types_on_typed_frame(spark):
     df = spark.createDataFrame([(1, "Ana", 30)], "id bigint, nombre string, edad int")
     assert ("unparseable", "id", 1) in _report(df, FIELDS, strict=True)
-    with pytest.raises(TypeError, match="Data type mismatch for field id"):
-        validate.strict_type_check(df, FIELDS)
 
 
 def test_relaxed_workbook_types(spark):
     df = spark.createDataFrame([("1", "Ana", 30.0)], "id string, nombre string, edad double")
-    validate.strict_type_check(df, FIELDS, relaxed=True)
+    assert not [r for r in _report(df, FIELDS, strict=True, relaxed=True) if r[0] == "unparseable"]
     fields = [{"name": "d", "type": "date"}]
     num = spark.createDataFrame([(1.0,)], "d double")
-    with pytest.raises(TypeError):
-        validate.strict_type_check(num, fields, relaxed=True)
+    assert ("unparseable", "d", 1) in _report(num, fields, strict=True, relaxed=True)
 
 
 def test_grouped_profile(spark):

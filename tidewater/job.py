@@ -265,10 +265,11 @@ class StagingJob:
             return self._finish(parts, parts, 0)
 
         table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
-        try:
-            return self._load(parts, schema, raw, table, to_add, merge_keys, raw_key)
-        finally:
-            table._cleanup()
+        table.recover()
+        # a failure leaves the staged content: the next load publishes what is whole and discards the rest
+        result = self._load(parts, schema, raw, table, to_add, merge_keys, raw_key)
+        table._cleanup()
+        return result
 
     def _load(self, parts, schema, raw, table, to_add, merge_keys, raw_key=None) -> StagingResult:
         a = self.args

@@ -193,21 +193,3 @@ def raise_for_report(rows, required_message: bool = True) -> None:
     for r in rows:
         if r["check_name"] == "required_null" and r["bad_rows"] > 0:
             raise ValueError(f"Required field {r['column_name']} has {r['bad_rows']} null or empty values.")
-
-
-def strict_type_check(df: DataFrame, fields: list[dict], relaxed: bool = False,
-                      non_null: dict | None = None) -> None:
-    """The original strict check: declared raw type must equal the DataFrame type
-    (workbooks: compatible), skipping columns that are entirely NULL."""
-    struct = build_struct(fields)
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    for f in struct.fields:
-        if f.name not in actual:
-            continue
-        if non_null is not None and non_null.get(f.name, 1) == 0:
-            continue
-        a = actual[f.name]
-        if not types_equal(f.dataType, a):
-            if relaxed and is_compatible(f.dataType, a):
-                continue
-            raise TypeError(f"Data type mismatch for field {f.name}. Expected {f.dataType}, found {a}.")

@@ -14,8 +14,10 @@ Parquet has no MERGE, so a merge rewrites only the partitions it touches:
 4. touched partitions left without rows (every key moved away) are removed --
    both sides are listed, no path is rebuilt from values.
 
-A failed step 3 can be re-run from the staging folder; step 2 never modifies
-the table. Executor loss inside either step is retried by Spark's task retry.
+Step 2 never modifies the table. Once the staged content is whole, a ``_READY`` mark
+is put beside it; it goes when step 4 is done. A run that dies in between leaves
+content and mark, and the next load (or ``recover``) first publishes them; content
+without a mark is discarded. Executor loss is retried by Spark's task retry.
 Partitioned writes carry a REBALANCE hint (few files per partition, hot
 partitions split by AQE). Staging copies are deleted after the commit.
 Schema evolution is recorded in ``_table_schema.json``: reads apply it and
@@ -28,7 +30,6 @@ import json
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -36,9 +37,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidewater.operators import merge as M
 from tidewater.session import text_partitions
 
-# Above this many touched partitions, prune with a join instead of a literal IN list.
-MAX_LITERAL_PARTITIONS = 10_000
-
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -55,6 +53,8 @@ def iceberg_catalog(spark: SparkSession, table: str) -> bool:
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # the table folder's schema record (a leading '_' keeps it out of Spark's listing)
 SCHEMA_FILE = "_table_schema.json"
+# beside staged content that is whole and not yet published
+READY = "_READY"
 # -----------------------------------------------------------------------------
 
 
@@ -98,19 +98,6 @@ class StagingTable:
         except Exception:
             return None, None
 
-    def read_partitions(self, values: list[tuple]) -> DataFrame:
-        """Only the given partition directories (a glob over one partition level)."""
-        if len(self.partition_cols) != 1 or not values:
-            return self.read()
-        key = self.partition_cols[0]
-        vals = sorted({str(v[0]) for v in values if v[0] is not None})
-        glob = f"{self.path}/{key}={{{','.join(vals)}}}" if len(vals) > 1 else f"{self.path}/{key}={vals[0]}"
-        try:
-            with text_partitions(self.spark):
-                return self._reader().option("basePath", self.path).parquet(glob)
-        except AnalysisException:
-            return self.read().where(F.lit(False))
-
     def read(self) -> DataFrame:
         """The stored rows; partition columns come back as text (as written in the paths)."""
         if self.iceberg:
@@ -201,13 +188,13 @@ class StagingTable:
 
     # -- K3: dynamic partition overwrite --------------------------------------
     def overwrite_partitions(self, df: DataFrame) -> None:
+        self.recover()
         df = self.synchronize_schema(df)
         if self.iceberg:
             df.writeTo(self.name).overwritePartitions()
             return
         self._record_first_schema(df)
         self._write_dynamic(df)
-        self._cleanup()
 
     # -- K4/K5: merge ----------------------------------------------------------
     def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
@@ -233,6 +220,7 @@ class StagingTable:
             self.spark.sql(f"MERGE INTO {self.name} t USING {view} s ON {cond} "
                            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
             return
+        self.recover()
         if materialise:
             df = self._materialise(df)
         if check_duplicates:
@@ -242,48 +230,25 @@ class StagingTable:
             self._record_first_schema(df)
             self._clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
               .partitionBy(*self.partition_cols).parquet(self.path)
-            self._cleanup()
             return
         df = self.synchronize_schema(df, exists=True)
         p = self.partition_cols
-        src_parts = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
+        touched_df = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
+        target = self.read()
         if keys_may_move:
-            target = self.read()
             moved = target.select(*[F.col(_q(c)) for c in keys + p]).join(
                 df.select(*[F.col(_q(k)) for k in keys]), on=keys, how="left_semi").select(*[F.col(_q(c)) for c in p])
-            touched_df = src_parts.unionByName(moved).distinct()
-        else:
-            touched_df = src_parts.distinct()
-        # The touched list is bounded by the number of partitions; below the limit it
-        # becomes a literal filter that prunes the scan to those directories.
-        touched = [tuple(r) for r in touched_df.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-        if not keys_may_move:
-            target = self.read_partitions(touched) if len(touched) <= MAX_LITERAL_PARTITIONS else self.read()
-        if len(touched) <= MAX_LITERAL_PARTITIONS:
-            if len(p) == 1:
-                vals = [t[0] for t in touched if t[0] is not None]
-                cond = F.col(_q(p[0])).isin(vals)
-                if any(t[0] is None for t in touched):
-                    cond = cond | F.col(_q(p[0])).isNull()
-            else:
-                cond = F.lit(False)
-                for t in touched:
-                    c = F.lit(True)
-                    for col, v in zip(p, t):
-                        c = c & (F.col(_q(col)).isNull() if v is None else (F.col(_q(col)) == F.lit(v)))
-                    cond = cond | c
-            in_touched = target.where(cond)
-        else:
-            in_touched = target.join(touched_df, on=p, how="left_semi")
+            touched_df = touched_df.unionByName(moved)
+        # kept as a table: the partitions' number has no bound, and the target changes below
+        stage = self._staging_dir()
+        touched_df.distinct().write.parquet(f"{stage}/touched")
+        touched = self.spark.read.parquet(f"{stage}/touched")
+        same = [F.col(f"t.{_q(c)}").cast("string").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
+        in_touched = target.alias("t").join(touched.alias("s"), same, "left_semi") if p else target
         # partition values come back from the paths as text: give them the batch's types
         in_touched = in_touched.withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
         new_content = M.merge_upsert(in_touched, df, keys)
-        stage = self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]))
-        # a touched partition whose rows all moved away is absent from the new
-        # content, so the dynamic overwrite leaves it alone: drop it explicitly
-        if len(touched) <= MAX_LITERAL_PARTITIONS:
-            self._drop_emptied(touched, stage)
-        self._cleanup()
+        self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]), stage)
 
     # -- internals ----------------------------------------------------------------
     def _staging_dir(self) -> str:
@@ -292,7 +257,7 @@ class StagingTable:
         return d
 
     def _cleanup(self) -> None:
-        """Drop the staging copies once the table write has committed."""
+        """Drop the staging copies; for callers whose load has committed, or failed before its content was whole."""
         for d in self._stages:
             fs, p = self._fs(d)
             if fs is not None:
@@ -321,16 +286,49 @@ class StagingTable:
         """Read a partitioned Parquet folder with partition values kept as text
         (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
         with text_partitions(self.spark):
-            return self.spark.read.parquet(path)
-
-    def _write_dynamic(self, df: DataFrame) -> str:
-        """Materialise ``df`` in a staging folder, then dynamic-overwrite the table from it."""
-        stage = self._staging_dir()
-        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(stage)
-        staged = self._read_text_partitions(stage).select(*[F.col(_q(c)) for c in df.columns])
+            df = self.spark.read.parquet(path)
+        # a column of NULL partitions only is read without a type
+        return df.withColumns({c: F.col(_q(c)).cast("string") for c in self.partition_cols})
+
+    def _write_dynamic(self, df: DataFrame, stage: str | None = None) -> None:
+        """Materialise ``df`` in a staging folder, mark it whole, then publish it."""
+        stage = stage or self._staging_dir()
+        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(f"{stage}/content")
+        fs, mark = self._fs(f"{stage}/{READY}")
+        if fs is not None:
+            fs.create(mark, True).close()
+        self._publish(stage)
+
+    def _publish(self, stage: str) -> None:
+        """Replace the staged partitions of the table, drop the emptied ones, and forget the stage. May be repeated."""
+        staged = self._read_text_partitions(f"{stage}/content")
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_cols).parquet(self.path))
-        return stage
+        self._drop_emptied(stage)
+        fs, folder = self._fs(stage)
+        if fs is not None:
+            fs.delete(folder, True)
+        self._stages = [s for s in self._stages if s != stage]
+
+    def recover(self) -> int:
+        """Publish what an earlier load staged whole but did not finish; discard the rest. Returns the number published.
+
+        For one writer at a time, as the loads themselves. The stages of this object's own load are left alone.
+        """
+        fs, root = self._fs(f"{self.path}/_staging")
+        if self.iceberg or fs is None or not fs.exists(root):
+            return 0
+        done = 0
+        for st in sorted(fs.listStatus(root), key=lambda s: s.getModificationTime()):
+            stage = f"{self.path}/_staging/{st.getPath().getName()}"
+            if stage in self._stages:
+                continue
+            if fs.exists(self._fs(f"{stage}/{READY}")[1]):
+                self._publish(stage)
+                done += 1
+            else:
+                fs.delete(st.getPath(), True)
+        return done
 
     def _partition_dirs(self, fs, root: str, wanted: set[tuple]) -> dict:
         """Partition directories under ``root`` for the ``wanted`` value tuples:
@@ -355,18 +353,27 @@ class StagingTable:
             level = nxt
         return dict(level)
 
-    def _drop_emptied(self, touched: list[tuple], stage: str) -> None:
-        """Delete table partitions that were touched but have no rows any more.
+    def _drop_emptied(self, stage: str) -> None:
+        """Delete table partitions that were touched but have no rows in the staged content any more.
 
-        Both sides are listed (no path is rebuilt from values), so a partition is
-        only removed when the staged new content really has no directory for it.
+        Found by an anti join; both folders are listed, no path is rebuilt from values.
         """
-        fs, _ = self._fs(self.path)
-        if fs is None:
+        fs, record = self._fs(f"{stage}/touched")
+        if fs is None or not self.partition_cols or not fs.exists(record):
             return
-        wanted = {tuple(None if v is None else str(v) for v in t) for t in touched}
-        staged = self._partition_dirs(fs, stage, wanted)
-        current = self._partition_dirs(fs, self.path, wanted)
-        for key in wanted:
-            if key not in staged and key in current:
-                fs.delete(current[key], True)
+        p = self.partition_cols
+        touched = self.spark.read.parquet(f"{stage}/touched").alias("t")
+        staged = self._read_text_partitions(f"{stage}/content").select(*[F.col(_q(c)) for c in p]).distinct().alias("s")
+        same = [F.col(f"t.{_q(c)}").eqNullSafe(F.col(f"s.{_q(c)}").cast("string")) for c in p]
+        batch: set[tuple] = set()
+        for r in touched.join(staged, same, "left_anti").select(*[F.col(f"t.{_q(c)}") for c in p]).toLocalIterator():
+            batch.add(tuple(r))
+            if len(batch) >= 1000:
+                self._drop(fs, batch)
+                batch = set()
+        self._drop(fs, batch)
+
+    def _drop(self, fs, values: set[tuple]) -> None:
+        if values:
+            for folder in self._partition_dirs(fs, self.path, values).values():
+                fs.delete(folder, True)
