@@ -19,7 +19,7 @@ SLOT_ROWS = 1024
 
 def tiles(rows: DataFrame, group: str, member: str, size: Column) -> DataFrame:
     """``rows`` with ``slot`` and, once for each tile of theirs, ``ti`` and ``tj``; ``size``: slots' worth of rows in the group."""
-    n = F.greatest(F.lit(1), F.ceil(size / SLOT_ROWS).cast("int"))
+    n = F.greatest(F.lit(1), F.ceil(size / F.lit(SLOT_ROWS)).cast("int"))
     slot = F.pmod(F.xxhash64(member, group), n.cast("long")).cast("int")
     out = rows.withColumn("slots", n).withColumn("slot", slot)
     return (out.withColumn("other", F.explode(F.expr("sequence(0, slots - 1)")))
