@@ -437,7 +437,8 @@ def main(argv: list[str] | None = None) -> int:
     if getattr(args, "validate_only", False):
         out = StagingJob(spark, args).validate()
         if out is not None:
-            out.orderBy("partition_value").show(1000, truncate=False)
+            for r in out.orderBy("partition_value").toLocalIterator():
+                print(r.asDict())
         return 0
     result = run_with_audit(spark, args, audit)
     print(result)

@@ -856,7 +856,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_list": q_parse_list,
     "staging_load": q_staging_load,
     "empty_partitions_message": q_empty_partitions_message,
-    "schema_fields": q_schema_fields,
     "staging_job": q_staging_job,
     "stream_incremental": q_stream_incremental,
 }

@@ -24,9 +24,6 @@ STAGING_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Raw zones have many small partition directories: list them with a bounded
-    # number of tasks instead of one task per directory.
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
