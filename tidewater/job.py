@@ -18,6 +18,7 @@ Where a per-partition loop would scan each raw partition several times
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass, field
 
@@ -41,6 +42,14 @@ log = logging.getLogger("tidewater.job")
 PARTITION_VALUE = "__partition_value"  # the planned value a row was read for
 ADD_VALUE = "__add_value"              # the value an ``add_`` partition column takes
 
+# --- fixed value: the catalog that qualifies staging tables -------------------
+CATALOG = "glue_catalog"
+# ------------------------------------------------------------------------------
+
+
+def _quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
 
 @dataclass
 class StagingArgs:
@@ -79,14 +88,17 @@ class StagingArgs:
     fail_on_missing: bool = False
     # True: read only the first workbook of a directory (the original behaviour)
     excel_first_only: bool = False
-    # share of JSON files parsed for schema inference (None: all of them)
-    json_sampling_ratio: float | None = None
     # True: read JSON with the declared names as text (no inference pass); a
     # declared column absent from every record then reports as all-NULL
     json_declared_schema: bool = False
     # False: a key never changes partition, so a merge reads only the batch's
     # partitions instead of scanning every key of the table
     keys_may_move: bool = True
+    # catalog that qualifies the table; with an Iceberg catalog of this name the table lives there
+    catalog_name: str = CATALOG
+    # identity in the audit record
+    job_run_id: str = ""
+    stage: str = ""
 
     def root(self, kind: str) -> str:
         explicit = {"raw": self.raw_root, "schema": self.schema_root, "staging": self.staging_root}[kind]
@@ -103,6 +115,16 @@ class StagingResult:
     rows_written: int = 0
     message: str | None = None
 
+    def warning_record(self, args: StagingArgs) -> dict | None:
+        """What a notifier needs to report the empty partitions (None when there are none)."""
+        if not self.empty_partitions:
+            return None
+        # --- fixed values: the record's field names -----------------------------
+        return {"Payload": {"JobStatus": self.status, "ProcessType": args.process_type, "ProjectName": args.project_name,
+                            "JobName": args.job_name, "Arguments": {"--catalog_table": args.catalog_table},
+                            "ErrorMessage": self.message, "NotificationEmails": args.notification_emails}}
+        # --------------------------------------------------------------------------
+
 
 class StagingJob:
     def __init__(self, spark: SparkSession, args: StagingArgs):
@@ -113,10 +135,13 @@ class StagingJob:
         self.key_staging = args.path_name_staging.strip("/")
         self.table_raw_path = f"{args.root('raw')}/{self.key_raw}"
         self.table_staging_path = f"{args.root('staging')}/{self.key_staging}"
-        self.catalog_table = f"{args.catalog_database}.{args.catalog_table}"
+        self.catalog_table = f"{args.catalog_name}.{args.catalog_database}.{args.catalog_table}"
         self.excel_sheet = args.excel_sheet.strip() or None
         self.file_name_excel = args.file_name_excel.strip() or None
         self.materialise_raw = True
+        self.raw_key = ""
+        self.absent: dict[str, set[str]] = {}  # per planned value, declared columns that its files do not have
+        self.json_values: list[str] = []       # planned values read as JSON with an inferred schema
 
     # -- step 1 --------------------------------------------------------------
     def plan(self) -> tuple[list[str], str]:
@@ -134,62 +159,85 @@ class StagingJob:
         return list(row["partitions"]), raw_key
 
     # -- step 2 --------------------------------------------------------------
-    def read(self, parts: list[str], raw_key: str, schema: Schema, split_csv: bool = False) -> DataFrame | None:
+    def read(self, parts: list[str], raw_key: str, schema: Schema) -> DataFrame | None:
+        """The declared columns of all planned partitions, one scan per format and distinct CSV header.
+
+        ``self.absent`` notes which partitions lack which declared columns.
+        """
+        self.raw_key, self.absent, self.json_values = raw_key, {}, []
         if self.file_name_excel:
             path = self._resolve_file(self.file_name_excel)
             fmt = "excel" if path.lower().endswith(".xlsx") else ("json" if path.lower().endswith(".json") else "csv")
             if fmt == "excel":
                 from tidewater.sources.xlsx import read_xlsx
-                df = read_xlsx(self.spark, path, sheet=self.excel_sheet, keep_path=True)
-                if schema.expects_entity() and "entidad" not in {c.lower() for c in df.columns}:
-                    df = df.withColumn("Entidad", entity_from_path(F.col("_source_path")))
-                df = df.drop("_source_path")
+                df = self._with_entity(read_xlsx(self.spark, path, sheet=self.excel_sheet, keep_path=True), schema)
             else:
                 df = files.read_raw(self.spark, path, fmt)
             # a single file carries no partition value: added columns take the window start
-            df = df.withColumns({PARTITION_VALUE: F.lit(parts[0]),
-                                 ADD_VALUE: F.lit(self.args.start_date or self.args.today or D.today_local())})
-            return df
-        else:
-            groups = self._detect(parts, raw_key)
-            frames = []
-            for fmt, values in groups.items():
-                kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
-                if fmt == "excel":
-                    kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
-                if fmt == "json" and self.args.json_declared_schema:
-                    kw["schema"] = files.text_schema(schema.names, raw_key)
-                elif fmt == "json" and self.args.json_sampling_ratio:
-                    kw["sampling_ratio"] = self.args.json_sampling_ratio
-                if fmt == "csv" and split_csv:
-                    # one read per partition: each partition keeps its own header
-                    for v in values:
-                        one = files.read_partitions(self.spark, self.table_raw_path, raw_key, [v], fmt, **kw)
-                        if one is not None:
-                            frames.append(one)
-                    continue
-                part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, **kw)
-                if part is None:
+            return df.withColumns({PARTITION_VALUE: F.lit(parts[0]),
+                                   ADD_VALUE: F.lit(self.args.start_date or self.args.today or D.today_local())})
+        frames = []
+        for (fmt, _), values in self._detect(parts, raw_key).items():
+            kw = {"infer": True} if (self.args.strict_types and fmt == "csv") else {}
+            if fmt == "excel":
+                kw.update(sheet=self.excel_sheet, first_only=self.args.excel_first_only)
+            if fmt == "json" and self.args.json_declared_schema:
+                kw["schema"] = files.text_schema(schema.names)
+            part = files.read_partitions(self.spark, self.table_raw_path, raw_key, values, fmt, PARTITION_VALUE, **kw)
+            if part is None:
+                continue
+            if fmt == "excel":
+                part = self._with_entity(part, schema)
+            if fmt == "json" and "schema" not in kw:
+                self.json_values += values
+            self.absent.update({v: set(schema.names) - set(part.columns) for v in values})
+            # columns that are not declared never leave the scan
+            frames.append(part.select(*[_quoted(c) for c in part.columns if c in schema.names], PARTITION_VALUE))
+        if not frames:
+            return None
+        df = frames[0]
+        if len(frames) > 1:
+            # different formats or headers: align them as text, by column name
+            texts = [f.select(*[_quoted(c).cast("string").alias(c) for c in f.columns]) for f in frames]
+            df = texts[0]
+            for f in texts[1:]:
+                df = df.unionByName(f, allowMissingColumns=True)
+        return df.withColumn(ADD_VALUE, F.col(PARTITION_VALUE))
+
+    @staticmethod
+    def _with_entity(df: DataFrame, schema: Schema) -> DataFrame:
+        if schema.expects_entity() and "entidad" not in {c.lower() for c in df.columns}:
+            df = df.withColumn("Entidad", entity_from_path(F.col("_source_path")))
+        return df.drop("_source_path")
+
+    def _profile(self, raw: DataFrame, schema: Schema) -> list[dict]:
+        """One aggregate over all partitions; a column that a partition's own files lack is missing there,
+        although the common schema fills it with NULLs. Bounded by partitions x checks."""
+        rows = [r.asDict() for r in validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
+                                                     strict=self.args.strict_types,
+                                                     relaxed=bool(self.file_name_excel)).collect()]
+        absent = {v: set(c) for v, c in self.absent.items()}
+        # JSON: only a column without any value in a partition can be lacking there; those partitions' keys decide
+        doubt: dict[str, set[str]] = {}
+        for r in rows:
+            if r["check_name"] == "all_null" and r["value"] == 0 and r["total_rows"] and r[PARTITION_VALUE] in self.json_values:
+                doubt.setdefault(r[PARTITION_VALUE], set()).add(r["column_name"])
+        if doubt:
+            for r in files.json_keys(self.spark, self.table_raw_path, self.raw_key, sorted(doubt)) \
+                          .where(F.col("name").isin(sorted(set().union(*doubt.values())))).collect():
+                doubt[r["value"]].discard(r["name"])
+            for v, columns in doubt.items():
+                absent[v] |= columns
+        # the entity comes from workbooks' names: next to them, other formats need not have it
+        absent = {v: {c for c in columns if c.lower() != "entidad"} for v, columns in absent.items()}
+        out = []
+        for r in rows:
+            if r["column_name"] in absent.get(r[PARTITION_VALUE], ()) and r["check_name"] != "missing_column":
+                if r["check_name"] != "all_null":
                     continue
-                if fmt == "excel":
-                    if schema.expects_entity() and "entidad" not in {c.lower() for c in part.columns}:
-                        part = part.withColumn("Entidad", entity_from_path(F.col("_source_path")))
-                    part = part.drop("_source_path")
-                frames.append(part)
-            if not frames:
-                return None
-            if len(frames) == 1:
-                df = frames[0]
-            else:
-                # partitions in different formats: align them as text, by column name
-                def as_text(frame: DataFrame) -> DataFrame:
-                    return frame.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c)
-                                          for c in frame.columns])
-                df = as_text(frames[0])
-                for f in frames[1:]:
-                    df = df.unionByName(as_text(f), allowMissingColumns=True)
-            df = df.withColumnRenamed(raw_key, PARTITION_VALUE).withColumn(ADD_VALUE, F.col(PARTITION_VALUE))
-        return df
+                r = {**r, "check_name": "missing_column", "value": r["total_rows"]}
+            out.append(r)
+        return out
 
     def _resolve_file(self, name: str) -> str:
         if "://" in name or name.startswith("/"):
@@ -199,9 +247,10 @@ class StagingJob:
             key = f"{self.key_raw}/{key}"
         return f"{self.args.root('raw')}/{key}"
 
-    def _detect(self, parts: list[str], raw_key: str) -> dict[str, list[str]]:
+    def _detect(self, parts: list[str], raw_key: str) -> dict[tuple, list[str]]:
         """Planned partition values grouped by the format detected in their directory
-        (first supported file by key order).
+        (first supported file by key order) and, for CSV, by header line. A CSV
+        partition of empty files only is in no group.
 
         A directory holding files but none of a supported type is an error, as is
         a missing directory when ``fail_on_missing`` is set; otherwise a missing
@@ -214,7 +263,8 @@ class StagingJob:
             value = F.regexp_extract("path", f"/{raw_key}=([^/]+)/", 1)
             fmt = format_of_path(F.col("path"))
             det = (inv.groupBy(value.alias("value"))
-                      .agg(F.min_by(fmt, F.when(fmt.isNotNull(), F.col("path"))).alias("format"))
+                      .agg(F.min_by(fmt, F.when(fmt.isNotNull(), F.col("path"))).alias("format"),
+                           F.min(F.when((fmt == "csv") & (F.col("length") > 0), F.col("path"))).alias("head"))
                       .collect())
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
@@ -228,10 +278,13 @@ class StagingJob:
         missing = [p for p in parts if p not in found]
         if missing and self.args.fail_on_missing:
             raise FileNotFoundError(f"No files found in {self.table_raw_path}/{raw_key}={missing[0]}")
-        groups: dict[str, list[str]] = {}
-        for r in det:
-            groups.setdefault(r["format"], []).append(r["value"])
-        return {f: sorted(v) for f, v in groups.items()}
+        heads = files.first_lines(self.spark, [r["head"] for r in det if r["format"] == "csv" and r["head"]])
+        groups: dict[tuple, list[str]] = {}
+        for r in sorted(det, key=lambda r: r["value"]):
+            head = heads.get(r["head"]) if r["format"] == "csv" else ""
+            if head is not None:
+                groups.setdefault((r["format"], head), []).append(r["value"])
+        return groups
 
     # -- report only -------------------------------------------------------------
     def validate(self) -> DataFrame | None:
@@ -245,8 +298,8 @@ class StagingJob:
         raw = self.read(parts, raw_key, schema)
         if raw is None:
             return None
-        prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
-                                strict=a.strict_types, relaxed=bool(self.file_name_excel))
+        prof = self.spark.createDataFrame(self._profile(raw, schema), f"{PARTITION_VALUE} string, check_name string, "
+                                          "column_name string, value long, total_rows long")
         return report.partition_outcomes(prof, PARTITION_VALUE).withColumnRenamed(PARTITION_VALUE, "partition_value")
 
     # -- the whole run -----------------------------------------------------------
@@ -267,30 +320,22 @@ class StagingJob:
         table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
         table.recover()
         # a failure leaves the staged content: the next load publishes what is whole and discards the rest
-        result = self._load(parts, schema, raw, table, to_add, merge_keys, raw_key)
+        result = self._load(parts, schema, raw, table, to_add, merge_keys)
         table._cleanup()
         return result
 
-    def _load(self, parts, schema, raw, table, to_add, merge_keys, raw_key=None) -> StagingResult:
+    def _load(self, parts, schema, raw, table, to_add, merge_keys) -> StagingResult:
         a = self.args
         if self.materialise_raw:
             # The only pass over the raw files (CSV/JSON/workbook parsing): a columnar
             # copy in the table's staging folder, which also cuts the lineage. The
             # profile, the casts and the write all read this copy.
             copy = f"{table._staging_dir()}/raw"
-            try:
-                raw.write.mode("overwrite").parquet(copy)
-            except Exception as e:
-                if "CSV header does not conform" not in str(e) or self.file_name_excel:
-                    raise
-                # headers differ between partitions: read each partition on its own
-                raw = self.read(parts, raw_key, schema, split_csv=True)
-                raw.write.mode("overwrite").parquet(copy)
+            raw.write.mode("overwrite").parquet(copy)
             raw = self.spark.read.parquet(copy)
 
         # one aggregate: per-partition row counts and every validation counter
-        prof = validate.profile(raw, list(schema.fields), by=[PARTITION_VALUE],
-                                strict=a.strict_types, relaxed=bool(self.file_name_excel)).collect()
+        prof = self._profile(raw, schema)
         rows_by_part = {r[PARTITION_VALUE]: r["total_rows"] for r in prof}
         failures_by_part: dict[str, list[dict]] = {}
         for r in prof:
@@ -310,20 +355,22 @@ class StagingJob:
         for c in to_add:
             df = project.add_partition_column(df, c, F.col(ADD_VALUE))
         df = project.cast_by_schema(df, list(schema.fields))
-        df = project.select_rename(df, list(schema.fields), keep=to_add)
-        df = project.normalize_column_names(df)
+        df = project.select_rename(df, list(schema.fields), keep=[*to_add, PARTITION_VALUE])
+        df = project.normalize_column_names(df, untouched=[PARTITION_VALUE])
 
         missing = [k for k in table.partition_cols + (merge_keys or []) if k not in df.columns]
         if missing:
             raise ValueError(f"Staging partition or merge columns not in the staged data: {missing}; "
-                             f"columns are {df.columns}")
+                             f"columns are {[c for c in df.columns if c != PARTITION_VALUE]}")
         log.info("%s: %s into %s (partitioned by %s)", a.job_name,
                  "overwrite" if merge_keys is None else f"merge on {merge_keys}", table.path, table.partition_cols)
-        table.create(df)
+        table.create(df.drop(PARTITION_VALUE))
+        # one write for all raw partitions, with the outcome of writing them one after another
         if merge_keys is None:
-            table.overwrite_partitions(df)
+            table.overwrite_partitions(df, order=PARTITION_VALUE)
         else:
-            table.merge(df, merge_keys, materialise=not self.materialise_raw, keys_may_move=a.keys_may_move)
+            table.merge(df, merge_keys, materialise=not self.materialise_raw, keys_may_move=a.keys_may_move,
+                        order=PARTITION_VALUE)
         written = sum(v for p, v in rows_by_part.items() if v)
         return self._finish(parts, empty, written)
 
@@ -337,21 +384,31 @@ class StagingJob:
 def run_with_audit(spark: SparkSession, args: StagingArgs, audit_path: str | None = None) -> StagingResult:
     """Run the job and append a SUCCEEDED / FAILED record (FAILED re-raises)."""
     params = {k: v for k, v in vars(args).items() if v is not None}
+
+    def audit(status: str, error: str | None) -> None:
+        if audit_path:
+            report.audit_record(spark, args.job_name, status, error, params, run_id=args.job_run_id,
+                                project_name=args.project_name, environment=args.stage) \
+                  .write.mode("append").parquet(audit_path)
+
     try:
         result = StagingJob(spark, args).run()
-        status, err = report.STATUS_SUCCEEDED, None
     except Exception as e:  # audit every failure, including planning errors
-        status, err, result = report.STATUS_FAILED, str(e), None
-        if audit_path:
-            report.audit_record(spark, args.job_name, status, err, params, project_name=args.project_name) \
-                  .write.mode("append").parquet(audit_path)
+        audit(report.STATUS_FAILED, str(e))
         raise
-    if audit_path:
-        report.audit_record(spark, args.job_name, status, err, params, project_name=args.project_name) \
-              .write.mode("append").parquet(audit_path)
+    audit(report.STATUS_SUCCEEDED, None)
     return result
 
 
+class PlanFailure(RuntimeError):
+    """Some loads of a plan failed; ``results`` holds every load's outcome, in plan order (an exception where it failed)."""
+
+    def __init__(self, results: list):
+        self.results = results
+        failed = [r for r in results if isinstance(r, Exception)]
+        super().__init__(f"{len(failed)} of {len(results)} loads failed: " + "; ".join(str(e) for e in failed))
+
+
 def run_plan(spark: SparkSession, staging_plan: DataFrame, process_type: str, date_type: str,
              audit_path: str | None = None, **defaults) -> list[StagingResult]:
     """Run one staging job per row of a staging plan (``plans.load_plan.staging_plan``).
@@ -359,14 +416,16 @@ def run_plan(spark: SparkSession, staging_plan: DataFrame, process_type: str, da
     The plan is metadata (one row per dataset), so it is collected and the jobs
     run one after the other, each one a distributed load; ``defaults`` fills
     the arguments a plan row does not carry (job and project names, roots,
-    buckets, options).
+    buckets, options). A load that fails does not keep the others from running;
+    ``PlanFailure`` is raised at the end.
     """
     fields = set(StagingArgs.__dataclass_fields__)
     results = []
     for row in staging_plan.collect():
         r = row.asDict()
         if r.get("plan_error"):
-            raise ValueError(f"{r.get('catalog_table')}: {r['plan_error']}")
+            results.append(ValueError(f"{r.get('catalog_table')}: {r['plan_error']}"))
+            continue
         kw = {"path_name_raw": r["path_name_raw"], "path_name_staging": r["path_name_staging"],
               "partition_key_raw": r["partition_key_raw"], "partition_key_staging": r["partition_key_staging"],
               "catalog_database": r["catalog_database"], "catalog_table": r["catalog_table"],
@@ -384,7 +443,13 @@ def run_plan(spark: SparkSession, staging_plan: DataFrame, process_type: str, da
         kw.update({k: v for k, v in defaults.items() if k in fields})
         kw.setdefault("job_name", kw["catalog_table"])
         kw.setdefault("project_name", "")
-        results.append(run_with_audit(spark, StagingArgs(**kw), audit_path))
+        try:
+            results.append(run_with_audit(spark, StagingArgs(**kw), audit_path))
+        except Exception as e:
+            log.exception("%s failed", kw["job_name"])
+            results.append(e)
+    if any(isinstance(r, Exception) for r in results):
+        raise PlanFailure(results)
     return results
 
 
@@ -409,8 +474,10 @@ def parse_args(argv: list[str]) -> tuple[StagingArgs, str | None]:
         p.add_argument(f"--{r}", required=True)
     for o in ("start_date", "end_date", "bucket_name_raw", "bucket_name_schema", "bucket_name_staging",
               "notification_emails", "raw_root", "schema_root", "staging_root", "today", "audit_path",
-              *OPTIONAL_ARGS):
+              "stage", *OPTIONAL_ARGS):
         p.add_argument(f"--{o}", default="", nargs="?", const="")
+    p.add_argument("--JOB_RUN_ID", "--job_run_id", dest="job_run_id", default="")
+    p.add_argument("--catalog_name", default=CATALOG)
     p.add_argument("--strict_types", action="store_true")
     p.add_argument("--fail_on_missing", action="store_true")
     p.add_argument("--excel_first_only", action="store_true")
@@ -442,6 +509,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     result = run_with_audit(spark, args, audit)
     print(result)
+    warning = result.warning_record(args)
+    if warning:
+        print(json.dumps(warning, ensure_ascii=False))
     return 0
 
 

@@ -54,19 +54,56 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+def duplicate_keys(source: DataFrame, keys: list[str], *more) -> DataFrame:
     """Keys carried by more than one source row (MERGE would be ambiguous).
 
     Rows with a NULL key never match, so they are not duplicates. Partial
-    aggregation runs map-side, so a hot key costs one row per task.
+    aggregation runs map-side, so a hot key costs one row per task. ``more`` aggregates come along.
     """
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(_q(k)).isNotNull()
-    return (source.where(not_null).groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return (source.where(not_null).groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"), *more)
                   .where(F.col("n") > 1))
 
 
+LAST = "__last"
+
+
+def repeated_keys(source: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Keys of more than one row, with the last load partition (``order``) each occurs in. NULL keys are left out.
+
+    Reads the key and order columns only and aggregates map-side.
+    """
+    return duplicate_keys(source, keys, F.max(F.col(_q(order))).alias(LAST)).drop("n")
+
+
+def without_superseded(source: DataFrame, repeats: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Rows of ``source`` but those whose key comes again in a later load partition, as if the partitions
+    were merged one after another. ``repeats`` is ``repeated_keys`` of it, best read from a written table."""
+    later = repeats.select(*[F.col(_q(k)).alias(f"__k{i}") for i, k in enumerate(keys)], LAST)
+    cond = F.col(_q(order)) < F.col(LAST)
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(_q(k)) == F.col(f"__k{i}"))
+    return source.join(later, cond, "left_anti")
+
+
+def last_loads(source: DataFrame, partition_cols: list[str], order: str) -> DataFrame:
+    """Per table partition the last load partition (``order``) that writes it, where there are several."""
+    o = F.col(_q(order))
+    return (source.groupBy(*[F.col(_q(c)) for c in partition_cols]).agg(F.max(o).alias(LAST), F.min(o).alias("__first"))
+                  .where(F.col("__first") < F.col(LAST)).drop("__first"))
+
+
+def without_overwritten(source: DataFrame, last: DataFrame, partition_cols: list[str], order: str) -> DataFrame:
+    """Rows of ``source`` but those of table partitions that a later load partition replaces."""
+    last = last.select(*[F.col(_q(c)).alias(f"__k{i}") for i, c in enumerate(partition_cols)], LAST)
+    cond = F.col(_q(order)) < F.col(LAST)
+    for i, c in enumerate(partition_cols):
+        cond = cond & F.col(_q(c)).eqNullSafe(F.col(f"__k{i}"))
+    return source.join(last, cond, "left_anti")
+
+
 def overwrite_partitions(target: DataFrame, source: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Dynamic partition overwrite: every partition present in the source is
     replaced wholesale; the others are kept."""

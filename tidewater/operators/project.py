@@ -58,13 +58,13 @@ def select_rename(df: DataFrame, fields: list[dict], keep: list[str] | None = No
     return df.select(*cols)
 
 
-def normalize_column_names(df: DataFrame) -> DataFrame:
-    """Fold accents, año -> anio, non-word characters -> '_' in every column name.
+def normalize_column_names(df: DataFrame, untouched: list[str] | None = None) -> DataFrame:
+    """Fold accents, año -> anio, non-word characters -> '_' in every column name (but the ``untouched``).
 
     Raises when two names collide after normalisation (Spark resolves names
     case-insensitively, so a collision would make later references ambiguous).
     """
-    names = [normalize_name(c) for c in df.columns]
+    names = [c if c in (untouched or []) else normalize_name(c) for c in df.columns]
     check_collisions(names)
     return df.toDF(*names)
 

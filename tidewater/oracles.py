@@ -145,4 +145,35 @@ ORACLES: dict[str, str] = {
                      "'conversations')",
     "staging_job": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
     "stream_incremental": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
+    "sink_merge": "WITH o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'a:b/c, d=1' WHEN 'O' THEN '100%' END AS clase FROM orders) "
+                  "SELECT o_orderkey, o_custkey, o_totalprice, clase FROM o WHERE o_orderdate < TIMESTAMP '1997-07-01' UNION ALL "
+                  "SELECT o_orderkey, o_custkey, o_totalprice + 1, CASE WHEN o_custkey % 5 = 0 THEN 'nueva' "
+                  "WHEN o_custkey % 5 <> 1 THEN clase END FROM o WHERE o_orderdate >= TIMESTAMP '1997-07-01'",
+    "sink_overwrite": "WITH o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'a:b/c, d=1' WHEN 'O' THEN '100%' END AS clase FROM orders), "
+                      "n AS (SELECT * FROM o WHERE (clase IS NULL OR clase <> '100%') AND o_orderdate >= TIMESTAMP '1997-01-01') "
+                      "SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, clase FROM n UNION ALL "
+                      "SELECT o_orderkey, o_totalprice, clase FROM o WHERE NOT EXISTS "
+                      "(SELECT 1 FROM n WHERE n.clase IS NOT DISTINCT FROM o.clase)",
+    "sink_schema_sync": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, "
+                        "CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer",
+    "staging_job_overlap": "SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, o_orderstatus, '1998-01' AS mes_carga FROM orders "
+                           "WHERE o_orderdate >= TIMESTAMP '1997-12-01' AND o_orderdate < TIMESTAMP '1998-02-01'",
+    "drift_scan": "WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS m, CAST(o_orderkey AS VARCHAR) AS k FROM orders "
+                  "WHERE o_orderdate >= TIMESTAMP '1997-12-01') "
+                  "SELECT k AS o_orderkey, o_totalprice, o_orderstatus, CAST(NULL AS VARCHAR) AS file_mes, '1997-12' AS raw_month "
+                  "FROM o WHERE m = '1997-12' UNION ALL "
+                  "SELECT k, o_totalprice + 1, o_orderstatus, m, '1998-01' FROM o WHERE m <= '1998-01' UNION ALL "
+                  "SELECT k, o_totalprice, NULL, NULL, '1998-02' FROM o WHERE m >= '1998-02'",
+    "missing_by_partition": "WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01') "
+                            "SELECT '1997-12' AS partition_value, count(*) AS n, 'SUCCEEDED' AS status, CAST(NULL AS VARCHAR) AS error "
+                            "FROM o WHERE m = '1997-12' HAVING count(*) > 0 UNION ALL "
+                            "SELECT '1998-01', count(*), 'SUCCEEDED', NULL FROM o WHERE m <= '1998-01' HAVING count(*) > 0 UNION ALL "
+                            "SELECT '1998-02', count(*), 'FAILED', 'missing_column: Estado' FROM o WHERE m >= '1998-02' HAVING count(*) > 0",
+    "cast_epoch": "SELECT o_orderkey, date_trunc('second', o_orderdate) AS ts, "
+                  "date_trunc('second', o_orderdate) + INTERVAL 500 MILLISECOND AS ts_half FROM orders",
+    "safe_timestamp_offset": "SELECT o_orderkey, date_trunc('second', o_orderdate) + CASE WHEN o_orderstatus = 'F' "
+                             "THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS ts FROM orders",
+    "xlsx_na": "SELECT s_suppkey, CASE WHEN s_nationkey >= 5 THEN s_name END AS s_name, "
+               "CASE WHEN s_nationkey >= 5 THEN s_acctbal END AS s_acctbal, CAST(NULL AS VARCHAR) AS nada, "
+               "'bigint,double,string' AS kinds FROM supplier",
 }

@@ -681,6 +681,154 @@ def q_stream_incremental(spark, sf):
     return table.read()
 
 
+# --- the stored table: what the sink itself leaves behind -----------------------
+
+def _sink(spark, name: str, partition_cols: list[str]):
+    from tidewater.sinks.table import StagingTable
+    return StagingTable(spark, f"{scratch_path(spark, name)}/table", partition_cols)
+
+
+def _sink_orders(spark, sf) -> DataFrame:
+    """Orders with a partition text that holds NULLs and characters a path must escape."""
+    return T(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+        F.when(F.col("o_orderstatus") == "F", "a:b/c, d=1").when(F.col("o_orderstatus") == "O", "100%").alias("clase"))
+
+
+def q_sink_merge(spark, sf):
+    """K4: a second load updates keys, inserts keys, and moves keys from one partition (also NULL) to another."""
+    o = _sink_orders(spark, sf)
+    table = _sink(spark, "sink-merge", ["clase"])
+    table.merge(o.where("o_orderdate < timestamp_ntz'1998-01-01'"), ["o_orderkey"])
+    later = o.where("o_orderdate >= timestamp_ntz'1997-07-01'")
+    table.merge(later.withColumns({
+        "o_totalprice": F.col("o_totalprice") + 1,
+        "clase": F.when(F.col("o_custkey") % 5 == 0, F.lit("nueva")).when(F.col("o_custkey") % 5 != 1, F.col("clase"))}),
+        ["o_orderkey"])
+    return table.read().select("o_orderkey", "o_custkey", "o_totalprice", "clase")
+
+
+def q_sink_overwrite(spark, sf):
+    """K3: a second load replaces the partitions it writes (escaped and NULL ones too) and leaves the others."""
+    o = _sink_orders(spark, sf)
+    table = _sink(spark, "sink-overwrite", ["clase"])
+    table.overwrite_partitions(o)
+    table.overwrite_partitions(o.where("(clase IS NULL OR clase <> '100%') AND o_orderdate >= timestamp_ntz'1997-01-01'")
+                                .withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    return table.read().select("o_orderkey", "o_totalprice", "clase")
+
+
+def q_sink_schema_sync(spark, sf):
+    """K1/K2: a second load brings a wider type and a new column; stored files stay as they are."""
+    c = T(spark, sf, "customer").withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    early = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    table = _sink(spark, "sink-sync", ["c_mktsegment"])
+    table.merge(c.where(early).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ["c_custkey"])
+    table.merge(c.where(~early).select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("c_nationkey"),
+                                       "c_acctbal", "c_mktsegment"), ["c_custkey"])
+    return table.read().select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def raw_orders_drift_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Orders under ``mes=1997-12`` / ``1998-01`` / ``1998-02``, each with its own header: January has other
+    prices for December's orders as well, columns in another order and one more; February lacks the status."""
+    def build() -> str:
+        path = scratch_path(spark, "raw-orders-drift")
+        o = T(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-12-01'")
+        text = lambda c: F.col(c).cast("string")
+        key, price, state = text("o_orderkey").alias("OrderKey"), text("o_totalprice"), F.col("o_orderstatus").alias("Estado")
+        month = F.date_format("o_orderdate", "yyyy-MM")
+        cols = {"1997-12": [key, price.alias("TotalPrice"), state],
+                "1998-01": [F.lit("x").alias("Nota"), state, (F.col("o_totalprice") + 1).cast("string").alias("TotalPrice"), key,
+                            month.alias("mes")],
+                "1998-02": [price.alias("TotalPrice"), key]}
+        rows = {"1997-12": o.where(month == "1997-12"), "1998-01": o.where(month <= "1998-01"), "1998-02": o.where(month >= "1998-02")}
+        for m, c in cols.items():
+            rows[m].select(*c).write.options(header="true", sep=";", nullValue="\\N").csv(f"{path}/mes={m}")
+        return path
+    return _once(spark, (sf_dir, "orders-drift"), build)
+
+
+DRIFT_FIELDS = [{"name": "OrderKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_orderkey"},
+                {"name": "TotalPrice", "type": "double", "converted_type": "double", "converted_name": "o_totalprice"},
+                {"name": "Estado", "type": "string", "converted_name": "o_orderstatus"}]
+
+
+def _drift_job(spark, sf, end: str, fields: list[dict]):
+    import json
+
+    from tidewater.job import StagingArgs, StagingJob
+    raw_root, key = raw_orders_drift_dir(spark, sf).rsplit("/", 1)
+    zone = scratch_path(spark, "drift")
+    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": fields}))
+    return StagingJob(spark, StagingArgs(
+        job_name="drift", project_name="tidewater", path_name_raw=key, path_name_staging="ordenes",
+        catalog_database="staging", catalog_table="ordenes", merge_keys="o_orderkey", partition_key_staging="add_mes_carga",
+        partition_key_raw="mes", process_type="FULL", date_type=dates.MONTH, start_date="1997-12", end_date=end,
+        raw_root=raw_root, schema_root=f"{zone}/schema", staging_root=f"{zone}/staging")), f"{zone}/staging/ordenes"
+
+
+def q_staging_job_overlap(spark, sf):
+    """K4/K5: one load of two raw months; an order that is in both has the later month's row."""
+    job, path = _drift_job(spark, sf, "1998-01", DRIFT_FIELDS)
+    job.run()
+    return spark.read.parquet(path)
+
+
+def q_drift_scan(spark, sf):
+    """Raw months whose headers differ, each read by its own header; a file column named as the raw key stays."""
+    job, _ = _drift_job(spark, sf, "1998-02", DRIFT_FIELDS)
+    from tidewater.job import PARTITION_VALUE
+    from tidewater.schema import Schema
+    parts, raw_key = job.plan()
+    df = job.read(parts, raw_key, Schema.of([*DRIFT_FIELDS, {"name": "mes", "type": "string"}]))
+    return df.select(F.col("OrderKey").alias("o_orderkey"), F.col("TotalPrice").cast("double").alias("o_totalprice"),
+                     F.col("Estado").alias("o_orderstatus"), F.col("mes").alias("file_mes"),
+                     F.col(PARTITION_VALUE).alias("raw_month"))
+
+
+def q_missing_by_partition(spark, sf):
+    """V1/V6: a column that one raw month lacks is missing in that month only."""
+    job, _ = _drift_job(spark, sf, "1998-02", DRIFT_FIELDS)
+    return job.validate().select("partition_value", "n", "status", "error")
+
+
+def q_cast_epoch(spark, sf):
+    """Numbers become timestamps as seconds since 1970."""
+    o = T(spark, sf, "orders")
+    seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    raw = o.select("o_orderkey", seconds.alias("whole"), (seconds + F.lit(0.5)).cast("double").alias("half"))
+    return raw.select("o_orderkey", casts.lenient_cast(F.col("whole"), "timestamp", raw.schema["whole"].dataType).alias("ts"),
+                      casts.lenient_cast(F.col("half"), "timestamp", raw.schema["half"].dataType).alias("ts_half"))
+
+
+def q_safe_timestamp_offset(spark, sf):
+    """Text with an offset is an instant and becomes its UTC wall clock."""
+    o = T(spark, sf, "orders")
+    local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(F.col("o_orderstatus") == "F", F.concat(local, F.lit("-05:00"))) \
+            .when(F.col("o_orderstatus") == "O", F.concat(local, F.lit("Z"))).otherwise(local)
+    return o.select("o_orderkey", casts.safe_timestamp(text).alias("ts"))
+
+
+def q_xlsx_na(spark, sf):
+    """Cell texts that mean "no value" are NULL and leave the column its number type."""
+    from tidewater.sources.xlsx import read_xlsx, write_workbooks
+
+    def build() -> str:
+        path = scratch_path(spark, "raw-supplier-na")
+        s = T(spark, sf, "supplier")
+        na = F.element_at(F.array(*[F.lit(x) for x in ("#N/A", "NA", "null", "NaN", "n/a")]), (F.col("s_nationkey") % 5 + 1).cast("int"))
+        rows = s.select("s_suppkey", F.when(F.col("s_nationkey") < 5, na).otherwise(F.col("s_name")).alias("n"),
+                        F.when(F.col("s_nationkey") >= 5, F.col("s_acctbal")).alias("saldo"), na.alias("nada"))
+        write_workbooks(rows.repartition(4, "s_suppkey"), path, ["Clave", "Nombre", "Saldo", "Nada"])
+        return path
+    df = read_xlsx(spark, _once(spark, (sf, "supplier-na"), build))
+    kinds = dict(df.dtypes)
+    return df.select(F.col("Clave").alias("s_suppkey"), F.col("Nombre").alias("s_name"), F.col("Saldo").alias("s_acctbal"),
+                     F.col("Nada").alias("nada"), F.lit(f"{kinds['Clave']},{kinds['Saldo']},{kinds['Nada']}").alias("kinds"))
+
+
 # --- plans -----------------------------------------------------------------------
 
 def _order_params(o: DataFrame) -> Column:
@@ -858,6 +1006,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_partitions_message": q_empty_partitions_message,
     "staging_job": q_staging_job,
     "stream_incremental": q_stream_incremental,
+    "sink_merge": q_sink_merge,
+    "sink_overwrite": q_sink_overwrite,
+    "sink_schema_sync": q_sink_schema_sync,
+    "staging_job_overlap": q_staging_job_overlap,
+    "drift_scan": q_drift_scan,
+    "missing_by_partition": q_missing_by_partition,
+    "cast_epoch": q_cast_epoch,
+    "safe_timestamp_offset": q_safe_timestamp_offset,
+    "xlsx_na": q_xlsx_na,
 }
 
 

@@ -9,10 +9,15 @@ Parquet has no MERGE, so a merge rewrites only the partitions it touches:
 2. the new content of those partitions -- kept target rows (anti join on the
    keys) plus the source -- is written to a staging folder under the table,
    which cuts the lineage to the table being replaced;
-3. the staging folder is written over the table with dynamic partition
-   overwrite, which replaces exactly the touched partitions;
+3. the staged partition folders take the place of the table's by renaming, so
+   the content is written once;
 4. touched partitions left without rows (every key moved away) are removed --
-   both sides are listed, no path is rebuilt from values.
+   the folders are listed, no path is rebuilt from values.
+
+A load of several raw partitions behaves as if they were written one after
+another (``order`` names the column of the raw partition): a merge keeps, per
+key, the row of the last one; an overwrite keeps, per table partition, the rows
+of the last one that writes it.
 
 Step 2 never modifies the table. Once the staged content is whole, a ``_READY`` mark
 is put beside it; it goes when step 4 is done. A run that dies in between leaves
@@ -187,8 +192,16 @@ class StagingTable:
         return M.conform(df, cols)
 
     # -- K3: dynamic partition overwrite --------------------------------------
-    def overwrite_partitions(self, df: DataFrame) -> None:
+    def overwrite_partitions(self, df: DataFrame, order: str | None = None) -> None:
         self.recover()
+        if order:
+            # a table, as it decides what is kept and is small: one row per partition that several loads write
+            record = f"{self._staging_dir()}/last"
+            M.last_loads(df, self.partition_cols, order).write.parquet(record)
+            last = self.spark.read.parquet(record)
+            if not last.isEmpty():
+                df = M.without_overwritten(df, last, self.partition_cols, order)
+            df = df.drop(order)
         df = self.synchronize_schema(df)
         if self.iceberg:
             df.writeTo(self.name).overwritePartitions()
@@ -198,7 +211,7 @@ class StagingTable:
 
     # -- K4/K5: merge ----------------------------------------------------------
     def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
-              keys_may_move: bool = True, materialise: bool = True) -> None:
+              keys_may_move: bool = True, materialise: bool = True, order: str | None = None) -> None:
         """Upsert ``df`` on ``keys`` (WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
 
         The batch is materialised once under the table's staging folder, so the
@@ -207,7 +220,15 @@ class StagingTable:
         ``keys_may_move=False`` declares that a key never changes partition, so only
         the source's partitions are listed and read (no scan of the table's keys).
         ``materialise=False`` when ``df`` already reads a materialised copy.
+        ``order`` names the column of the load partition: a key may come once in
+        each, and its row in the last one counts; the column is not stored.
         """
+        if order:
+            self.recover()
+            if materialise:
+                df = self._materialise(df)
+            df = self._last_of_each_key(df, keys, order)
+            check_duplicates, materialise = False, False
         if self.iceberg:
             if check_duplicates:
                 self._check_duplicates(df, keys)
@@ -228,6 +249,9 @@ class StagingTable:
         if not self.exists():
             # a new table has nothing to lose: write the first batch in place
             self._record_first_schema(df)
+            if not self.partition_cols:  # an overwrite of the whole folder would take the staging folder along
+                self._write_dynamic(df)
+                return
             self._clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
               .partitionBy(*self.partition_cols).parquet(self.path)
             return
@@ -241,10 +265,12 @@ class StagingTable:
             touched_df = touched_df.unionByName(moved)
         # kept as a table: the partitions' number has no bound, and the target changes below
         stage = self._staging_dir()
-        touched_df.distinct().write.parquet(f"{stage}/touched")
-        touched = self.spark.read.parquet(f"{stage}/touched")
-        same = [F.col(f"t.{_q(c)}").cast("string").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
-        in_touched = target.alias("t").join(touched.alias("s"), same, "left_semi") if p else target
+        in_touched = target
+        if p:
+            touched_df.distinct().write.parquet(f"{stage}/touched")
+            touched = self.spark.read.parquet(f"{stage}/touched")
+            same = [F.col(f"t.{_q(c)}").cast("string").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
+            in_touched = target.alias("t").join(touched.alias("s"), same, "left_semi")
         # partition values come back from the paths as text: give them the batch's types
         in_touched = in_touched.withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
         new_content = M.merge_upsert(in_touched, df, keys)
@@ -282,6 +308,16 @@ class StagingTable:
         if dup:
             raise ValueError(f"MERGE source has more than one row for key {dup[0].asDict()}")
 
+    def _last_of_each_key(self, df: DataFrame, keys: list[str], order: str) -> DataFrame:
+        """``df`` without the rows that a later load partition replaces; two rows for a key in one partition raise."""
+        record = f"{self._staging_dir()}/repeats"
+        M.repeated_keys(df, keys, order).write.parquet(record)
+        repeats = self.spark.read.parquet(record)
+        if not repeats.isEmpty():
+            self._check_duplicates(df.join(repeats.select(*[F.col(_q(k)) for k in keys]), keys, "left_semi"), [*keys, order])
+            df = M.without_superseded(df, repeats, keys, order)
+        return df.drop(order)
+
     def _read_text_partitions(self, path: str) -> DataFrame:
         """Read a partitioned Parquet folder with partition values kept as text
         (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
@@ -293,22 +329,64 @@ class StagingTable:
     def _write_dynamic(self, df: DataFrame, stage: str | None = None) -> None:
         """Materialise ``df`` in a staging folder, mark it whole, then publish it."""
         stage = stage or self._staging_dir()
-        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(f"{stage}/content")
+        content = f"{stage}/content"
+        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(content)
+        self._note_emptied(stage)
         fs, mark = self._fs(f"{stage}/{READY}")
-        if fs is not None:
-            fs.create(mark, True).close()
+        if fs is None:  # no JVM access (Spark Connect): Spark's own dynamic overwrite
+            (self._read_text_partitions(content).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(*self.partition_cols).parquet(self.path))
+            return
+        out = fs.create(mark, True)
+        if not self.partition_cols:  # what the whole table will consist of
+            out.write(bytearray("\n".join(n for n, _ in self._visible(fs, self._fs(content)[1])).encode("utf-8")))
+        out.close()
         self._publish(stage)
 
+    @staticmethod
+    def _visible(fs, folder) -> list[tuple]:
+        """(name, status) of a folder's entries that are part of the table."""
+        if not fs.exists(folder):
+            return []
+        found = [(st.getPath().getName(), st) for st in fs.listStatus(folder)]
+        return [(n, st) for n, st in found if not n.startswith(("_", "."))]
+
     def _publish(self, stage: str) -> None:
-        """Replace the staged partitions of the table, drop the emptied ones, and forget the stage. May be repeated."""
-        staged = self._read_text_partitions(f"{stage}/content")
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*self.partition_cols).parquet(self.path))
-        self._drop_emptied(stage)
+        """Move the staged partitions to the table, drop the emptied ones, and forget the stage.
+
+        Each move can be repeated, so a publish that died is finished by calling it again.
+        """
         fs, folder = self._fs(stage)
-        if fs is not None:
-            fs.delete(folder, True)
+        content = self._fs(f"{stage}/content")[1]
+        if self.partition_cols:
+            self._move(fs, content, self._fs(self.path)[1], len(self.partition_cols))
+        else:
+            stream = fs.open(self._fs(f"{stage}/{READY}")[1])
+            try:
+                new = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+            finally:
+                stream.close()
+            self._move(fs, content, self._fs(self.path)[1], 1)
+            for name, st in self._visible(fs, self._fs(self.path)[1]):
+                if name not in new:
+                    fs.delete(st.getPath(), True)
+        self._drop_emptied(stage)
+        fs.delete(folder, True)
         self._stages = [s for s in self._stages if s != stage]
+        self.spark.catalog.refreshByPath(self.path)
+
+    def _move(self, fs, source, target, depth: int) -> None:
+        """Entries ``depth`` levels below ``source`` replace those of the same path below ``target``."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name, st in self._visible(fs, source):
+            to = path(target, name)
+            if depth > 1:
+                self._move(fs, st.getPath(), to, depth - 1)
+                continue
+            fs.mkdirs(target)
+            fs.delete(to, True)
+            if not fs.rename(st.getPath(), to):
+                raise OSError(f"could not move {st.getPath()} to {to}")
 
     def recover(self) -> int:
         """Publish what an earlier load staged whole but did not finish; discard the rest. Returns the number published.
@@ -353,20 +431,28 @@ class StagingTable:
             level = nxt
         return dict(level)
 
-    def _drop_emptied(self, stage: str) -> None:
-        """Delete table partitions that were touched but have no rows in the staged content any more.
-
-        Found by an anti join; both folders are listed, no path is rebuilt from values.
-        """
+    def _note_emptied(self, stage: str) -> None:
+        """Record the touched partitions without a row in the staged content, found by an anti join."""
         fs, record = self._fs(f"{stage}/touched")
         if fs is None or not self.partition_cols or not fs.exists(record):
             return
         p = self.partition_cols
-        touched = self.spark.read.parquet(f"{stage}/touched").alias("t")
-        staged = self._read_text_partitions(f"{stage}/content").select(*[F.col(_q(c)) for c in p]).distinct().alias("s")
-        same = [F.col(f"t.{_q(c)}").eqNullSafe(F.col(f"s.{_q(c)}").cast("string")) for c in p]
+        touched = self.spark.read.parquet(f"{stage}/touched")
+        if not self._visible(fs, self._fs(f"{stage}/content")[1]):  # nothing is left at all
+            emptied = touched
+        else:
+            staged = self._read_text_partitions(f"{stage}/content").select(*[F.col(_q(c)) for c in p]).distinct().alias("s")
+            same = [F.col(f"t.{_q(c)}").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
+            emptied = touched.alias("t").join(staged, same, "left_anti")
+        emptied.write.parquet(f"{stage}/emptied")
+
+    def _drop_emptied(self, stage: str) -> None:
+        """Delete the recorded partitions; folders are listed, no path is rebuilt from values."""
+        fs, record = self._fs(f"{stage}/emptied")
+        if not fs.exists(record):
+            return
         batch: set[tuple] = set()
-        for r in touched.join(staged, same, "left_anti").select(*[F.col(f"t.{_q(c)}") for c in p]).toLocalIterator():
+        for r in self.spark.read.parquet(f"{stage}/emptied").toLocalIterator():
             batch.add(tuple(r))
             if len(batch) >= 1000:
                 self._drop(fs, batch)

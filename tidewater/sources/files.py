@@ -2,19 +2,18 @@
 
 Raw datasets are Hive-style directories ``{base}/{key}={value}/...``. A load
 reads every planned partition in *one* scan: the planned values become one
-glob, so only those directories are listed, and the partition column is
-available for grouping (per-partition counts, validation, writes).
+glob, so only those directories are listed, and the partition value is taken
+from the file path for grouping (per-partition counts, validation, writes).
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.params import format_of_path
-from tidewater.session import text_partitions
 
 # --- fixed values (must equal the reference's rules) -------------------------
 CSV_OPTIONS = {"header": "true", "delimiter": ";", "nullValue": "\\N"}
@@ -55,17 +54,13 @@ def read_csv(spark: SparkSession, path, infer: bool = False, header: bool = True
 
 
 def read_json(spark: SparkSession, path, schema: StructType | None = None,
-              base_path: str | None = None, glob: str | None = "*.[jJ][sS][oO][nN]",
-              sampling_ratio: float | None = None) -> DataFrame:
+              base_path: str | None = None, glob: str | None = "*.[jJ][sS][oO][nN]") -> DataFrame:
     """Multi-line JSON (each file one document or an array of documents).
 
-    Without a schema Spark infers one (a pass over the files, or over a
-    ``sampling_ratio`` share of them); supplying the declared field names as
-    text skips that pass.
+    Without a schema Spark infers one (a pass over the files); supplying the
+    declared field names as text skips that pass.
     """
     r = spark.read.options(**JSON_OPTIONS)
-    if sampling_ratio:
-        r = r.option("samplingRatio", str(sampling_ratio))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if base_path:
@@ -111,31 +106,61 @@ def read_partitions(spark: SparkSession, base: str, key: str, values: list[str],
                     partition_alias: str | None = None, **kw) -> DataFrame | None:
     """One scan over the planned partitions ``{base}/{key}={v}`` for v in values.
 
-    The partition column is kept (as text, named ``partition_alias`` or ``key``);
-    workbooks also keep ``_source_path``. Returns None when none of the planned
-    directories exists.
+    Each directory is read as a leaf, so a file column named as the key stays
+    what it is; the partition value comes from the file path, as text, under
+    ``partition_alias`` (``key`` when not given: it then hides a file column of
+    that name). Workbooks also keep ``_source_path``. Returns None when none of
+    the planned directories exists.
     """
     if not values:
         return None
+    name = partition_alias or key
     try:
         if fmt == "excel":
             from tidewater.sources.xlsx import read_xlsx
             df = read_xlsx(spark, partition_glob(base, key, values), keep_path=True, **kw)
-            return df.withColumn(partition_alias or key,
-                                 F.regexp_extract(F.col("_source_path"), f"/{key}=([^/]+)/", 1))
-        with text_partitions(spark):
-            df = read_raw(spark, partition_glob(base, key, values), fmt, base_path=base.rstrip("/"), **kw)
+            return df.withColumn(name, partition_of(F.col("_source_path"), key))
+        df = read_raw(spark, partition_glob(base, key, values), fmt, **kw)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
-    if key not in df.columns:
-        # a single leaf directory without partition discovery: add it from the path
-        df = df.withColumn(key, F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)/", 1))
-    out = df.withColumn(key, F.col(key).cast("string"))
-    if partition_alias and partition_alias != key:
-        out = out.withColumnRenamed(key, partition_alias)
-    return out
+    return df.withColumn(name, partition_of(F.col("_metadata.file_path"), key))
+
+
+def partition_of(path: Column, key: str) -> Column:
+    """The partition value in a file path (planned values are dates, which paths hold as they are)."""
+    return F.regexp_extract(path, f"/{key}=([^/]+)/", 1)
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """First line that is not blank of each file (one small read a file, by the driver's file system client)."""
+    from concurrent.futures import ThreadPoolExecutor
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def one(path: str) -> str | None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        try:
+            line = lines.readLine()
+            while line is not None and not line.strip():
+                line = lines.readLine()
+            return line
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(paths, pool.map(one, paths), strict=True))
+
+
+def json_keys(spark: SparkSession, base: str, key: str, values: list[str]) -> DataFrame:
+    """(value, name): the record keys that occur in each of the planned JSON partitions, also with null values."""
+    text = (spark.read.option("wholetext", "true").option("pathGlobFilter", ext_glob("json"))
+                 .text(partition_glob(base, key, values)))
+    one = "map<string,string>"
+    records = F.coalesce(F.from_json("value", f"array<{one}>"), F.array(F.from_json("value", one)))
+    found = text.select(partition_of(F.col("_metadata.file_path"), key).alias("value"), F.explode(records).alias("r"))
+    return found.select("value", F.explode(F.map_keys("r")).alias("name")).distinct()
 
 
 def file_inventory(spark: SparkSession, base: str) -> DataFrame:

@@ -14,7 +14,8 @@ cells (the rules pandas applies to a sheet):
 * only dates -> TIMESTAMP
 * anything else -> STRING
 
-and a single projection turns the cells into typed columns.
+and a single projection turns the cells into typed columns. Texts that mean
+"no value" (``NA_TEXTS``) count as blanks; dates follow the workbook's epoch.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ PKG_REL_NS = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 # Built-in number formats that display dates/times.
 DATE_FORMAT_IDS = set(range(14, 23)) | {27, 28, 29, 30, 31, 34, 35, 36, 45, 46, 47, 50, 51, 52, 53, 54, 55, 56, 57, 58}
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
+EPOCH_1904 = _dt.datetime(1904, 1, 1)
+# Cell texts that mean "no value" (pandas' defaults).
+NA_TEXTS = {"", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+            "NULL", "NaN", "None", "n/a", "nan", "null"}
 # -----------------------------------------------------------------------------
 
 CELLS_SCHEMA = ("path string, sheet string, row_index bigint, "
@@ -63,8 +68,8 @@ def _is_date_format(code: str) -> bool:
     return any(ch in code for ch in "dmyhs") and "general" not in code
 
 
-def _serial_to_text(v: float) -> str:
-    ts = EXCEL_EPOCH + _dt.timedelta(days=v)
+def _serial_to_text(v: float, epoch: _dt.datetime = EXCEL_EPOCH) -> str:
+    ts = epoch + _dt.timedelta(days=v)
     ts = ts.replace(microsecond=round(ts.microsecond / 1000) * 1000) if ts.microsecond else ts
     return ts.isoformat(sep=" ")
 
@@ -86,6 +91,7 @@ class Workbook:
         names = set(self.zip.namelist())
         self.shared = self._shared_strings() if "xl/sharedStrings.xml" in names else []
         self.date_styles = self._date_styles() if "xl/styles.xml" in names else set()
+        self.epoch = EXCEL_EPOCH
         self.sheets = self._sheets()
 
     def _shared_strings(self) -> list[str]:
@@ -109,6 +115,9 @@ class Workbook:
 
     def _sheets(self) -> list[tuple[str, str]]:
         wb = ET.parse(self.zip.open("xl/workbook.xml")).getroot()
+        props = wb.find(NS + "workbookPr")
+        if props is not None and props.get("date1904", "0").lower() in ("1", "true"):
+            self.epoch = EPOCH_1904
         rels = ET.parse(self.zip.open("xl/_rels/workbook.xml.rels")).getroot()
         targets = {r.get("Id"): r.get("Target") for r in rels.iter(PKG_REL_NS + "Relationship")}
         out = []
@@ -150,7 +159,7 @@ class Workbook:
                     cells[idx] = ("date", val.replace("T", " "))
                 elif val is not None and val != "":
                     if int(c.get("s", "0")) in self.date_styles:
-                        cells[idx] = ("date", _serial_to_text(float(val)))
+                        cells[idx] = ("date", _serial_to_text(float(val), self.epoch))
                     else:
                         cells[idx] = _number_text(val)
             cells = {k: v for k, v in cells.items() if v[1] != "" or v[0] != "str"}
@@ -213,7 +222,8 @@ def _decode(sheet: str | None, header: bool):
                     kinds = [None] * len(header_names)
                     texts = [None] * len(header_names)
                     for i, (k, t) in cells.items():
-                        kinds[i], texts[i] = k, t
+                        if k != "str" or t not in NA_TEXTS:
+                            kinds[i], texts[i] = k, t
                     out.append((path, sheet_name, row_no, header_names, kinds, texts))
                     row_no += 1
                     if len(out) >= BATCH_ROWS:

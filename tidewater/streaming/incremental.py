@@ -6,7 +6,9 @@ stages exactly the files that arrived since the last run (tracked in the
 checkpoint), then stops. Each micro-batch goes through the same operators as
 the batch job -- one-pass validation, cast, rename, normalise -- and is merged
 into the staging table. A failed batch is not committed to the checkpoint and
-is re-run on the next start; the merge is keyed, so a re-run is idempotent.
+is re-run on the next start; the merge is keyed, so a re-run is idempotent. A
+batch that holds several raw partitions is validated partition by partition,
+and of a key that comes in several the last one's row counts.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from tidewater.session import shared_dir
 from tidewater.sinks.table import StagingTable
 from tidewater.sources.files import CSV_OPTIONS, ext_glob, text_schema
 
+LOAD_PARTITION = "__load_partition"  # the raw partition a row came in: later ones win
+
 
 def raw_stream(spark: SparkSession, raw_dir: str, fields: list[dict], partition_key: str,
                fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -62,18 +66,21 @@ def stage_batch(batch: DataFrame, fields: list[dict], table: StagingTable, merge
     copy = f"{table._staging_dir()}/raw"
     batch.write.mode("overwrite").parquet(copy)
     raw = spark.read.parquet(copy)
-    report = validate.validation_report(raw, fields).collect()
-    validate.raise_for_report(report)
-    df = raw
+    failures: dict[str, list] = {}
+    for r in validate.validation_report(raw, fields, by=[partition_key]).collect():
+        failures.setdefault(r[partition_key] or "", []).append(r)
+    for p in sorted(failures):  # each raw partition on its own, in order
+        validate.raise_for_report(failures[p])
+    df = raw.withColumn(LOAD_PARTITION, F.col(partition_key))
     for c in add_columns:
         df = project.add_partition_column(df, c, F.col(partition_key))
     df = project.cast_by_schema(df, fields)
-    df = project.select_rename(df, fields, keep=add_columns)
-    df = project.normalize_column_names(df)
+    df = project.select_rename(df, fields, keep=[*add_columns, LOAD_PARTITION])
+    df = project.normalize_column_names(df, untouched=[LOAD_PARTITION])
     if merge_keys is None:
-        table.overwrite_partitions(df)
+        table.overwrite_partitions(df, order=LOAD_PARTITION)
     else:
-        table.merge(df, merge_keys, materialise=False)
+        table.merge(df, merge_keys, materialise=False, order=LOAD_PARTITION)
     table._cleanup()
 
 
