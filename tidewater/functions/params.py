@@ -101,6 +101,10 @@ def json_ascii(doc: Column | str) -> Column:
     def escape(ch: Column) -> Column:
         return F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", "\\\\u$1")
 
-    escaped = F.array_join(F.transform(F.split(doc, ""),
-                                       lambda ch: F.when(ch.rlike("^[\\x00-\\x7f]*$"), ch).otherwise(escape(ch))), "")
-    return F.when(doc.rlike("[^\\x00-\\x7f]"), escaped).otherwise(doc)
+    def whole(text: Column) -> Column:
+        escaped = F.array_join(F.transform(F.split(text, ""),
+                                           lambda ch: F.when(ch.rlike("^[\\x00-\\x7f]*$"), ch).otherwise(escape(ch))), "")
+        return F.when(text.rlike("[^\\x00-\\x7f]"), escaped).otherwise(text)
+
+    # as a lambda's variable the document is built once, though it is named three times
+    return F.transform(F.array(doc), whole)[0]

@@ -66,7 +66,9 @@ ORACLES: dict[str, str] = {
                         "THEN string_split(string_split(trim(url, '/'), '/')[-1], '_')[1] "
                         "ELSE nullif(regexp_replace(string_split(trim(url, '/'), '/')[-2], '^[^=]*=', ''), '') END "
                         "AS entity FROM pages",
-    "all_null_columns": "SELECT 'o_clerk' AS column_name FROM (SELECT count(*) AS n FROM orders) WHERE n >= 0",
+    "all_null_columns": "WITH o AS (SELECT *, CAST(NULL AS VARCHAR) AS o_clerk "
+                        "FROM orders) SELECT column_name FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM o) "
+                        "ON COLUMNS(*) INTO NAME column_name VALUE n) WHERE n = 0",
     "required_nulls": "SELECT 'c_custkey' AS column_name, count(*) FILTER (WHERE c_custkey IS NULL) AS null_rows, "
                       "CAST(0 AS BIGINT) AS empty_rows FROM customer "
                       "UNION ALL SELECT 'c_name', CAST(0 AS BIGINT), count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') "
@@ -130,19 +132,26 @@ ORACLES: dict[str, str] = {
                     "count(*) AS orders FROM m GROUP BY 1",
     "xlsx_scan": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, "
                  "CAST(DATE '2020-01-01' + s_nationkey AS TIMESTAMP) AS fecha_alta, s_acctbal > 0 AS activo FROM supplier",
-    "cell_type_inference": "SELECT column_name, spark_type FROM (VALUES ('Proveedor ID', 'bigint'), ('Nombre', 'string'), "
-                           "('Nación', 'bigint'), ('Saldo', 'double'), ('Fecha Alta', 'timestamp'), ('Activo', 'boolean'), "
-                           "('Comentario', 'string'), ('Bono', 'double'), ('Código', 'double')) AS t(column_name, spark_type) "
-                           "WHERE (SELECT count(*) FROM supplier WHERE s_nationkey < 5) > 0",
+    # a number column holds doubles as soon as a cell is empty or has a fraction; a text column stays text
+    "cell_type_inference": "WITH s AS (SELECT *, DATE '2020-01-01' + CAST(s_nationkey AS INTEGER) AS alta, "
+                           "s_acctbal > 0 AS activo, CAST(NULL AS VARCHAR) AS comentario, "
+                           "CASE WHEN s_nationkey >= 5 THEN s_acctbal END AS bono, "
+                           "CASE WHEN s_nationkey >= 5 THEN s_nationkey END AS codigo FROM supplier) "
+                           + " UNION ALL ".join(
+                               f"SELECT '{name}' AS column_name, CASE WHEN count({c}) = count(*) AND "
+                               f"bool_and({c} = floor({c})) THEN 'bigint' ELSE 'double' END AS spark_type FROM s"
+                               for name, c in (("Proveedor ID", "s_suppkey"), ("Nación", "s_nationkey"),
+                                               ("Saldo", "s_acctbal"), ("Bono", "bono"), ("Código", "codigo")))
+                           + "".join(
+                               f" UNION ALL SELECT '{name}', CASE any_value(typeof({c})) WHEN 'DATE' THEN 'timestamp' "
+                               f"WHEN 'BOOLEAN' THEN 'boolean' ELSE 'string' END FROM s"
+                               for name, c in (("Nombre", "s_name"), ("Fecha Alta", "alta"), ("Activo", "activo"),
+                                               ("Comentario", "comentario"))),
     "empty_partitions_message": "SELECT 'WARNING' AS status, 'Warning: The following partitions had no data and were "
                                 "skipped: ' || string_agg(strftime(d, '%Y-%m-%d'), ', ' ORDER BY d) AS message FROM ("
                                 "SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), "
                                 "INTERVAL 1 DAY)) AS d FROM orders) WHERE CAST(d AS DATE) NOT IN "
                                 "(SELECT CAST(o_orderdate AS DATE) FROM orders) HAVING count(*) > 0",
-    "schema_fields": "SELECT table_name AS dataset, CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name "
-                     "FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', "
-                     "'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', "
-                     "'conversations')",
     "staging_job": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
     "stream_incremental": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 10000 THEN NULL ELSE o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%Y-%m') AS mes_carga FROM orders",
     "sink_merge": "WITH o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'a:b/c, d=1' WHEN 'O' THEN '100%' END AS clase FROM orders) "

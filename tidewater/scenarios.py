@@ -152,6 +152,8 @@ def raw_orders_csv_flat(spark: SparkSession, sf_dir: str) -> str:
 
 SUPPLIER_SHEET_HEADERS = ["Proveedor ID", "Nombre", "Nación", "Saldo", "Fecha Alta", "Activo", "Comentario",
                           "Bono", "Código"]
+#: Most rows of a fixture workbook, about: far below what a sheet can hold.
+WORKBOOK_ROWS = 50_000
 
 
 def raw_supplier_workbooks(spark: SparkSession, sf_dir: str) -> str:
@@ -168,8 +170,9 @@ def raw_supplier_workbooks(spark: SparkSession, sf_dir: str) -> str:
             F.lit(None).cast("string").alias("comentario"),
             F.when(nk >= 5, F.col("s_acctbal")).alias("bono"),
             F.when(nk >= 5, nk).alias("codigo"))
-        # several workbooks: round-robin the rows over three tasks, one workbook each
-        write_workbooks(rows.repartition(3), path, SUPPLIER_SHEET_HEADERS, sheet="Hoja 1", prefix="proveedores")
+        # several workbooks, round-robin: a task each, of a bounded number of rows
+        write_workbooks(rows.repartition(max(3, -(-s.count() // WORKBOOK_ROWS))), path,
+                        SUPPLIER_SHEET_HEADERS, sheet="Hoja 1", prefix="proveedores")
         return path
     return _once(spark, (sf_dir, "supplier-xlsx"), build)
 
@@ -619,28 +622,6 @@ def _write_text(path: str, text: str) -> None:
         f.write(text.encode("utf-8"))
 
 
-def schema_docs_dir(spark: SparkSession, sf_dir: str) -> str:
-    """One ``{table}/schema.json`` per driver table, declared from the table's Spark schema."""
-    import json
-
-    def build() -> str:
-        root = scratch_path(spark, "schemas")
-        for t in TABLES:
-            fields = [{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable}
-                      for f in T(spark, sf_dir, t).schema.fields]
-            _write_text(f"{root}/{t}/schema.json", json.dumps({"fields": fields}))
-        return root
-    return _once(spark, (sf_dir, "schema-docs"), build)
-
-
-def q_schema_fields(spark, sf):
-    """Schema documents of every driver table -> field table."""
-    from tidewater.sources.schema_docs import read_field_table
-    ft = read_field_table(spark, f"{schema_docs_dir(spark, sf)}/*/schema.json")
-    return ft.select(F.regexp_extract("schema_path", r"/([^/]+)/schema\.json$", 1).alias("dataset"),
-                     "position", "name")
-
-
 JOB_FIELDS = [
     {"name": "OrderKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_orderkey", "nullable": False},
     {"name": "CustKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_custkey"},

@@ -11,9 +11,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Settings the staging job relies on. Values are Spark's public configuration keys.
 STAGING_CONF = {
@@ -53,7 +54,7 @@ def apply_staging_conf(spark: SparkSession) -> None:
     for k, v in STAGING_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep the cluster's value
+        except AnalysisException:  # a setting this session does not let change: keep the cluster's value
             pass
 
 
@@ -121,14 +122,12 @@ def local_path(path: str) -> str | None:
     return None if "://" in path else os.path.abspath(path)
 
 
-@contextmanager
-def text_partitions(spark: SparkSession):
-    """Within the block, partition directory values are read as text
-    (``p=007`` stays '007'; no date or number inference)."""
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    old = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def read_text_partitions(spark: SparkSession, path: str, partition_cols: list[str], **options: str) -> DataFrame:
+    """A partitioned Parquet folder with its directory values as text (``p=007`` stays '007').
+
+    Spark takes a directory value as it stands where the given schema declares
+    its column; the footers give the schema, and no session setting is touched.
+    """
+    seen = spark.read.options(**options).parquet(path).schema
+    fields = [StructField(f.name, StringType(), True) if f.name in partition_cols else f for f in seen.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.operators import merge as M
-from tidewater.session import text_partitions
+from tidewater.session import read_text_partitions
 
 
 def _q(name: str) -> str:
@@ -107,17 +107,12 @@ class StagingTable:
         """The stored rows; partition columns come back as text (as written in the paths)."""
         if self.iceberg:
             return self.spark.table(self.name)
-        with text_partitions(self.spark):
-            return self._reader().parquet(self.path)
-
-    def _reader(self):
-        """Parquet reader with the table's recorded schema (older files holding a
-        narrower type are widened on read), or schema merging when none is recorded."""
         stored = self.stored_schema()
-        if stored is None:
-            return self.spark.read.option("mergeSchema", "true")
+        if stored is None:  # not written by this sink: the files' schemas, merged
+            return read_text_partitions(self.spark, self.path, self.partition_cols, mergeSchema="true")
+        # older files holding a narrower type are widened to the recorded one on read
         parts = [StructField(c, StringType(), True) for c in self.partition_cols]
-        return self.spark.read.schema(StructType(list(stored.fields) + parts))
+        return self.spark.read.schema(StructType(list(stored.fields) + parts)).parquet(self.path)
 
     # -- table schema record -------------------------------------------------------
     def stored_schema(self) -> StructType | None:
@@ -321,10 +316,7 @@ class StagingTable:
     def _read_text_partitions(self, path: str) -> DataFrame:
         """Read a partitioned Parquet folder with partition values kept as text
         (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
-        with text_partitions(self.spark):
-            df = self.spark.read.parquet(path)
-        # a column of NULL partitions only is read without a type
-        return df.withColumns({c: F.col(_q(c)).cast("string") for c in self.partition_cols})
+        return read_text_partitions(self.spark, path, self.partition_cols)
 
     def _write_dynamic(self, df: DataFrame, stage: str | None = None) -> None:
         """Materialise ``df`` in a staging folder, mark it whole, then publish it."""

@@ -13,6 +13,7 @@ and of a key that comes in several the last one's row counts.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +40,9 @@ def raw_stream(spark: SparkSession, raw_dir: str, fields: list[dict], partition_
             header = (spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", ext_glob("csv"))
                       .csv(raw_dir).columns)
             names = [c for c in header if c != partition_key] or names
-        except Exception:  # nothing there yet
-            pass
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise  # anything but: nothing there yet
     schema = text_schema(names, partition_key)
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
