@@ -127,6 +127,30 @@ def test_embedding_edges(spark):
     assert projections.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["direction", "cluster"])
+def test_embedding_uneven_label_brute_force(spark, shape):
+    """Vectors that share a direction, or hold a dense topic below the threshold: hash bits agree far more often than for evenly spread ones."""
+    rng = np.random.default_rng(3)
+    n, d = 10_000, 32
+    noise = rng.normal(size=(n, d)) / np.sqrt(d)
+    share = np.where(np.arange(n) < (n if shape == "direction" else n // 2), np.sqrt(0.7 / 0.3), 0)
+    x = noise + share[:, None] * np.eye(d)[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.normal(size=(400, d))
+    other -= (other * x[:400]).sum(axis=1, keepdims=True) * x[:400]
+    cos = 0.931
+    x[1000:1400] = cos * x[:400] + np.sqrt(1 - cos * cos) * other / np.linalg.norm(other, axis=1, keepdims=True)  # pairs just linked
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    link = x @ x.T >= 0.93
+    np.fill_diagonal(link, False)
+    a, b = np.nonzero(link)
+    first = _tiles.roots(n, a, b)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in projections.near_vectors(df).collect()}
+    assert len(a) >= 800
+    wrong = [i for i in range(n) if got[i] != (link[i].sum(), first[i])]
+    assert len(wrong) <= 2, f"{len(wrong)} of {len(np.unique(a))} linked vectors"  # a lost pair is two vectors; 0.999 a pair at least
+
+
 def test_jaccard_brute_force(spark, odd, none, monkeypatch):
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in rng.integers(0, 400, 80)]

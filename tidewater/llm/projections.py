@@ -3,17 +3,22 @@
 In each pass every vector gets 64 random hyperplane bits, concatenated to one
 key; the vectors are ordered by (label, key), and each is compared with its ``WINDOW``
 neighbours on. Two vectors at the threshold angle agree on a bit with
-probability p = 1 - angle/pi, and lie within the window if they agree on about
-log2(group / WINDOW) leading bits, so the number of passes follows from the
-largest label's size: enough to miss a pair in all passes with probability
-1 - ``RECALL`` at most (:func:`passes_for`). Verified pairs of all passes are united to
-components. A dense group has more links than a window shows, so links are counted
+probability p = 1 - angle/pi. How many leading bits a pair must agree on to lie
+within the window is read from the data: of each vector in each pass, the bits it shares
+with those just outside its window, and one more (its depth d). Its pairs are missed in all passes
+with probability prod(1 - p^d) at most, and a vector for which that is above 1 - ``RECALL`` goes on
+to another round of passes, with only the vectors that are left (a pair is covered if one of
+the two is). Vectors of a large label are centred for hashing, and p is then the least
+that their distance to the centre allows. What is left of a label after a round, if
+``ALL_PAIRS`` vectors or fewer, or after ``ROUNDS`` rounds in any number, is compared in full in tiles. So a
+label whose vectors share a direction, or a dense region of one, costs more and loses no more
+than any other. Verified pairs are united to components. A dense group has more links than a window shows, so links are counted
 where it can be done in full: every pair within a component is compared exactly,
 in tiles of bounded size; no partner is capped.
 
 At scale: equal vectors are one class and never compared. A pass sorts rows of an
 id and a key; vectors travel once for each pass, to the blocks of ``BLOCK`` places (with
-the next block's first ``WINDOW`` as well). Blocks and tiles return rows in
+the places around it that a window reaches as well). Blocks and tiles return rows in
 proportion to their members, never pairs.
 """
 
@@ -35,10 +40,15 @@ WINDOW = 64
 BLOCK = 1024
 RECALL = 0.999
 LEAST_PASSES = 6
+ROUNDS = 4
+#: Vectors of a label that are compared in full rather than sorted again.
+ALL_PAIRS = 2048
+#: Labels from this size are centred, by a sample of about as many vectors.
+CENTRED = 1024
 
 
 def passes_for(largest: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
-    """Passes that find a pair at the threshold with the given probability in a group of ``largest`` vectors."""
+    """Passes of a round: they find a pair at the threshold with the given probability in a group of ``largest`` evenly spread vectors."""
     p = (1 - math.acos(threshold) / math.pi) ** max(1.0, math.log2(max(2, largest) / window) + 1)
     return max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - p)))
 
@@ -50,22 +60,54 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(c), -1)
 
 
-def _keys(passes: int):
-    """Each vector's key in each pass, as a signed number in the order of its bits."""
+def _centres(left: DataFrame, sizes: dict) -> dict:
+    """The mean unit vector of a sample of each large place, where it is not about zero."""
+    large = {p: n // CENTRED for p, n in sizes.items() if n >= CENTRED}
+    if not large:
+        return {}
+    table = F.broadcast(left.sparkSession.createDataFrame(list(large.items()), "place string, every long"))
 
     def run(batches):
         for batch in batches:
+            place = batch.column("place").to_numpy(zero_copy_only=False)
+            for p in np.unique(place):
+                x = _unit(_matrix(batch.column("v").take(pa.array(np.flatnonzero(place == p)))))
+                yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([len(x)], pa.int64()), pa.array([x.sum(axis=0).tolist()], pa.list_(pa.float64()))],
+                                                 ["place", "n", "x"])
+
+    sums = (left.join(table, "place").where(F.pmod(F.xxhash64("node", F.lit(6)), F.col("every")) == 0).select("place", "v")
+            .mapInArrow(run, "place string, n long, x array<double>"))
+    mean = (sums.select("place", "n", F.posexplode("x")).groupBy("place", "pos").agg((F.sum("col") / F.sum("n")).alias("m"))
+            .groupBy("place").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("m")).collect())  # a vector for CENTRED rows at most
+    out = {r["place"]: np.array([x["m"] for x in r["m"]]) for r in mean}
+    return {p: m for p, m in out.items() if m @ m >= 0.05}
+
+
+def _keys(first: int, passes: int, threshold: float, centres):
+    """Each vector's key in each pass, as a signed number in the order of its bits, and the log of the least p of its pairs."""
+    far = math.sqrt(max(0.0, 2 - 2 * threshold))  # between unit vectors at the threshold
+
+    def run(batches):
+        for batch in batches:
+            places = batch.column("place").to_numpy(zero_copy_only=False)
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 mine = np.flatnonzero(dims == dim)
-                x = _matrix(batch.column("v").take(pa.array(mine)))
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                for k in range(passes):
+                x = _unit(_matrix(batch.column("v").take(pa.array(mine))))
+                angle = np.full(len(mine), math.acos(min(1.0, max(-1.0, threshold))))
+                for p in np.unique(places[mine]):
+                    if p in centres.value:
+                        at = places[mine] == p
+                        x[at] -= centres.value[p]
+                        r = np.sqrt((x[at] * x[at]).sum(axis=1))
+                        angle[at] = np.where(r > far, np.arcsin(np.minimum(1.0, far / np.maximum(r, 1e-300))), math.pi)
+                agree = pa.array(np.log(np.maximum(1 - angle / math.pi, 1e-300)))
+                node, place = batch.column("node").take(pa.array(mine)), batch.column("place").take(pa.array(mine))
+                for k in range(first, first + passes):
                     planes = np.random.default_rng((91, int(dim), k)).standard_normal((int(dim), 64))
                     key = np.packbits(x @ planes >= 0, axis=1).view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("node").take(pa.array(mine)), batch.column("place").take(pa.array(mine)),
-                         pa.array(np.full(len(mine), k, np.int32)), pa.array(key.view(np.int64))], ["node", "place", "pass", "key"])
+                    yield pa.RecordBatch.from_arrays([node, place, pa.array(np.full(len(mine), k, np.int32)), pa.array(key.view(np.int64)), agree],
+                                                     ["node", "place", "pass", "key", "agree"])
 
     return run
 
@@ -75,17 +117,43 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Equal leading bits of two keys."""
+    x = a.view(np.uint64) ^ b.view(np.uint64)
+    high, low = (x >> np.uint64(32)).astype(np.float64), (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return 64 - np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
+
+
+def _depths(place: np.ndarray, key: np.ndarray, reach: int) -> np.ndarray:
+    """Leading bits that whoever shares them with a row lies less than ``reach`` places from it; 0 where its group ends before."""
+    out = np.zeros(len(key), np.int64)
+    if len(key) > reach:
+        bits = np.where(place[reach:] == place[:-reach], _shared_bits(key[reach:], key[:-reach]) + 1, 0)
+        out[:-reach] = bits
+        out[reach:] = np.maximum(out[reach:], bits)
+    return out
+
+
 def _edges(threshold: float, window: int):
-    """Blocks of places to an edge for each linked vector, to the first vector it reaches in the block."""
+    """Blocks of places to an edge for each linked vector, to the first vector it reaches in the block (``a``, ``b``), and to
+    the log of the probability that the pass misses a pair of a vector (``a``, ``miss``)."""
 
     def run(batches):
         for g in groups(batches, ["block"]):
             place = g.column("place").combine_chunks().dictionary_encode().indices.to_numpy()
-            pos = g.column("pos").to_numpy()
+            pos, node = g.column("pos").to_numpy(), g.column("node").combine_chunks()
+            own = np.flatnonzero(pos // BLOCK == g.column("block")[0].as_py())
+            if not len(own):
+                continue
+            depth = _depths(place, g.column("key").to_numpy(), window + 1)
+            found = np.exp(g.column("agree").to_numpy() * depth)
+            miss = np.log1p(-np.minimum(found, 1 - 1e-12))[own]
+            none = pa.nulls(len(own), pa.string())
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(own)), none, pa.array(miss)], ["a", "b", "miss"])
             x = _unit_rows(g.column("v"))
             a: list = []
             b: list = []
-            for lo in range(0, len(x), 256):
+            for lo in range(int(own[0]), len(x), 256):
                 hi = min(len(x), lo + 256)
                 end = min(len(x), hi + window)
                 s = _similar(x, lo, hi, lo, end) >= threshold
@@ -98,6 +166,25 @@ def _edges(threshold: float, window: int):
             if len(a):
                 root = roots(len(x), a, b)
                 mine = np.flatnonzero(root != np.arange(len(x)))
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(mine)), node.take(pa.array(root[mine])), pa.nulls(len(mine), pa.float64())],
+                                                 ["a", "b", "miss"])
+
+    return run
+
+
+def _all_pairs(threshold: float):
+    """Tiles of a place to an edge for each linked vector, to the first vector it reaches in the tile."""
+
+    def run(batches):
+        for g in groups(batches, ["place", "ti", "tj"]):
+            ti, tj = g.column("ti")[0].as_py(), g.column("tj")[0].as_py()
+            a, b = sides(g.column("slot").to_numpy(), ti, tj)
+            x = _unit(_matrix(g.column("v")))
+            link = x[a] @ x[b].T >= threshold
+            i, j = np.nonzero(np.triu(link, 1) if ti == tj else link)
+            if len(i):
+                root = roots(len(x), a[i], b[j])
+                mine = np.flatnonzero(root != np.arange(len(x)))
                 node = g.column("node").combine_chunks()
                 yield pa.RecordBatch.from_arrays([node.take(pa.array(mine)), node.take(pa.array(root[mine]))], ["a", "b"])
 
@@ -153,7 +240,49 @@ def _placed(keys: DataFrame) -> DataFrame:
         offsets.append((r["part"], total))
         total += r["n"]
     table = keys.sparkSession.createDataFrame(offsets, "part int, before long")
-    return rows.join(table, "part").select("node", "place", "pass", (F.col("before") + F.col("at")).alias("pos"))
+    return rows.join(table, "part").select("node", "place", "pass", "key", "agree", (F.col("before") + F.col("at")).alias("pos"))
+
+
+def _passes(left: DataFrame, first: int, passes: int, centres: dict, threshold: float, window: int) -> DataFrame:
+    """A round of passes over ``left``: rows of :func:`_edges`."""
+    shared = left.sparkSession.sparkContext.broadcast(centres)
+    placed = _placed(left.select("node", "place", "dim", "v").mapInArrow(
+        _keys(first, passes, threshold, shared), "node string, place string, pass int, key long, agree double"))
+    block, at = F.expr(f"pos div {BLOCK}"), F.col("pos") % BLOCK
+    halo = F.array_compact(F.array(block, F.when((at <= window) & (block > 0), block - 1), F.when(at >= BLOCK - 1 - window, block + 1)))
+    blocks = (placed.withColumn("place", F.concat_ws(":", F.col("pass").cast("string"), "place")).withColumn("block", F.explode(halo))
+              .select("node", "place", "pos", "key", "agree", "block").join(left.select("node", "v"), "node"))
+    return settle(blocks.repartition("block").sortWithinPartitions("block", "pos")
+                  .mapInArrow(_edges(threshold, window), "a string, b string, miss double"))
+
+
+def _linked(classes: DataFrame, threshold: float, window: int, recall: float) -> DataFrame:
+    """Edges ``(a, b)`` that connect linked vectors: rounds of passes, then all pairs of what they leave open."""
+    left = classes.select("node", "place", "dim", "v").withColumn("miss", F.lit(0.0))
+    sizes = left.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    edges, first = [], 0
+    for k in range(ROUNDS):
+        largest = sizes.agg(F.max("n").alias("n")).first()["n"]
+        if not largest:
+            break
+        large = {r["place"]: r["n"] for r in sizes.where(F.col("n") >= CENTRED).collect()}
+        passes = passes_for(largest, threshold, window, recall)
+        rows = _passes(left, first, passes, _centres(left, large), threshold, window)
+        first += passes
+        edges.append(rows.where("b IS NOT NULL").select("a", "b"))
+        more = rows.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("miss").alias("more"))
+        left = settle(left.join(more, "node").withColumn("miss", F.col("miss") + F.col("more")).drop("more")
+                      .where(F.col("miss") > math.log(1 - recall)))
+        sizes = left.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        few = sizes if k == ROUNDS - 1 else sizes.where(F.col("n") <= ALL_PAIRS)
+        rest = tiles(left.join(few, "place").select("node", "place", "v", "n"), "place", "node", F.col("n")).drop("n")
+        edges.append(dealt(rest, "place", "node").mapInArrow(_all_pairs(threshold), "a string, b string"))
+        sizes = sizes.where(F.col("n") > ALL_PAIRS)
+        left = left.join(sizes.select("place"), "place", "left_semi")
+    out = classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    for e in edges:
+        out = out.unionByName(e)
+    return out
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> DataFrame:
@@ -175,16 +304,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, window: int =
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("v"),
         F.first("label").alias("label")).withColumn("dim", F.size("v"))
         .withColumn("place", F.concat_ws(":", F.col("label").cast("string"), F.col("dim").cast("string"))))
-    largest = classes.groupBy("place").count().agg(F.max("count").alias("n")).first()["n"] or 0
-    placed = _placed(classes.select("node", "place", "dim", "v").mapInArrow(
-        _keys(passes_for(largest, threshold, window, recall)), "node string, place string, pass int, key long"))
-    block = F.expr(f"pos div {BLOCK}")
-    halo = F.when((F.col("pos") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    blocks = (placed.withColumn("place", F.concat_ws(":", F.col("pass").cast("string"), "place")).withColumn("block", F.explode(halo))
-              .select("node", "place", "pos", "block").join(classes.select("node", "v"), "node"))
-    edges = (blocks.repartition("block").sortWithinPartitions("block", "pos")
-             .mapInArrow(_edges(threshold, window), "a string, b string"))
-    found = components(edges)
+    found = components(_linked(classes, threshold, window, recall))
     # the smallest member of a component is one of its rows too
     members = settle(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()))
     size = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
