@@ -93,6 +93,19 @@ def test_tiling_finds_reordered_passages(spark):
     assert [r.doc_id for r in tiling.keep_clean(docs, bench).collect()] == [2, 4, 5]
 
 
+def test_tiling_slices_change_no_row(spark, odd):
+    """Repeated and null ids, several texts of one id and equal coverage: the same rows in one slice and in several."""
+    more = spark.createDataFrame([(None, "clean words that no item has at all"), (2, "another text of the second id"), (7, None)], "doc_id long, text string")
+    docs = odd.select("doc_id", "text").unionByName(more)
+    bench = spark.createDataFrame([(9, BASE), (3, BASE + "."), (4, BASE.upper()), (5, BASE + "!"), (2, "word " * 60), (2, BASE + "?")], "item_id long, text string")
+
+    def rows(n):
+        return sorted(map(repr, tiling.decontaminate(docs, bench, slice_words=n).collect()))
+
+    assert len(tiling.benchmark_slices(bench, 10)) > 1
+    assert len(rows(10)) == docs.count() and rows(10) == rows(tiling.SLICE_WORDS)
+
+
 def test_tiles_do_not_overlap():
     rng = np.random.default_rng(1)
     for _ in range(30):

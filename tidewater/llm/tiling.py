@@ -12,8 +12,8 @@ of an item's words is contaminated.
 The benchmark is the query set: its words' hashes are sent to the tasks in
 slices of at most ``SLICE_WORDS`` words, one pass over the documents for each
 slice, so what is broadcast is bounded however large the benchmark is. The
-documents are mapped where they are read; only with several slices their
-results, a row each, are joined by document.
+documents are mapped where they are read; only with several slices they are numbered and
+written once, and their results, a row each for a slice, are joined by that number.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm._text import Hashed, WordHashes, text_chunks, windows
+from tidewater.session import scratch_path
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -116,7 +117,7 @@ def _cover(seeds: Seeds, texts: list[bytes], hashes: WordHashes) -> list[tuple]:
             tiles = tile(text_at[lo:hi] - h.starts[d], item_at[lo:hi] - seeds.starts[i], n)
             covered = sum(x[2] for x in tiles) / n
             best, most, count, hits = out[d]
-            if best is None or (covered, -i) > (most, -best):
+            if best is None or covered > most or covered == most and (seeds.ids[i], len(tiles)) < (seeds.ids[best], count):
                 best, most, count = i, covered, len(tiles)
             out[d] = (best, most, count, [*hits, i] if covered >= THRESHOLD else hits)
     return [(None if b is None else seeds.ids[b], c, n, [seeds.ids[i] for i in hits]) for b, c, n, hits in out]
@@ -134,9 +135,9 @@ def benchmark_slices(benchmark: DataFrame, most: int = SLICE_WORDS) -> list[Seed
     return out
 
 
-def _map(docs: DataFrame, seeds: Seeds, id_kind: str) -> DataFrame:
+def _map(docs: DataFrame, seeds: Seeds, id_kind: str, names: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(seeds)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_kind]
 
     def run(batches):
@@ -146,12 +147,12 @@ def _map(docs: DataFrame, seeds: Seeds, id_kind: str) -> DataFrame:
                 found = _cover(shared.value, texts, hashes)
                 cols = list(zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([bool(x) for x in cols[3]], pa.bool_()), pa.array(cols[0], arrow),
+                    [*(part.column(c) for c in names), pa.array([bool(x) for x in cols[3]], pa.bool_()), pa.array(cols[0], arrow),
                      pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(arrow))],
-                    ["doc_id", "contaminated", "item_id", "coverage", "n_tiles", "item_ids"])
+                    [*names, "contaminated", "item_id", "coverage", "n_tiles", "item_ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, contaminated boolean, item_id {id_kind}, coverage double, n_tiles long, item_ids array<{id_kind}>")
+    return docs.select(*names, "text").mapInArrow(
+        run, f"{kinds}, contaminated boolean, item_id {id_kind}, coverage double, n_tiles long, item_ids array<{id_kind}>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
@@ -159,23 +160,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLIC
 
     ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` to doc_id,
     contaminated, item_id and coverage of the item covered most (of equal ones
-    the smallest in the slice's order; null and 0 if no seed is shared), n_tiles,
+    the smallest id; null and 0 if no seed is shared), n_tiles,
     and item_ids, all items over the threshold. Null texts count as empty; items
     of fewer than ``MIN_MATCH`` words match nothing. An empty benchmark leaves
-    every document clean. Repeated rows have a row each (with several slices,
-    rows of one id are counted as one document). Other columns are not read.
+    every document clean. Repeated rows have a row each, whatever the benchmark's size. Other columns are not read.
     """
     id_kind = benchmark.schema["item_id"].dataType.simpleString()
-    slices = [_map(docs, s, id_kind) for s in benchmark_slices(benchmark, slice_words)]
+    slices = benchmark_slices(benchmark, slice_words)
     if len(slices) == 1:
-        return slices[0]
-    every = slices[0]
+        return _map(docs, slices[0], id_kind)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "numbered-documents")
+    docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    every = _map(rows, slices[0], id_kind, ("row", "doc_id"))
     for s in slices[1:]:
-        every = every.unionByName(s)
-    best = F.struct("coverage", "item_id", "n_tiles")
-    return (every.groupBy("doc_id").agg(
-        F.max("contaminated").alias("contaminated"),
-        F.max_by(best, F.struct("coverage", F.col("item_id").isNotNull(), (-F.xxhash64("item_id")))).alias("x"),
+        every = every.unionByName(_map(rows, s, id_kind, ("row", "doc_id")))
+    order = F.struct((-F.col("coverage")).alias("c"), F.col("item_id").isNull().alias("none"), "item_id", "n_tiles")
+    return (every.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.max("contaminated").alias("contaminated"),
+        F.min_by(F.struct("coverage", "item_id", "n_tiles"), order).alias("x"),
         F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
         .select("doc_id", "contaminated", "x.item_id", "x.coverage", "x.n_tiles", "item_ids"))
 
