@@ -195,6 +195,14 @@ def test_url_aliases(spark):
     assert urlfilter.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_url_aliases_in_long_tags(spark):
+    much = "x" * 5000
+    rows = [(1, "http://a.com/1", f'<link data-a="{much}" rel="canonical" href="http://b.net/1">'), (2, "http://a.com/2", f'<link rel="canonical" href="http://b.net/2?{much}">'),
+            (3, "http://a.com/3", f'<meta http-equiv="refresh" data-a="{much}" content="0; url=http://b.net/3">'), (4, "http://a.com/4", f'<link rel="canonical" href="http://b.net/4{much}')]
+    got = {r.page_id: r.verdict for r in urlfilter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()

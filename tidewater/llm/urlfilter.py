@@ -62,7 +62,7 @@ def link_edges(pages: DataFrame) -> DataFrame:
     tag, to, url = F.col("tag"), F.col("to"), F.col("url")
     # explode(array(x)) keeps filters on x from being moved below it, where x would be computed again
     tags = pages.where(url.contains("://")).select("url", F.explode(F.regexp_extract_all(
-        "html", F.lit(r"(?is)<(?:link|meta)\b[^>]{0,2000}>"), F.lit(0))).alias("tag"))
+        "html", F.lit(r"(?is)<(?:link|meta)\b[^>]*+>"), F.lit(0))).alias("tag"))
     tags = tags.select("url", F.lower(_attribute(tag, "rel")).alias("rel"), _attribute(tag, "href").alias("href"),
                        F.lower(_attribute(tag, "http-equiv")).alias("equiv"), _attribute(tag, "content").alias("content"))
     refresh = F.regexp_extract("content", r"(?is);\s*url\s*=\s*['\"]?\s*([^'\"\s]+)", 1)
