@@ -171,6 +171,18 @@ def test_personal_data(spark, odd, none):
     assert again.schema == odd.schema and again.count() == len(ROWS)
 
 
+def test_rejected_candidates_hide_none(spark):
+    """A phone-shaped run, or a run of fours, in front of a card; patterns that fitting did not meet are scored."""
+    seen = ["tel 030 1234 5678 90 or 0301 234 567", "card 4111-1111-1111-1111 and 4111 1111 1111 1111", "pay 5500 0000 0000 0004 now",
+            "order 1234_5678_9012_3456 and 1234_5678_9012_3457", "order id 99 1111 2222 3333 4444 x"] * 20
+    model = pii.fit(spark.createDataFrame([(t,) for t in seen], "text string"))
+    for text in ("see 123 4111 1111 1111 1111 there", "see 1234 4111 1111 1111 1111 there", "visa 123 4111 1111 1111 1111 there"):
+        at = text.index("4111")
+        assert (at, 2, at + 19) in model.spans(text)[1], text
+    unseen = "amex card 4111.1111.1111.1111"
+    assert (10, 2, 29) in model.spans(unseen)[1]
+
+
 def test_em_separates_two_classes():
     rng = np.random.default_rng(2)
     truth = rng.random(4000) < 0.4

@@ -10,7 +10,8 @@ a checksum, and context labelers on the words before it. Expectation-maximisatio
 the counts of vote patterns estimates, for each kind, how often each labeler votes
 each way on true and on false spans; the posteriors are soft labels for a logistic
 span classifier over the votes and the span's form. Base spans always stay; a
-looser candidate is added if the classifier gives it at least ``LEAST_P``.
+looser candidate is added if the classifier gives it at least ``LEAST_P``, whether its pattern was
+seen while fitting or not. Of accepted candidates that overlap the most probable stays, and a rejected one hides none.
 
 Counts of (kind, votes, form) cover all documents: each task adds up its own,
 Spark sums them, and the patterns, a few thousand at most by construction,
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ _LOOSE_PHONE = re.compile(r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\) ?
 _LOOSE_CARD = re.compile(r"(?<![\w.])(?:[0-9]{13,19}|[0-9]{4}(?P<by>[ ._/-]|  )[0-9]{4}(?P=by)[0-9]{4}(?P=by)[0-9]{1,7})(?!\w)")
 _LOOSE_IP = re.compile(r"(?<![\w.])[0-9]{1,3} ?\. ?[0-9]{1,3} ?\. ?[0-9]{1,3} ?\. ?[0-9]{1,3}(?![\w.])")
 
+_LOOSE = ((0, _SPELLED, _SPELLED_HINT), (1, _LOOSE_IP, _DIGIT), (2, _LOOSE_CARD, _DIGIT), (3, _LOOSE_PHONE, _DIGIT))
+
 #: Gazetteers and context words: fixed values.
 TOP_LEVEL = frozenset("com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au jp cn in br ru ch at be se no dk pl".split())
 DIALLING = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 52 54 55 61 62 63 64 65 66 81 82 84 86 90 91".split())
@@ -111,22 +114,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Further candidates that overlap neither base spans nor an earlier candidate."""
-    found = []
-    if _SPELLED_HINT.search(text):
-        found += [(m.start(), 0, m.end()) for m in _SPELLED.finditer(text)]
-    if _DIGIT.search(text):
-        for kind, pattern in ((1, _LOOSE_IP), (2, _LOOSE_CARD), (3, _LOOSE_PHONE)):  # each at most a few dozen characters
-            found += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
-    if not found:
-        return []
-    out, taken = [], [(a, b) for a, _, b in base]
-    for a, k, b in sorted(found):
-        if all(b <= x or a >= y for x, y in taken):
-            out.append((a, k, b))
-            taken.append((a, b))
-    return out
+def _apart(c: tuple[int, int, int], spans: list[tuple[int, int, int]]) -> bool:
+    return all(c[2] <= a or c[0] >= b for a, _, b in spans)
+
+
+def loose_spans(text: str, taken: list[tuple[int, int, int]], keep=lambda c: True) -> list[tuple[int, int, int]]:
+    """Further candidates of each kind that overlap no ``taken`` span; those of unlike kinds may overlap each other.
+
+    A card that is not kept is followed by the next match that starts behind its first character: the checksum tells them
+    apart. The rest of a rejected phone number or address is none.
+    """
+    out = []
+    for kind, pattern, hint in _LOOSE:
+        m = pattern.search(text) if hint.search(text) else None
+        while m:
+            c = (m.start(), kind, m.end())
+            kept = _apart(c, taken) and keep(c)
+            if kept:
+                out.append(c)
+            m = pattern.search(text, c[0] + 1 if kind == 2 and not kept else c[2])
+    return sorted(out)
 
 
 def votes(text: str, start: int, kind: int, end: int) -> tuple[int, ...]:
@@ -165,17 +172,39 @@ def _form(base: bool, text: str, start: int, end: int) -> tuple[int, ...]:
 
 @dataclass
 class SpanModel:
-    """Labelers' reliabilities by kind, classifier weights by kind, and the patterns it accepts."""
+    """Labelers' reliabilities by kind and classifier weights by kind; a kind that fitting met no candidate of has none."""
 
     reliability: dict
     weights: dict
-    accepted: frozenset
+    scores: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def probability(self, text: str, c: tuple[int, int, int]) -> float:
+        """The classifier's probability of a looser candidate."""
+        start, kind, end = c
+        if KINDS[kind] not in self.weights:
+            return 0.0
+        pattern = (kind, *votes(text, *c), *_form(False, text, start, end))
+        if pattern not in self.scores:
+            v, form = np.array([pattern[1:1 + _N_VOTES]]), np.array([pattern[1 + _N_VOTES:]])
+            self.scores[pattern] = float(_classified(np.c_[_one_hot(v), form[:, 1:]], self.weights[KINDS[kind]])[0])
+        return self.scores[pattern]
 
     def spans(self, text: str) -> tuple[list, list]:
         """Base spans, and all spans: base and accepted ones in order."""
-        base = base_spans(text)
-        added = [c for c in loose_spans(text, base)
-                 if (c[1], *votes(text, *c), *_form(False, text, c[0], c[2])) in self.accepted]
+        base, added, lost = base_spans(text), [], True
+        while lost:  # one that lost to a more probable one may have hidden others of its kind
+            p: dict = {}
+
+            def keep(c, p=p):
+                p[c] = self.probability(text, c)
+                return p[c] >= LEAST_P
+
+            lost = False
+            for c in sorted(loose_spans(text, [*base, *added], keep), key=lambda c: (-p[c], c[0], -c[2], c[1])):
+                if _apart(c, added):
+                    added.append(c)
+                else:
+                    lost = True
         return base, sorted([*base, *added])
 
 
@@ -219,6 +248,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 25, rid
     return w
 
 
+def _classified(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(np.c_[np.ones(len(x)), x] @ w, -30, 30)))
+
+
 _N_VOTES, _N_FORM = 7, 4
 
 
@@ -243,7 +276,7 @@ def fit(docs: DataFrame) -> SpanModel:
             .groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect())
     every = np.array([[int(x) for x in r["pattern"].split(",")] for r in rows], int).reshape(-1, 1 + _N_VOTES + _N_FORM)
     count = np.array([r["n"] for r in rows], float)
-    reliability, weights, accepted = {}, {}, set()
+    reliability, weights = {}, {}
     for kind, name in enumerate(KINDS):
         mine = every[:, 0] == kind
         if not mine.any():
@@ -253,9 +286,7 @@ def fit(docs: DataFrame) -> SpanModel:
         p = np.where(form[:, 0] == 1, np.maximum(p, 0.9), p)  # base spans are personal data by contract
         x = np.c_[_one_hot(v), form[:, 1:]]
         weights[name] = _logistic(x, p, n)
-        q = 1 / (1 + np.exp(-np.clip(np.c_[np.ones(len(x)), x] @ weights[name], -30, 30)))
-        accepted |= {tuple(map(int, r)) for r in every[mine][q >= LEAST_P]}
-    return SpanModel(reliability, weights, frozenset(accepted))
+    return SpanModel(reliability, weights)
 
 
 def _joined(spans) -> str:
