@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.session import shared_dir
+from tidewater.session import scratch_path, shared_dir
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -15,3 +15,27 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Tables:
+    """Parquet tables in the shared scratch folder that live until no later step reads them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def put(self, key: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` and read it from there; an earlier table of that key is dropped once the new one is whole."""
+        path = scratch_path(self.spark, f"{self.name}-{key}")
+        df.write.option("compression", "zstd").parquet(path)
+        self.drop(key)
+        self.paths[key] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *keys: str) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in [self.paths.pop(k) for k in keys if k in self.paths]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+    def keep_only(self, *keys: str) -> None:
+        self.drop(*[k for k in self.paths if k not in keys])
