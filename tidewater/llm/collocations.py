@@ -10,8 +10,9 @@ place of the words in the chunks, and are paired the same way: two neighbouring
 phrases of k words that overlap in all but one are a phrase of k + 1. A phrase
 is frequent only if both its parts are, so nothing that counts is lost.
 
-No vocabulary is held by one machine (``_numbers``). A bit filter of fixed size spares
-asking for most pairs that are not frequent.
+No vocabulary is held by one machine (``_numbers``). The first ``HEAD`` numbers, which occur in nearly every chunk, are
+sent to all tasks, a bound of 24 bytes each for pairs and of ``HEAD_WORD`` bytes more for words; chunks ask for the rest, and a
+bit filter of fixed size spares asking for most pairs that are not frequent.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tidewater.llm._scratch import Tables
 from tidewater.llm._text import byte_texts, mix
 
 UNKNOWN = "und"
+HEAD = 1 << 18
+HEAD_WORD = 32
 TILE = 2048
 #: Pairs in a tile from which it is counted densely: an eighth of its cells.
 DENSE = TILE * TILE // 8
@@ -122,8 +125,31 @@ def _keys(batches):
         yield pa.RecordBatch.from_arrays([pa.array(_key(a, b).view(np.int64))], ["key"])
 
 
-def _asking(cells):
-    """The pairs of a chunk that may be frequent, by their place among the chunk's distinct pairs."""
+class Head:
+    """The numbers of the most frequent pairs."""
+
+    B_BITS = 44
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, ids: np.ndarray):
+        if len(b) and int(b.max()) >> self.B_BITS:
+            raise OverflowError(f"numbers of {self.B_BITS} bits at most")
+        self.first = distinct(a)
+        code = np.searchsorted(self.first, a) << self.B_BITS | b
+        order = np.argsort(code)
+        self.code, self.ids = code[order], ids[order]
+
+    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of each pair, -1 for one that is not among them."""
+        if not len(self.code):
+            return np.full(len(a), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.first, a), len(self.first) - 1)
+        code = at << self.B_BITS | b
+        place = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return np.where((self.first[at] == a) & (self.code[place] == code), self.ids[place], -1)
+
+
+def _asking(head, cells):
+    """The pairs of a chunk that may be frequent and are not of the head, by their place among the chunk's distinct pairs."""
     def run(batches):
         for batch in batches:
             for chunk, raw_ids, raw_codes in zip(batch.column("chunk").to_pylist(), batch.column("ids"), batch.column("codes"), strict=True):
@@ -132,35 +158,38 @@ def _asking(cells):
                 width = len(ids) + 1
                 pair = distinct(a * width + b)
                 left, right = ids[pair // width], ids[pair % width]
-                may = np.flatnonzero(may_hold(cells.value, _key(left, right)))
+                may = np.flatnonzero(may_hold(cells.value, _key(left, right)) & (head.value.numbers(left, right) < 0))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(may), chunk, np.int64)), pa.array(may.astype(np.int32)), pa.array(left[may]), pa.array(right[may])],
                     ["chunk", "local", "a_id", "b_id"])
     return run
 
 
-def _paired(head: dict, found: dict) -> pa.RecordBatch:
-    """The chunk with its frequent pairs in place of the phrases they begin with."""
-    codes = unpack(head["codes"], np.int32)
-    width = len(unpack(head["ids"], np.int64)) + 1
-    at, a, b = neighbours(codes)
-    pair = a * width + b
-    cells = distinct(pair)
-    number = np.full(len(cells), -1, np.int64)
-    number[found["local"].astype(np.int64)] = found["id"].astype(np.int64)
-    ids = distinct(number[number >= 0])
-    place = np.where(number >= 0, np.searchsorted(ids, number), -1).astype(np.int32)
-    new = np.full(max(0, len(codes) - 1), -1, np.int32)
-    new[at] = place[np.searchsorted(cells, pair)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([head["chunk"]], pa.int64()), pa.array([pack(ids)], pa.binary()), pa.array([pack(new)], pa.binary())],
-        ["chunk", "ids", "codes"])
+def _paired(most_frequent):
+    """A chunk with its frequent pairs in place of the phrases they begin with."""
+    def run(head: dict, found: dict) -> pa.RecordBatch:
+        codes, old = unpack(head["codes"], np.int32), unpack(head["ids"], np.int64)
+        width = len(old) + 1
+        at, a, b = neighbours(codes)
+        pair = a * width + b
+        cells = distinct(pair)
+        number = most_frequent.value.numbers(old[cells // width], old[cells % width])
+        number[found["local"].astype(np.int64)] = found["id"].astype(np.int64)
+        ids = distinct(number[number >= 0])
+        place = np.where(number >= 0, np.searchsorted(ids, number), -1).astype(np.int32)
+        new = np.full(max(0, len(codes) - 1), -1, np.int32)
+        new[at] = place[np.searchsorted(cells, pair)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([head["chunk"]], pa.int64()), pa.array([pack(ids)], pa.binary()), pa.array([pack(new)], pa.binary())],
+            ["chunk", "ids", "codes"])
+    return run
 
 
 _CODED = "chunk long, ids binary, codes binary"
 
 
-def collocations(docs: DataFrame, least: int = 30, most_words: int = 4, inside: tuple[int, int] = (80, 100), first: int = 2000) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 30, most_words: int = 4, inside: tuple[int, int] = (80, 100), first: int = 2000,
+                 head: int = HEAD) -> DataFrame:
     """The strongest phrases of each language in ``docs(text, lang)``.
 
     lang, rank (from 1), phrase, a, l, r, n and score, as the query's contract
@@ -168,7 +197,7 @@ def collocations(docs: DataFrame, least: int = 30, most_words: int = 4, inside:
     those that lie in a longer one with ``inside`` of their occurrences, the ``first``
     of each language. A null language is ``und``; null and empty texts, and texts of punctuation alone, add nothing;
     very long texts are a chunk of their own. Repeated rows count as often as they occur.
-    An empty table gives no rows. Other columns are not read.
+    An empty table gives no rows. Other columns are not read. ``head`` changes what is sent where, not the result.
     """
     spark = docs.sparkSession
     tables = Tables(spark, "collocations")
@@ -179,8 +208,12 @@ def collocations(docs: DataFrame, least: int = 30, most_words: int = 4, inside:
     words = (entries.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("a")).where(F.col("a") >= least))
     totals = tables.put("totals", texts.groupBy("lang").agg(F.sum("n_words").alias("n")))
     words = tables.put("words", ranked(words, [F.desc("a"), "lang", "word"], tables, "sort"))
-    asked = (texts.select("chunk", "lang", F.posexplode("words").alias("local", "word"))
-             .join(words.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "local", "id"))
+    used = texts.select("chunk", "lang", F.posexplode("words").alias("local", "word"))
+    in_head = (F.col("id") < head) & (F.length("word") <= HEAD_WORD)
+    often = F.broadcast(words.where(in_head).select("lang", "word", "id"))
+    asked = (used.join(often, ["lang", "word"]).select("chunk", "local", "id").unionByName(
+        used.join(often, ["lang", "word"], "left_anti").join(words.where(~in_head).select("lang", "word", "id"), ["lang", "word"])
+        .select("chunk", "local", "id")))
     coded = tables.put("coded", answered(texts.select("chunk", "codes"), asked, _numbered, _CODED))
     tables.drop("texts")
 
@@ -192,11 +225,15 @@ def collocations(docs: DataFrame, least: int = 30, most_words: int = 4, inside:
                  .agg(F.sum("n").alias("a")).where(F.col("a") >= least))
         pairs = tables.put(f"pairs{size}", ranked(pairs, [F.desc("a"), "a_id", "b_id"], tables, "sort"))
         if size < most_words:
-            cells = spark.sparkContext.broadcast(filter_of(pairs.select("a_id", "b_id").mapInArrow(_keys, "key long"), "key"))
-            asked = (coded.mapInArrow(_asking(cells), "chunk long, local int, a_id long, b_id long")
-                     .join(pairs.select("a_id", "b_id", "id"), ["a_id", "b_id"]).select("chunk", "local", "id"))
-            coded = tables.put("coded", answered(coded, asked, _paired, _CODED))
+            t = pairs.where(F.col("id") < head).select("a_id", "b_id", "id").toArrow()
+            most = spark.sparkContext.broadcast(Head(*(t[c].to_numpy() for c in ("a_id", "b_id", "id"))))
+            rest = pairs.where(F.col("id") >= head).select("a_id", "b_id", "id")
+            cells = spark.sparkContext.broadcast(filter_of(rest.select("a_id", "b_id").mapInArrow(_keys, "key long"), "key"))
+            asked = (coded.mapInArrow(_asking(most, cells), "chunk long, local int, a_id long, b_id long")
+                     .join(rest, ["a_id", "b_id"]).select("chunk", "local", "id"))
+            coded = tables.put("coded", answered(coded, asked, _paired(most), _CODED))
             cells.unpersist()
+            most.unpersist()
         left = level.select(F.col("id").alias("a_id"), "lang", "phrase", F.concat("heads", F.array("a")).alias("heads"))
         right = level.select(F.col("id").alias("b_id"), "last", F.concat("tails", F.array("a")).alias("tails"))
         longer = (pairs.join(left, "a_id").join(right, "b_id")
