@@ -4,7 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.sinks.table import read_table
 from tidewater.job import StagingArgs, StagingJob, run_with_audit
+from tidewater.sinks import ledger
 from tidewater.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -54,7 +56,7 @@ def test_full_then_overlapping_full_merges(spark, zone):
     assert r1.rows_written == jan.count()
     r2 = StagingJob(spark, _args(zone, start_date="1996-01-15", end_date="1996-02-29")).run()
     assert r2.status in ("SUCCEEDED", "WARNING")
-    t = spark.read.parquet(f"{zone['staging_root']}/ordenes")
+    t = read_table(spark, f"{zone['staging_root']}/ordenes")
     assert t.count() == zone["orders"].count()
     assert t.select("order_key").distinct().count() == t.count()
     assert set(t.columns) == {"order_key", "cust_key", "estado", "precio_total", "fecha_orden", "fecha_carga"}
@@ -78,7 +80,7 @@ def test_audit_records_failure(spark, zone):
     audit = scratch_path(spark, "audit")
     with pytest.raises(ValueError):
         run_with_audit(spark, _args(zone, merge_keys=""), audit)
-    rows = spark.read.parquet(audit).collect()
+    rows = ledger.read(spark, audit).where("partition_value IS NULL").collect()
     assert rows[0]["status"] == "FAILED" and "merge keys" in rows[0]["error_message"]
 
 
@@ -131,7 +133,7 @@ def test_incremental_day_reads_yesterday(spark, zone):
                  path_name_staging="ordenes_inc", catalog_table="ordenes_inc")
     r = StagingJob(spark, args).run()
     assert r.partitions == [day] and r.status == "SUCCEEDED"
-    t = spark.read.parquet(f"{zone['staging_root']}/ordenes_inc")
+    t = read_table(spark, f"{zone['staging_root']}/ordenes_inc")
     assert t.count() == zone["orders"].where(F.date_format("o_orderdate", "yyyy-MM-dd") == day).count()
 
 
@@ -217,7 +219,7 @@ def test_command_line_run(spark, zone):
     assert out.returncode == 0, out.stderr[-2000:]
     assert "StagingResult(status=" in out.stdout
     n = zone["orders"].where("o_orderdate < '1996-01-04'").count()
-    assert spark.read.parquet(f"{zone['staging_root']}/cli_out").count() == n
+    assert read_table(spark, f"{zone['staging_root']}/cli_out").count() == n
 
 
 def test_csv_partitions_with_different_column_order(spark):
@@ -239,7 +241,7 @@ def test_csv_partitions_with_different_column_order(spark):
                        start_date="2025-01", end_date="2025-02",
                        raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
     StagingJob(spark, args).run()
-    t = spark.read.parquet(f"{root}/staging/orden")
+    t = read_table(spark, f"{root}/staging/orden")
     assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 10), (2, 20), (3, 30)]
 
 
@@ -261,7 +263,7 @@ def test_json_with_declared_schema_skips_inference(spark):
                        start_date="2025-01", end_date="2025-01", json_declared_schema=True,
                        raw_root=f"{root}/raw", schema_root=f"{root}/schema", staging_root=f"{root}/staging")
     StagingJob(spark, args).run()
-    t = spark.read.parquet(f"{root}/staging/js")
+    t = read_table(spark, f"{root}/staging/js")
     assert sorted(tuple(r) for r in t.select("id", "valor").collect()) == [(1, 1.5), (2, None)]
 
 
@@ -276,7 +278,7 @@ def test_keys_stay_in_partition_merge(spark, zone):
     StagingJob(spark, args).run()
     StagingJob(spark, args).run()  # same window again: rows replaced, not duplicated
     n = zone["orders"].where("o_orderdate < '1996-01-06'").count()
-    assert spark.read.parquet(f"{zone['staging_root']}/stay").count() == n
+    assert read_table(spark, f"{zone['staging_root']}/stay").count() == n
 
 
 def test_run_plan_from_a_staging_plan(spark, zone):
@@ -293,4 +295,4 @@ def test_run_plan_from_a_staging_plan(spark, zone):
                        raw_root=zone["raw_root"], schema_root=zone["schema_root"], staging_root=zone["staging_root"])
     n = zone["orders"].where("o_orderdate < '1996-01-05'").count()
     assert [r.rows_written for r in results] == [n]
-    assert spark.read.parquet(audit).first()["status"] == "SUCCEEDED"
+    assert ledger.read(spark, audit).where("partition_value IS NULL").first()["status"] == "SUCCEEDED"

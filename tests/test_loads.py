@@ -5,8 +5,10 @@ import os
 import pytest
 
 from tidewater.job import PlanFailure, StagingArgs, StagingJob, run_plan, run_with_audit
+from tidewater.sinks import ledger
 from tidewater.session import local_path, scratch_path
-from tidewater.sinks.table import StagingTable
+from tidewater.sinks.manifest import CommitConflict, Files, Manifests, Version
+from tidewater.sinks.table import StagingTable, read_table
 
 FIELDS = [{"name": "id", "type": "bigint", "converted_type": "bigint"}, {"name": "v", "type": "string"}]
 
@@ -33,8 +35,7 @@ def zone(spark):
         return StagingJob(spark, StagingArgs(**args))
 
     def rows(*cols):
-        keys = ["v"] if any(d.startswith("v=") for d in os.listdir(local_path(f"{root}/staging/d"))) else ["dia"]
-        return sorted(StagingTable(spark, f"{root}/staging/d", keys).read().select(*cols).collect(), key=str)
+        return sorted(read_table(spark, f"{root}/staging/d").select(*cols).collect(), key=str)
 
     return job, rows
 
@@ -106,7 +107,7 @@ def test_plan_goes_on_after_a_failure(spark, zone):
         run_plan(spark, plan, "FULL", "DAY_PRECISION", audit, raw_root=a.raw_root, schema_root=a.schema_root,
                  staging_root=a.staging_root, job_run_id="r1", stage="dev")
     assert [isinstance(r, Exception) for r in e.value.results] == [True, True, False] and len(rows("id")) == 1
-    records = {r.status: r for r in spark.read.parquet(audit).collect()}
+    records = {r.status: r for r in ledger.read(spark, audit).where("partition_value IS NULL").collect()}
     assert set(records) == {"FAILED", "SUCCEEDED"} and {(r.run_id, r.environment) for r in records.values()} == {("r1", "DEV")}
     assert run_with_audit(spark, a).status == "WARNING"
 
@@ -115,22 +116,133 @@ def _rows(table):
     return sorted(tuple(r) for r in table.read().select("id", "p").collect())
 
 
-def test_publish_that_dies_half_way_is_finished(spark, monkeypatch):
-    path = f"{scratch_path(spark, 'half')}/t"
-    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id long, p string")
-    StagingTable(spark, path, ["p"]).merge(first, ["id"])
-    later = spark.createDataFrame([(1, "x"), (2, "y"), (3, "b")], "id long, p string")
-    drop = StagingTable._drop_emptied
+OLD = [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+NEW = [(1, "x"), (2, "y"), (3, "b"), (4, "d")]
 
-    def die(self, stage):
+
+@pytest.mark.parametrize("step", ["write", "folders", "ranges", "half a manifest", "before commit", "after commit"])
+def test_a_load_that_dies_changes_all_or_nothing(spark, monkeypatch, step):
+    """Killed at each step: the table has the rows of before or of after, and the next load goes on."""
+    path = f"{scratch_path(spark, 'dies')}/t"
+    StagingTable(spark, path, ["p"]).merge(spark.createDataFrame(OLD, "id long, p string"), ["id"])
+    later = spark.createDataFrame(NEW[:3], "id long, p string")
+
+    def die(*a, **k):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(StagingTable, "_drop_emptied", die)  # moved, but emptied partitions are still there
-    with pytest.raises(RuntimeError, match="lost"):
-        StagingTable(spark, path, ["p"]).merge(later, ["id"])
-    monkeypatch.setattr(StagingTable, "_drop_emptied", drop)
+    def half(self, name, data):
+        create(self, name, data[:len(data) // 2])
+        die()
+
+    def late(self, before, after):
+        commit(self, before, after)
+        die()
+
+    create, commit = Files.create, Manifests.commit
+    target, name, new = {"write": (StagingTable, "_write", die), "folders": (Files, "folders", die), "ranges": (StagingTable, "_record_ranges", die),
+                         "half a manifest": (Files, "create", half), "before commit": (Manifests, "commit", die),
+                         "after commit": (Manifests, "commit", late)}[step]
+    with monkeypatch.context() as m:
+        m.setattr(target, name, new)
+        with pytest.raises(RuntimeError, match="lost"):
+            StagingTable(spark, path, ["p"]).merge(later, ["id"])
     again = StagingTable(spark, path, ["p"])
-    assert again.recover() == 1 and _rows(again) == [(1, "x"), (2, "y"), (3, "b"), (4, "d")]
+    assert _rows(again) == (NEW if step == "after commit" else OLD)
+    again.merge(later, ["id"])
+    assert _rows(again) == NEW
+    again.recover()
+    folders = {f for n in os.listdir(local_path(path)) if n.startswith("__load=") for f in os.listdir(f"{local_path(path)}/{n}") if f.startswith("p=")}
+    assert folders == {"p=x", "p=y", "p=b", "p=d"}  # nothing of dead loads is left
+
+
+def test_no_file_is_renamed_by_a_commit(spark, monkeypatch):
+    """A commit is one new file; whatever a rename does on a file system, the sink calls none."""
+    path = f"{scratch_path(spark, 'norename')}/t"
+    t = StagingTable(spark, path, ["p"])
+    t.merge(spark.createDataFrame(OLD, "id long, p string"), ["id"])
+    assert not hasattr(Files, "rename") and len(t.manifests.numbers()) == 1
+    t.merge(spark.createDataFrame(NEW, "id long, p string"), ["id"])
+    v = t.version()
+    assert len(t.manifests.numbers()) == 2 and sorted(v.folders) == ["p=b", "p=d", "p=x", "p=y"]
+    assert Version.decode(v.encode()) == v and Version.decode(v.encode()[:-1]) is None and Version.decode(b"") is None
+
+
+def test_readers_of_the_version_before_keep_their_files(spark):
+    path = f"{scratch_path(spark, 'readers')}/t"
+    t = StagingTable(spark, path, ["p"])
+    t.merge(spark.createDataFrame(OLD, "id long, p string"), ["id"])
+    before = t.read()
+    t.merge(spark.createDataFrame(NEW, "id long, p string"), ["id"])
+    assert sorted(map(tuple, before.select("id", "p").collect())) == OLD and _rows(t) == NEW
+
+
+def test_second_writer_is_refused(spark):
+    path = f"{scratch_path(spark, 'two')}/t"
+    t = StagingTable(spark, path, ["p"])
+    t.merge(spark.createDataFrame(OLD, "id long, p string"), ["id"])
+    stale = t.version()
+    StagingTable(spark, path, ["p"]).merge(spark.createDataFrame([(9, "z")], "id long, p string"), ["id"])
+    with pytest.raises(CommitConflict):
+        t.manifests.commit(stale, Version(0, ["p"], stale.schema))
+
+
+def _opened(df):
+    return {f.split("/__load=", 1)[1].split("/", 1)[1] for f in df.inputFiles()}
+
+
+def test_merge_opens_touched_partitions_and_files_in_reach_of_its_keys(spark, monkeypatch):
+    """The batch's month, and of the others only files whose key range meets the batch's."""
+    path = f"{scratch_path(spark, 'pruned')}/t"
+    t = StagingTable(spark, path, ["m"])
+    for m in range(1, 7):
+        t.merge(spark.createDataFrame([(100 * m + i, f"v{m}", f"2024-{m:02d}") for i in range(50)], "id long, v string, m string"), ["id"])
+    reads = []
+    read = StagingTable._read_paths
+    monkeypatch.setattr(StagingTable, "_read_paths", lambda self, v, p: reads.append(read(self, v, p)) or reads[-1])
+    # 300 moves from March to May, and June gets a new key
+    t.merge(spark.createDataFrame([(300, "new", "2024-05"), (349, "new", "2024-05")], "id long, v string, m string"), ["id"])
+    search, target = (_opened(r) for r in reads)
+    assert {f.split("/")[0] for f in search} == {"m=2024-03"} and {f.split("/")[0] for f in target} == {"m=2024-03", "m=2024-05"}
+    assert search == {f for f in target if f.startswith("m=2024-03")}
+    reads.clear()
+    t.merge(spark.createDataFrame([(999, "new", "2024-06")], "id long, v string, m string"), ["id"])
+    assert [{f.split("/")[0] for f in _opened(r)} for r in reads] == [{"m=2024-06"}]  # no other file is opened at all
+    rows = {r.id: (r.v, r.m) for r in t.read().collect()}
+    assert len(rows) == 301 and rows[300] == ("new", "2024-05") and rows[301] == ("v3", "2024-03") and rows[999] == ("new", "2024-06")
+
+
+@pytest.mark.parametrize("kind, keys", [("string", ["a", "ä+b %", "z"]), ("double", [1.5, 2.5, 1e300]), ("date", None), ("decimal(20,2)", None)])
+def test_moved_keys_of_any_type_are_found(spark, kind, keys):
+    import datetime as dt
+    import decimal
+    keys = keys or {"date": [dt.date(2020, 1, d) for d in (1, 2, 3)], "decimal(20,2)": [decimal.Decimal(x) for x in ("-9.50", "10", "9.99")]}[kind]
+    t = StagingTable(spark, f"{scratch_path(spark, 'kinds')}/t", ["p"])
+    t.merge(spark.createDataFrame([(k, f"p:{i}/+ %") for i, k in enumerate(keys)], f"id {kind}, p string"), ["id"])
+    t.merge(spark.createDataFrame([(keys[2], "q"), (None, "q")], f"id {kind}, p string"), ["id"])
+    got = sorted(map(tuple, t.read().select("id", "p").collect()), key=str)
+    assert got == sorted([(keys[0], "p:0/+ %"), (keys[1], "p:1/+ %"), (keys[2], "q"), (None, "q")], key=str)
+
+
+def test_registered_table_follows_every_version(spark):
+    path = f"{scratch_path(spark, 'reg')}/t"
+    spark.sql("DROP TABLE IF EXISTS reg_t")
+    t = StagingTable(spark, path, ["p"], register="reg_t")
+    t.create(spark.createDataFrame([], "id int, p string"))
+    assert spark.table("reg_t").columns == ["id", "p"] and spark.table("reg_t").count() == 0
+    t.merge(spark.createDataFrame([(1, "a"), (2, "it's"), (3, None), (4, "x/y")], "id int, p string"), ["id"])
+    assert spark.table("reg_t").where("p = 'x/y'").collect() == [(4, "x/y")]
+    t.merge(spark.createDataFrame([(1, "n", "b"), (5_000_000_000, "m", None)], "id long, extra string, p string"), ["id"])
+    got = sorted(map(tuple, spark.table("reg_t").select("id", "extra", "p").collect()))
+    assert got == [(1, "n", "b"), (2, None, "it's"), (3, None, None), (4, None, "x/y"), (5_000_000_000, "m", None)]
+    assert got == sorted(map(tuple, t.read().select("id", "extra", "p").collect()))
+    plan = spark.table("reg_t").where("p = 'b'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and len(spark.sql("SHOW PARTITIONS reg_t").collect()) == 4  # a is left without rows
+    u = StagingTable(spark, f"{path}u", [], register="reg_u")
+    for rows in ([(1,)], [(2,)]):
+        u.merge(spark.createDataFrame(rows, "id int"), ["id"])
+    assert sorted(r.id for r in spark.table("reg_u").collect()) == [1, 2]
+    for name in ("reg_t", "reg_u"):
+        spark.sql(f"DROP TABLE {name}")
 
 
 def test_every_key_moves_or_table_has_no_partitions(spark):
@@ -144,7 +256,7 @@ def test_every_key_moves_or_table_has_no_partitions(spark):
         assert _rows(t) == [(1, "a"), (2, "c"), (3, "d")]
     t = StagingTable(spark, f"{path}/u", [])
     t.overwrite_partitions(df[0])
-    assert _rows(t) == one and t.recover() == 0
+    assert _rows(t) == one and t.recover() == 0 and _rows(t) == one
 
 
 def test_workbook_na_texts_and_1904_dates(spark):

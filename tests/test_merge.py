@@ -63,12 +63,12 @@ def test_sink_merge_moves_keys_and_touches_only_needed_partitions(spark):
     assert not t.exists()
     t.merge(spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "w")],
                                   "id int, v string, p string"), ["id"])
-    w_files = sorted(os.listdir(os.path.join(local_path(path), "p=w")))
+    w_files = _files(t, "p=w")
     t.merge(spark.createDataFrame([(2, "B", "y"), (5, "e", "z")], "id int, v string, p string"), ["id"])
     got = sorted(tuple(r) for r in t.read().select("id", "v", "p").collect())
     assert got == [(1, "a", "x"), (2, "B", "y"), (3, "c", "y"), (4, "d", "w"), (5, "e", "z")]
     # partition w was not touched: same files as before
-    assert sorted(os.listdir(os.path.join(local_path(path), "p=w"))) == w_files
+    assert _files(t, "p=w") == w_files
     t.merge(spark.createDataFrame([(3, "C", "y")], "id int, v string, p string"), ["id"], keys_may_move=False)
     assert sorted(tuple(r) for r in t.read().where("p = 'y'").select("id", "v").collect()) == [(2, "B"), (3, "C")]
     with pytest.raises(ValueError, match="more than one row"):
@@ -93,9 +93,9 @@ def test_sink_schema_evolution_widens_and_adds(spark):
     import os
 
     from tidewater.session import local_path
-    a_files = sorted(os.listdir(os.path.join(local_path(t.path), "p=a")))
+    a_files = _files(t, "p=a")
     t.merge(spark.createDataFrame([(2, 3000000000, "b", "x")], "id int, n bigint, p string, extra string"), ["id"])
-    assert sorted(os.listdir(os.path.join(local_path(t.path), "p=a"))) == a_files  # nothing rewritten
+    assert _files(t, "p=a") == a_files  # nothing rewritten
     out = t.read()
     assert dict(out.dtypes)["n"] == "bigint" and "extra" in out.columns
     assert sorted(tuple(r) for r in out.select("id", "n", "p", "extra").collect()) == \
@@ -184,7 +184,7 @@ def test_hot_partition_is_split_over_several_writers(spark):
         t = StagingTable(spark, scratch_path(spark, "hot"), ["p"])
         # many input splits, as on a cluster: AQE splits a skewed rebalance partition by map ranges
         t.merge(hot.repartition(8), ["id"], check_duplicates=False)
-        files = [f for f in os.listdir(os.path.join(local_path(t.path), "p=HOT")) if f.endswith(".parquet")]
+        files = _files(t, "p=HOT")
         assert len(files) > 1  # the hot partition was written by several tasks
         assert t.read().count() == li.count()
     finally:
@@ -195,11 +195,20 @@ def test_schema_record_of_a_table_without_rows_is_replaced(spark):
     from tidewater.session import scratch_path
     from tidewater.sinks.table import StagingTable
     t = StagingTable(spark, scratch_path(spark, "sink-record"), ["p"])
-    t._store_schema(spark.createDataFrame([], "id int, p string").schema)  # left by a failed run
+    t.create(spark.createDataFrame([], "id int, p string"))
     t.merge(spark.createDataFrame([(1, "x", "a")], "id int, extra string, p string"), ["id"])
     assert sorted(tuple(r) for r in t.read().select("id", "extra", "p").collect()) == [(1, "x", "a")]
 
 
+def _files(table, partition):
+    import os
+
+    from tidewater.session import local_path
+    v = table.version()
+    folder = local_path(f"{table.path}/__load={v.folders[partition]}/{partition}")
+    return sorted(f"{v.folders[partition]}/{f}" for f in os.listdir(folder) if f.endswith(".parquet"))
+
+
 def _table(spark, name, parts=("p",)):
     from tidewater.session import scratch_path
     from tidewater.sinks.table import StagingTable
@@ -225,23 +234,3 @@ def test_merge_drops_emptied_partitions(spark):
     t.merge(spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], schema), ["id"])
     t.merge(spark.createDataFrame([(1, "b", "z"), (2, "b", "z")], schema), ["id"])
     assert _rows(t) == [(1, "b", "z"), (2, "b", "z")]
-
-
-def test_failed_publish_is_finished_by_the_next_load(spark, monkeypatch):
-    from tidewater.sinks.table import StagingTable
-    t = _table(spark, "recover")
-    schema = "id int, v string, p string"
-    t.merge(spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], schema), ["id"])
-    publish = StagingTable._publish
-
-    def fail(self, stage):
-        raise OSError("lost")
-
-    monkeypatch.setattr(StagingTable, "_publish", fail)
-    with pytest.raises(OSError):
-        t.merge(spark.createDataFrame([(1, "b", "y")], schema), ["id"])
-    monkeypatch.setattr(StagingTable, "_publish", publish)
-    again = StagingTable(spark, t.path, ["p"])
-    again.merge(spark.createDataFrame([(3, "c", "x")], schema), ["id"])
-    assert _rows(again) == [(1, "b", "y"), (2, "a", "y"), (3, "c", "x")]
-    assert again.recover() == 0

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -33,6 +34,7 @@ from tidewater.operators import project, report, validate
 from tidewater.plans.partitions import plan_partitions
 from tidewater.schema import Schema
 from tidewater.session import apply_staging_conf
+from tidewater.sinks import ledger
 from tidewater.sinks.table import StagingTable
 from tidewater.sources import files
 from tidewater.sources.schema_docs import load_schema, schema_doc_path
@@ -96,6 +98,8 @@ class StagingArgs:
     keys_may_move: bool = True
     # catalog that qualifies the table; with an Iceberg catalog of this name the table lives there
     catalog_name: str = CATALOG
+    # True: the Parquet table is registered as catalog_database.catalog_table in the session catalog and kept in step
+    register_table: bool = False
     # identity in the audit record
     job_run_id: str = ""
     stage: str = ""
@@ -139,6 +143,7 @@ class StagingJob:
         self.excel_sheet = args.excel_sheet.strip() or None
         self.file_name_excel = args.file_name_excel.strip() or None
         self.materialise_raw = True
+        self.outcomes: list[dict] = []  # by partition, as far as the run came
         self.raw_key = ""
         self.absent: dict[str, set[str]] = {}  # per planned value, declared columns that its files do not have
         self.json_values: list[str] = []       # planned values read as JSON with an inferred schema
@@ -298,9 +303,17 @@ class StagingJob:
         raw = self.read(parts, raw_key, schema)
         if raw is None:
             return None
-        prof = self.spark.createDataFrame(self._profile(raw, schema), f"{PARTITION_VALUE} string, check_name string, "
-                                          "column_name string, value long, total_rows long")
-        return report.partition_outcomes(prof, PARTITION_VALUE).withColumnRenamed(PARTITION_VALUE, "partition_value")
+        return self._outcomes(self._profile(raw, schema)).withColumnRenamed(PARTITION_VALUE, "partition_value")
+
+    def _outcomes(self, profile: list[dict]) -> DataFrame:
+        rows = self.spark.createDataFrame(profile, f"{PARTITION_VALUE} string, check_name string, column_name string, value long, total_rows long")
+        return report.partition_outcomes(rows, PARTITION_VALUE)
+
+    def _registered_name(self) -> str | None:
+        if not self.args.register_table:
+            return None
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.args.catalog_database}`")
+        return f"`{self.args.catalog_database}`.`{self.args.catalog_table}`"
 
     # -- the whole run -----------------------------------------------------------
     def run(self) -> StagingResult:
@@ -317,7 +330,7 @@ class StagingJob:
             log.warning("%s: no raw files found for the planned partitions", a.job_name)
             return self._finish(parts, parts, 0)
 
-        table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table)
+        table = StagingTable(self.spark, self.table_staging_path, keys, self.catalog_table, self._registered_name())
         table.recover()
         # a failure leaves the staged content: the next load publishes what is whole and discards the rest
         result = self._load(parts, schema, raw, table, to_add, merge_keys)
@@ -336,6 +349,8 @@ class StagingJob:
 
         # one aggregate: per-partition row counts and every validation counter
         prof = self._profile(raw, schema)
+        self.outcomes = [{"partition_value": r[PARTITION_VALUE], "n": r["n"], "partition_status": r["status"], "partition_error": r["error"]}
+                         for r in self._outcomes(prof).collect()]
         rows_by_part = {r[PARTITION_VALUE]: r["total_rows"] for r in prof}
         failures_by_part: dict[str, list[dict]] = {}
         for r in prof:
@@ -382,21 +397,28 @@ class StagingJob:
 
 
 def run_with_audit(spark: SparkSession, args: StagingArgs, audit_path: str | None = None) -> StagingResult:
-    """Run the job and append a SUCCEEDED / FAILED record (FAILED re-raises)."""
+    """Run the job and add its outcome, SUCCEEDED or FAILED (which re-raises), to the ledger at ``audit_path``.
+
+    The outcomes of its partitions go along. A run that is repeated under its run id adds nothing.
+    """
     params = {k: v for k, v in vars(args).items() if v is not None}
+    run_id = args.job_run_id or uuid.uuid4().hex
 
-    def audit(status: str, error: str | None) -> None:
+    def audit(status: str, error: str | None, partitions: list[dict]) -> None:
         if audit_path:
-            report.audit_record(spark, args.job_name, status, error, params, run_id=args.job_run_id,
-                                project_name=args.project_name, environment=args.stage) \
-                  .write.mode("append").parquet(audit_path)
+            row = report.audit_row(args.job_name, status, error, params, args.job_run_id, args.project_name, args.stage)
+            identity = [args.job_name, run_id, args.catalog_database, args.catalog_table, args.path_name_raw, args.start_date, args.end_date]
+            if not ledger.append(spark, audit_path, row, identity, partitions):
+                log.warning("%s: run %s is in the ledger already", args.job_name, run_id)
 
+    job = None
     try:
-        result = StagingJob(spark, args).run()
+        job = StagingJob(spark, args)
+        result = job.run()
     except Exception as e:  # audit every failure, including planning errors
-        audit(report.STATUS_FAILED, str(e))
+        audit(report.STATUS_FAILED, str(e), job.outcomes if job else [])
         raise
-    audit(report.STATUS_SUCCEEDED, None)
+    audit(report.STATUS_SUCCEEDED, None, job.outcomes)
     return result
 
 
@@ -480,6 +502,7 @@ def parse_args(argv: list[str]) -> tuple[StagingArgs, str | None]:
     p.add_argument("--catalog_name", default=CATALOG)
     p.add_argument("--strict_types", action="store_true")
     p.add_argument("--fail_on_missing", action="store_true")
+    p.add_argument("--register_table", action="store_true")
     p.add_argument("--excel_first_only", action="store_true")
     p.add_argument("--validate_only", action="store_true")
     p.add_argument("--keys_stay_in_partition", dest="keys_may_move", action="store_false")

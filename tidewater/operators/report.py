@@ -69,17 +69,22 @@ def partition_outcomes(profile: DataFrame, partition_col: str) -> DataFrame:
     return agg.select(partition_col, "n", status.alias("status"), "error")
 
 
-def audit_record(spark: SparkSession, job_name: str, status: str, error: str | None,
-                 params: dict, run_id: str = "", project_name: str = "", environment: str = "") -> DataFrame:
-    """One audit row for a job run (append it to the audit table)."""
-    row = {
+def audit_row(job_name: str, status: str, error: str | None, params: dict, run_id: str = "",
+              project_name: str = "", environment: str = "") -> dict:
+    """The audit values of a job run."""
+    return {
         "project_name": project_name, "job_name": job_name, "run_id": run_id,
         "job_type": JOB_TYPE, "environment": environment.upper(), "trigger_source": TRIGGER_SOURCE,
         "status": status, "error_message": error,
         "input_parameters": json.dumps({k: str(v) for k, v in params.items()}, sort_keys=True),
         "emitted_at": datetime.now(timezone.utc).replace(tzinfo=None),
     }
+
+
+def audit_record(spark: SparkSession, job_name: str, status: str, error: str | None,
+                 params: dict, run_id: str = "", project_name: str = "", environment: str = "") -> DataFrame:
+    """One audit row for a job run as a table."""
     schema = ("project_name string, job_name string, run_id string, job_type string, environment string, "
               "trigger_source string, status string, error_message string, input_parameters string, "
               "emitted_at timestamp_ntz")
-    return spark.createDataFrame([row], schema)
+    return spark.createDataFrame([audit_row(job_name, status, error, params, run_id, project_name, environment)], schema)

@@ -4,6 +4,11 @@ Each statement computes, from the clean driver tables, what the Spark query
 must return after building raw input and running the staging operator on it.
 """
 
+#: Orders with their month as text and number, the next month, and the table's last month.
+_BY_MONTH = ("WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS m, year(o_orderdate) * 12 + month(o_orderdate) AS i, "
+             "strftime(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS later, CAST(o_orderkey AS VARCHAR) AS k, "
+             "max(year(o_orderdate) * 12 + month(o_orderdate)) OVER () AS last FROM orders) ")
+
 ORACLES: dict[str, str] = {
     "select_rename": "SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_totalprice AS precio_total FROM orders",
     "normalize_names": "SELECT c_custkey AS customer_id, c_name AS nombre_completo, c_acctbal AS anio_saldo, "
@@ -165,19 +170,21 @@ ORACLES: dict[str, str] = {
                       "(SELECT 1 FROM n WHERE n.clase IS NOT DISTINCT FROM o.clase)",
     "sink_schema_sync": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, "
                         "CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer",
-    "staging_job_overlap": "SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, o_orderstatus, '1998-01' AS mes_carga FROM orders "
-                           "WHERE o_orderdate >= TIMESTAMP '1997-12-01' AND o_orderdate < TIMESTAMP '1998-02-01'",
-    "drift_scan": "WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS m, CAST(o_orderkey AS VARCHAR) AS k FROM orders "
-                  "WHERE o_orderdate >= TIMESTAMP '1997-12-01') "
-                  "SELECT k AS o_orderkey, o_totalprice, o_orderstatus, CAST(NULL AS VARCHAR) AS file_mes, '1997-12' AS raw_month "
-                  "FROM o WHERE m = '1997-12' UNION ALL "
-                  "SELECT k, o_totalprice + 1, o_orderstatus, m, '1998-01' FROM o WHERE m <= '1998-01' UNION ALL "
-                  "SELECT k, o_totalprice, NULL, NULL, '1998-02' FROM o WHERE m >= '1998-02'",
-    "missing_by_partition": "WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01') "
-                            "SELECT '1997-12' AS partition_value, count(*) AS n, 'SUCCEEDED' AS status, CAST(NULL AS VARCHAR) AS error "
-                            "FROM o WHERE m = '1997-12' HAVING count(*) > 0 UNION ALL "
-                            "SELECT '1998-01', count(*), 'SUCCEEDED', NULL FROM o WHERE m <= '1998-01' HAVING count(*) > 0 UNION ALL "
-                            "SELECT '1998-02', count(*), 'FAILED', 'missing_column: Estado' FROM o WHERE m >= '1998-02' HAVING count(*) > 0",
+    "staging_job_overlap": _BY_MONTH + "SELECT o_orderkey, CASE WHEN again OR i % 2 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+                           "o_orderstatus, CASE WHEN again THEN later ELSE m END AS mes_carga "
+                           "FROM (SELECT *, i % 2 = 0 AND i < last AS again FROM o)",
+    "drift_scan": _BY_MONTH + "SELECT k AS o_orderkey, o_totalprice, o_orderstatus, CAST(NULL AS VARCHAR) AS file_mes, m AS raw_month FROM o WHERE i % 3 = 0 "
+                  "UNION ALL SELECT k, o_totalprice + 1, o_orderstatus, m, m FROM o WHERE i % 3 = 1 "
+                  "UNION ALL SELECT k, o_totalprice + 1, o_orderstatus, m, later FROM o WHERE i % 3 = 0 AND i < last "
+                  "UNION ALL SELECT k, o_totalprice, NULL, NULL, m FROM o WHERE i % 3 = 2",
+    "missing_by_partition": _BY_MONTH.rstrip() + ", r AS (SELECT m, i FROM o UNION ALL SELECT later, i + 1 FROM o WHERE i % 3 = 0 AND i < last) "
+                            "SELECT m AS partition_value, count(*) AS n, CASE WHEN i % 3 = 2 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, "
+                            "CASE WHEN i % 3 = 2 THEN 'missing_column: Estado' END AS error FROM r GROUP BY m, i",
+    "create_partitioned": "WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS m, min(strftime(o_orderdate, '%Y-%m')) OVER () AS f, "
+                          "max(strftime(o_orderdate, '%Y-%m')) OVER () AS l FROM orders), "
+                          "x AS (SELECT *, o_orderstatus = 'P' OR m = f AS late FROM o) "
+                          "SELECT o_orderkey, CASE WHEN late THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+                          "CASE WHEN late THEN o_orderstatus END AS o_orderstatus, CASE WHEN m = f THEN l ELSE m END AS mes FROM x",
     "cast_epoch": "SELECT o_orderkey, date_trunc('second', o_orderdate) AS ts, "
                   "date_trunc('second', o_orderdate) + INTERVAL 500 MILLISECOND AS ts_half FROM orders",
     "safe_timestamp_offset": "SELECT o_orderkey, date_trunc('second', o_orderdate) + CASE WHEN o_orderstatus = 'F' "

@@ -20,6 +20,8 @@ from tidewater.functions import casts, dates, names, params
 from tidewater.operators import merge, project, report, validate
 from tidewater.plans import load_plan, partitions
 from tidewater.session import apply_staging_conf, scratch_path, session_key
+from tidewater.sinks.manifest import Files
+from tidewater.sinks.table import StagingTable, read_table
 from tidewater.sources import files
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -598,11 +600,19 @@ def q_schema_sync(spark, sf):
 
 
 def q_run_audit(spark, sf):
-    """K7/V6: per-month outcome (rows, status, first failure) of the raw orders zone."""
-    raw = read_raw_orders(spark, sf)
-    prof = validate.profile(raw, ORDERS_RAW_FIELDS, by=["mes"])
-    out = report.partition_outcomes(prof, "mes")
-    return out.select(F.col("mes").alias("partition_month"), "n", "status", "error")
+    """K7/V6: what the ledger has of a load of the raw orders zone that its required priority fails, run twice under one id."""
+    from tidewater.job import run_with_audit
+    from tidewater.sinks import ledger
+    fields = [{**f, "nullable": False} if f["name"] == "Prioridad" else f for f in JOB_FIELDS]
+    args, zone = _orders_job(spark, sf, "audit", fields, job_run_id="run-1")
+    for _ in range(2):
+        try:
+            run_with_audit(spark, args, f"{zone}/ledger")
+        except ValueError:  # the priority is required; the ledger has the reason
+            pass
+    return (ledger.read(spark, f"{zone}/ledger").where("partition_value IS NOT NULL")
+            .select(F.col("partition_value").alias("partition_month"), "n", F.col("partition_status").alias("status"),
+                    F.col("partition_error").alias("error")))
 
 
 def q_empty_partitions_message(spark, sf):
@@ -632,28 +642,32 @@ JOB_FIELDS = [
 ]
 
 
-def q_staging_job(spark, sf):
-    """FULL monthly load of the whole raw orders zone into a merged staging table."""
+def _orders_job(spark, sf, name: str, fields: list[dict], **more):
+    """Arguments of a FULL monthly load of the raw orders zone, and its folder."""
     import json
 
-    from tidewater.job import StagingArgs, StagingJob
-    raw = raw_orders_dir(spark, sf)
-    raw_root, key = raw.rsplit("/", 1)
-    zone = scratch_path(spark, "job")
-    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": JOB_FIELDS}))
+    from tidewater.job import StagingArgs
+    raw_root, key = raw_orders_dir(spark, sf).rsplit("/", 1)
+    zone = scratch_path(spark, name)
+    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": fields}))
     start, end = _month_bounds(spark, sf)
-    args = StagingArgs(job_name="staging_orders", project_name="tidewater", path_name_raw=key,
+    return StagingArgs(job_name="staging_orders", project_name="tidewater", path_name_raw=key,
                        path_name_staging="ordenes", catalog_database="staging", catalog_table="ordenes",
                        merge_keys="o_orderkey", partition_key_staging="add_mes_carga", partition_key_raw="mes",
                        process_type="FULL", date_type=dates.MONTH, start_date=start, end_date=end,
-                       raw_root=raw_root, schema_root=f"{zone}/schema", staging_root=f"{zone}/staging")
+                       raw_root=raw_root, schema_root=f"{zone}/schema", staging_root=f"{zone}/staging", **more), zone
+
+
+def q_staging_job(spark, sf):
+    """FULL monthly load of the whole raw orders zone into a merged staging table."""
+    from tidewater.job import StagingJob
+    args, zone = _orders_job(spark, sf, "job", JOB_FIELDS)
     StagingJob(spark, args).run()
-    return spark.read.parquet(f"{zone}/staging/ordenes")
+    return read_table(spark, f"{zone}/staging/ordenes")
 
 
 def q_stream_incremental(spark, sf):
     """The raw orders zone staged by an availableNow file stream, merged on the key."""
-    from tidewater.sinks.table import StagingTable
     from tidewater.streaming.incremental import run_incremental
     zone = scratch_path(spark, "stream")
     table = StagingTable(spark, f"{zone}/table", ["mes_carga"])
@@ -665,7 +679,6 @@ def q_stream_incremental(spark, sf):
 # --- the stored table: what the sink itself leaves behind -----------------------
 
 def _sink(spark, name: str, partition_cols: list[str]):
-    from tidewater.sinks.table import StagingTable
     return StagingTable(spark, f"{scratch_path(spark, name)}/table", partition_cols)
 
 
@@ -710,24 +723,30 @@ def q_sink_schema_sync(spark, sf):
     return table.read().select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
-def raw_orders_drift_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Orders under ``mes=1997-12`` / ``1998-01`` / ``1998-02``, each with its own header: January has other
-    prices for December's orders as well, columns in another order and one more; February lacks the status."""
+def raw_orders_drift_dir(spark: SparkSession, sf_dir: str, kinds: int) -> str:
+    """All orders by month, with ``kinds`` headers in turn. The second kind has columns in another order, one more, a column
+    named as the raw key, and besides its own the orders of the month before, all at another price; the third lacks the status."""
     def build() -> str:
         path = scratch_path(spark, "raw-orders-drift")
-        o = T(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-12-01'")
+        month, place = F.date_format("o_orderdate", "yyyy-MM"), F.year("o_orderdate") * 12 + F.month("o_orderdate")
+        o = T(spark, sf_dir, "orders").select("*", month.alias("m"), place.alias("i"))
+        last = o.agg(F.max("i")).first()[0]
         text = lambda c: F.col(c).cast("string")
         key, price, state = text("o_orderkey").alias("OrderKey"), text("o_totalprice"), F.col("o_orderstatus").alias("Estado")
-        month = F.date_format("o_orderdate", "yyyy-MM")
-        cols = {"1997-12": [key, price.alias("TotalPrice"), state],
-                "1998-01": [F.lit("x").alias("Nota"), state, (F.col("o_totalprice") + 1).cast("string").alias("TotalPrice"), key,
-                            month.alias("mes")],
-                "1998-02": [price.alias("TotalPrice"), key]}
-        rows = {"1997-12": o.where(month == "1997-12"), "1998-01": o.where(month <= "1998-01"), "1998-02": o.where(month >= "1998-02")}
-        for m, c in cols.items():
-            rows[m].select(*c).write.options(header="true", sep=";", nullValue="\\N").csv(f"{path}/mes={m}")
+        options = {"header": "true", "sep": ";", "nullValue": "\\N"}
+        of = lambda k: o.where(F.col("i") % kinds == k)
+        of(0).select(key, price.alias("TotalPrice"), state, F.col("m").alias("mes")).write.options(**options).partitionBy("mes").csv(path)
+        again = of(0).where(F.col("i") < last).withColumn("at", F.date_format(F.add_months("o_orderdate", 1), "yyyy-MM"))
+        (of(1).withColumn("at", F.col("m")).unionByName(again)
+         .select(F.lit("x").alias("Nota"), state, (F.col("o_totalprice") + 1).cast("string").alias("TotalPrice"), key, F.col("m").alias("mes"), "at")
+         .write.options(**options).partitionBy("at").csv(f"{path}-second"))
+        if kinds > 2:
+            of(2).select(price.alias("TotalPrice"), key, F.col("m").alias("mes")).write.mode("append").options(**options).partitionBy("mes").csv(path)
+        found = Files(spark, path)  # a writer takes a partition's column out of the file, so these folders get their name afterwards
+        for folder in found.folders(f"{path}-second", 1):
+            found.fs.rename(found.path(f"{path}-second/{folder}"), found.path(f"{path}/mes={folder.split('=', 1)[1]}"))
         return path
-    return _once(spark, (sf_dir, "orders-drift"), build)
+    return _once(spark, (sf_dir, f"orders-drift-{kinds}"), build)
 
 
 DRIFT_FIELDS = [{"name": "OrderKey", "type": "bigint", "converted_type": "bigint", "converted_name": "o_orderkey"},
@@ -735,30 +754,31 @@ DRIFT_FIELDS = [{"name": "OrderKey", "type": "bigint", "converted_type": "bigint
                 {"name": "Estado", "type": "string", "converted_name": "o_orderstatus"}]
 
 
-def _drift_job(spark, sf, end: str, fields: list[dict]):
+def _drift_job(spark, sf, kinds: int):
     import json
 
     from tidewater.job import StagingArgs, StagingJob
-    raw_root, key = raw_orders_drift_dir(spark, sf).rsplit("/", 1)
+    raw_root, key = raw_orders_drift_dir(spark, sf, kinds).rsplit("/", 1)
     zone = scratch_path(spark, "drift")
-    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": fields}))
+    _write_text(f"{zone}/schema/{key}/schema.json", json.dumps({"fields": DRIFT_FIELDS}))
+    start, end = _month_bounds(spark, sf)
     return StagingJob(spark, StagingArgs(
         job_name="drift", project_name="tidewater", path_name_raw=key, path_name_staging="ordenes",
         catalog_database="staging", catalog_table="ordenes", merge_keys="o_orderkey", partition_key_staging="add_mes_carga",
-        partition_key_raw="mes", process_type="FULL", date_type=dates.MONTH, start_date="1997-12", end_date=end,
+        partition_key_raw="mes", process_type="FULL", date_type=dates.MONTH, start_date=start, end_date=end,
         raw_root=raw_root, schema_root=f"{zone}/schema", staging_root=f"{zone}/staging")), f"{zone}/staging/ordenes"
 
 
 def q_staging_job_overlap(spark, sf):
-    """K4/K5: one load of two raw months; an order that is in both has the later month's row."""
-    job, path = _drift_job(spark, sf, "1998-01", DRIFT_FIELDS)
+    """K4/K5: one load of all raw months; an order that is in two has the later month's row."""
+    job, path = _drift_job(spark, sf, 2)
     job.run()
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def q_drift_scan(spark, sf):
     """Raw months whose headers differ, each read by its own header; a file column named as the raw key stays."""
-    job, _ = _drift_job(spark, sf, "1998-02", DRIFT_FIELDS)
+    job, _ = _drift_job(spark, sf, 3)
     from tidewater.job import PARTITION_VALUE
     from tidewater.schema import Schema
     parts, raw_key = job.plan()
@@ -769,11 +789,28 @@ def q_drift_scan(spark, sf):
 
 
 def q_missing_by_partition(spark, sf):
-    """V1/V6: a column that one raw month lacks is missing in that month only."""
-    job, _ = _drift_job(spark, sf, "1998-02", DRIFT_FIELDS)
+    """V1/V6: a column that some raw months lack is missing in those only."""
+    job, _ = _drift_job(spark, sf, 3)
     return job.validate().select("partition_value", "n", "status", "error")
 
 
+def q_create_partitioned(spark, sf):
+    """K1: a table of the session catalog, read by its name after create, evolve, merge and a month that is emptied."""
+    o = T(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("mes"))
+    first, last = _month_bounds(spark, sf)
+    name = f"ordenes_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
+    table = StagingTable(spark, f"{scratch_path(spark, 'create-partitioned')}/table", ["mes"], register=name)
+    slim = o.select(F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_totalprice", "mes")
+    table.create(slim)
+    table.merge(slim, ["o_orderkey"])
+    # a wider key, a new column, new prices; the orders of the first month move to the last
+    late = o.where((F.col("o_orderstatus") == "P") | (F.col("mes") == first)).withColumns({
+        "o_orderkey": F.col("o_orderkey").cast("bigint"), "o_totalprice": F.col("o_totalprice") + 1,
+        "mes": F.when(F.col("mes") == first, F.lit(last)).otherwise(F.col("mes"))})
+    table.merge(late, ["o_orderkey"])
+    return spark.table(name)
+
+
 def q_cast_epoch(spark, sf):
     """Numbers become timestamps as seconds since 1970."""
     o = T(spark, sf, "orders")
@@ -933,6 +970,15 @@ def q_staging_load(spark, sf):
         F.sum("precio_total").cast("decimal(38,2)").alias("revenue"), F.count(F.lit(1)).alias("orders"))
 
 
+def write_raw_zones(spark: SparkSession, sf_dir: str) -> None:
+    """The raw files that the queries read, once a session."""
+    for build in (raw_orders_dir, raw_orders_csv_flat, raw_customer_json_dir, raw_customer_jsonl_by_nation, raw_orders_daily_dir,
+                  raw_supplier_workbooks, raw_orders_es_dir):
+        build(spark, sf_dir)
+    for kinds in (2, 3):
+        raw_orders_drift_dir(spark, sf_dir, kinds)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_rename": q_select_rename,
     "normalize_names": q_normalize_names,
@@ -993,6 +1039,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staging_job_overlap": q_staging_job_overlap,
     "drift_scan": q_drift_scan,
     "missing_by_partition": q_missing_by_partition,
+    "create_partitioned": q_create_partitioned,
     "cast_epoch": q_cast_epoch,
     "safe_timestamp_offset": q_safe_timestamp_offset,
     "xlsx_na": q_xlsx_na,

@@ -1,46 +1,49 @@
-"""Staging tables: partitioned Parquet directories (or a catalog table when an
+"""Staging tables: versioned Parquet folders (or a catalog table when an
 Iceberg catalog is configured) with create / schema-sync / overwrite / merge.
 
+A load writes its rows once, where they stay: in a folder of its own below the table
+(``__load=<id>/<partition>``). A version of the table (``manifest``) names, for each partition, the load that holds
+its rows. Committing a version is the only step that changes the table: a run
+that dies before leaves it as it was, one that dies after has changed it in full, and no file is
+moved, on any file system. Readers go through ``read`` (or ``read_table``, or the session
+catalog where the table is registered). Folders that a version replaces stay until the next load begins, for the
+readers of the version before.
+
 Parquet has no MERGE, so a merge rewrites only the partitions it touches:
 
 1. touched = partitions of the source rows, plus partitions holding target
-   rows whose key appears in the source (a key may move partition); found
-   with a semi join that reads only key + partition columns;
-2. the new content of those partitions -- kept target rows (anti join on the
-   keys) plus the source -- is written to a staging folder under the table,
-   which cuts the lineage to the table being replaced;
-3. the staged partition folders take the place of the table's by renaming, so
-   the content is written once;
-4. touched partitions left without rows (every key moved away) are removed --
-   the folders are listed, no path is rebuilt from values.
+   rows whose key appears in the source (a key may move partition). These are looked for
+   in the key columns of the files whose key range, recorded when they were
+   written, meets the batch's;
+2. the touched partitions, read by their folders, keep the rows that the batch does not
+   replace (anti join on the keys); those and the batch are the load's content;
+3. the new version names the load's folders for the touched partitions; one left
+   without rows is named no more.
 
 A load of several raw partitions behaves as if they were written one after
 another (``order`` names the column of the raw partition): a merge keeps, per
 key, the row of the last one; an overwrite keeps, per table partition, the rows
 of the last one that writes it.
 
-Step 2 never modifies the table. Once the staged content is whole, a ``_READY`` mark
-is put beside it; it goes when step 4 is done. A run that dies in between leaves
-content and mark, and the next load (or ``recover``) first publishes them; content
-without a mark is discarded. Executor loss is retried by Spark's task retry.
-Partitioned writes carry a REBALANCE hint (few files per partition, hot
-partitions split by AQE). Staging copies are deleted after the commit.
-Schema evolution is recorded in ``_table_schema.json``: reads apply it and
+Executor loss is retried by Spark's task retry. Partitioned writes carry a REBALANCE hint (few
+files per partition, hot partitions split by AQE). One load writes a table at a time; a second one that
+commits in between is refused. Schema evolution is part of the version: reads apply it and
 Spark's Parquet reader widens older files, so no data is rewritten.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (ByteType, DateType, DecimalType, IntegerType, LongType, ShortType, StringType, StructField, StructType,
+                               TimestampNTZType)
 
 from tidewater.operators import merge as M
 from tidewater.session import read_text_partitions
+from tidewater.sinks.manifest import Files, Manifests, Version
 
 
 def _q(name: str) -> str:
@@ -56,11 +59,11 @@ def iceberg_catalog(spark: SparkSession, table: str) -> bool:
 
 # --- fixed values: Spark's directory name for a NULL partition value ----------
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# the table folder's schema record (a leading '_' keeps it out of Spark's listing)
-SCHEMA_FILE = "_table_schema.json"
-# beside staged content that is whole and not yet published
-READY = "_READY"
 # -----------------------------------------------------------------------------
+LOAD = "__load"
+#: Types whose text gives back the same value and order in any session.
+RANGED = (ByteType, ShortType, IntegerType, LongType, DecimalType, StringType, DateType, TimestampNTZType)
+KEY_RANGES = "_key_ranges"
 
 
 def unquote_partition_value(text: str) -> str:
@@ -68,105 +71,94 @@ def unquote_partition_value(text: str) -> str:
     return re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), text)
 
 
+def partition_values(folder: str) -> tuple:
+    """The values in a partition's folder name, as Spark reads them back."""
+    raw = [level.split("=", 1)[1] for level in folder.split("/")] if folder else []
+    return tuple(None if v == DEFAULT_PARTITION else unquote_partition_value(v) for v in raw)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the Parquet staging table at ``path``."""
+    found = Manifests(Files(spark, path), path.rstrip("/")).latest()
+    return StagingTable(spark, path, found.partition_cols if found else []).read()
+
+
 class StagingTable:
-    def __init__(self, spark: SparkSession, path: str, partition_cols: list[str], name: str | None = None):
+    """``register`` names a table of the session catalog that is kept in step with every version."""
+
+    def __init__(self, spark: SparkSession, path: str, partition_cols: list[str], name: str | None = None, register: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_cols = list(partition_cols)
         self.name = name
+        self.register = register
         self.iceberg = bool(name) and iceberg_catalog(spark, name)
         self._stages: list[str] = []
+        if not self.iceberg:
+            self.files = Files(spark, self.path)
+            self.manifests = Manifests(self.files, self.path)
 
     # -- reading -----------------------------------------------------------
+    def version(self) -> Version | None:
+        return self.manifests.latest()
+
     def exists(self) -> bool:
-        """Metadata only: the table directory holds at least one visible entry
-        (a partition directory or data file). Lists one directory level."""
+        """Whether the table has data; metadata only."""
         if self.iceberg:
             return self.spark.catalog.tableExists(self.name)
-        fs, p = self._fs(self.path)
-        if fs is None:  # no JVM access (Spark Connect): ask the Parquet source instead
-            try:
-                self.spark.read.parquet(self.path).schema  # noqa: B018
-                return True
-            except AnalysisException:
-                return False
-        if not fs.exists(p):
-            return False
-        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
-
-    def _fs(self, path: str):
-        """Hadoop FileSystem and Path for ``path`` (None on Spark Connect)."""
-        try:
-            sc = self.spark.sparkContext
-            p = sc._jvm.org.apache.hadoop.fs.Path(path)
-            return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
-        except Exception:
-            return None, None
+        found = self.version()
+        return bool(found and found.folders)
 
     def read(self) -> DataFrame:
         """The stored rows; partition columns come back as text (as written in the paths)."""
         if self.iceberg:
             return self.spark.table(self.name)
-        stored = self.stored_schema()
-        if stored is None:  # not written by this sink: the files' schemas, merged
+        found = self.version()
+        if found is None:  # not written by this sink: the files' schemas, merged
             return read_text_partitions(self.spark, self.path, self.partition_cols, mergeSchema="true")
+        return self._read(found, list(found.folders))
+
+    def _folder(self, version: Version, partition: str) -> str:
+        return f"{self.path}/{LOAD}={version.folders[partition]}/{partition}".rstrip("/")
+
+    def _read(self, version: Version, partitions: list[str]) -> DataFrame:
+        """Rows of the given partitions; only their folders are listed."""
+        return self._read_paths(version, [self._folder(version, p) for p in partitions])
+
+    def _read_paths(self, version: Version, paths: list[str]) -> DataFrame:
         # older files holding a narrower type are widened to the recorded one on read
         parts = [StructField(c, StringType(), True) for c in self.partition_cols]
-        return self.spark.read.schema(StructType(list(stored.fields) + parts)).parquet(self.path)
-
-    # -- table schema record -------------------------------------------------------
-    def stored_schema(self) -> StructType | None:
-        """The data columns' schema recorded in the table folder (``_table_schema.json``)."""
-        fs, p = self._fs(f"{self.path}/{SCHEMA_FILE}")
-        if fs is None or not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return StructType.fromJson(json.loads(text))
-
-    def _store_schema(self, struct: StructType) -> None:
-        fs, p = self._fs(f"{self.path}/{SCHEMA_FILE}")
-        if fs is None:
-            return
-        part = {c.lower() for c in self.partition_cols}
-        data = StructType([f for f in struct.fields if f.name.lower() not in part])
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(json.dumps(data.jsonValue()).encode("utf-8")))
-        finally:
-            out.close()
-
-    def _record_first_schema(self, df: DataFrame) -> None:
-        """A table without data takes the first batch's schema (replacing any
-        record left by an earlier run that failed before writing rows)."""
-        if not self.iceberg and (self.stored_schema() is None or not self.exists()):
-            self._store_schema(df.schema)
+        schema = StructType(list(version.schema.fields) + parts)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        whole = StructType([*version.schema.fields, StructField(LOAD, StringType(), True), *parts])
+        return (self.spark.read.schema(whole).option("basePath", self.path).option("__globPaths__", "false")
+                .parquet(*paths).select(*[F.col(_q(f.name)) for f in schema.fields]))
 
     # -- K1: create --------------------------------------------------------
+    def _data_schema(self, schema: StructType) -> StructType:
+        part = {c.lower() for c in self.partition_cols}
+        return StructType([StructField(f.name, f.dataType, True) for f in schema.fields if f.name.lower() not in part])
+
     def create(self, df: DataFrame) -> None:
-        """Create the table from the first non-empty batch's schema (no rows written)."""
-        if not self.iceberg or self.exists():
-            return
+        """Create the table with the schema of ``df``, without rows; one that exists stays as it is."""
         if self.iceberg:
-            df.limit(0).writeTo(self.name).partitionedBy(*[F.col(c) for c in self.partition_cols]) \
-              .using("iceberg").tableProperty("location", self.path).create()
-            return
-        # Parquet: the directory appears with the first write; nothing to do.
+            if not self.exists():
+                df.limit(0).writeTo(self.name).partitionedBy(*[F.col(c) for c in self.partition_cols]) \
+                  .using("iceberg").tableProperty("location", self.path).create()
+        elif self.version() is None:
+            self._commit(None, Version(0, self.partition_cols, self._data_schema(df.schema)))
 
     # -- K2: schema sync ------------------------------------------------------
     def synchronize_schema(self, df: DataFrame, exists: bool | None = None) -> DataFrame:
         """Evolve the table to accept ``df``: add new columns (nullable), widen
         int->bigint / float->double, never drop. Returns ``df`` projected onto
         the evolved schema."""
-        if not (self.exists() if exists is None else exists):
+        before = None if self.iceberg else self.version()
+        if not (before or self.iceberg and (self.exists() if exists is None else exists)):
             return df
         part = {c.lower() for c in self.partition_cols}
-        recorded = None if self.iceberg else self.stored_schema()
-        current_fields = recorded.fields if recorded is not None else self.read().schema.fields
-        current = StructType([f for f in current_fields if f.name.lower() not in part])
+        current = self._data_schema(self.read().schema if before is None else before.schema)
         data = StructType([f for f in df.schema.fields if f.name.lower() not in part])
         cols = M.synced_schema(current, data) + [(f.name, f.dataType) for f in df.schema.fields
                                                  if f.name.lower() in part]
@@ -179,11 +171,12 @@ class StagingTable:
                     self.spark.sql(f"ALTER TABLE {self.name} ALTER COLUMN {_q(n)} TYPE {t.simpleString()}")
                 else:
                     self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMN {_q(n)} {t.simpleString()}")
-        elif changed or recorded is None:
-            # Parquet files keep the types they were written with; the recorded table
-            # schema carries the evolution and the reader widens older files
+        elif changed:
+            # Parquet files keep the types they were written with; the version's schema
+            # carries the evolution and the reader widens older files
             # (int -> bigint, float -> double), so no data is rewritten.
-            self._store_schema(StructType([StructField(n, t, True) for n, t in cols]))
+            new = self._data_schema(StructType([StructField(n, t, True) for n, t in cols]))
+            self._commit(before, Version(0, before.partition_cols, new, dict(before.folders)))
         return M.conform(df, cols)
 
     # -- K3: dynamic partition overwrite --------------------------------------
@@ -201,8 +194,7 @@ class StagingTable:
         if self.iceberg:
             df.writeTo(self.name).overwritePartitions()
             return
-        self._record_first_schema(df)
-        self._write_dynamic(df)
+        self._write(df, set())
 
     # -- K4/K5: merge ----------------------------------------------------------
     def merge(self, df: DataFrame, keys: list[str], check_duplicates: bool = True,
@@ -241,35 +233,57 @@ class StagingTable:
             df = self._materialise(df)
         if check_duplicates:
             self._check_duplicates(df, keys)
-        if not self.exists():
-            # a new table has nothing to lose: write the first batch in place
-            self._record_first_schema(df)
-            if not self.partition_cols:  # an overwrite of the whole folder would take the staging folder along
-                self._write_dynamic(df)
-                return
-            self._clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-              .partitionBy(*self.partition_cols).parquet(self.path)
+        df = self.synchronize_schema(df)
+        version = self.version()
+        if not (version and version.folders):
+            self._write(df, set(), keys)
             return
-        df = self.synchronize_schema(df, exists=True)
         p = self.partition_cols
-        touched_df = df.select(*[F.col(_q(c)).cast("string").alias(c) for c in p])
-        target = self.read()
-        if keys_may_move:
-            moved = target.select(*[F.col(_q(c)) for c in keys + p]).join(
-                df.select(*[F.col(_q(k)) for k in keys]), on=keys, how="left_semi").select(*[F.col(_q(c)) for c in p])
-            touched_df = touched_df.unionByName(moved)
-        # kept as a table: the partitions' number has no bound, and the target changes below
-        stage = self._staging_dir()
-        in_touched = target
-        if p:
-            touched_df.distinct().write.parquet(f"{stage}/touched")
-            touched = self.spark.read.parquet(f"{stage}/touched")
-            same = [F.col(f"t.{_q(c)}").cast("string").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
-            in_touched = target.alias("t").join(touched.alias("s"), same, "left_semi")
+        touched = {tuple(r) for r in df.select(*[F.col(_q(c)).cast("string") for c in p]).distinct().collect()} if p else {()}
+        folders = {f for f in version.folders if partition_values(f) in touched}
+        if keys_may_move and p:
+            folders |= self._moved_from(version, df, keys, folders)
         # partition values come back from the paths as text: give them the batch's types
-        in_touched = in_touched.withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
-        new_content = M.merge_upsert(in_touched, df, keys)
-        self._write_dynamic(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]), stage)
+        target = self._read(version, sorted(folders)).withColumns({c: F.col(_q(c)).cast(df.schema[c].dataType) for c in p})
+        new_content = M.merge_upsert(target, df, keys)
+        self._write(M.conform(new_content, [(f.name, f.dataType) for f in df.schema.fields]), folders, keys)
+
+    def _moved_from(self, version: Version, df: DataFrame, keys: list[str], touched: set[str]) -> set[str]:
+        """Other partitions that hold a key of the batch.
+
+        Each load records the range of the first key in each of its files. Only the files
+        whose range meets the batch's are opened, and of those only the key columns.
+        """
+        others = [f for f in version.folders if f not in touched]
+        if not others:
+            return set()
+        first = F.col(_q(keys[0]))
+        lo, hi = df.agg(F.min(first), F.max(first)).first()
+        if lo is None:  # NULL keys match nothing
+            return set()
+        ranges = [f"{self.path}/{KEY_RANGES}/{n}" for n in sorted({version.folders[f] for f in others})
+                  if self.files.names(f"{self.path}/{KEY_RANGES}/{n}")]
+        if ranges:
+            kind = version.schema[keys[0]].dataType if keys[0] in version.schema.names else StringType()
+            seen = self.spark.read.parquet(*ranges).where(F.col("key") == F.lit(keys[0]))
+            near = seen.where((F.col("first").cast(kind) <= F.lit(hi)) & (F.col("last").cast(kind) >= F.lit(lo)))
+            files = {(r["load"], r["partition"]): [] for r in seen.select("load", "partition").distinct().collect()}
+            for r in near.select("load", "partition", "file").collect():
+                files[r["load"], r["partition"]].append(r["file"])
+        else:
+            files = {}
+        paths = []
+        for f in others:
+            folder = self._folder(version, f)
+            own = files.get((version.folders[f], f))
+            paths += [folder] if own is None else [f"{folder}/{x}" for x in own]
+        if not paths:
+            return set()
+        columns = [F.col(_q(c)) for c in self.partition_cols]
+        found = (self._read_paths(version, paths).select(*[F.col(_q(k)) for k in keys if k not in self.partition_cols], *columns)
+                 .join(df.select(*[F.col(_q(k)) for k in keys]), on=keys, how="left_semi").select(*columns).distinct().collect())
+        values = {tuple(r) for r in found}
+        return {f for f in others if partition_values(f) in values}
 
     # -- internals ----------------------------------------------------------------
     def _staging_dir(self) -> str:
@@ -278,11 +292,10 @@ class StagingTable:
         return d
 
     def _cleanup(self) -> None:
-        """Drop the staging copies; for callers whose load has committed, or failed before its content was whole."""
-        for d in self._stages:
-            fs, p = self._fs(d)
-            if fs is not None:
-                fs.delete(p, True)
+        """Drop the batch copies; for callers whose load has committed or failed."""
+        if not self.iceberg:
+            for d in self._stages:
+                self.files.delete(d)
         self._stages = []
 
     def _clustered(self, df: DataFrame) -> DataFrame:
@@ -313,145 +326,91 @@ class StagingTable:
             df = M.without_superseded(df, repeats, keys, order)
         return df.drop(order)
 
-    def _read_text_partitions(self, path: str) -> DataFrame:
-        """Read a partitioned Parquet folder with partition values kept as text
-        (inference would turn ``p=007`` into 7 and write it back as ``p=7``)."""
-        return read_text_partitions(self.spark, path, self.partition_cols)
-
-    def _write_dynamic(self, df: DataFrame, stage: str | None = None) -> None:
-        """Materialise ``df`` in a staging folder, mark it whole, then publish it."""
-        stage = stage or self._staging_dir()
-        content = f"{stage}/content"
-        self._clustered(df).write.mode("overwrite").partitionBy(*self.partition_cols).parquet(content)
-        self._note_emptied(stage)
-        fs, mark = self._fs(f"{stage}/{READY}")
-        if fs is None:  # no JVM access (Spark Connect): Spark's own dynamic overwrite
-            (self._read_text_partitions(content).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(*self.partition_cols).parquet(self.path))
-            return
-        out = fs.create(mark, True)
-        if not self.partition_cols:  # what the whole table will consist of
-            out.write(bytearray("\n".join(n for n, _ in self._visible(fs, self._fs(content)[1])).encode("utf-8")))
-        out.close()
-        self._publish(stage)
-
-    @staticmethod
-    def _visible(fs, folder) -> list[tuple]:
-        """(name, status) of a folder's entries that are part of the table."""
-        if not fs.exists(folder):
-            return []
-        found = [(st.getPath().getName(), st) for st in fs.listStatus(folder)]
-        return [(n, st) for n, st in found if not n.startswith(("_", "."))]
-
-    def _publish(self, stage: str) -> None:
-        """Move the staged partitions to the table, drop the emptied ones, and forget the stage.
-
-        Each move can be repeated, so a publish that died is finished by calling it again.
-        """
-        fs, folder = self._fs(stage)
-        content = self._fs(f"{stage}/content")[1]
-        if self.partition_cols:
-            self._move(fs, content, self._fs(self.path)[1], len(self.partition_cols))
-        else:
-            stream = fs.open(self._fs(f"{stage}/{READY}")[1])
-            try:
-                new = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
-            finally:
-                stream.close()
-            self._move(fs, content, self._fs(self.path)[1], 1)
-            for name, st in self._visible(fs, self._fs(self.path)[1]):
-                if name not in new:
-                    fs.delete(st.getPath(), True)
-        self._drop_emptied(stage)
-        fs.delete(folder, True)
-        self._stages = [s for s in self._stages if s != stage]
+    def _write(self, df: DataFrame, replaced: set[str], keys: list[str] = ()) -> None:
+        """Write ``df`` as a load and commit a version that names its folders in place of ``replaced`` and of equal partitions."""
+        before = self.version()
+        load = f"{(before.number if before else 0) + 1:09d}-{uuid.uuid4().hex[:12]}"
+        folder = f"{self.path}/{LOAD}={load}"
+        self._clustered(df).write.partitionBy(*self.partition_cols).parquet(folder)
+        new = dict.fromkeys(self.files.folders(folder, len(self.partition_cols)), load)
+        if keys and self.partition_cols and new and keys[0] not in self.partition_cols and isinstance(df.schema[keys[0]].dataType, RANGED):
+            self._record_ranges(folder, load, keys[0])
+        old = dict(before.folders) if before else {}
+        gone = [f for f in old if f in new or f in replaced]
+        schema = before.schema if before else self._data_schema(df.schema)
+        self._commit(before, Version(0, self.partition_cols, schema, {**{f: n for f, n in old.items() if f not in gone}, **new},
+                                     [f"{LOAD}={old[f]}/{f}".rstrip("/") for f in gone]))
+
+    def _record_ranges(self, folder: str, load: str, key: str) -> None:
+        """Smallest and largest key of each file of a load, as text, for the search of later merges."""
+        place = F.substring_index(F.input_file_name(), f"{LOAD}={load}/", -1)
+        rows = (self.spark.read.parquet(folder).groupBy(place.alias("at"))
+                .agg(F.min(F.col(_q(key))).cast("string").alias("first"), F.max(F.col(_q(key))).cast("string").alias("last")))
+        # input_file_name is a URI: the folder's own escapes are escaped once more there
+        at = F.expr("url_decode(replace(at, '+', '%2B'))")
+        rows.select(F.lit(load).alias("load"), F.lit(key).alias("key"), F.regexp_extract(at, "^(.*)/[^/]*$", 1).alias("partition"),
+                    F.substring_index(at, "/", -1).alias("file"), "first", "last").write.parquet(f"{self.path}/{KEY_RANGES}/{load}")
+
+    def _commit(self, before: Version | None, after: Version) -> None:
+        self.manifests.commit(before, after)
+        if self.register:
+            self._sync_catalog(before, after)
         self.spark.catalog.refreshByPath(self.path)
 
-    def _move(self, fs, source, target, depth: int) -> None:
-        """Entries ``depth`` levels below ``source`` replace those of the same path below ``target``."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for name, st in self._visible(fs, source):
-            to = path(target, name)
-            if depth > 1:
-                self._move(fs, st.getPath(), to, depth - 1)
-                continue
-            fs.mkdirs(target)
-            fs.delete(to, True)
-            if not fs.rename(st.getPath(), to):
-                raise OSError(f"could not move {st.getPath()} to {to}")
-
     def recover(self) -> int:
-        """Publish what an earlier load staged whole but did not finish; discard the rest. Returns the number published.
+        """Remove what no version needs: folders replaced by the latest one, those of loads that died, batch copies. Returns the dead loads.
 
-        For one writer at a time, as the loads themselves. The stages of this object's own load are left alone.
+        For one writer at a time, as the loads themselves. The copies of this object's own load are left alone.
         """
-        fs, root = self._fs(f"{self.path}/_staging")
-        if self.iceberg or fs is None or not fs.exists(root):
+        if self.iceberg:
             return 0
+        for name in self.files.names(f"{self.path}/_staging"):
+            if f"{self.path}/_staging/{name}" not in self._stages:
+                self.files.delete(f"{self.path}/_staging/{name}")
+        now = self.version()
+        live = set(now.folders.values()) if now else set()
+        for f in now.replaced if now else []:
+            self.files.delete(f"{self.path}/{f}")
+        known = live | {f.split("/", 1)[0].removeprefix(f"{LOAD}=") for f in (now.replaced if now else [])}
         done = 0
-        for st in sorted(fs.listStatus(root), key=lambda s: s.getModificationTime()):
-            stage = f"{self.path}/_staging/{st.getPath().getName()}"
-            if stage in self._stages:
-                continue
-            if fs.exists(self._fs(f"{stage}/{READY}")[1]):
-                self._publish(stage)
-                done += 1
-            else:
-                fs.delete(st.getPath(), True)
+        for name in self.files.names(self.path):
+            load = name.removeprefix(f"{LOAD}=")
+            if name != load and load not in live:
+                self.files.delete(f"{self.path}/{name}")
+                done += load not in known
+        for load in self.files.names(f"{self.path}/{KEY_RANGES}"):
+            if load not in live:
+                self.files.delete(f"{self.path}/{KEY_RANGES}/{load}")
+        self.manifests.forget_old()
+        if self.register and now and not self.spark.catalog.tableExists(self.register):  # died between commit and registration
+            self._sync_catalog(None, now)
         return done
 
-    def _partition_dirs(self, fs, root: str, wanted: set[tuple]) -> dict:
-        """Partition directories under ``root`` for the ``wanted`` value tuples:
-        {(value, ...): Path}, values unescaped the way Spark reads them back
-        (``%XX`` decoded, the default name -> None). Only prefixes of wanted
-        tuples are descended into, so one listing per level and wanted prefix."""
-        jvm = self.spark.sparkContext._jvm
-        level = [((), jvm.org.apache.hadoop.fs.Path(root))]
-        for depth, col in enumerate(self.partition_cols, start=1):
-            prefixes = {w[:depth] for w in wanted}
-            nxt = []
-            for vals, path in level:
-                if not fs.exists(path):
-                    continue
-                for st in fs.listStatus(path):
-                    name = st.getPath().getName()
-                    if st.isDirectory() and name.startswith(f"{col}="):
-                        raw = name[len(col) + 1:]
-                        v = None if raw == DEFAULT_PARTITION else unquote_partition_value(raw)
-                        if vals + (v,) in prefixes:
-                            nxt.append((vals + (v,), st.getPath()))
-            level = nxt
-        return dict(level)
-
-    def _note_emptied(self, stage: str) -> None:
-        """Record the touched partitions without a row in the staged content, found by an anti join."""
-        fs, record = self._fs(f"{stage}/touched")
-        if fs is None or not self.partition_cols or not fs.exists(record):
-            return
+    # -- the session catalog ----------------------------------------------------
+    def _spec(self, partition: str) -> str:
+        values = ["null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in partition_values(partition)]
+        return "PARTITION (" + ", ".join(f"{_q(c)} = {v}" for c, v in zip(self.partition_cols, values, strict=True)) + ")"
+
+    def _at(self, version: Version, partition: str) -> str:
+        return "LOCATION '" + self._folder(version, partition).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def _sync_catalog(self, before: Version | None, after: Version) -> None:
+        """Bring the registered table's columns and partitions to ``after``; only what changed is altered."""
+        name = self.register
         p = self.partition_cols
-        touched = self.spark.read.parquet(f"{stage}/touched")
-        if not self._visible(fs, self._fs(f"{stage}/content")[1]):  # nothing is left at all
-            emptied = touched
-        else:
-            staged = self._read_text_partitions(f"{stage}/content").select(*[F.col(_q(c)) for c in p]).distinct().alias("s")
-            same = [F.col(f"t.{_q(c)}").eqNullSafe(F.col(f"s.{_q(c)}")) for c in p]
-            emptied = touched.alias("t").join(staged, same, "left_anti")
-        emptied.write.parquet(f"{stage}/emptied")
-
-    def _drop_emptied(self, stage: str) -> None:
-        """Delete the recorded partitions; folders are listed, no path is rebuilt from values."""
-        fs, record = self._fs(f"{stage}/emptied")
-        if not fs.exists(record):
-            return
-        batch: set[tuple] = set()
-        for r in self.spark.read.parquet(f"{stage}/emptied").toLocalIterator():
-            batch.add(tuple(r))
-            if len(batch) >= 1000:
-                self._drop(fs, batch)
-                batch = set()
-        self._drop(fs, batch)
-
-    def _drop(self, fs, values: set[tuple]) -> None:
-        if values:
-            for folder in self._partition_dirs(fs, self.path, values).values():
-                fs.delete(folder, True)
+        same = before is not None and before.schema == after.schema and self.spark.catalog.tableExists(name) and bool(p)
+        if not same:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in [*after.schema.fields, *[StructField(c, StringType()) for c in p]])
+            by = f"PARTITIONED BY ({', '.join(map(_q, p))})" if p else ""
+            root = self.path if p or not after.folders else self._folder(after, "")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {by} LOCATION '{root}'")
+        old = before.folders if same else {}
+        for f in [f for f in old if f not in after.folders]:
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {self._spec(f)}")
+        for f in [f for f in old if f in after.folders and old[f] != after.folders[f]]:
+            self.spark.sql(f"ALTER TABLE {name} {self._spec(f)} SET {self._at(after, f)}")
+        new = [f for f in after.folders if f not in old] if p else []
+        for lo in range(0, len(new), 500):
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"{self._spec(f)} {self._at(after, f)}" for f in new[lo:lo + 500]))
+        self.spark.sql(f"REFRESH TABLE {name}")
