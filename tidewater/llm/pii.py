@@ -22,8 +22,10 @@ is shuffled but those counts.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ LEAST_P = 0.5
 EM_ROUNDS = 50
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -99,11 +101,26 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def dotted_quads(text: str) -> list[tuple[int, int]]:
+    """Leftmost matches of four numbers with dots between: a whole run of dotted numbers is taken at once and cut into fours,
+    so no digit is looked at twice, however long the run."""
+    out = []
+    for m in _DOTTED.finditer(text):
+        if "." in m[0]:
+            parts, at = m[0].split("."), m.start()
+            for k in range(0, len(parts) - 3, 4):
+                end = at + sum(map(len, parts[k:k + 4])) + 3
+                if all(map(_small, parts[k:k + 4])):
+                    out.append((at, end))
+                at = end + 1
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base patterns, in order."""
     out = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
-        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(map(_small, m[0].split(".")))]
+        out += [(a, 1, b) for a, b in dotted_quads(text)]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 d = _digits(m[0])
@@ -114,8 +131,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _apart(c: tuple[int, int, int], spans: list[tuple[int, int, int]]) -> bool:
-    return all(c[2] <= a or c[0] >= b for a, _, b in spans)
+class Taken:
+    """Spans in order of their start; whether another one overlaps any is a search, not a pass."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _, _ in spans]
+        self.ends = list(accumulate((b for _, _, b in spans), max))  # the largest end so far
+
+    def apart(self, c: tuple[int, int, int]) -> bool:
+        k = bisect_left(self.starts, c[2])
+        return not k or self.ends[k - 1] <= c[0]
 
 
 def loose_spans(text: str, taken: list[tuple[int, int, int]], keep=lambda c: True) -> list[tuple[int, int, int]]:
@@ -124,12 +150,12 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]], keep=lambda c: Tru
     A card that is not kept is followed by the next match that starts behind its first character: the checksum tells them
     apart. The rest of a rejected phone number or address is none.
     """
-    out = []
+    out, taken = [], Taken(taken)
     for kind, pattern, hint in _LOOSE:
         m = pattern.search(text) if hint.search(text) else None
         while m:
             c = (m.start(), kind, m.end())
-            kept = _apart(c, taken) and keep(c)
+            kept = taken.apart(c) and keep(c)
             if kept:
                 out.append(c)
             m = pattern.search(text, c[0] + 1 if kind == 2 and not kept else c[2])
@@ -199,9 +225,12 @@ class SpanModel:
                 p[c] = self.probability(text, c)
                 return p[c] >= LEAST_P
 
-            lost = False
+            lost, starts, ends = False, [], []  # of the spans added in this round, which do not overlap
             for c in sorted(loose_spans(text, [*base, *added], keep), key=lambda c: (-p[c], c[0], -c[2], c[1])):
-                if _apart(c, added):
+                k = bisect_left(starts, c[2])
+                if not k or ends[k - 1] <= c[0]:
+                    starts.insert(k, c[0])
+                    ends.insert(k, c[2])
                     added.append(c)
                 else:
                     lost = True
