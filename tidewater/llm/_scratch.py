@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import scratch_path, shared_dir
@@ -24,12 +26,19 @@ class Tables:
         self.spark, self.name, self.paths = spark, name, {}
 
     def put(self, key: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` and read it from there; an earlier table of that key is dropped once the new one is whole."""
-        path = scratch_path(self.spark, f"{self.name}-{key}")
+        """Write ``df`` and read it from there; an earlier table of that key is dropped once the new one is whole.
+
+        The shuffle files behind it are of no more use then. Spark deletes them when the driver's
+        garbage collector finds their plan gone, which a driver with little to do may not run for long.
+        """
+        path, schema = scratch_path(self.spark, f"{self.name}-{key}"), df.schema
         df.write.option("compression", "zstd").parquet(path)
         self.drop(key)
         self.paths[key] = path
-        return self.spark.read.schema(df.schema).parquet(path)
+        del df
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *keys: str) -> None:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
