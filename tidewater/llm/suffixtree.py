@@ -228,7 +228,9 @@ def _levels(texts: DataFrame, first: DataFrame, tables: Tables, longest: int, le
         own = (F.col("n") - F.lit(DISCOUNT)) / F.col("of")
         grams[k] = tables.put(f"grams{k}", events.join(contexts[k - 1].select(F.col("gram").alias("context"), "gamma"), "context").select(
             "gram", F.col("n").alias("c"), "context", "suffix", own.alias("p"), (own + F.col("gamma") * F.col("above")).alias("prob")))
-        tables.drop(f"counts{k}", f"events{k}")
+        tables.drop(f"counts{k}", f"events{k}", "first")
+        if k > 2:  # nothing longer asks for their probability again
+            grams[k - 1] = tables.put(f"grams{k - 1}", shorter.select("gram", "context", "suffix", "p"))
     return grams, contexts
 
 
@@ -247,7 +249,8 @@ def _tree(grams: dict, contexts: dict, tables: Tables, gain: float) -> DataFrame
     every = parts[0]
     for x in parts[1:]:
         every = every.unionByName(x)
-    return tables.put("tree", every.groupBy("gram").agg(F.max("gamma").alias("gamma"), F.max("p").alias("p")))
+    # a gram is the key of one context and one token at most, so its rows need no shuffle but the one of the join that asks
+    return tables.put("tree", every)
 
 
 def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gain: float = GAIN) -> DataFrame:
@@ -275,9 +278,12 @@ def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gai
              .withColumn("prob", (F.col("c") + 0.5) / F.lit(train_tokens + 0.5 * (vocabulary + 1))))
     grams, contexts = _levels(texts, tables.put("first", first), tables, context + 1, least)
     tree = _tree(grams, contexts, tables, gain)
-    cells = _filter(spark, tree)
+    del grams, contexts
+    tables.keep_only("texts", "words", "tree")
+    cells = _filter(spark, tree.select("gram"))
     asked = (texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_asking(context + 1, cells), "chunk long, gram long")
-             .join(tree, "gram").select("chunk", F.lit(-1).alias("local"), F.lit(0).cast("long").alias("c"), "gram", "gamma", "p"))
+             .join(tree.groupBy("gram").agg(F.max("gamma").alias("gamma"), F.max("p").alias("p")), "gram")
+             .select("chunk", F.lit(-1).alias("local"), F.lit(0).cast("long").alias("c"), "gram", "gamma", "p"))
     known = (texts.select("chunk", F.posexplode("words").alias("local", "word")).join(words.select("word", "c"), "word")
              .select("chunk", "local", "c", F.lit(0).cast("long").alias("gram"),
                      F.lit(None).cast("double").alias("gamma"), F.lit(None).cast("double").alias("p")))
