@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash banding at one fixed depth, in place of an LSH forest's tries (no prefix is shortened in the data).
 
 Shingles are ``SHINGLE`` consecutive words (a shorter text is one shingle), a
 document is the set of its shingles, and documents of similarity ``THRESHOLD`` or
@@ -6,9 +6,9 @@ more are linked. Documents with the same words are one class; one set stands
 for the class. A forest of ``TREES`` prefix tries holds the classes'
 signatures, ``DEPTH`` MinHash values a tree. Sets of similarity s share a prefix of
 length d in a tree with probability s^d, so all the trees find them with
-probability 1 - (1 - s^d)^TREES. Matching starts from whole signatures, the most
-selective prefix, and shortens the prefix until that recall reaches ``TARGET_RECALL`` for
-pairs at the threshold itself (:func:`prefix_length`). The nodes at that depth, in
+probability 1 - (1 - s^d)^TREES. The depth d is the
+largest for which that recall reaches ``TARGET_RECALL`` for
+pairs at the threshold itself (:func:`prefix_length`), computed from constants. The nodes at that depth, in
 order, are the groups in which every pair is a candidate, and every candidate is verified
 exactly on the shingle sets; a pair counts in the first tree that it meets in.
 

@@ -1,4 +1,4 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
+"""Substring deduplication by anchored window matching, in place of a relative Lempel-Ziv parse (no longest match is searched).
 
 Every document is parsed against all documents with a smaller id. The index has
 a block for each place where a phrase may start: a window is ``WINDOW`` words, its

@@ -11,7 +11,7 @@ of an item's words is contaminated.
 
 The benchmark is the query set: its words' hashes are sent to the tasks in
 slices of at most ``SLICE_WORDS`` words, one pass over the documents for each
-slice, so what is broadcast is bounded however large the benchmark is. The
+slice; all slices are on the driver, though, and those of one stage are live together, which bounds nothing. The
 documents are mapped where they are read; only with several slices they are numbered and
 written once, and their results, a row each for a slice, are joined by that number.
 """
@@ -112,7 +112,6 @@ def _cover(seeds: Seeds, texts: list[bytes], hashes: WordHashes) -> list[tuple]:
         first = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(item) != 0)])
         for lo, hi in zip(first, np.r_[first[1:], len(doc)], strict=True):
             d, i = int(doc[lo]), int(item[lo])
-            # distinct item seeds bound the coverage; most pairs that share a phrase end here
             n = int(seeds.counts[i])
             tiles = tile(text_at[lo:hi] - h.starts[d], item_at[lo:hi] - seeds.starts[i], n)
             covered = sum(x[2] for x in tiles) / n
