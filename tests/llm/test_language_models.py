@@ -215,6 +215,7 @@ def test_suffix_tree_equals_plain_version(spark, context, least, gain):
 def test_suffix_tree_edges(spark, odd, none):
     want = _scores([(r.doc_id, r.text) for r in odd.collect()], 3, 3, 3.0)[0]
     _close(suffixtree.score_texts(odd).collect(), want)
+    _close(suffixtree.score_texts(odd, cell=2).collect(), want)  # as many cells as a large corpus has
     assert suffixtree.score_texts(none).count() == 0
     lone = spark.createDataFrame([(i, "a b") for i in range(30) if crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")
     assert {(r.n_known, r.train_tokens, r.score) for r in suffixtree.score_texts(lone).collect()} == {(0, 0, 0.0)}

@@ -78,7 +78,7 @@ def answered(chunks: DataFrame, answers: DataFrame, run: Callable, schema: str)
 
     ``answers`` has the column ``chunk`` and columns that ``chunks`` has not. Chunk
     and answers meet in one shuffle by chunk, the chunk before its answers; ``run``
-    takes a dict of the chunk's values and a dict of numpy arrays, and returns a RecordBatch.
+    takes a dict of the chunk's values and a dict of numpy arrays (lists, for binary columns), and returns a RecordBatch.
     """
     own, theirs = [c for c in chunks.columns if c != "chunk"], [c for c in answers.columns if c != "chunk"]
     kinds = {**dict(chunks.dtypes), **dict(answers.dtypes)}
@@ -87,8 +87,8 @@ def answered(chunks: DataFrame, answers: DataFrame, run: Callable, schema: str)
     rows = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", F.desc("first_row"))
 
     def closed(head: dict, parts: list[pa.RecordBatch]):
-        cols = {c: (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) if parts else np.empty(0))
-                for c in theirs}
+        cols = {c: [x for p in parts for x in p.column(c).to_pylist()] if kinds[c] == "binary"
+                else np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) if parts else np.empty(0) for c in theirs}
         return run(head, cols)
 
     def each(batches):

@@ -10,9 +10,11 @@ log-likelihood that it gains on the tokens after it (their number times the Kull
 score is the sum over its tokens of log10 of the probability at the longest suffix of the words before it that is retained.
 
 Texts are chunks of numbers (``_numbers``). Grams of k tokens are counted level by level, by 64 bits of hash: a gram is sent
-to be counted only if both its parts of k - 1 tokens may be kept, by a bit filter of fixed size. Tree and counts are tables
-joined by key; a chunk asks for its distinct words and grams, and the answers come back in one sort. Words are
-joined by their text, so the base score is exact.
+to be counted only if both its parts of k - 1 tokens may be kept, by a bit filter of fixed size. The tree's levels are tables
+joined by key. What a chunk sends to be counted or asked is cut by the high bits of the hashes into cells, a packed row for
+each chunk and cell; there are as many cells as the number of keys asks for, so that a task holds about ``CELL`` at a time,
+and a key of any frequency is once in a chunk's row. Answers are in the order of the question, which the chunk
+can build again, and come back in one sort. Words are counted by their text, so the base score is exact.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,8 @@ CONTEXT = 3
 LEAST = 3
 DISCOUNT = 0.75
 GAIN = 3.0
+#: Keys of a cell, about.
+CELL = 1 << 17
 #: Share of ids that are not learnt from: those whose crc32 is 1 modulo this.
 FOLDS = 5
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
@@ -49,6 +54,48 @@ def _stored(ids: pa.Array) -> bytes:
     return out.getvalue().to_pybytes()
 
 
+def _joined(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def _split(data: bytes) -> list[bytes]:
+    text = zstandard.ZstdDecompressor().decompress(data)
+    return text.split(b"\n") if text else []
+
+
+def _bits(keys: int, cell: int) -> int:
+    """High bits that number the cells of so many keys."""
+    return max(0, (max(keys, 1) - 1).bit_length() - (cell - 1).bit_length())
+
+
+def _cells(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """Number and range of each cell that some of the sorted keys are in."""
+    if not len(keys):
+        return []
+    cell = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    return list(zip(cell[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
+
+
+def _by_cell(rows: DataFrame, *then) -> DataFrame:
+    """Each cell's rows behind each other in one task."""
+    return rows.repartition("cell").sortWithinPartitions("cell", *then)
+
+
+def _gathered_cells(batches):
+    """The rows of one cell at a time."""
+    now, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["cell"] != now:
+                if held:
+                    yield now, held
+                now, held = row["cell"], []
+            held.append(row)
+    if held:
+        yield now, held
+
+
 def _reader():
     """Chunks: dictionary with its counts in the texts that are learnt from, and by text id, fold, length and the words' places."""
     def run(batches):
@@ -61,16 +108,59 @@ def _reader():
                 lengths.append(len(words))
             codes, lengths = np.concatenate(codes), np.array(lengths, np.int64)
             counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(places.words))
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in places.words], np.uint64).view(np.int64)
+            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in places.words], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([places.words], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64())),
-                 pa.array([int(counts.sum())], pa.int64()), pa.array([int((~held).sum())], pa.int64()),
-                 pa.array([hashes], pa.list_(pa.int64())), pa.array([_stored(ids)], pa.binary()),
-                 *(pa.array([x], pa.binary()) for x in (pack(held.view(np.uint8)), pack(lengths), pack(codes), hashes.tobytes()))],
-                ["words", "counts", "n_words", "n_texts", "grams", "doc_ids", "held", "lengths", "codes", "hashes"])
+                [*(pa.array([n], pa.int64()) for n in (len(counts), int(counts.sum()), int((~held).sum()))),
+                 *(pa.array([x], pa.binary()) for x in (_joined(places.words), pack(counts), _stored(ids), pack(held.view(np.uint8)),
+                                                        pack(lengths), pack(codes), hashes.tobytes()))],
+                ["n_entries", "n_words", "n_texts", "words", "counts", "doc_ids", "held", "lengths", "codes", "hashes"])
+    return run
+
+
+def _word_rows(bits: int):
+    """A chunk's words and their counts by cell, in order of hash."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, counts, keys = _split(row["words"]), unpack(row["counts"], np.int64), np.frombuffer(row["hashes"], np.uint64)
+                order = np.argsort(keys, kind="stable")
+                found = _cells(keys[order], bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c for c, _, _ in found], pa.int64()), pa.array([row["chunk"]] * len(found), pa.int64()),
+                     pa.array([_joined([words[i] for i in order[lo:hi].tolist()]) for _, lo, hi in found], pa.binary()),
+                     pa.array([pack(counts[order[lo:hi]]) for _, lo, hi in found], pa.binary())],
+                    ["cell", "chunk", "words", "counts"])
     return run
 
 
+def _word_counts(least: int):
+    """By cell: each chunk's words' counts in all chunks, and, without a chunk, the words that may be kept and how many are known."""
+    def run(batches):
+        for cell, rows in _gathered_cells(batches):
+            total: dict[bytes, int] = {}
+            for row in rows:
+                row["words"] = _split(row["words"])
+                for w, n in zip(row["words"], unpack(row["counts"], np.int64).tolist(), strict=True):
+                    total[w] = total.get(w, 0) + n
+            answers = [pack(np.fromiter(map(total.__getitem__, r["words"]), np.int64, len(r["words"]))) for r in rows]
+            kept = {w: n for w, n in total.items() if n >= max(least, 1)}
+            grams = np.array([xxhash.xxh3_64_intdigest(w) for w in kept], np.uint64)
+            n = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r["chunk"] for r in rows] + [None], pa.int64()), pa.array([cell] * (n + 1), pa.int64()),
+                 pa.array([*answers, pack(np.fromiter(kept.values(), np.int64, len(kept)))], pa.binary()),
+                 pa.array([None] * n + [pack(grams)], pa.binary()),
+                 pa.array([0] * n + [sum(x > 0 for x in total.values())], pa.int64())],
+                ["chunk", "cell", "c", "grams", "known"])
+    return run
+
+
+def _kept_words(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(unpack(row["grams"], np.int64)), pa.array(unpack(row["c"], np.int64))], ["gram", "c"])
+
+
 class _Tokens:
     """A chunk's tokens as hashes, an end behind each text, and the hashes of its grams by their first place."""
 
@@ -100,8 +190,8 @@ def _each(batch):
         yield chunk.as_py(), _Tokens(lengths.as_py(), codes.as_py(), hashes.as_py())
 
 
-def _counted(k: int, cells):
-    """Counts of the grams of k tokens in the texts that are learnt from, both parts of which may be kept."""
+def _counted(k: int, cells, bits: int):
+    """Counts of the grams of k tokens in the texts that are learnt from, both parts of which may be kept, by cell."""
     def run(batches):
         for batch in batches:
             for (_, t), held in zip(_each(batch), batch.column("held"), strict=True):
@@ -110,7 +200,23 @@ def _counted(k: int, cells):
                 at = t.whole(k)
                 at = at[may[at] & may[at + 1] & (unpack(held.as_py(), np.uint8) == 0)[t.doc[at]]]
                 gram, n = np.unique(t.grams(k)[at], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
+                found = _cells(gram, bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c for c, _, _ in found], pa.int64()),
+                     *(pa.array([pack(x[lo:hi]) for _, lo, hi in found], pa.binary()) for x in (gram, n))], ["cell", "grams", "n"])
+    return run
+
+
+def _summed(least: int):
+    """The grams of a cell that occur often enough in all chunks."""
+    def run(batches):
+        for _, rows in _gathered_cells(batches):
+            grams, n = (np.concatenate([unpack(r[c], np.int64) for r in rows]) for c in ("grams", "n"))
+            order = np.argsort(grams, kind="stable")
+            grams = grams[order]
+            first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            n = np.add.reduceat(n[order], first)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[first][n >= least]), pa.array(n[n >= least])], ["gram", "n"])
     return run
 
 
@@ -128,43 +234,111 @@ def _linked(k: int, cells):
     return run
 
 
-def _asking(longest: int, cells):
-    """The distinct grams of a chunk that the tree may know."""
+def _asked(t: _Tokens, longest: int, cells) -> np.ndarray:
+    """The distinct grams of a chunk that the tree may know, in order."""
+    grams = [t.grams(k)[t.whole(k)] for k in range(1, longest + 1)]
+    return distinct(np.concatenate([g[may_hold(cells.value, g)] for g in grams]))
+
+
+def _asking(longest: int, cells, bits: int):
+    """What a chunk asks, by cell."""
     def run(batches):
         for batch in batches:
             for chunk, t in _each(batch):
-                found = []
-                for k in range(1, longest + 1):
-                    grams = t.grams(k)[t.whole(k)]
-                    found.append(distinct(grams[may_hold(cells.value, grams)]))
-                found = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk, np.int64)), pa.array(found.view(np.int64))], ["chunk", "gram"])
+                grams = _asked(t, longest, cells)
+                found = _cells(grams, bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c for c, _, _ in found], pa.int64()), pa.array([chunk] * len(found), pa.int64()),
+                     pa.array([pack(grams[lo:hi]) for _, lo, hi in found], pa.binary())], ["cell", "chunk", "grams"])
     return run
 
 
+def _tree_rows(bits: int):
+    """The tree by cell, some batches at a time."""
+    def packed(batches):
+        table = pa.Table.from_batches(batches)
+        grams, gamma, p = (table.column(c).to_numpy() for c in ("gram", "gamma", "p"))
+        order = np.argsort(grams.view(np.uint64), kind="stable")
+        found = _cells(grams.view(np.uint64)[order], bits)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([c for c, _, _ in found], pa.int64()),
+             *(pa.array([pack(x[order[lo:hi]]) for _, lo, hi in found], pa.binary()) for x in (grams, gamma, p))], ["cell", "grams", "gamma", "p"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= 4 * CELL:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+    return run
+
+
+def _found(keys: np.ndarray, values: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Values of the grams by sorted keys; NaN for those that are none."""
+    if not len(keys):
+        return np.full(len(grams), np.nan)
+    at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+    return np.where(keys[at] == grams, values[at], np.nan)
+
+
+def _telling(batches):
+    """Of a cell, the tree's rows first, then what the chunks ask, each answered in the order asked."""
+    cell, parts, tables = None, [], None
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if row["cell"] != cell:
+                cell, parts, tables = row["cell"], [], None
+            if row["chunk"] is None:
+                parts.append([unpack(row["grams"], np.uint64), unpack(row["gamma"], np.float64), unpack(row["p"], np.float64)])
+                continue
+            if tables is None:
+                grams, *values = [np.concatenate(x) if x else np.empty(0) for x in (zip(*parts, strict=True) if parts else [()] * 3)]
+                tables = []
+                for v in values:
+                    there = np.flatnonzero(~np.isnan(v))
+                    there = there[np.argsort(grams[there])]
+                    tables.append((grams[there], v[there]))
+            asked = unpack(row["grams"], np.uint64)
+            gamma, p = (_found(*t, asked) for t in tables)
+            flags = (~np.isnan(gamma)).astype(np.uint8) | (~np.isnan(p)).astype(np.uint8) << 1
+            out.append((row["chunk"], cell, pack(flags), pack(gamma[flags & 1 != 0]), pack(p[flags & 2 != 0])))
+        cols = list(zip(*out, strict=True)) if out else [()] * 5
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:2]), *(pa.array(c, pa.binary()) for c in cols[2:])],
+                                         ["chunk", "cell", "flags", "gamma", "p"])
+
+
 def _filter(spark, grams: DataFrame):
     return spark.sparkContext.broadcast(filter_of(grams, "gram"))
 
 
-def _scorer(longest: int, train_tokens: int, vocabulary: int, end_count: int):
+def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count: int):
     """The rows of a chunk from its tokens, its words' counts and what the tree says of its grams."""
     def run(head: dict, found: dict) -> pa.RecordBatch:
         t = _Tokens(head["lengths"], head["codes"], head["hashes"])
-        count = np.zeros(len(head["hashes"]) // 8)
-        word = found["local"] >= 0
-        count[found["local"][word].astype(np.int64)] = found["c"][word]
+        rows = np.argsort(np.asarray(found["cell"]), kind="stable").tolist()
+        keys = np.frombuffer(head["hashes"], np.uint64)
+        count = np.zeros(len(keys))
+        told = [unpack(found["c"][i], np.int64) for i in rows if found["c"][i] is not None]
+        if told:
+            count[np.argsort(keys, kind="stable")] = np.concatenate(told)
         c = np.full(t.size, float(end_count))
         c[t.word] = count[t.codes]
         base = (c + 0.5) / (train_tokens + 0.5 * (vocabulary + 1))
-        keys = found["gram"][~word].astype(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        keys, gamma, p = keys[order], found["gamma"][~word][order].astype(float), found["p"][~word][order].astype(float)
+        keys = _asked(t, longest, cells)
+        gamma, p = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
+        told = [i for i in rows if found["flags"][i] is not None]
+        if told:
+            flags = np.concatenate([unpack(found["flags"][i], np.uint8) for i in told])
+            for bit, values, name in ((1, gamma, "gamma"), (2, p, "p")):
+                values[flags & bit != 0] = np.concatenate([unpack(found[name][i], np.float64) for i in told])
 
         def look(grams: np.ndarray, values: np.ndarray) -> np.ndarray:
-            if not len(keys):
-                return np.full(len(grams), np.nan)
-            at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            return np.where(keys[at] == grams, values[at], np.nan)
+            return _found(keys, values, grams)
 
         prob = base.copy()
         inside = np.ones(t.size, bool)  # tokens whose contexts so far are all in the tree
@@ -194,7 +368,7 @@ def _scorer(longest: int, train_tokens: int, vocabulary: int, end_count: int):
     return run
 
 
-def _levels(texts: DataFrame, first: DataFrame, tables: Tables, longest: int, least: int) -> tuple[dict, dict]:
+def _levels(texts: DataFrame, first: DataFrame, tables: Tables, longest: int, least: int, bits: int) -> tuple[dict, dict]:
     """Kept grams by their number of tokens, and the contexts that they follow by theirs.
 
     Grams: gram, c (occurrences), prob (after its context, handing on to every shorter one), and of two tokens or more
@@ -205,8 +379,8 @@ def _levels(texts: DataFrame, first: DataFrame, tables: Tables, longest: int, le
     for k in range(2, longest + 1):
         shorter = grams[k - 1]
         cells = _filter(spark, shorter)
-        counts = tables.put(f"counts{k}", texts.select("chunk", "lengths", "codes", "hashes", "held")
-                            .mapInArrow(_counted(k, cells), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+        counts = tables.put(f"counts{k}", _by_cell(texts.select("chunk", "lengths", "codes", "hashes", "held").mapInArrow(
+            _counted(k, cells, bits), "cell long, grams binary, n binary")).mapInArrow(_summed(least), "gram long, n long"))
         cells.unpersist()
         cells = _filter(spark, counts)
         links = (texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_linked(k, cells), "gram long, context long, suffix long")
@@ -249,11 +423,11 @@ def _tree(grams: dict, contexts: dict, tables: Tables, gain: float) -> DataFrame
     every = parts[0]
     for x in parts[1:]:
         every = every.unionByName(x)
-    # a gram is the key of one context and one token at most, so its rows need no shuffle but the one of the join that asks
+    # a gram is the key of one context and one token at most; the two rows meet where they are asked for
     return tables.put("tree", every)
 
 
-def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gain: float = GAIN) -> DataFrame:
+def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gain: float = GAIN, cell: int = CELL) -> DataFrame:
     """``docs(doc_id, text)`` to doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, a row for each.
 
     Learns from the texts that are not held out. A null or empty text is the end alone. Very long texts are a chunk of their
@@ -264,32 +438,31 @@ def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gai
     name = docs.schema["doc_id"].dataType.simpleString()
     tables = Tables(spark, "suffixtree")
     texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
-        _reader(), "words array<binary>, counts array<long>, n_words long, n_texts long, grams array<long>, "
+        _reader(), "n_entries long, n_words long, n_texts long, words binary, counts binary, "
                    "doc_ids binary, held binary, lengths binary, codes binary, hashes binary")
     texts = tables.put("texts", texts.withColumn("chunk", F.monotonically_increasing_id()))
-    entries = texts.select(F.explode(F.arrays_zip("words", "counts", "grams")).alias("x"))
-    words = tables.put("words", entries.groupBy(F.col("x.words").alias("word"))
-                       .agg(F.sum("x.counts").alias("c"), F.min("x.grams").alias("gram")).where("c > 0"))
-    sums = texts.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum("n_texts"), F.lit(0)).alias("texts")).first()
+    sums = texts.agg(*[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(c) for c in ("entries", "words", "texts")]).first()
     train_tokens = sums["words"] + sums["texts"]
-    vocabulary = words.count() + (1 if sums["texts"] else 0)
+    words = tables.put("words", _by_cell(texts.select("chunk", "words", "counts", "hashes").mapInArrow(
+        _word_rows(_bits(sums["entries"], cell)), "cell long, chunk long, words binary, counts binary"))
+        .mapInArrow(_word_counts(least), "chunk long, cell long, c binary, grams binary, known long"))
+    vocabulary = (words.agg(F.sum("known").alias("n")).first()["n"] or 0) + (1 if sums["texts"] else 0)
     end = spark.createDataFrame([(int(_END.view(np.int64)), sums["texts"])], "gram long, c long")
-    first = (words.select("gram", "c").unionByName(end).where(F.col("c") >= least)
+    first = (words.where("chunk IS NULL").select("grams", "c").mapInArrow(_kept_words, "gram long, c long").unionByName(end.where(F.col("c") >= least))
              .withColumn("prob", (F.col("c") + 0.5) / F.lit(train_tokens + 0.5 * (vocabulary + 1))))
-    grams, contexts = _levels(texts, tables.put("first", first), tables, context + 1, least)
+    grams, contexts = _levels(texts, tables.put("first", first), tables, context + 1, least, _bits(train_tokens, cell))
     tree = _tree(grams, contexts, tables, gain)
     del grams, contexts
     tables.keep_only("texts", "words", "tree")
-    cells = _filter(spark, tree.select("gram"))
-    asked = (texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_asking(context + 1, cells), "chunk long, gram long")
-             .join(tree.groupBy("gram").agg(F.max("gamma").alias("gamma"), F.max("p").alias("p")), "gram")
-             .select("chunk", F.lit(-1).alias("local"), F.lit(0).cast("long").alias("c"), "gram", "gamma", "p"))
-    known = (texts.select("chunk", F.posexplode("words").alias("local", "word")).join(words.select("word", "c"), "word")
-             .select("chunk", "local", "c", F.lit(0).cast("long").alias("gram"),
-                     F.lit(None).cast("double").alias("gamma"), F.lit(None).cast("double").alias("p")))
+    cells, bits, nothing = _filter(spark, tree.select("gram")), _bits(tree.count(), cell), F.lit(None).cast("binary")
+    asked = texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_asking(context + 1, cells, bits), "cell long, chunk long, grams binary")
+    nodes = tree.mapInArrow(_tree_rows(bits), "cell long, grams binary, gamma binary, p binary")
+    told = _by_cell(nodes.withColumn("chunk", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True), F.asc_nulls_first("chunk")).mapInArrow(
+        _telling, "chunk long, cell long, flags binary, gamma binary, p binary")
+    known = words.where("chunk IS NOT NULL").select("chunk", "cell", "c", *[nothing.alias(c) for c in ("flags", "gamma", "p")])
     scores = tables.put("scores", answered(
-        texts.select("chunk", "doc_ids", "held", "lengths", "codes", "hashes"), asked.unionByName(known),
-        _scorer(context + 1, train_tokens, vocabulary, sums["texts"]),
+        texts.select("chunk", "doc_ids", "held", "lengths", "codes", "hashes"), known.unionByName(told.withColumn("c", nothing)),
+        _scorer(context + 1, cells, train_tokens, vocabulary, sums["texts"]),
         f"doc_id {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     tables.keep_only("scores")
     return scores
