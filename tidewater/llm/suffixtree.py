@@ -9,12 +9,14 @@ log-likelihood that it gains on the tokens after it (their number times the Kull
 ``GAIN`` for each kept token. The contexts between a retained one and the root stay as well. A text's
 score is the sum over its tokens of log10 of the probability at the longest suffix of the words before it that is retained.
 
-Texts are chunks of numbers (``_numbers``). Grams of k tokens are counted level by level, by 64 bits of hash: a gram is sent
-to be counted only if both its parts of k - 1 tokens may be kept, by a bit filter of fixed size. The tree's levels are tables
+Texts are chunks of numbers (``_numbers``). Words are counted by their text, so the base score is exact, and those that may be
+kept get a number, by which chunks know them from then on. Grams of k tokens are counted level by level, by 64 bits of hash of context and token: a gram is sent
+to be counted only if both its parts of k - 1 tokens may be kept, by a bit filter of fixed size. Hashes are built token by token, so
+a gram's suffix follows from its context's suffix and its token, and no chunk is asked for it. The tree's levels are tables
 joined by key. What a chunk sends to be counted or asked is cut by the high bits of the hashes into cells, a packed row for
 each chunk and cell; there are as many cells as the number of keys asks for, so that a task holds about ``CELL`` at a time,
 and a key of any frequency is once in a chunk's row. Answers are in the order of the question, which the chunk
-can build again, and come back in one sort. Words are counted by their text, so the base score is exact.
+can build again, and come back in one sort.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm._numbers import Places, answered, distinct, filter_of, gathered, may_hold, pack, unpack
+from tidewater.llm._numbers import Places, answered, filter_of, gathered, may_hold, pack, unpack
 from tidewater.llm._scratch import Tables
-from tidewater.llm._text import byte_texts, windows
+from tidewater.llm._text import byte_texts, mix
 
 CONTEXT = 3
 LEAST = 3
@@ -38,7 +40,9 @@ GAIN = 3.0
 CELL = 1 << 17
 #: Share of ids that are not learnt from: those whose crc32 is 1 modulo this.
 FOLDS = 5
-_END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
+#: Number of the end of a text, and of words that no kept gram holds.
+_END, _RARE = 0, -1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(doc_id):
@@ -134,7 +138,7 @@ def _word_rows(bits: int):
 
 
 def _word_counts(least: int):
-    """By cell: each chunk's words' counts in all chunks, and, without a chunk, the words that may be kept and how many are known."""
+    """By cell: counts and numbers of each chunk's words, and, without a chunk, of the words that may be kept, and how many are known."""
     def run(batches):
         for cell, rows in _gathered_cells(batches):
             total: dict[bytes, int] = {}
@@ -142,102 +146,145 @@ def _word_counts(least: int):
                 row["words"] = _split(row["words"])
                 for w, n in zip(row["words"], unpack(row["counts"], np.int64).tolist(), strict=True):
                     total[w] = total.get(w, 0) + n
-            answers = [pack(np.fromiter(map(total.__getitem__, r["words"]), np.int64, len(r["words"]))) for r in rows]
-            kept = {w: n for w, n in total.items() if n >= max(least, 1)}
-            grams = np.array([xxhash.xxh3_64_intdigest(w) for w in kept], np.uint64)
-            n = len(rows)
+            kept = sorted((w for w, n in total.items() if n >= max(least, 1)), key=lambda w: (-total[w], w))
+            number = {w: (cell << 24) + i + 1 for i, w in enumerate(kept)}
+            asked = [*(r["words"] for r in rows), kept]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r["chunk"] for r in rows] + [None], pa.int64()), pa.array([cell] * (n + 1), pa.int64()),
-                 pa.array([*answers, pack(np.fromiter(kept.values(), np.int64, len(kept)))], pa.binary()),
-                 pa.array([None] * n + [pack(grams)], pa.binary()),
-                 pa.array([0] * n + [sum(x > 0 for x in total.values())], pa.int64())],
-                ["chunk", "cell", "c", "grams", "known"])
+                [pa.array([r["chunk"] for r in rows] + [None], pa.int64()), pa.array([cell] * len(asked), pa.int64()),
+                 pa.array([pack(np.array([total[w] for w in x], np.int64)) for x in asked], pa.binary()),
+                 pa.array([pack(np.array([number.get(w, _RARE) for w in x], np.int64)) for x in asked], pa.binary()),
+                 pa.array([0] * len(rows) + [sum(n > 0 for n in total.values())], pa.int64())],
+                ["chunk", "cell", "c", "ids", "known"])
     return run
 
 
+def _numbered(head: dict, found: dict) -> pa.RecordBatch:
+    """A chunk with the numbers and counts of its words in place of their hashes."""
+    keys = np.frombuffer(head["hashes"], np.uint64)
+    order = np.argsort(keys, kind="stable")
+    values = {}
+    for c in ("ids", "c"):
+        values[c] = np.zeros(len(keys), np.int64)
+        values[c][order] = np.concatenate([np.empty(0, np.int64), *(unpack(found[c][i], np.int64) for i in np.argsort(found["cell"]))])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([head["chunk"]], pa.int64()), *(pa.array([x], pa.binary()) for x in (
+            *(head[c] for c in ("doc_ids", "held", "lengths", "codes")), pack(values["ids"]), pack(values["c"])))],
+        ["chunk", "doc_ids", "held", "lengths", "codes", "ids", "c"])
+
+
 def _kept_words(batches):
     for batch in batches:
         for row in batch.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(unpack(row["grams"], np.int64)), pa.array(unpack(row["c"], np.int64))], ["gram", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(mix(unpack(row["ids"], np.uint64)).view(np.int64)), pa.array(unpack(row["c"], np.int64))], ["gram", "c"])
+
+
+def _longer(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Hash of a context and the token behind it."""
+    return mix(context * _ODD + token)
 
 
 class _Tokens:
-    """A chunk's tokens as hashes, an end behind each text, and the hashes of its grams by their first place."""
+    """A chunk's tokens as numbers, an end behind each text, and the hashes of its grams by their first place."""
 
-    def __init__(self, lengths: bytes, codes: bytes, hashes: bytes):
+    def __init__(self, lengths: bytes, codes: bytes, ids: bytes):
         self.lengths, self.codes = unpack(lengths, np.int64), unpack(codes, np.int32)
-        self.ends = np.cumsum(self.lengths + 1) - 1
         self.size = int(self.lengths.sum()) + len(self.lengths)
         self.word = np.ones(self.size, bool)
-        self.word[self.ends] = False
-        self.tokens = np.full(self.size, _END, np.uint64)
-        if len(self.codes):
-            self.tokens[self.word] = np.frombuffer(hashes, np.uint64)[self.codes]
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths + 1)
+        self.word[np.cumsum(self.lengths + 1) - 1] = False
+        tokens = np.full(self.size, _END, np.int64)
+        tokens[self.word] = unpack(ids, np.int64)[self.codes]
+        self.tokens, self.doc = tokens.view(np.uint64), np.repeat(np.arange(len(self.lengths)), self.lengths + 1)
+        self._grams, self._whole = [mix(self.tokens)], [tokens != _RARE]
 
     def grams(self, k: int) -> np.ndarray:
-        return windows(self.tokens, k, salt=k) if k > 1 else self.tokens
+        while len(self._grams) < k:
+            self._grams.append(_longer(self._grams[-1][:-1], self.tokens[len(self._grams):]))
+        return self._grams[k - 1]
 
     def whole(self, k: int) -> np.ndarray:
-        """First places of the grams of k tokens that stay inside one text."""
-        if self.size < k:
-            return np.empty(0, np.int64)
-        return np.flatnonzero(self.doc[:self.size - k + 1] == self.doc[k - 1:])
+        """Whether the gram of k tokens that begins at a place stays inside one text and has no rare word."""
+        while len(self._whole) < k:
+            j = len(self._whole)
+            self._whole.append(self._whole[-1][:-1] & self._whole[0][j:] & (self.doc[:max(0, self.size - j)] == self.doc[j:]))
+        return self._whole[k - 1]
 
 
 def _each(batch):
-    for chunk, lengths, codes, hashes in zip(*(batch.column(c) for c in ("chunk", "lengths", "codes", "hashes")), strict=True):
-        yield chunk.as_py(), _Tokens(lengths.as_py(), codes.as_py(), hashes.as_py())
+    for chunk, lengths, codes, ids in zip(*(batch.column(c) for c in ("chunk", "lengths", "codes", "ids")), strict=True):
+        yield chunk.as_py(), _Tokens(lengths.as_py(), codes.as_py(), ids.as_py())
 
 
 def _counted(k: int, cells, bits: int):
-    """Counts of the grams of k tokens in the texts that are learnt from, both parts of which may be kept, by cell."""
+    """Context, token and count of the grams of k tokens in the texts that are learnt from, both parts of which may be kept, by cell.
+
+    Contexts of one token go as its number, which packs better than its hash.
+    """
     def run(batches):
         for batch in batches:
             for (_, t), held in zip(_each(batch), batch.column("held"), strict=True):
                 parts = t.grams(k - 1)
-                may = may_hold(cells.value, parts)
-                at = t.whole(k)
-                at = at[may[at] & may[at + 1] & (unpack(held.as_py(), np.uint8) == 0)[t.doc[at]]]
-                gram, n = np.unique(t.grams(k)[at], return_counts=True)
+                may = may_hold(cells.value, parts) if k > 2 else np.ones(len(parts), bool)
+                at = np.flatnonzero(t.whole(k) & may[:-1] & may[1:] & (unpack(held.as_py(), np.uint8) == 0)[t.doc[:t.size - k + 1]]) if t.size >= k else np.empty(0, np.int64)
+                gram, first, n = np.unique(t.grams(k)[at], return_index=True, return_counts=True)
+                at = at[first]
+                context, token = (parts if k > 2 else t.tokens)[at], t.tokens[at + k - 1]
                 found = _cells(gram, bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c for c, _, _ in found], pa.int64()),
-                     *(pa.array([pack(x[lo:hi]) for _, lo, hi in found], pa.binary()) for x in (gram, n))], ["cell", "grams", "n"])
+                rows = []
+                for cell, lo, hi in found:
+                    order = lo + np.lexsort((token[lo:hi], context[lo:hi]))
+                    rows.append((cell, *(pack(x[order]) for x in (context, token, n))))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3))],
+                                                 ["cell", "contexts", "tokens", "n"])
     return run
 
 
-def _summed(least: int):
+def _summed(k: int, least: int):
     """The grams of a cell that occur often enough in all chunks."""
     def run(batches):
         for _, rows in _gathered_cells(batches):
-            grams, n = (np.concatenate([unpack(r[c], np.int64) for r in rows]) for c in ("grams", "n"))
-            order = np.argsort(grams, kind="stable")
-            grams = grams[order]
-            first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            context, token, n = (np.concatenate([unpack(r[c], kind) for r in rows]) for c, kind in (("contexts", np.uint64), ("tokens", np.uint64), ("n", np.int64)))
+            if k == 2:
+                context = mix(context)
+            gram = _longer(context, token)
+            order = np.argsort(gram, kind="stable")
+            gram = gram[order]
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
             n = np.add.reduceat(n[order], first)
-            yield pa.RecordBatch.from_arrays([pa.array(grams[first][n >= least]), pa.array(n[n >= least])], ["gram", "n"])
+            kept = n >= least
+            one = order[first][kept]
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram[first][kept], context[one], token[one], n[kept])],
+                                             ["gram", "context", "token", "n"])
     return run
 
 
-def _linked(k: int, cells):
-    """Context (all but the last token) and suffix (all but the first) of the grams that may be kept."""
+def _suffixes(k: int):
+    """All but the first token of a gram, from the same of its context (``inner``) and its token."""
     def run(batches):
         for batch in batches:
-            for _, t in _each(batch):
-                parts, grams, at = t.grams(k - 1), t.grams(k), t.whole(k)
-                at = at[may_hold(cells.value, grams[at])]
-                gram, first = np.unique(grams[at], return_index=True)
-                at = at[first]
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram, parts[at], parts[at + 1])],
-                                                 ["gram", "context", "suffix"])
+            token = batch.column("token").to_numpy().view(np.uint64)
+            suffix = mix(token) if k == 2 else _longer(batch.column("inner").to_numpy().view(np.uint64), token)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("gram", "n", "context", "of")), pa.array(suffix.view(np.int64))],
+                                             ["gram", "n", "context", "of", "suffix"])
     return run
 
 
-def _asked(t: _Tokens, longest: int, cells) -> np.ndarray:
-    """The distinct grams of a chunk that the tree may know, in order."""
-    grams = [t.grams(k)[t.whole(k)] for k in range(1, longest + 1)]
-    return distinct(np.concatenate([g[may_hold(cells.value, g)] for g in grams]))
+def _asked(t: _Tokens, longest: int, cells) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct grams of a chunk that the tree may know, in order; and by length, for each place, which of them begins there, or -1."""
+    found, where, total = [], [], 0
+    for k in range(1, longest + 1):
+        grams = t.grams(k)
+        at = np.flatnonzero(t.whole(k))
+        at = at[may_hold(cells.value, grams[at])]
+        different, number = np.unique(grams[at], return_inverse=True)
+        where.append(np.full(len(grams), -1, np.int64))
+        where[-1][at] = number + total
+        found.append(different)
+        total += len(different)
+    found = np.concatenate(found)
+    order = np.argsort(found, kind="stable")
+    rank = np.empty(total + 1, np.int64)
+    rank[order], rank[total] = np.arange(total), -1
+    return found[order], [rank[w] for w in where]
 
 
 def _asking(longest: int, cells, bits: int):
@@ -245,7 +292,7 @@ def _asking(longest: int, cells, bits: int):
     def run(batches):
         for batch in batches:
             for chunk, t in _each(batch):
-                grams = _asked(t, longest, cells)
+                grams = _asked(t, longest, cells)[0]
                 found = _cells(grams, bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c for c, _, _ in found], pa.int64()), pa.array([chunk] * len(found), pa.int64()),
@@ -319,42 +366,31 @@ def _filter(spark, grams: DataFrame):
 def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count: int):
     """The rows of a chunk from its tokens, its words' counts and what the tree says of its grams."""
     def run(head: dict, found: dict) -> pa.RecordBatch:
-        t = _Tokens(head["lengths"], head["codes"], head["hashes"])
-        rows = np.argsort(np.asarray(found["cell"]), kind="stable").tolist()
-        keys = np.frombuffer(head["hashes"], np.uint64)
-        count = np.zeros(len(keys))
-        told = [unpack(found["c"][i], np.int64) for i in rows if found["c"][i] is not None]
-        if told:
-            count[np.argsort(keys, kind="stable")] = np.concatenate(told)
+        t = _Tokens(head["lengths"], head["codes"], head["ids"])
         c = np.full(t.size, float(end_count))
-        c[t.word] = count[t.codes]
+        c[t.word] = unpack(head["c"], np.int64)[t.codes]
         base = (c + 0.5) / (train_tokens + 0.5 * (vocabulary + 1))
-        keys = _asked(t, longest, cells)
-        gamma, p = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
-        told = [i for i in rows if found["flags"][i] is not None]
-        if told:
-            flags = np.concatenate([unpack(found["flags"][i], np.uint8) for i in told])
+        grams, where = _asked(t, longest, cells)
+        gamma, p = np.full(len(grams) + 1, np.nan), np.full(len(grams) + 1, np.nan)  # the last for places without a gram
+        if len(grams):
+            rows = np.argsort(found["cell"]).tolist()
+            flags = np.concatenate([unpack(found["flags"][i], np.uint8) for i in rows])
             for bit, values, name in ((1, gamma, "gamma"), (2, p, "p")):
-                values[flags & bit != 0] = np.concatenate([unpack(found[name][i], np.float64) for i in told])
-
-        def look(grams: np.ndarray, values: np.ndarray) -> np.ndarray:
-            return _found(keys, values, grams)
-
+                values[:-1][flags & bit != 0] = np.concatenate([unpack(found[name][i], np.float64) for i in rows])
         prob = base.copy()
         inside = np.ones(t.size, bool)  # tokens whose contexts so far are all in the tree
         for k in range(2, longest + 1):
             if t.size < k:
                 break
-            last = np.zeros(t.size, bool)
-            last[t.whole(k) + k - 1] = True
-            at = np.flatnonzero(inside & last)
-            rest = look(t.grams(k - 1)[at - k + 1], gamma)
-            inside[:] = False
+            at = np.flatnonzero(inside[k - 1:] & (t.doc[k - 1:] == t.doc[:t.size - k + 1]))
+            rest = gamma[where[k - 2][at]]
             known = ~np.isnan(rest)
             at, rest = at[known], rest[known]
-            own = look(t.grams(k)[at - k + 1], p)
-            prob[at] = np.where(np.isnan(own), 0.0, own) + rest * prob[at]
-            inside[at] = True
+            own = p[where[k - 1][at]]
+            last = at + k - 1
+            prob[last] = np.where(np.isnan(own), 0.0, own) + rest * prob[last]
+            inside[:] = False
+            inside[last] = True
         n = len(t.lengths)
 
         def by_text(values):
@@ -378,18 +414,17 @@ def _levels(texts: DataFrame, first: DataFrame, tables: Tables, longest: int, le
     grams, contexts = {1: first}, {}
     for k in range(2, longest + 1):
         shorter = grams[k - 1]
-        cells = _filter(spark, shorter)
-        counts = tables.put(f"counts{k}", _by_cell(texts.select("chunk", "lengths", "codes", "hashes", "held").mapInArrow(
-            _counted(k, cells, bits), "cell long, grams binary, n binary")).mapInArrow(_summed(least), "gram long, n long"))
-        cells.unpersist()
-        cells = _filter(spark, counts)
-        links = (texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_linked(k, cells), "gram long, context long, suffix long")
-                 .groupBy("gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix")))
-        events = (counts.join(links, "gram")
-                  .join(shorter.select(F.col("gram").alias("context"), F.col("c").alias("of")), "context")
+        cells = _filter(spark, shorter) if k > 2 else None
+        counts = tables.put(f"counts{k}", _by_cell(texts.select("chunk", "lengths", "codes", "ids", "held").mapInArrow(
+            _counted(k, cells, bits), "cell long, contexts binary, tokens binary, n binary"))
+            .mapInArrow(_summed(k, least), "gram long, context long, token long, n long"))
+        inner = shorter.select(F.col("gram").alias("context"), F.col("c").alias("of"), ("suffix" if k > 2 else F.lit(0).cast("long").alias("suffix")))
+        events = (counts.join(inner.withColumnRenamed("suffix", "inner"), "context")
+                  .mapInArrow(_suffixes(k), "gram long, n long, context long, of long, suffix long")
                   .join(shorter.select(F.col("gram").alias("suffix"), F.col("prob").alias("above")), "suffix"))
         events = tables.put(f"events{k}", events)
-        cells.unpersist()
+        if cells is not None:
+            cells.unpersist()
         share = F.col("n") / F.col("of")
         found = events.groupBy("context").agg(
             F.max("of").alias("of"), F.sum("n").alias("n"), F.count("n").alias("kept"), F.sum("above").alias("above"),
@@ -440,29 +475,31 @@ def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gai
     texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
         _reader(), "n_entries long, n_words long, n_texts long, words binary, counts binary, "
                    "doc_ids binary, held binary, lengths binary, codes binary, hashes binary")
-    texts = tables.put("texts", texts.withColumn("chunk", F.monotonically_increasing_id()))
+    texts = tables.put("raw", texts.withColumn("chunk", F.monotonically_increasing_id()))
     sums = texts.agg(*[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(c) for c in ("entries", "words", "texts")]).first()
     train_tokens = sums["words"] + sums["texts"]
     words = tables.put("words", _by_cell(texts.select("chunk", "words", "counts", "hashes").mapInArrow(
         _word_rows(_bits(sums["entries"], cell)), "cell long, chunk long, words binary, counts binary"))
-        .mapInArrow(_word_counts(least), "chunk long, cell long, c binary, grams binary, known long"))
+        .mapInArrow(_word_counts(least), "chunk long, cell long, c binary, ids binary, known long"))
     vocabulary = (words.agg(F.sum("known").alias("n")).first()["n"] or 0) + (1 if sums["texts"] else 0)
-    end = spark.createDataFrame([(int(_END.view(np.int64)), sums["texts"])], "gram long, c long")
-    first = (words.where("chunk IS NULL").select("grams", "c").mapInArrow(_kept_words, "gram long, c long").unionByName(end.where(F.col("c") >= least))
+    texts = tables.put("texts", answered(
+        texts.select("chunk", "doc_ids", "held", "lengths", "codes", "hashes"), words.where("chunk IS NOT NULL").select("chunk", "cell", "c", "ids"),
+        _numbered, "chunk long, doc_ids binary, held binary, lengths binary, codes binary, ids binary, c binary"))
+    tables.drop("raw")
+    end = spark.createDataFrame([(int(mix(np.array([_END], np.uint64))[0]), sums["texts"])], "gram long, c long")
+    first = (words.where("chunk IS NULL").select("ids", "c").mapInArrow(_kept_words, "gram long, c long").unionByName(end.where(F.col("c") >= least))
              .withColumn("prob", (F.col("c") + 0.5) / F.lit(train_tokens + 0.5 * (vocabulary + 1))))
     grams, contexts = _levels(texts, tables.put("first", first), tables, context + 1, least, _bits(train_tokens, cell))
     tree = _tree(grams, contexts, tables, gain)
     del grams, contexts
-    tables.keep_only("texts", "words", "tree")
-    cells, bits, nothing = _filter(spark, tree.select("gram")), _bits(tree.count(), cell), F.lit(None).cast("binary")
-    asked = texts.select("chunk", "lengths", "codes", "hashes").mapInArrow(_asking(context + 1, cells, bits), "cell long, chunk long, grams binary")
+    tables.keep_only("texts", "tree")
+    cells, bits = _filter(spark, tree.select("gram")), _bits(tree.count(), cell)
+    asked = texts.select("chunk", "lengths", "codes", "ids").mapInArrow(_asking(context + 1, cells, bits), "cell long, chunk long, grams binary")
     nodes = tree.mapInArrow(_tree_rows(bits), "cell long, grams binary, gamma binary, p binary")
     told = _by_cell(nodes.withColumn("chunk", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True), F.asc_nulls_first("chunk")).mapInArrow(
         _telling, "chunk long, cell long, flags binary, gamma binary, p binary")
-    known = words.where("chunk IS NOT NULL").select("chunk", "cell", "c", *[nothing.alias(c) for c in ("flags", "gamma", "p")])
     scores = tables.put("scores", answered(
-        texts.select("chunk", "doc_ids", "held", "lengths", "codes", "hashes"), known.unionByName(told.withColumn("c", nothing)),
-        _scorer(context + 1, cells, train_tokens, vocabulary, sums["texts"]),
+        texts, told, _scorer(context + 1, cells, train_tokens, vocabulary, sums["texts"]),
         f"doc_id {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     tables.keep_only("scores")
     return scores
