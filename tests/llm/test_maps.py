@@ -1,5 +1,6 @@
 """Operators that map over documents: tokens, language, tiling, personal data."""
 import re
+import time
 import unicodedata
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 
 from tests.llm.conftest import BASE, ROWS
 from tidewater.llm import langid, pii, tiling, tokens
+from tidewater.llm._text import WordHashes
 
 P = pytest.importorskip("public_tokenizers")
 VOCABULARY = P.path("word_bpe_49k.json")
@@ -83,7 +85,7 @@ def test_tiling_finds_reordered_passages(spark):
     moved = " ".join(["intro"] * 9 + words[20:40] + ["middle", "bit"] + words[:20] + ["end"])
     half = " ".join(words[:20])
     docs = spark.createDataFrame([(1, moved), (2, half), (3, item.upper().replace(" ", ", ")), (4, None), (5, "w1 w2 w3")], "doc_id long, text string")
-    bench = spark.createDataFrame([(7, item), (8, "w1 w2"), (9, None), (None, item)], "item_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, ", ."), (9, None), (None, item)], "item_id long, text string")
     got = {r.doc_id: r for r in tiling.decontaminate(docs, bench).collect()}
     assert (got[1].contaminated, got[1].coverage, got[1].n_tiles, got[1].item_ids) == (True, 1.0, 2, [7])
     assert (got[2].contaminated, got[2].coverage) == (False, 0.5) and got[3].contaminated
@@ -102,27 +104,82 @@ def test_tiling_slices_change_no_row(spark, odd):
     def rows(n):
         return sorted(map(repr, tiling.decontaminate(docs, bench, slice_words=n).collect()))
 
-    assert len(tiling.benchmark_slices(bench, 10)) > 1
+    assert len(list(tiling._slices(bench, 10))) > 1
     assert len(rows(10)) == docs.count() and rows(10) == rows(tiling.SLICE_WORDS)
 
 
-def test_tiles_do_not_overlap():
-    rng = np.random.default_rng(1)
-    for _ in range(30):
-        a, b = rng.integers(0, 3, 60), rng.integers(0, 3, 40)
-        pairs = [(i, j) for i in range(56) for j in range(36) if (a[i:i + 5] == b[j:j + 5]).all()]
-        if not pairs:
-            continue
-        t, i = np.array(pairs).T
-        tiles = tiling.tile(t, i, 40)
-        assert all((a[x:x + n] == b[y:y + n]).all() and n >= 5 for x, y, n in tiles)
-        used = [set(), set()]
-        for x, y, n in tiles:
-            for side, at in zip(used, (x, y), strict=True):
-                assert side.isdisjoint(range(at, at + n))
-                side.update(range(at, at + n))
-        # nothing of five words is left unmarked on both sides
-        assert not [1 for x, y in pairs if used[0].isdisjoint(range(x, x + 5)) and used[1].isdisjoint(range(y, y + 5))]
+def test_tiling_matches_short_items_whole(spark):
+    docs = spark.createDataFrame([(1, "so it is: Four score, and seven!"), (2, "four score and six"), (3, "score and seven four")], "doc_id long, text string")
+    bench = spark.createDataFrame([("b", "four score and seven"), ("a", "")], "item_id string, text string")
+    got = {r.doc_id: (r.contaminated, r.item_id, r.coverage, r.n_tiles) for r in tiling.decontaminate(docs, bench).collect()}
+    assert got == {1: (True, "b", 1.0, 1), 2: (False, None, 0.0, 0), 3: (False, None, 0.0, 0)}
+
+
+def _plain_tiles(t, i, least):
+    """Greedy string tiling by its definition: all pairs of places, again and again."""
+    free, out = [[True] * len(t), [True] * len(i)], []
+    while True:
+        best = (0, 0, 0)
+        for a in range(len(t)):
+            for b in range(len(i)):
+                n = 0
+                while a + n < len(t) and b + n < len(i) and t[a + n] == i[b + n] and free[0][a + n] and free[1][b + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, a, b)
+        n, a, b = best
+        if n < least:
+            return out
+        out.append((a, b, n))
+        free[0][a:a + n], free[1][b:b + n] = [False] * n, [False] * n
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 7])
+def test_tiles_equal_plain_greedy_tiling(letters):
+    rng = np.random.default_rng(letters)
+    for _ in range(60):
+        least = int(rng.integers(1, 6))
+        t, i = (rng.integers(1, letters + 1, rng.integers(least, n)).astype(np.uint64) * np.uint64(0xA24BAED4963EE407) for n in (40, 20))
+        seeds = [np.lib.stride_tricks.sliding_window_view(x, least).tolist() for x in (t, i)]
+        at = [np.array([k for k, x in enumerate(mine) if x in other], np.int64) for mine, other in (seeds, seeds[::-1])]
+        assert tiling.tile(t, i, *at, least) == _plain_tiles(t.tolist(), i.tolist(), least)
+
+
+def test_decontaminate_equals_plain_version(spark):
+    """Coverage, item, tiles and items of every document, against all pairs of documents and items, in one slice and in many."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 4, rng.integers(0, 40))) for _ in range(60)]
+    items = [(f"i{k % 20}", " ".join(f"w{x}" for x in rng.integers(0, 4, rng.integers(3, 30)))) for k in range(25)]
+    items += [("copy", texts[5]), ("copied", texts[5]), ("parts", " ".join(texts[7].split()[::-1] + texts[8].split()))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = {}
+    for d, text in enumerate(texts):
+        best, hits = (0.0, None, 0), []
+        for name, item in set(items):
+            t, i = text.split(), item.split()
+            tiles = _plain_tiles(t, i, min(5, len(i))) if i else []
+            covered = sum(x[2] for x in tiles) / len(i) if i else 0.0
+            if tiles and (best[1] is None or (-covered, name, len(tiles)) < (-best[0], best[1], best[2])):
+                best = (covered, name, len(tiles))
+            if covered >= tiling.THRESHOLD:
+                hits.append(name)
+        want[d] = (bool(hits), best[1], best[0], best[2], sorted(hits))
+    assert min(sum(x[0] for x in want.values()), sum(not x[0] for x in want.values())) > 4
+    for slice_words in (tiling.SLICE_WORDS, 60):
+        got = tiling.decontaminate(docs, bench, slice_words).collect()
+        assert {r.doc_id: (r.contaminated, r.item_id, r.coverage, r.n_tiles, r.item_ids) for r in got} == want
+        assert {r.doc_id for r in tiling.keep_clean(docs, bench, slice_words).collect()} == {d for d, x in want.items() if not x[0]}
+    assert len(list(tiling._slices(bench, 60))) > 2
+
+
+def test_tiling_long_repetitive_text():
+    """Text and item of one word, and of two: no pair of equal seeds is built."""
+    two = np.random.default_rng(1).integers(0, 2, 200_000)
+    for text, item in ((b"a " * 500_000, b"a " * 1000), (b" ".join([b"a", b"b"][x] for x in two), b" ".join([b"a", b"b"][x] for x in two[::-1][:1000]))):
+        start = time.time()
+        _, covered, _, hits = tiling._cover(tiling.Seeds([1], [item]), [text], WordHashes())[0]
+        assert covered > 0.9 and hits == [0] and time.time() - start < 20
 
 
 def test_tiling_edges(spark, odd, none):
