@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm._numbers import Places, answered, filter_of, gathered, may_hold, pack, unpack
+from tidewater.llm._numbers import Places, answered, distinct, filter_of, gathered, may_hold, pack, unpack
 from tidewater.llm._scratch import Tables
 from tidewater.llm._text import byte_texts, mix
 
@@ -36,6 +36,8 @@ CONTEXT = 3
 LEAST = 3
 DISCOUNT = 0.75
 GAIN = 3.0
+#: Bytes of text of a chunk, about: its grams of all lengths are in a task's memory at a time.
+CHUNK_BYTES = 6 << 20
 #: Keys of a cell, about.
 CELL = 1 << 17
 #: Share of ids that are not learnt from: those whose crc32 is 1 modulo this.
@@ -103,7 +105,7 @@ def _gathered_cells(batches):
 def _reader():
     """Chunks: dictionary with its counts in the texts that are learnt from, and by text id, fold, length and the words' places."""
     def run(batches):
-        for table in gathered(batches, "text"):
+        for table in gathered(batches, "text", CHUNK_BYTES):
             ids, held = table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
             places, codes, lengths = Places({}), [], []
             for text in byte_texts(table.column("text").combine_chunks()):
@@ -193,7 +195,7 @@ class _Tokens:
         self.word[np.cumsum(self.lengths + 1) - 1] = False
         tokens = np.full(self.size, _END, np.int64)
         tokens[self.word] = unpack(ids, np.int64)[self.codes]
-        self.tokens, self.doc = tokens.view(np.uint64), np.repeat(np.arange(len(self.lengths)), self.lengths + 1)
+        self.tokens, self.doc = tokens.view(np.uint64), np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths + 1)
         self._grams, self._whole = [mix(self.tokens)], [tokens != _RARE]
 
     def grams(self, k: int) -> np.ndarray:
@@ -268,23 +270,25 @@ def _suffixes(k: int):
     return run
 
 
-def _asked(t: _Tokens, longest: int, cells) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The distinct grams of a chunk that the tree may know, in order; and by length, for each place, which of them begins there, or -1."""
-    found, where, total = [], [], 0
-    for k in range(1, longest + 1):
-        grams = t.grams(k)
-        at = np.flatnonzero(t.whole(k))
-        at = at[may_hold(cells.value, grams[at])]
-        different, number = np.unique(grams[at], return_inverse=True)
-        where.append(np.full(len(grams), -1, np.int64))
-        where[-1][at] = number + total
-        found.append(different)
-        total += len(different)
-    found = np.concatenate(found)
-    order = np.argsort(found, kind="stable")
-    rank = np.empty(total + 1, np.int64)
-    rank[order], rank[total] = np.arange(total), -1
-    return found[order], [rank[w] for w in where]
+def _may_know(t: _Tokens, k: int, cells) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of a chunk's grams of k tokens that the tree may know."""
+    grams = t.grams(k)
+    at = np.flatnonzero(t.whole(k) & may_hold(cells.value, grams))
+    return at, grams[at]
+
+
+def _asked(t: _Tokens, longest: int, cells) -> np.ndarray:
+    """The distinct grams of a chunk that the tree may know, in order."""
+    return np.sort(np.concatenate([distinct(_may_know(t, k, cells)[1]) for k in range(1, longest + 1)]))
+
+
+def _answers_at(t: _Tokens, k: int, cells, asked: np.ndarray) -> np.ndarray:
+    """For each place which of the asked grams of k tokens begins there, or -1."""
+    at, grams = _may_know(t, k, cells)
+    different, number = np.unique(grams, return_inverse=True)
+    where = np.full(len(t.grams(k)), -1, np.int32)
+    where[at] = np.searchsorted(asked, different).astype(np.int32)[number]
+    return where
 
 
 def _asking(longest: int, cells, bits: int):
@@ -292,7 +296,7 @@ def _asking(longest: int, cells, bits: int):
     def run(batches):
         for batch in batches:
             for chunk, t in _each(batch):
-                grams = _asked(t, longest, cells)[0]
+                grams = _asked(t, longest, cells)
                 found = _cells(grams, bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c for c, _, _ in found], pa.int64()), pa.array([chunk] * len(found), pa.int64()),
@@ -370,7 +374,7 @@ def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count:
         c = np.full(t.size, float(end_count))
         c[t.word] = unpack(head["c"], np.int64)[t.codes]
         base = (c + 0.5) / (train_tokens + 0.5 * (vocabulary + 1))
-        grams, where = _asked(t, longest, cells)
+        grams = _asked(t, longest, cells)
         gamma, p = np.full(len(grams) + 1, np.nan), np.full(len(grams) + 1, np.nan)  # the last for places without a gram
         if len(grams):
             rows = np.argsort(found["cell"]).tolist()
@@ -379,14 +383,15 @@ def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count:
                 values[:-1][flags & bit != 0] = np.concatenate([unpack(found[name][i], np.float64) for i in rows])
         prob = base.copy()
         inside = np.ones(t.size, bool)  # tokens whose contexts so far are all in the tree
+        contexts = _answers_at(t, 1, cells, grams)
         for k in range(2, longest + 1):
             if t.size < k:
                 break
             at = np.flatnonzero(inside[k - 1:] & (t.doc[k - 1:] == t.doc[:t.size - k + 1]))
-            rest = gamma[where[k - 2][at]]
+            rest, contexts = gamma[contexts[at]], _answers_at(t, k, cells, grams)
             known = ~np.isnan(rest)
             at, rest = at[known], rest[known]
-            own = p[where[k - 1][at]]
+            own = p[contexts[at]]
             last = at + k - 1
             prob[last] = np.where(np.isnan(own), 0.0, own) + rest * prob[last]
             inside[:] = False
