@@ -23,21 +23,24 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm._numbers import Places, answered, distinct, filter_of, gathered, may_hold, pack, unpack
+from tidewater.llm._numbers import answered, distinct, filter_of, gathered, may_hold, pack, unpack
 from tidewater.llm._scratch import Tables
-from tidewater.llm._text import byte_texts, mix
+from tidewater.llm._text import mix
 
 CONTEXT = 3
 LEAST = 3
 DISCOUNT = 0.75
 GAIN = 3.0
 #: Bytes of text of a chunk, about: its grams of all lengths are in a task's memory at a time.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 8 << 20
+#: Groups of chunks that ask one after the other, so that their questions and answers are not on disk at once.
+PARTS = 3
 #: Keys of a cell, about.
 CELL = 1 << 17
 #: Share of ids that are not learnt from: those whose crc32 is 1 modulo this.
@@ -102,22 +105,27 @@ def _gathered_cells(batches):
         yield now, held
 
 
+def _words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of texts, lower-cased, the place among them of each word, and the number of each text's words."""
+    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
+    flat = parts.flatten()
+    there = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # an empty text is one empty word
+    ends = np.r_[0, np.cumsum(there)][np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]]
+    coded = flat.filter(pa.array(there)).dictionary_encode()
+    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(), np.diff(ends)
+
+
 def _reader():
     """Chunks: dictionary with its counts in the texts that are learnt from, and by text id, fold, length and the words' places."""
     def run(batches):
         for table in gathered(batches, "text", CHUNK_BYTES):
             ids, held = table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
-            places, codes, lengths = Places({}), [], []
-            for text in byte_texts(table.column("text").combine_chunks()):
-                words = text.lower().split()
-                codes.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
-                lengths.append(len(words))
-            codes, lengths = np.concatenate(codes), np.array(lengths, np.int64)
-            counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(places.words))
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in places.words], np.uint64)
+            words, codes, lengths = _words(table.column("text").combine_chunks())
+            counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(words))
+            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array([n], pa.int64()) for n in (len(counts), int(counts.sum()), int((~held).sum()))),
-                 *(pa.array([x], pa.binary()) for x in (_joined(places.words), pack(counts), _stored(ids), pack(held.view(np.uint8)),
+                 *(pa.array([x], pa.binary()) for x in (_joined(words), pack(counts), _stored(ids), pack(held.view(np.uint8)),
                                                         pack(lengths), pack(codes), hashes.tobytes()))],
                 ["n_entries", "n_words", "n_texts", "words", "counts", "doc_ids", "held", "lengths", "codes", "hashes"])
     return run
@@ -233,7 +241,7 @@ def _counted(k: int, cells, bits: int):
                 found = _cells(gram, bits)
                 rows = []
                 for cell, lo, hi in found:
-                    order = lo + np.lexsort((token[lo:hi], context[lo:hi]))
+                    order = lo + np.argsort(context[lo:hi])
                     rows.append((cell, *(pack(x[order]) for x in (context, token, n))))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3))],
                                                  ["cell", "contexts", "tokens", "n"])
@@ -499,14 +507,21 @@ def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gai
     del grams, contexts
     tables.keep_only("texts", "tree")
     cells, bits = _filter(spark, tree.select("gram")), _bits(tree.count(), cell)
-    asked = texts.select("chunk", "lengths", "codes", "ids").mapInArrow(_asking(context + 1, cells, bits), "cell long, chunk long, grams binary")
-    nodes = tree.mapInArrow(_tree_rows(bits), "cell long, grams binary, gamma binary, p binary")
-    told = _by_cell(nodes.withColumn("chunk", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True), F.asc_nulls_first("chunk")).mapInArrow(
-        _telling, "chunk long, cell long, flags binary, gamma binary, p binary")
-    scores = tables.put("scores", answered(
-        texts, told, _scorer(context + 1, cells, train_tokens, vocabulary, sums["texts"]),
-        f"doc_id {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
-    tables.keep_only("scores")
+    nodes = tables.put("nodes", tree.mapInArrow(_tree_rows(bits), "cell long, grams binary, gamma binary, p binary")).withColumn("chunk", F.lit(None).cast("long"))
+    tables.drop("tree")
+    every = []
+    for part in range(PARTS):
+        some = texts.where(F.pmod(F.xxhash64("chunk"), F.lit(PARTS)) == part)
+        asked = some.select("chunk", "lengths", "codes", "ids").mapInArrow(_asking(context + 1, cells, bits), "cell long, chunk long, grams binary")
+        told = _by_cell(nodes.unionByName(asked, allowMissingColumns=True), F.asc_nulls_first("chunk")).mapInArrow(
+            _telling, "chunk long, cell long, flags binary, gamma binary, p binary")
+        every.append(tables.put(f"scores{part}", answered(
+            some, told, _scorer(context + 1, cells, train_tokens, vocabulary, sums["texts"]),
+            f"doc_id {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")))
+    tables.keep_only(*[f"scores{part}" for part in range(PARTS)])
+    scores = every[0]
+    for x in every[1:]:
+        scores = scores.unionByName(x)
     return scores
 
 
