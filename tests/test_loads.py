@@ -1,10 +1,16 @@
 """Loads of several raw partitions: different headers, missing columns, keys that come again, and failures on the way."""
+import decimal
 import json
 import os
+import threading
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from tidewater import job as jobs
 from tidewater.job import PlanFailure, StagingArgs, StagingJob, run_plan, run_with_audit
+from tidewater.operators import merge
 from tidewater.sinks import ledger
 from tidewater.session import local_path, scratch_path
 from tidewater.sinks.manifest import CommitConflict, Files, Manifests, Version
@@ -112,6 +118,51 @@ def test_plan_goes_on_after_a_failure(spark, zone):
     assert run_with_audit(spark, a).status == "WARNING"
 
 
+def _plan(spark, tables):
+    cols = ["path_name_raw", "path_name_staging", "partition_key_raw", "partition_key_staging", "catalog_database", "catalog_table", "merge_keys", "start_date", "end_date"]
+    return spark.createDataFrame([("d", t, "f", "add_dia", "db", t, "id", "2025-01-01", "2025-01-03") for t in tables], ", ".join(f"{c} string" for c in cols)).coalesce(1)
+
+
+def test_loads_of_a_plan_run_side_by_side(spark, monkeypatch):
+    """Two loads that wait for each other both end; one that fails stops neither; a table's loads keep their order."""
+    meet, order = threading.Barrier(2, timeout=60), []
+
+    def run(spark, args, audit_path):
+        if args.catalog_table in ("a", "b"):
+            meet.wait()
+            assert spark.range(10).count() == 10
+        order.append((args.catalog_table, spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+        if args.catalog_table == "b":
+            raise ValueError("lost")
+        return args.catalog_table
+
+    monkeypatch.setattr(jobs, "run_with_audit", run)
+    with pytest.raises(PlanFailure) as e:
+        run_plan(spark, _plan(spark, ["a", "c", "b", "c", "c"]), "FULL", "DAY_PRECISION", concurrency=2)
+    assert [str(r) for r in e.value.results] == ["a", "c", "lost", "c", "c"]
+    assert sorted(order) == [("a", "load a"), ("b", "load b"), *[("c", "load c")] * 3]
+
+
+def test_nested_and_decimal_columns_grow(spark):
+    """A struct in an array in a map gains a field and digits; rows of before keep their values and have NULL there."""
+    table = StagingTable(spark, f"{scratch_path(spark, 'grow')}/t", ["p"])
+    one = "struct<m: map<int, array<struct<x: int, d: decimal(5,2)>>>, s: struct<a: float>>"
+    two = "struct<m: map<bigint, array<struct<d: decimal(8,4), y: string, X: bigint>>>, s: struct<b: int, a: double>>"
+    rows = [(1, "a", json.dumps({"m": {"1": [{"x": 1, "d": 1.25}, None]}, "s": {"a": 0.5}})), (2, "b", json.dumps({"m": {}, "s": None}))]
+    more = [(3, "a", json.dumps({"m": {"5000000000": [{"x": 6000000000, "X": 6000000000, "d": 1234.5678, "y": "t"}]}, "s": {"b": 1, "a": 0.25}})), (2, "c", None)]
+    for kind, part in ((one, rows), (two, more)):
+        df = spark.createDataFrame(part, "id long, p string, j string")
+        table.merge(df.select("id", "p", F.col("j").isNotNull().alias("present"), F.from_json("j", kind.replace("map<int", "map<string").replace("map<bigint", "map<string")).cast(kind).alias("v")), ["id"])
+    got = {r.id: (r.p, r.v.asDict(recursive=True) if r.v else None) for r in table.read().select("id", "p", "v").collect()}
+    d = decimal.Decimal
+    assert got == {1: ("a", {"m": {1: [{"x": 1, "d": d("1.2500"), "y": None}, None]}, "s": {"a": 0.5, "b": None}}), 2: ("c", None),
+                   3: ("a", {"m": {5000000000: [{"x": 6000000000, "d": d("1234.5678"), "y": "t"}]}, "s": {"a": 0.25, "b": 1}})}
+    assert table.read().schema["v"].dataType.simpleString() == "struct<m:map<bigint,array<struct<x:bigint,d:decimal(8,4),y:string>>>,s:struct<a:double,b:int>>"
+    with pytest.raises(TypeError, match="Incompatible"):
+        table.merge(spark.createDataFrame([(9, "a", True, 1)], "id long, p string, present boolean, v int"), ["id"])
+    assert merge.widen(DecimalType(38, 0), DecimalType(10, 2)) is None
+
+
 def _rows(table):
     return sorted(tuple(r) for r in table.read().select("id", "p").collect())
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -33,7 +34,7 @@ from tidewater.operators import merge as M
 from tidewater.operators import project, report, validate
 from tidewater.plans.partitions import plan_partitions
 from tidewater.schema import Schema
-from tidewater.session import apply_staging_conf
+from tidewater.session import _context, apply_staging_conf
 from tidewater.sinks import ledger
 from tidewater.sinks.table import StagingTable
 from tidewater.sources import files
@@ -228,7 +229,7 @@ class StagingJob:
             if r["check_name"] == "all_null" and r["value"] == 0 and r["total_rows"] and r[PARTITION_VALUE] in self.json_values:
                 doubt.setdefault(r[PARTITION_VALUE], set()).add(r["column_name"])
         if doubt:
-            for r in files.json_keys(self.spark, self.table_raw_path, self.raw_key, sorted(doubt)) \
+            for r in files.json_keys(self.spark, files.partition_glob(self.table_raw_path, self.raw_key, sorted(doubt)), self.raw_key) \
                           .where(F.col("name").isin(sorted(set().union(*doubt.values())))).collect():
                 doubt[r["value"]].discard(r["name"])
             for v, columns in doubt.items():
@@ -432,49 +433,71 @@ class PlanFailure(RuntimeError):
 
 
 def run_plan(spark: SparkSession, staging_plan: DataFrame, process_type: str, date_type: str,
-             audit_path: str | None = None, **defaults) -> list[StagingResult]:
+             audit_path: str | None = None, concurrency: int = 4, **defaults) -> list[StagingResult]:
     """Run one staging job per row of a staging plan (``plans.load_plan.staging_plan``).
 
-    The plan is metadata (one row per dataset), so it is collected and the jobs
-    run one after the other, each one a distributed load; ``defaults`` fills
+    The plan is metadata (one row per dataset), so it is collected; each job is
+    a distributed load. Up to ``concurrency`` loads run at a time, each from a thread
+    and in a scheduler pool of its own, so that under fair scheduling
+    (``session.build_session`` asks for it) a small load does not wait for a large one's tasks.
+    Loads into the same table run one after the other, in plan order. ``defaults`` fills
     the arguments a plan row does not carry (job and project names, roots,
     buckets, options). A load that fails does not keep the others from running;
     ``PlanFailure`` is raised at the end.
     """
-    fields = set(StagingArgs.__dataclass_fields__)
-    results = []
+    results: list = []
+    tables: dict[str, list[tuple[int, StagingArgs]]] = {}
     for row in staging_plan.collect():
         r = row.asDict()
         if r.get("plan_error"):
             results.append(ValueError(f"{r.get('catalog_table')}: {r['plan_error']}"))
             continue
-        kw = {"path_name_raw": r["path_name_raw"], "path_name_staging": r["path_name_staging"],
-              "partition_key_raw": r["partition_key_raw"], "partition_key_staging": r["partition_key_staging"],
-              "catalog_database": r["catalog_database"], "catalog_table": r["catalog_table"],
-              "merge_keys": r["merge_keys"], "excel_sheet": r.get("excel_sheet") or "",
-              "partition_key_raw_path": r.get("partition_key_raw_path") or "",
-              "file_name_excel": r.get("file_name_excel") or "",
-              "process_type": process_type, "date_type": date_type}
-        # the plan's window is in days; a MONTH load plans whole months from it
-        if date_type == D.MONTH:
-            kw["start_date"], kw["end_date"] = r["start_date"][:7], r["end_date"][:7]
-        else:
-            kw["start_date"], kw["end_date"] = r["start_date"], r["end_date"]
-        if process_type.upper() == "INC":  # the window is already resolved into dates
-            kw["process_type"] = "FULL"
-        kw.update({k: v for k, v in defaults.items() if k in fields})
-        kw.setdefault("job_name", kw["catalog_table"])
-        kw.setdefault("project_name", "")
-        try:
-            results.append(run_with_audit(spark, StagingArgs(**kw), audit_path))
-        except Exception as e:
-            log.exception("%s failed", kw["job_name"])
-            results.append(e)
+        args = _plan_args(r, process_type, date_type, defaults)
+        tables.setdefault(args.path_name_staging.strip().strip("/"), []).append((len(results), args))
+        results.append(None)
+    context = _context(spark)
+
+    def load(one: tuple[str, list[tuple[int, StagingArgs]]]) -> None:
+        name, loads = one
+        if context is not None:
+            context.setLocalProperty("spark.scheduler.pool", f"load {name}")
+        for at, args in loads:
+            try:
+                results[at] = run_with_audit(spark, args, audit_path)
+            except Exception as e:
+                log.exception("%s failed", args.job_name)
+                results[at] = e
+
+    with ThreadPoolExecutor(max(1, concurrency)) as pool:
+        list(pool.map(load, tables.items()))
     if any(isinstance(r, Exception) for r in results):
         raise PlanFailure(results)
     return results
 
 
+def _plan_args(r: dict, process_type: str, date_type: str, defaults: dict) -> StagingArgs:
+    """The arguments of a plan row's load."""
+    kw = {"path_name_raw": r["path_name_raw"], "path_name_staging": r["path_name_staging"],
+          "partition_key_raw": r["partition_key_raw"], "partition_key_staging": r["partition_key_staging"],
+          "catalog_database": r["catalog_database"], "catalog_table": r["catalog_table"],
+          "merge_keys": r["merge_keys"], "excel_sheet": r.get("excel_sheet") or "",
+          "partition_key_raw_path": r.get("partition_key_raw_path") or "",
+          "file_name_excel": r.get("file_name_excel") or "",
+          "process_type": process_type, "date_type": date_type}
+    # the plan's window is in days; a MONTH load plans whole months from it
+    if date_type == D.MONTH:
+        kw["start_date"], kw["end_date"] = r["start_date"][:7], r["end_date"][:7]
+    else:
+        kw["start_date"], kw["end_date"] = r["start_date"], r["end_date"]
+    if process_type.upper() == "INC":  # the window is already resolved into dates
+        kw["process_type"] = "FULL"
+    fields = set(StagingArgs.__dataclass_fields__)
+    kw.update({k: v for k, v in defaults.items() if k in fields})
+    kw.setdefault("job_name", kw["catalog_table"])
+    kw.setdefault("project_name", "")
+    return StagingArgs(**kw)
+
+
 # --- command line -------------------------------------------------------------------
 
 OPTIONAL_ARGS = ("excel_sheet", "partition_key_raw_path", "file_name_excel")

@@ -15,10 +15,10 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+    ArrayType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, MapType, ShortType, StructField, StructType,
 )
 
 
@@ -126,7 +126,24 @@ _WIDEN = {
 
 
 def widen(a: DataType, b: DataType) -> DataType | None:
-    """Common type of two column types under the widening rules, else None."""
+    """Common type of two column types under the widening rules, else None.
+
+    A decimal grows to the integer digits and the scale of both, up to 38 digits;
+    a struct to the fields of both, by name, each widened; an array by its
+    elements, a map by its keys and values.
+    """
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return _merged(a, b)
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        e = widen(a.elementType, b.elementType)
+        return e and ArrayType(e)
+    if isinstance(a, MapType) and isinstance(b, MapType):
+        k, v = widen(a.keyType, b.keyType), widen(a.valueType, b.valueType)
+        return MapType(k, v) if k and v else None
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return DecimalType(digits, scale) if digits <= 38 else None
     if a == b:
         return a
     if (type(a), type(b)) in _WIDEN:
@@ -136,6 +153,34 @@ def widen(a: DataType, b: DataType) -> DataType | None:
     return None
 
 
+def _merged(a: StructType, b: StructType) -> StructType | None:
+    """The fields of ``a``, widened by those of ``b`` of the same name, then the other fields of ``b``."""
+    new = {f.name.lower(): f for f in b.fields}
+    fields = []
+    for f in a.fields:
+        other = new.pop(f.name.lower(), None)
+        t = f.dataType if other is None else widen(f.dataType, other.dataType)
+        if t is None:
+            return None
+        fields.append(StructField(f.name, t, True))
+    return StructType(fields + [StructField(f.name, f.dataType, True) for f in new.values()])
+
+
+def fitted(c: Column, have: DataType, want: DataType) -> Column:
+    """``c`` of type ``have`` as the wider ``want``: struct fields by name, those it lacks as NULL."""
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        own = {f.name.lower(): f for f in have.fields}
+        parts = [(fitted(c.getField(own[f.name.lower()].name), own[f.name.lower()].dataType, f.dataType) if f.name.lower() in own
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(c, lambda x: fitted(x, have.elementType, want.elementType))
+    if isinstance(want, MapType) and isinstance(have, MapType):
+        keyed = F.transform_keys(c, lambda k, _: fitted(k, have.keyType, want.keyType))
+        return F.transform_values(keyed, lambda _, v: fitted(v, have.valueType, want.valueType))
+    return c.cast(want)
+
+
 def synced_schema(table_schema, batch_schema) -> list[tuple[str, DataType]]:
     """Evolved table columns: existing ones (widened where needed), then new ones."""
     cur = {f.name.lower(): f for f in table_schema.fields}
@@ -158,7 +203,7 @@ def conform(df: DataFrame, columns: list[tuple[str, DataType]]) -> DataFrame:
     cols = []
     for name, t in columns:
         src = have.get(name.lower())
-        cols.append((F.col(_q(src)) if src else F.lit(None)).cast(t).alias(name))
+        cols.append((fitted(F.col(_q(src)), df.schema[src].dataType, t) if src else F.lit(None).cast(t)).alias(name))
     return df.select(*cols)
 
 

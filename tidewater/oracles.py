@@ -180,6 +180,16 @@ ORACLES: dict[str, str] = {
     "missing_by_partition": _BY_MONTH.rstrip() + ", r AS (SELECT m, i FROM o UNION ALL SELECT later, i + 1 FROM o WHERE i % 3 = 0 AND i < last) "
                             "SELECT m AS partition_value, count(*) AS n, CASE WHEN i % 3 = 2 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, "
                             "CASE WHEN i % 3 = 2 THEN 'missing_column: Estado' END AS error FROM r GROUP BY m, i",
+    "sink_schema_growth": "WITH c AS (SELECT *, c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS early FROM customer) SELECT c_custkey, "
+                          "CASE WHEN early THEN CAST(CAST(c_acctbal AS DECIMAL(9,2)) AS DOUBLE) ELSE CAST(CAST(c_acctbal + 0.0001 AS DECIMAL(15,4)) AS DOUBLE) END AS saldo, "
+                          "CAST(c_nationkey AS BIGINT) AS pais, CASE WHEN early THEN c_name END AS nombre, CASE WHEN NOT early THEN c_name END AS contacto, "
+                          "CASE WHEN early THEN CAST(c_nationkey AS BIGINT) ELSE 3000000000 END AS codigo, c_mktsegment FROM c",
+    "stream_drift": _BY_MONTH + "SELECT o_orderkey, CASE WHEN i % 3 = 1 OR i < last THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+                    "o_orderstatus, CASE WHEN i % 3 = 0 AND i < last THEN later ELSE m END AS mes_carga FROM o WHERE i % 3 < 2",
+    "stream_audit": _BY_MONTH.rstrip() + ", r AS (SELECT m, i FROM o UNION ALL SELECT later, i + 1 FROM o WHERE i % 3 = 0 AND i < last) "
+                    "SELECT m AS partition_value, count(*) AS n, CASE WHEN i % 3 = 2 THEN 'FAILED' ELSE 'SUCCEEDED' END AS partition_status, "
+                    "CASE WHEN i % 3 = 2 THEN 'missing_column: Estado' END AS partition_error, "
+                    "CASE WHEN max(CASE WHEN i % 3 = 2 THEN 1 ELSE 0 END) OVER () = 1 THEN 'WARNING' ELSE 'SUCCEEDED' END AS batch_status FROM r GROUP BY m, i",
     "create_partitioned": "WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS m, min(strftime(o_orderdate, '%Y-%m')) OVER () AS f, "
                           "max(strftime(o_orderdate, '%Y-%m')) OVER () AS l FROM orders), "
                           "x AS (SELECT *, o_orderstatus = 'P' OR m = f AS late FROM o) "

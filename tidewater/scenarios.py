@@ -676,6 +676,28 @@ def q_stream_incremental(spark, sf):
     return table.read()
 
 
+def _drift_stream(spark, sf) -> tuple[StagingTable, str]:
+    """The raw months of three headers staged by a stream; returns the table and its ledger."""
+    from tidewater.streaming.incremental import run_incremental
+    zone = scratch_path(spark, "stream-drift")
+    table = StagingTable(spark, f"{zone}/table", ["mes_carga"])
+    run_incremental(spark, raw_orders_drift_dir(spark, sf, 3), DRIFT_FIELDS, table, "o_orderkey", "mes", "add_mes_carga",
+                    checkpoint=f"{zone}/checkpoint", invalid="report", audit_path=f"{zone}/ledger")
+    return table, f"{zone}/ledger"
+
+
+def q_stream_drift(spark, sf):
+    """S6/V1 in a stream: files of three headers, routed by header; months that lack a declared column are left out."""
+    return _drift_stream(spark, sf)[0].read()
+
+
+def q_stream_audit(spark, sf):
+    """K7/V1 in a stream: the ledger's row for each raw month of the batch."""
+    from tidewater.sinks import ledger
+    return ledger.read(spark, _drift_stream(spark, sf)[1]).where("partition_value IS NOT NULL").select(
+        "partition_value", "n", "partition_status", "partition_error", F.col("status").alias("batch_status"))
+
+
 # --- the stored table: what the sink itself leaves behind -----------------------
 
 def _sink(spark, name: str, partition_cols: list[str]):
@@ -723,6 +745,23 @@ def q_sink_schema_sync(spark, sf):
     return table.read().select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+def q_sink_schema_growth(spark, sf):
+    """K2: a later load brings more decimal digits, a struct with one more field and a wider one, and wider array elements."""
+    c = T(spark, sf, "customer")
+    early = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    table = _sink(spark, "sink-growth", ["c_mktsegment"])
+    table.merge(c.where(early).select(
+        "c_custkey", F.col("c_acctbal").cast("decimal(9,2)").alias("saldo"), "c_mktsegment",
+        F.struct(F.col("c_nationkey").cast("int").alias("pais"), F.col("c_name").alias("nombre")).alias("datos"),
+        F.array(F.col("c_nationkey").cast("int")).alias("codigos")), ["c_custkey"])
+    table.merge(c.where(~early).select(
+        "c_custkey", (F.col("c_acctbal") + 0.0001).cast("decimal(15,4)").alias("saldo"), "c_mktsegment",
+        F.struct(F.col("c_name").alias("contacto"), F.col("c_nationkey").cast("bigint").alias("pais")).alias("datos"),
+        F.array(F.col("c_nationkey").cast("bigint"), F.lit(3_000_000_000)).alias("codigos")), ["c_custkey"])
+    return table.read().select("c_custkey", F.col("saldo").cast("double").alias("saldo"), "datos.pais", "datos.nombre", "datos.contacto",
+                               F.element_at("codigos", -1).alias("codigo"), "c_mktsegment")
+
+
 def raw_orders_drift_dir(spark: SparkSession, sf_dir: str, kinds: int) -> str:
     """All orders by month, with ``kinds`` headers in turn. The second kind has columns in another order, one more, a column
     named as the raw key, and besides its own the orders of the month before, all at another price; the third lacks the status."""
@@ -1033,9 +1072,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_partitions_message": q_empty_partitions_message,
     "staging_job": q_staging_job,
     "stream_incremental": q_stream_incremental,
+    "stream_drift": q_stream_drift,
+    "stream_audit": q_stream_audit,
     "sink_merge": q_sink_merge,
     "sink_overwrite": q_sink_overwrite,
     "sink_schema_sync": q_sink_schema_sync,
+    "sink_schema_growth": q_sink_schema_growth,
     "staging_job_overlap": q_staging_job_overlap,
     "drift_scan": q_drift_scan,
     "missing_by_partition": q_missing_by_partition,

@@ -39,6 +39,7 @@ def build_session(master: str | None = None, app_name: str = "tidewater",
         builder = builder.master(master)
     conf = dict(STAGING_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.scheduler.mode"] = "FAIR"  # for loads that run side by side, each in its pool
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -153,10 +153,10 @@ def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
         return dict(zip(paths, pool.map(one, paths), strict=True))
 
 
-def json_keys(spark: SparkSession, base: str, key: str, values: list[str]) -> DataFrame:
-    """(value, name): the record keys that occur in each of the planned JSON partitions, also with null values."""
+def json_keys(spark: SparkSession, paths, key: str) -> DataFrame:
+    """(value, name): the record keys that occur in each partition of the JSON files, also with null values."""
     text = (spark.read.option("wholetext", "true").option("pathGlobFilter", ext_glob("json"))
-                 .text(partition_glob(base, key, values)))
+                 .text(paths))
     one = "map<string,string>"
     records = F.coalesce(F.from_json("value", f"array<{one}>"), F.array(F.from_json("value", one)))
     found = text.select(partition_of(F.col("_metadata.file_path"), key).alias("value"), F.explode(records).alias("r"))
