@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm._components import components
-from tidewater.llm._scratch import settle
+from tidewater.llm._scratch import Tables, settle
 from tidewater.llm._tiles import dealt, groups, roots, sides, tiles
 
 THRESHOLD = 0.93
@@ -60,12 +60,9 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(c), -1)
 
 
-def _centres(left: DataFrame, sizes: dict) -> dict:
-    """The mean unit vector of a sample of each large place, where it is not about zero."""
-    large = {p: n // CENTRED for p, n in sizes.items() if n >= CENTRED}
-    if not large:
-        return {}
-    table = F.broadcast(left.sparkSession.createDataFrame(list(large.items()), "place string, every long"))
+def _centres(left: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``place`` and ``centre``, the mean unit vector of a sample of each large place, where it is not about zero."""
+    large = sizes.where(F.col("n") >= CENTRED).select("place", F.expr(f"n div {CENTRED}").alias("every"))
 
     def run(batches):
         for batch in batches:
@@ -75,15 +72,14 @@ def _centres(left: DataFrame, sizes: dict) -> dict:
                 yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([len(x)], pa.int64()), pa.array([x.sum(axis=0).tolist()], pa.list_(pa.float64()))],
                                                  ["place", "n", "x"])
 
-    sums = (left.join(table, "place").where(F.pmod(F.xxhash64("node", F.lit(6)), F.col("every")) == 0).select("place", "v")
+    sums = (left.join(large, "place").where(F.pmod(F.xxhash64("node", F.lit(6)), F.col("every")) == 0).select("place", "v")
             .mapInArrow(run, "place string, n long, x array<double>"))
     mean = (sums.select("place", "n", F.posexplode("x")).groupBy("place", "pos").agg((F.sum("col") / F.sum("n")).alias("m"))
-            .groupBy("place").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("m")).collect())  # a vector for CENTRED rows at most
-    out = {r["place"]: np.array([x["m"] for x in r["m"]]) for r in mean}
-    return {p: m for p, m in out.items() if m @ m >= 0.05}
+            .groupBy("place").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda x: x["m"]).alias("centre")))
+    return mean.where(F.aggregate("centre", F.lit(0.0), lambda a, x: a + x * x) >= 0.05)
 
 
-def _keys(first: int, passes: int, threshold: float, centres):
+def _keys(first: int, passes: int, threshold: float):
     """Each vector's key in each pass, as a signed number in the order of its bits, and the log of the least p of its pairs."""
     far = math.sqrt(max(0.0, 2 - 2 * threshold))  # between unit vectors at the threshold
 
@@ -96,9 +92,10 @@ def _keys(first: int, passes: int, threshold: float, centres):
                 x = _unit(_matrix(batch.column("v").take(pa.array(mine))))
                 angle = np.full(len(mine), math.acos(min(1.0, max(-1.0, threshold))))
                 for p in np.unique(places[mine]):
-                    if p in centres.value:
-                        at = places[mine] == p
-                        x[at] -= centres.value[p]
+                    at = places[mine] == p
+                    centre = batch.column("centre")[int(mine[at][0])]
+                    if centre.is_valid:
+                        x[at] -= centre.values.to_numpy()
                         r = np.sqrt((x[at] * x[at]).sum(axis=1))
                         angle[at] = np.where(r > far, np.arcsin(np.minimum(1.0, far / np.maximum(r, 1e-300))), math.pi)
                 agree = pa.array(np.log(np.maximum(1 - angle / math.pi, 1e-300)))
@@ -243,11 +240,13 @@ def _placed(keys: DataFrame) -> DataFrame:
     return rows.join(table, "part").select("node", "place", "pass", "key", "agree", (F.col("before") + F.col("at")).alias("pos"))
 
 
-def _passes(left: DataFrame, first: int, passes: int, centres: dict, threshold: float, window: int) -> DataFrame:
-    """A round of passes over ``left``: rows of :func:`_edges`."""
-    shared = left.sparkSession.sparkContext.broadcast(centres)
-    placed = _placed(left.select("node", "place", "dim", "v").mapInArrow(
-        _keys(first, passes, threshold, shared), "node string, place string, pass int, key long, agree double"))
+def _passes(left: DataFrame, first: int, passes: int, centres: DataFrame, threshold: float, window: int) -> DataFrame:
+    """A round of passes over ``left``: rows of :func:`_edges`.
+
+    The centres are a table of known size, which Spark sends to all tasks only if it is small.
+    """
+    placed = _placed(left.select("node", "place", "dim", "v").join(centres, "place", "left").mapInArrow(
+        _keys(first, passes, threshold), "node string, place string, pass int, key long, agree double"))
     block, at = F.expr(f"pos div {BLOCK}"), F.col("pos") % BLOCK
     halo = F.array_compact(F.array(block, F.when((at <= window) & (block > 0), block - 1), F.when(at >= BLOCK - 1 - window, block + 1)))
     blocks = (placed.withColumn("place", F.concat_ws(":", F.col("pass").cast("string"), "place")).withColumn("block", F.explode(halo))
@@ -260,14 +259,14 @@ def _linked(classes: DataFrame, threshold: float, window: int, recall: float) ->
     """Edges ``(a, b)`` that connect linked vectors: rounds of passes, then all pairs of what they leave open."""
     left = classes.select("node", "place", "dim", "v").withColumn("miss", F.lit(0.0))
     sizes = left.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges, first = [], 0
+    edges, first, tables = [], 0, Tables(classes.sparkSession, "centres")
     for k in range(ROUNDS):
         largest = sizes.agg(F.max("n").alias("n")).first()["n"]
         if not largest:
             break
-        large = {r["place"]: r["n"] for r in sizes.where(F.col("n") >= CENTRED).collect()}
         passes = passes_for(largest, threshold, window, recall)
-        rows = _passes(left, first, passes, _centres(left, large), threshold, window)
+        rows = _passes(left, first, passes, tables.put("centres", _centres(left, sizes)), threshold, window)
+        tables.drop("centres")
         first += passes
         edges.append(rows.where("b IS NOT NULL").select("a", "b"))
         more = rows.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("miss").alias("more"))

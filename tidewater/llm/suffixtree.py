@@ -21,6 +21,8 @@ can build again, and come back in one sort.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -290,13 +292,22 @@ def _asked(t: _Tokens, longest: int, cells) -> np.ndarray:
     return np.sort(np.concatenate([distinct(_may_know(t, k, cells)[1]) for k in range(1, longest + 1)]))
 
 
-def _answers_at(t: _Tokens, k: int, cells, asked: np.ndarray) -> np.ndarray:
-    """For each place which of the asked grams of k tokens begins there, or -1."""
-    at, grams = _may_know(t, k, cells)
-    different, number = np.unique(grams, return_inverse=True)
-    where = np.full(len(t.grams(k)), -1, np.int32)
-    where[at] = np.searchsorted(asked, different).astype(np.int32)[number]
-    return where
+def _asked_by_place(t: _Tokens, longest: int, cells) -> tuple[np.ndarray, Callable]:
+    """What a chunk asked; and by number of tokens, for each place, which of the asked grams begins there, or -1."""
+    parts = []
+    for k in range(1, longest + 1):
+        at, grams = _may_know(t, k, cells)
+        different, number = np.unique(grams, return_inverse=True)
+        parts.append((at.astype(np.int32), different, number.astype(np.int32)))
+    asked = np.sort(np.concatenate([different for _, different, _ in parts]))
+
+    def where(k: int) -> np.ndarray:
+        at, different, number = parts[k - 1]
+        out = np.full(len(t.grams(k)), -1, np.int32)
+        out[at] = np.searchsorted(asked, different).astype(np.int32)[number]
+        return out
+
+    return asked, where
 
 
 def _asking(longest: int, cells, bits: int):
@@ -382,7 +393,7 @@ def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count:
         c = np.full(t.size, float(end_count))
         c[t.word] = unpack(head["c"], np.int64)[t.codes]
         base = (c + 0.5) / (train_tokens + 0.5 * (vocabulary + 1))
-        grams = _asked(t, longest, cells)
+        grams, where = _asked_by_place(t, longest, cells)
         gamma, p = np.full(len(grams) + 1, np.nan), np.full(len(grams) + 1, np.nan)  # the last for places without a gram
         if len(grams):
             rows = np.argsort(found["cell"]).tolist()
@@ -391,12 +402,12 @@ def _scorer(longest: int, cells, train_tokens: int, vocabulary: int, end_count:
                 values[:-1][flags & bit != 0] = np.concatenate([unpack(found[name][i], np.float64) for i in rows])
         prob = base.copy()
         inside = np.ones(t.size, bool)  # tokens whose contexts so far are all in the tree
-        contexts = _answers_at(t, 1, cells, grams)
+        contexts = where(1)
         for k in range(2, longest + 1):
             if t.size < k:
                 break
             at = np.flatnonzero(inside[k - 1:] & (t.doc[k - 1:] == t.doc[:t.size - k + 1]))
-            rest, contexts = gamma[contexts[at]], _answers_at(t, k, cells, grams)
+            rest, contexts = gamma[contexts[at]], where(k)
             known = ~np.isnan(rest)
             at, rest = at[known], rest[known]
             own = p[contexts[at]]
