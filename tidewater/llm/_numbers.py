@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 from tidewater.llm._scratch import Tables
 
 CHUNK_BYTES = 16 << 20
+#: One of each a process: making them anew costs as much as a short row.
+_SHRINK, _GROW = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 #: Cells of a bit filter: 8 MB, whatever it holds.
 FILTER_BITS = 26
+#: Values that are worked on at a time, so that what is between two steps stays in the processor's cache.
+BLOCK = 1 << 15
 
 
 class Places(dict):
@@ -39,16 +43,27 @@ class Places(dict):
         return p
 
 
+def shrunk(data: bytes) -> bytes:
+    return _SHRINK.compress(data)
+
+
+def grown(data: bytes) -> bytes:
+    return _GROW.decompress(data)
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Whole numbers as compressed bytes: equal bytes of neighbours stand together, so small numbers take little room."""
     planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return shrunk(np.ascontiguousarray(planes))
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    raw = np.frombuffer(grown(data), np.uint8)
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
+    out = np.empty((len(raw) // size, size), np.uint8)
+    for j, plane in enumerate(raw.reshape(size, -1)):
+        out[:, j] = plane
+    return out.reshape(-1).view(kind)
 
 
 def distinct(x: np.ndarray) -> np.ndarray:
@@ -57,6 +72,27 @@ def distinct(x: np.ndarray) -> np.ndarray:
     return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
 
 
+def near_order(keys: np.ndarray) -> np.ndarray:
+    """Order of 64-bit keys by the high bits that their places leave free: a plain sort is much faster than one that moves places along."""
+    bits = np.uint64(max(1, len(keys) - 1).bit_length())
+    order = np.sort(keys >> bits << bits | np.arange(len(keys), dtype=np.uint64))
+    return (order & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+
+
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """Stable order of 64-bit hashes, of which few differ in their low bits alone."""
+    order = near_order(keys)
+    there = keys[order]
+    return order if (there[1:] >= there[:-1]).all() else np.argsort(keys, kind="stable")
+
+
+def starts_of(ordered: np.ndarray) -> np.ndarray:
+    """Whether a value is the first of its equals."""
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return first
+
+
 def gathered(batches: Iterator[pa.RecordBatch], texts: str, most: int = CHUNK_BYTES) -> Iterator[pa.Table]:
     """Rows of a task in tables of about ``most`` bytes of text; a longer row is a table of its own."""
     held, size = [], 0
@@ -143,5 +179,8 @@ def filter_of(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def may_hold(cells: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    low = keys & np.uint64((1 << FILTER_BITS) - 1)
-    return (cells[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) != 0
+    out, cells = np.empty(len(keys), bool), cells.astype("<u8", copy=False).view(np.uint8)
+    for lo in range(0, len(keys), BLOCK):
+        low = (keys[lo:lo + BLOCK] & np.uint64((1 << FILTER_BITS) - 1)).view(np.int64)
+        out[lo:lo + BLOCK] = cells[low >> 3] >> (low.astype(np.uint8) & np.uint8(7)) & np.uint8(1)
+    return out

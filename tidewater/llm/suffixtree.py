@@ -27,11 +27,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm._numbers import answered, distinct, filter_of, gathered, may_hold, pack, unpack
+from tidewater.llm._numbers import BLOCK, answered, distinct, filter_of, gathered, grown, may_hold, near_order, order_of, pack, shrunk, starts_of, unpack
 from tidewater.llm._scratch import Tables
 from tidewater.llm._text import mix
 
@@ -44,12 +43,15 @@ CHUNK_BYTES = 8 << 20
 #: Groups of chunks that ask one after the other, so that their questions and answers are not on disk at once.
 PARTS = 3
 #: Keys of a cell, about.
-CELL = 1 << 17
+CELL = 1 << 19
+#: Bytes of the words of a cell, about, for texts without spaces.
+CELL_BYTES = 1 << 26
 #: Share of ids that are not learnt from: those whose crc32 is 1 modulo this.
 FOLDS = 5
 #: Number of the end of a text, and of words that no kept gram holds.
 _END, _RARE = 0, -1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def held_out(doc_id):
@@ -65,13 +67,20 @@ def _stored(ids: pa.Array) -> bytes:
     return out.getvalue().to_pybytes()
 
 
-def _joined(words: list[bytes]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+def _listed(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a large binary array."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    return offsets, np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
 
 
-def _split(data: bytes) -> list[bytes]:
-    text = zstandard.ZstdDecompressor().decompress(data)
-    return text.split(b"\n") if text else []
+def _array(offsets: np.ndarray, data) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
+
+
+def _lines(data: bytes) -> pa.Array:
+    """Words, each with the line end that it has in ``data``."""
+    return _array(np.r_[0, np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1], data)
 
 
 def _bits(keys: int, cell: int) -> int:
@@ -88,6 +97,13 @@ def _cells(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return list(zip(cell[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
 
 
+def _behind(sizes: list[int], values: np.ndarray) -> np.ndarray:
+    """Keys that keep runs of such sizes and put the values of each in order, or nearly: equal ones behind each other pack better."""
+    room, wide = 64 - len(sizes).bit_length(), int(values.max()).bit_length() if len(values) else 0
+    run = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    return run << np.uint64(room) | values >> np.uint64(max(0, wide - room)) << np.uint64(max(0, room - wide))
+
+
 def _by_cell(rows: DataFrame, *then) -> DataFrame:
     """Each cell's rows behind each other in one task."""
     return rows.repartition("cell").sortWithinPartitions("cell", *then)
@@ -109,12 +125,21 @@ def _gathered_cells(batches):
 
 def _words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The different words of texts, lower-cased, the place among them of each word, and the number of each text's words."""
-    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
-    flat = parts.flatten()
-    there = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # an empty text is one empty word
-    ends = np.r_[0, np.cumsum(there)][np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]]
-    coded = flat.filter(pa.array(there)).dictionary_encode()
-    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(), np.diff(ends)
+    low = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_binary())
+    ends, data = _listed(low)
+    data, ends = data[ends[0]:ends[-1]], ends - ends[0]
+    edge = np.zeros(len(data) + 1, bool)  # places that begin a text, and behind the last
+    edge[ends] = True
+    inside = ~_SPACE[data]
+    before, behind = edge[:-1].copy(), edge[1:].copy()
+    before[1:] |= ~inside[:-1]
+    behind[:-1] |= ~inside[1:]
+    first, last = np.flatnonzero(inside & before), np.flatnonzero(inside & behind)
+    coded = _array(np.r_[0, np.cumsum(last - first + 1)], data[inside]).dictionary_encode()
+    offsets, different = _listed(coded.dictionary)
+    different, offsets = different.tobytes(), offsets.tolist()
+    return ([different[lo:hi] for lo, hi in zip(offsets[:-1], offsets[1:], strict=True)], coded.indices.to_numpy(),
+            np.diff(np.searchsorted(first, ends)))
 
 
 def _reader():
@@ -124,12 +149,13 @@ def _reader():
             ids, held = table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
             words, codes, lengths = _words(table.column("text").combine_chunks())
             counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(words))
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            joined = b"\n".join([*words, b""])
+            hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array([n], pa.int64()) for n in (len(counts), int(counts.sum()), int((~held).sum()))),
-                 *(pa.array([x], pa.binary()) for x in (_joined(words), pack(counts), _stored(ids), pack(held.view(np.uint8)),
+                [*(pa.array([n], pa.int64()) for n in (len(counts), len(joined), int(counts.sum()), int((~held).sum()))),
+                 *(pa.array([x], pa.binary()) for x in (shrunk(joined), pack(counts), _stored(ids), pack(held.view(np.uint8)),
                                                         pack(lengths), pack(codes), hashes.tobytes()))],
-                ["n_entries", "n_words", "n_texts", "words", "counts", "doc_ids", "held", "lengths", "codes", "hashes"])
+                ["n_entries", "n_bytes", "n_words", "n_texts", "words", "counts", "doc_ids", "held", "lengths", "codes", "hashes"])
     return run
 
 
@@ -138,13 +164,14 @@ def _word_rows(bits: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                words, counts, keys = _split(row["words"]), unpack(row["counts"], np.int64), np.frombuffer(row["hashes"], np.uint64)
-                order = np.argsort(keys, kind="stable")
-                found = _cells(keys[order], bits)
+                counts, keys = unpack(row["counts"], np.int64), np.frombuffer(row["hashes"], np.uint64)
+                order = order_of(keys)
+                found, counts = _cells(keys[order], bits), counts[order]
+                offsets, words = _listed(_lines(grown(row["words"])).take(pa.array(order)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c for c, _, _ in found], pa.int64()), pa.array([row["chunk"]] * len(found), pa.int64()),
-                     pa.array([_joined([words[i] for i in order[lo:hi].tolist()]) for _, lo, hi in found], pa.binary()),
-                     pa.array([pack(counts[order[lo:hi]]) for _, lo, hi in found], pa.binary())],
+                     pa.array([shrunk(words[offsets[lo]:offsets[hi]]) for _, lo, hi in found], pa.binary()),
+                     pa.array([pack(counts[lo:hi]) for _, lo, hi in found], pa.binary())],
                     ["cell", "chunk", "words", "counts"])
     return run
 
@@ -153,19 +180,20 @@ def _word_counts(least: int):
     """By cell: counts and numbers of each chunk's words, and, without a chunk, of the words that may be kept, and how many are known."""
     def run(batches):
         for cell, rows in _gathered_cells(batches):
-            total: dict[bytes, int] = {}
-            for row in rows:
-                row["words"] = _split(row["words"])
-                for w, n in zip(row["words"], unpack(row["counts"], np.int64).tolist(), strict=True):
-                    total[w] = total.get(w, 0) + n
-            kept = sorted((w for w, n in total.items() if n >= max(least, 1)), key=lambda w: (-total[w], w))
-            number = {w: (cell << 24) + i + 1 for i, w in enumerate(kept)}
-            asked = [*(r["words"] for r in rows), kept]
+            coded = _lines(b"".join(grown(row["words"]) for row in rows)).dictionary_encode()
+            codes, n = coded.indices.to_numpy(), [unpack(row["counts"], np.int64) for row in rows]
+            total = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(total, codes, np.concatenate(n))
+            kept = np.flatnonzero(total >= max(least, 1))
+            kept = kept[pc.sort_indices(pa.table({"n": total[kept], "word": coded.dictionary.take(pa.array(kept))}),
+                                        [("n", "descending"), ("word", "ascending")]).to_numpy()]
+            number = np.full(len(total), _RARE, np.int64)
+            number[kept] = (cell << 24) + 1 + np.arange(len(kept))
+            asked = [*np.split(codes, np.cumsum([len(x) for x in n])[:-1]), kept]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["chunk"] for r in rows] + [None], pa.int64()), pa.array([cell] * len(asked), pa.int64()),
-                 pa.array([pack(np.array([total[w] for w in x], np.int64)) for x in asked], pa.binary()),
-                 pa.array([pack(np.array([number.get(w, _RARE) for w in x], np.int64)) for x in asked], pa.binary()),
-                 pa.array([0] * len(rows) + [sum(n > 0 for n in total.values())], pa.int64())],
+                 pa.array([pack(total[x]) for x in asked], pa.binary()), pa.array([pack(number[x]) for x in asked], pa.binary()),
+                 pa.array([0] * len(rows) + [int((total > 0).sum())], pa.int64())],
                 ["chunk", "cell", "c", "ids", "known"])
     return run
 
@@ -173,7 +201,7 @@ def _word_counts(least: int):
 def _numbered(head: dict, found: dict) -> pa.RecordBatch:
     """A chunk with the numbers and counts of its words in place of their hashes."""
     keys = np.frombuffer(head["hashes"], np.uint64)
-    order = np.argsort(keys, kind="stable")
+    order = order_of(keys)
     values = {}
     for c in ("ids", "c"):
         values[c] = np.zeros(len(keys), np.int64)
@@ -192,7 +220,10 @@ def _kept_words(batches):
 
 def _longer(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Hash of a context and the token behind it."""
-    return mix(context * _ODD + token)
+    out = np.empty(len(context), np.uint64)
+    for lo in range(0, len(out), BLOCK):
+        out[lo:lo + BLOCK] = mix(context[lo:lo + BLOCK] * _ODD + token[lo:lo + BLOCK])
+    return out
 
 
 class _Tokens:
@@ -237,14 +268,15 @@ def _counted(k: int, cells, bits: int):
                 parts = t.grams(k - 1)
                 may = may_hold(cells.value, parts) if k > 2 else np.ones(len(parts), bool)
                 at = np.flatnonzero(t.whole(k) & may[:-1] & may[1:] & (unpack(held.as_py(), np.uint8) == 0)[t.doc[:t.size - k + 1]]) if t.size >= k else np.empty(0, np.int64)
-                gram, first, n = np.unique(t.grams(k)[at], return_index=True, return_counts=True)
-                at = at[first]
-                context, token = (parts if k > 2 else t.tokens)[at], t.tokens[at + k - 1]
-                found = _cells(gram, bits)
-                rows = []
-                for cell, lo, hi in found:
-                    order = lo + np.argsort(context[lo:hi])
-                    rows.append((cell, *(pack(x[order]) for x in (context, token, n))))
+                gram = t.grams(k)[at]
+                order = order_of(gram)
+                first = np.flatnonzero(starts_of(gram[order]))
+                n, at = np.diff(np.r_[first, len(order)]), at[order[first]]
+                found = _cells(t.grams(k)[at], bits)
+                context = (parts if k > 2 else t.tokens)[at]
+                order = near_order(_behind([hi - lo for _, lo, hi in found], context))
+                context, token, n = context[order], t.tokens[at + k - 1][order], n[order]
+                rows = [(cell, *(pack(x[lo:hi]) for x in (context, token, n))) for cell, lo, hi in found]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3))],
                                                  ["cell", "contexts", "tokens", "n"])
     return run
@@ -258,9 +290,9 @@ def _summed(k: int, least: int):
             if k == 2:
                 context = mix(context)
             gram = _longer(context, token)
-            order = np.argsort(gram, kind="stable")
+            order = order_of(gram)
             gram = gram[order]
-            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            first = np.flatnonzero(starts_of(gram))
             n = np.add.reduceat(n[order], first)
             kept = n >= least
             one = order[first][kept]
@@ -297,8 +329,10 @@ def _asked_by_place(t: _Tokens, longest: int, cells) -> tuple[np.ndarray, Callab
     parts = []
     for k in range(1, longest + 1):
         at, grams = _may_know(t, k, cells)
-        different, number = np.unique(grams, return_inverse=True)
-        parts.append((at.astype(np.int32), different, number.astype(np.int32)))
+        order = order_of(grams)
+        grams = grams[order]
+        first = starts_of(grams)
+        parts.append((at[order].astype(np.int32), grams[first], np.cumsum(first, dtype=np.int32) - 1))
     asked = np.sort(np.concatenate([different for _, different, _ in parts]))
 
     def where(k: int) -> np.ndarray:
@@ -328,7 +362,7 @@ def _tree_rows(bits: int):
     def packed(batches):
         table = pa.Table.from_batches(batches)
         grams, gamma, p = (table.column(c).to_numpy() for c in ("gram", "gamma", "p"))
-        order = np.argsort(grams.view(np.uint64), kind="stable")
+        order = order_of(grams.view(np.uint64))
         found = _cells(grams.view(np.uint64)[order], bits)
         return pa.RecordBatch.from_arrays(
             [pa.array([c for c, _, _ in found], pa.int64()),
@@ -347,12 +381,13 @@ def _tree_rows(bits: int):
     return run
 
 
-def _found(keys: np.ndarray, values: np.ndarray, grams: np.ndarray) -> np.ndarray:
+def _found(keys: np.ndarray, values: list[np.ndarray], grams: np.ndarray) -> list[np.ndarray]:
     """Values of the grams by sorted keys; NaN for those that are none."""
     if not len(keys):
-        return np.full(len(grams), np.nan)
+        return [np.full(len(grams), np.nan) for _ in values]
     at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-    return np.where(keys[at] == grams, values[at], np.nan)
+    there = keys[at] == grams
+    return [np.where(there, v[at], np.nan) for v in values]
 
 
 def _telling(batches):
@@ -368,13 +403,16 @@ def _telling(batches):
                 continue
             if tables is None:
                 grams, *values = [np.concatenate(x) if x else np.empty(0) for x in (zip(*parts, strict=True) if parts else [()] * 3)]
-                tables = []
-                for v in values:
-                    there = np.flatnonzero(~np.isnan(v))
-                    there = there[np.argsort(grams[there])]
-                    tables.append((grams[there], v[there]))
+                order = order_of(grams) if parts else np.empty(0, np.int64)
+                first = starts_of(grams[order])
+                tables, number = [grams[order][first]], np.cumsum(first) - 1
+                for v in values:  # a gram has a row as a context and one as a token at most
+                    v, one = v[order], np.full(len(tables[0]), np.nan)
+                    there = ~np.isnan(v)
+                    one[number[there]] = v[there]
+                    tables.append(one)
             asked = unpack(row["grams"], np.uint64)
-            gamma, p = (_found(*t, asked) for t in tables)
+            gamma, p = _found(tables[0], tables[1:], asked)
             flags = (~np.isnan(gamma)).astype(np.uint8) | (~np.isnan(p)).astype(np.uint8) << 1
             out.append((row["chunk"], cell, pack(flags), pack(gamma[flags & 1 != 0]), pack(p[flags & 2 != 0])))
         cols = list(zip(*out, strict=True)) if out else [()] * 5
@@ -497,13 +535,13 @@ def score_texts(docs: DataFrame, context: int = CONTEXT, least: int = LEAST, gai
     name = docs.schema["doc_id"].dataType.simpleString()
     tables = Tables(spark, "suffixtree")
     texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
-        _reader(), "n_entries long, n_words long, n_texts long, words binary, counts binary, "
+        _reader(), "n_entries long, n_bytes long, n_words long, n_texts long, words binary, counts binary, "
                    "doc_ids binary, held binary, lengths binary, codes binary, hashes binary")
     texts = tables.put("raw", texts.withColumn("chunk", F.monotonically_increasing_id()))
-    sums = texts.agg(*[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(c) for c in ("entries", "words", "texts")]).first()
+    sums = texts.agg(*[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(c) for c in ("entries", "bytes", "words", "texts")]).first()
     train_tokens = sums["words"] + sums["texts"]
     words = tables.put("words", _by_cell(texts.select("chunk", "words", "counts", "hashes").mapInArrow(
-        _word_rows(_bits(sums["entries"], cell)), "cell long, chunk long, words binary, counts binary"))
+        _word_rows(max(_bits(sums["entries"], cell), _bits(sums["bytes"], CELL_BYTES))), "cell long, chunk long, words binary, counts binary"))
         .mapInArrow(_word_counts(least), "chunk long, cell long, c binary, ids binary, known long"))
     vocabulary = (words.agg(F.sum("known").alias("n")).first()["n"] or 0) + (1 if sums["texts"] else 0)
     texts = tables.put("texts", answered(
